@@ -15,7 +15,7 @@ from visitlens import config
 # information separators 0x1c-0x1f, NEL and every Unicode space separator.
 # Spark's ``trim`` only removes the space character, so recoders that follow
 # Python semantics use ``py_strip``.
-_PY_WS = r"[\s\x{1c}-\x{1f}\x{85}\p{Z}]"
+_PY_WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 _PY_STRIP_RE = rf"^{_PY_WS}+|{_PY_WS}+$"
 
 VENUE_SUFFIX_RE = r"\s*\(\d+\)\z"

@@ -7,8 +7,17 @@ Each query builds its survey-shaped input from the star tables in
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from visitlens.plans import oracle, views
+from pyspark.sql import functions as F
+
+from visitlens import config
+from visitlens.functions import recode as R
+from visitlens.functions import text as T_
+from visitlens.operators import headers as H
+from visitlens.operators.profile import likert_columns, name_profile, value_counts
+from visitlens.operators.reshape import outer_union
+from visitlens.plans import master as M
+from visitlens.plans import oracle, oracle_more, views
+from visitlens.plans import recode as rc
 from visitlens.sources import fixtures as fx
 
 
@@ -70,6 +79,119 @@ def q_staff_words(spark, sf_dir):
     return views.staff_words_view(spark, {"fx_word_master": fx.word_master(spark, sf_dir)})
 
 
+
+# --- recoders (FX5-FX7) -------------------------------------------------------
+
+def q_recommendation(spark, sf_dir):
+    return rc.apply(fx.survey_wide(spark, sf_dir), "q_recommend", R.recommendation_score)
+
+
+def q_speed(spark, sf_dir):
+    return rc.apply(fx.survey_wide(spark, sf_dir), "q_drinks_speed",
+                    lambda c: R.speed_score(c, config.DRINKS_ORDER_MAP))
+
+
+def q_gender(spark, sf_dir):
+    return rc.apply(fx.survey_wide(spark, sf_dir), "q_gender", R.gender)
+
+
+def q_staff_binary(spark, sf_dir):
+    df = fx.word_master(spark, sf_dir)
+    cols = rc.checkbox_columns(df)
+    return rc.replace_columns(df.select("respondent_id", *cols), {c: R.checkbox_flag for c in cols})
+
+
+def q_likert_columns(spark, sf_dir):
+    return likert_columns(fx.survey_wide(spark, sf_dir))
+
+
+def q_likert(spark, sf_dir):
+    df = fx.survey_wide(spark, sf_dir)
+    chosen = [r[0] for r in likert_columns(df).where("is_likert").select("column_name").collect()]
+    return df.select("respondent_id", *[R.likert_score(F.col(c)).alias(c) for c in sorted(chosen)])
+
+
+def q_value_counts(spark, sf_dir):
+    df = fx.survey_wide(spark, sf_dir)
+    recoded = df.select(R.gender(F.col("q_gender")).alias("q_gender"),
+                        R.speed_score(F.col("q_drinks_speed"), config.DRINKS_ORDER_MAP).alias("q_drinks_speed"))
+    return value_counts(recoded, ["q_gender", "q_drinks_speed"])
+
+
+def q_nan_to_null(spark, sf_dir):
+    return rc.apply(fx.survey_wide(spark, sf_dir), "q_number", R.nan_to_null)
+
+
+def q_spend(spark, sf_dir):
+    df = fx.raw_text(spark, sf_dir)
+    cols = rc.spend_columns(df)
+    return rc.replace_columns(df.select("respondent_id", *cols), {c: R.spend_amount for c in cols})
+
+
+def q_arrival_time(spark, sf_dir):
+    df = fx.raw_text(spark, sf_dir)
+    cols = rc.time_columns(df)
+    return rc.replace_columns(df.select("respondent_id", *cols), {c: R.arrival_time for c in cols})
+
+
+def q_parse_dates(spark, sf_dir):
+    return rc.apply(fx.raw_text(spark, sf_dir), "date_of_visit", R.day_first_date)
+
+
+def q_guests(spark, sf_dir):
+    return rc.apply(fx.raw_text(spark, sf_dir), "number_of_guests", R.guest_count)
+
+
+# --- files and headers (FX8) --------------------------------------------------
+
+def q_path_columns(spark, sf_dir):
+    f = fx.survey_files(spark, sf_dir)
+    return f.select("file_id", "path",
+                    T_.path_parent_name("path").alias("client_name"),
+                    T_.venue_from_stem(T_.path_stem("path")).alias("venue_name"),
+                    T_.table_name_for(T_.path_parent_name("path")).alias("table_name"))
+
+
+def q_flatten_header(spark, sf_dir):
+    return H.flatten(fx.survey_headers(spark, sf_dir)).select("file_id", "col_ord", "header")
+
+
+def q_drop_footer(spark, sf_dir):
+    return H.drop_footer(H.flatten(fx.survey_headers(spark, sf_dir))).select("file_id", "col_ord", "header")
+
+
+def q_clean_identifier(spark, sf_dir):
+    hdr = H.with_identifiers(H.flatten(fx.survey_headers(spark, sf_dir)))
+    return hdr.select("file_id", "col_ord", "header", "identifier")
+
+
+def q_unique_identifiers(spark, sf_dir):
+    d = H.header_dictionary(fx.survey_headers(spark, sf_dir))
+    return d.select("file_id", "col_ord", "identifier", "unique_name")
+
+
+def q_table_profile(spark, sf_dir):
+    return name_profile(H.header_dictionary(fx.survey_headers(spark, sf_dir)))
+
+
+# --- master assembly (FX1) ----------------------------------------------------
+
+def q_outer_union(spark, sf_dir):
+    v = fx.fx_visit(spark, sf_dir)
+    first = F.substring("visit_type", 1, 1)
+    frames = [
+        v.where(first.isin("1", "2")).select("respondent_id", "client_name", "venue_name", "visit_type"),
+        v.where(first == "3").select("respondent_id", "client_name", "assessor_id", "visit_date_raw"),
+        v.where(F.coalesce(~first.isin("1", "2", "3"), F.lit(True))).select("client_name", "respondent_id", "venue_name",
+                                                   "visit_date_raw", "assessor_id"),
+    ]
+    return outer_union(frames)
+
+
+def q_client_ids(spark, sf_dir):
+    return M.with_client_ids(fx.fx_visit(spark, sf_dir))
+
+
 QUERIES = {
     "section_union": q_section_union,
     "total_score": q_total_score,
@@ -84,10 +206,31 @@ QUERIES = {
     "staff_behaviour": q_staff_behaviour,
     "comments": q_comments,
     "staff_words": q_staff_words,
+    "recommendation": q_recommendation,
+    "speed": q_speed,
+    "gender": q_gender,
+    "staff_binary": q_staff_binary,
+    "likert_columns": q_likert_columns,
+    "likert": q_likert,
+    "value_counts": q_value_counts,
+    "nan_to_null": q_nan_to_null,
+    "spend": q_spend,
+    "arrival_time": q_arrival_time,
+    "parse_dates": q_parse_dates,
+    "guests": q_guests,
+    "path_columns": q_path_columns,
+    "flatten_header": q_flatten_header,
+    "drop_footer": q_drop_footer,
+    "clean_identifier": q_clean_identifier,
+    "unique_identifiers": q_unique_identifiers,
+    "table_profile": q_table_profile,
+    "outer_union": q_outer_union,
+    "client_ids": q_client_ids,
 }
 
 
 def oracle_queries() -> dict[str, str]:
     out = {}
     out.update(oracle.view_queries())
+    out.update(oracle_more.queries())
     return {k: v for k, v in out.items() if k in QUERIES}
