@@ -123,3 +123,14 @@ def test_staff_behaviour_numeric_filter(spark):
                                KEYS + ", staff_warmth_score string")
     out = {r.respondent_id: r.score for r in views.staff_behaviour_view(df).collect()}
     assert out == {"0": 100.0, "1": 100.0, "6": 66.67}
+
+
+def test_section_union_paths_agree(spark):
+    rows = [("c", "V (1)", i, f"{i}.0", "t", f"0{i}/03/2024", 10.0 * i, None, 3.0, 5.5) for i in range(1, 6)]
+    w = wide(spark, rows)
+    from visitlens.config import SECTION_COLUMNS
+    sections = {s: w.select(*KEYS_LIST, total) for s, (total, _c) in SECTION_COLUMNS.items()}
+    key = lambda r: tuple((x is None, x) for x in r)
+    a = sorted(scoring.section_union(sections).collect(), key=key)
+    b = sorted(scoring.section_union_wide(w).collect(), key=key)
+    assert a == b and len(a) == 20

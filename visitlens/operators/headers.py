@@ -33,16 +33,15 @@ def flatten(headers: DataFrame) -> DataFrame:
 def drop_footer(headers: DataFrame, file_col: str = FILE) -> DataFrame:
     """Remove each file's last column when its header is a submit/review footer.
 
-    The last header per file comes from a partial+final aggregate
-    (``max_by``), then an anti join removes the footer cells.
+    The last column and its header come from window aggregates over the
+    file (``max`` and ``max_by``), so the dictionary is shuffled once, by file,
+    and later per-file steps reuse that partitioning.
     """
-    last = (headers.groupBy(file_col)
-                   .agg(F.max(ORD).alias("_last_ord"),
-                        F.max_by("header", ORD).alias("_last_header"))
-                   .where(is_footer_header(F.col("_last_header")))
-                   .select(F.col(file_col).alias("_f"), F.col("_last_ord")))
-    cond = (F.col(file_col) == F.col("_f")) & (F.col(ORD) == F.col("_last_ord"))
-    return headers.join(last, on=cond, how="left_anti")
+    w = Window.partitionBy(file_col)
+    last_ord = F.max(ORD).over(w)
+    last_header = F.max_by("header", ORD).over(w)
+    is_footer = (F.col(ORD) == last_ord) & is_footer_header(last_header)
+    return headers.withColumn("_footer", is_footer).where(~F.col("_footer")).drop("_footer")
 
 
 def with_identifiers(headers: DataFrame) -> DataFrame:
@@ -97,26 +96,24 @@ def unique_names(headers: DataFrame, file_col: str = FILE,
     whole fits, skipping any suffixed name already in use (``a, A, a 1`` ->
     ``a, a_1, a_1_1``).
 
-    Plan: the closed form (window ``row_number`` per file and name) is exact
-    unless a generated name collides with another name of the same file.
-    Those few files are found with an aggregate and a semi join and are
-    renamed by the sequential rule in ``applyInPandas``, one file per group
-    (bounded by the file's column count).
+    Plan: the closed form (``row_number`` per file and name) equals the
+    sequential rule exactly when its output names are distinct within the
+    file (every candidate is the output of its first use, so any collision
+    with a generated name shows up as a repeated output). Files with a
+    repeated output are renamed by the sequential rule in ``applyInPandas``,
+    one file per group (bounded by the file's column count). All windows and
+    the grouped step are keyed by file, so one shuffle by file serves them
+    all.
     """
     closed = _closed_form(headers, file_col, max_len)
-    dup_files = (closed.groupBy(file_col, "unique_name").count().where(F.col("count") > 1)
-                       .select(file_col))
-    generated = closed.where(F.col("_k") > 0).select(file_col, F.col("unique_name").alias("_n"))
-    cands = closed.select(F.col(file_col).alias("_cf"), F.col("_cand").alias("_n2"))
-    clash_files = (generated.join(cands, (F.col(file_col) == F.col("_cf")) & (F.col("_n") == F.col("_n2")),
-                                  "left_semi").select(file_col))
-    bad = dup_files.unionByName(clash_files).distinct().withColumnRenamed(file_col, "_bad")
+    dup = F.count(F.lit(1)).over(Window.partitionBy(file_col, "unique_name")) > 1
+    closed = closed.withColumn("_dup", dup)
+    closed = closed.withColumn("_bad", F.max("_dup").over(Window.partitionBy(file_col)))
     base_cols = headers.columns
-    good = (closed.join(bad, F.col(file_col) == F.col("_bad"), "left_anti")
-                  .select(*base_cols, "unique_name"))
-    redo = headers.join(bad, F.col(file_col) == F.col("_bad"), "left_semi")
+    good = closed.where(~F.col("_bad")).select(*base_cols, "unique_name")
     schema = T.StructType(list(headers.schema.fields) + [T.StructField("unique_name", T.StringType())])
-    fixed = redo.groupBy(file_col).applyInPandas(_exact_group(max_len), schema)
+    fixed = (closed.where(F.col("_bad")).select(*base_cols)
+                   .groupBy(file_col).applyInPandas(_exact_group(max_len), schema))
     return good.unionByName(fixed)
 
 

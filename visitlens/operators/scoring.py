@@ -43,6 +43,20 @@ def section_union(sections: dict[str, DataFrame]) -> DataFrame:
                                        for c in SECTION_TOTALS])
 
 
+def section_union_wide(wide: DataFrame) -> DataFrame:
+    """``section_union`` of the four sections held by one wide frame.
+
+    One scan and one ``Generate``: each input row yields four rows, each
+    carrying one section's score and nulls for the other three.
+    """
+    nul = F.lit(None).cast("double")
+    rows = []
+    for i, total in enumerate(SECTION_TOTALS):
+        rows.append(F.struct(*[(F.col(t).cast("double") if j == i else nul).alias(t)
+                               for j, t in enumerate(SECTION_TOTALS)]))
+    return wide.select(*_keys_as_text(wide), F.inline(F.array(*rows)))
+
+
 def wide_scores(wide: DataFrame) -> DataFrame:
     """Visit keys + the four section scores from one wide frame.
 

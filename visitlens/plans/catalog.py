@@ -27,8 +27,8 @@ def _scores(spark, sf_dir):
 
 
 def q_section_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from visitlens.operators.scoring import section_union
-    return section_union(fx.section_views(spark, sf_dir))
+    from visitlens.operators.scoring import section_union_wide
+    return section_union_wide(_scores(spark, sf_dir))
 
 
 def q_total_score(spark, sf_dir):
