@@ -46,7 +46,9 @@ def pivot_master(cells: DataFrame, dictionary: DataFrame, files: DataFrame) -> D
     larger than one row's cells.
     """
     named = cells.join(dictionary.select("file_id", "col_ord", "unique_name"), ["file_id", "col_ord"])
-    names = [r[0] for r in dictionary.select("unique_name").distinct().orderBy("unique_name").collect()]
+    # metadata only: one row per distinct column name, in first-seen column order
+    first = dictionary.groupBy("unique_name").agg(F.min("col_ord").alias("_first"))
+    names = [r[0] for r in first.orderBy("_first", "unique_name").collect()]
     wide = (named.groupBy("file_id", "row_id").pivot("unique_name", names)
                  .agg(F.first("value", ignorenulls=True)))
     out = wide.join(files.select("file_id", "client_name", "venue_name"), "file_id")

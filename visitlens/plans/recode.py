@@ -20,7 +20,8 @@ def _canon(name: str) -> str:
     import re
     c = re.sub(r"[^a-z0-9]+", "_", name.strip().lower())
     c = re.sub(r"_+", "_", c).strip("_")
-    return "col_" + c if re.match(r"^[0-9]", c) else c
+    c = "col_" + c if re.match(r"^[0-9]", c) else c
+    return c[:config.MAX_IDENTIFIER_LEN]
 
 
 def _named(df: DataFrame, raw_names) -> list[str]:
