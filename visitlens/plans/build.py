@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from visitlens.operators.headers import header_dictionary
 from visitlens.plans import master as M
 from visitlens.plans.recode import recode_survey
+from visitlens.session import ensure_checkpoint_dir
 from visitlens.sources import ingest as I
 
 
@@ -30,7 +31,12 @@ class Masters:
 def build_masters(spark: SparkSession, root: str, recode: bool = True,
                   likert: list[str] | None = None) -> Masters:
     files = I.list_files(spark, root)
-    cells, quarantine = I.split_errors(I.decode_cells(files))
+    # Decoding (Python, per file) is the costly step and its cells feed the
+    # header dictionary, the pivot and the quarantine: decode once and cut
+    # the lineage with a reliable checkpoint in the cluster's checkpoint dir.
+    ensure_checkpoint_dir(spark)
+    decoded = I.decode_cells(files).checkpoint(eager=True)
+    cells, quarantine = I.split_errors(decoded)
     dictionary = header_dictionary(I.header_cells(cells))
     wide = M.pivot_master(I.data_cells(cells), dictionary, I.file_table(cells))
     wide = wide.drop("file_id", "row_id")

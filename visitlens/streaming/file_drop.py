@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,13 +26,15 @@ BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length long, con
 
 def _ingest_batch(out_path: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        cells, quarantine = I.split_errors(I.decode_cells(batch))
+        decoded = I.decode_cells(batch).persist(StorageLevel.MEMORY_AND_DISK)  # decode once per batch
+        cells, quarantine = I.split_errors(decoded)
         dictionary = header_dictionary(I.header_cells(cells))
         wide = M.pivot_master(I.data_cells(cells), dictionary, I.file_table(cells))
         wide = wide.withColumn("ingest_epoch", F.lit(epoch_id))
         (wide.write.mode("append").option("mergeSchema", "true")
              .partitionBy("client_name").parquet(os.path.join(out_path, "masters")))
         quarantine.write.mode("append").parquet(os.path.join(out_path, "quarantine"))
+        decoded.unpersist()
     return run
 
 
