@@ -104,15 +104,17 @@ def day_first_date(c) -> Column:
 def guarded_visit_date(c) -> Column:
     """``dd/mm/yyyy`` text -> date, only for years 2000-2100, else null.
 
-    Impossible calendar days (31/02) give null instead of an error.
+    Impossible calendar days (31/02) give null instead of an error. Once the
+    text has the ``dd/dd/dddd`` shape its parts sit at fixed positions, so
+    they are read with ``substring`` (the guard runs first, inside the CASE).
     """
     s = col_(c).cast("string")
-    part = lambda i: F.split_part(s, F.lit("/"), F.lit(i)).try_cast("int")
-    guard = (s.rlike(r"\A\d{2}/\d{2}/\d{4}\z")
-             & part(3).between(2000, 2100)
-             & part(1).between(1, 31)
-             & part(2).between(1, 12))
-    return F.when(guard, F.try_to_date(s, "dd/MM/yyyy"))
+    day = F.substring(s, 1, 2).cast("int")
+    month = F.substring(s, 4, 2).cast("int")
+    year = F.substring(s, 7, 4).cast("int")
+    in_range = F.when(s.rlike(r"\A\d{2}/\d{2}/\d{4}\z"),
+                      year.between(2000, 2100) & day.between(1, 31) & month.between(1, 12))
+    return F.when(in_range, F.try_to_date(s, "dd/MM/yyyy"))
 
 
 def guest_count(c) -> Column:

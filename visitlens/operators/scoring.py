@@ -105,11 +105,23 @@ def visit_scores(all_scores: DataFrame, keep_raw_assessor: bool = False) -> Data
 
 
 def report_filter(scored: DataFrame) -> DataFrame:
-    """Visits on or after the date floor whose venue is not a report/shop/sales entry."""
-    cond = F.col("visit_date") >= F.lit(config.VISIT_DATE_FLOOR).cast("date")
-    for word in config.EXCLUDED_VENUE_WORDS:
-        cond = cond & ~F.col("venue_name").ilike(f"%{word}%")
-    return scored.where(cond)
+    """Visits on or after the date floor whose venue is not a report/shop/sales entry.
+
+    Written on the raw date text and the lower-cased venue, each read once:
+    ``visit_date >= floor`` holds exactly when the text has the dd/mm/yyyy
+    shape and parses to a day between the floor and the last accepted year
+    (the floor is past 2000, so the lower year bound is implied), and the
+    three case-insensitive ``LIKE '%word%'`` tests are one search of the
+    lower-cased name. Catalyst pushes this filter below the aggregate into
+    the source scan, where every extra copy of an input expression costs.
+    """
+    raw = F.col("visit_date_raw")
+    parsed = F.try_to_date(raw, "dd/MM/yyyy")
+    date_ok = (raw.rlike(r"\A\d{2}/\d{2}/\d{4}\z")
+               & parsed.between(F.lit(config.VISIT_DATE_FLOOR).cast("date"), F.lit("2100-12-31").cast("date")))
+    words = "|".join(config.EXCLUDED_VENUE_WORDS)
+    venue_ok = ~F.lower(F.col("venue_name")).rlike(words)
+    return scored.where(date_ok & venue_ok)
 
 
 def total_score(all_scores: DataFrame, keep_raw_assessor: bool = False) -> DataFrame:

@@ -25,6 +25,10 @@ _BASE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # let the JIT compile large generated methods (wide survey projections
+    # otherwise run interpreted once a stage's method passes 8000 bytes)
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
