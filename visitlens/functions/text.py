@@ -78,18 +78,28 @@ def path_stem(path) -> Column:
     return F.regexp_replace(path_basename(path), r"^(.*[^.].*)\.[^.]*$", "$1")
 
 
-def clean_identifier(c, col_prefix: bool = True) -> Column:
+def clean_identifier(c, col_prefix: bool = True, keep_underscore: bool = False,
+                     max_len: int | None = None) -> Column:
     """Database-safe identifier from a header text.
 
-    lower, every run of characters outside ``[a-z0-9]`` becomes one ``_``,
-    outer ``_`` removed, and ``col_`` put before a leading digit.
+    lower, every run of characters outside ``[a-z0-9]`` becomes one ``_``
+    (runs cannot repeat ``_``, so no second squeeze is needed), outer ``_``
+    removed, and ``col_`` put before a leading digit. ``keep_underscore``
+    treats ``_`` as a kept character (runs of ``_`` are then squeezed);
+    ``max_len`` cuts the result.
     """
     x = F.lower(col_(c).cast("string"))
-    x = F.regexp_replace(x, r"[^a-z0-9]+", "_")
-    x = F.regexp_replace(x, r"_+", "_")
-    x = F.regexp_replace(x, r"^_+|_+$", "")
+    if keep_underscore:
+        x = F.regexp_replace(F.regexp_replace(x, r"[^a-z0-9_]+", "_"), r"_{2,}", "_")
+        x = F.regexp_replace(x, r"^_+|_+$", "")
+    else:
+        x = F.regexp_replace(x, r"[^a-z0-9]+", "_")
+        x = F.regexp_replace(x, r"^_|_$", "")
     if col_prefix:
-        x = F.when(x.rlike(r"^[0-9]"), F.concat(F.lit("col_"), x)).otherwise(x)
+        first = F.substring(x, 1, 1)
+        x = F.when((first >= "0") & (first <= "9"), F.concat(F.lit("col_"), x)).otherwise(x)
+    if max_len:
+        x = F.substring(x, 1, max_len)
     return x
 
 

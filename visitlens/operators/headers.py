@@ -49,18 +49,37 @@ def with_identifiers(headers: DataFrame) -> DataFrame:
     return headers.withColumn("identifier", clean_identifier(F.col("header")))
 
 
-def _closed_form(headers: DataFrame, file_col: str, max_len: int) -> DataFrame:
-    """First use keeps the (cut) name; the k-th repeat becomes ``name[:max-len(_k)]_k``."""
-    cand = F.substring("identifier", 1, max_len)
+def _closed_form(headers: DataFrame, file_col: str, max_len: int | None, base_len: int | None = None) -> DataFrame:
+    """First use keeps the (cut) name; the k-th repeat becomes ``name[:max-len(_k)]_k``.
+
+    With ``base_len`` the base is cut to that length and ``_k`` is appended
+    as is; with neither limit the name is never cut.
+    """
+    cut_to = base_len or max_len
+    cand = F.substring("identifier", 1, cut_to) if cut_to else F.col("identifier")
     w = Window.partitionBy(file_col, "_cand").orderBy(ORD)
     k = (F.row_number().over(w) - 1)
     out = headers.withColumn("_cand", cand).withColumn("_k", k)
     suffix = F.concat(F.lit("_"), F.col("_k").cast("string"))
-    cut = F.expr(f"substring(identifier, 1, {max_len} - length(concat('_', cast(_k as string))))")
+    if max_len and not base_len:
+        cut = F.expr(f"substring(identifier, 1, {max_len} - length(concat('_', cast(_k as string))))")
+    else:
+        cut = F.col("_cand")
     name = F.when(F.col("_k") == 0, F.col("_cand")).otherwise(F.concat(cut, suffix))
     return out.withColumn("unique_name", name)
 
 
+def simple_unique_names(headers: DataFrame, file_col: str = FILE, base_len: int | None = None) -> DataFrame:
+    """Repeats get ``_1``, ``_2``, ... without checking the result is free.
+
+    ``base_len=None``: names are never cut; ``base_len=55``: the base is cut
+    to 55 characters before the suffix. Kept for compatibility with older
+    table layouts; ``unique_names`` is the safe rule.
+    """
+    out = _closed_form(headers, file_col, None, base_len)
+    return out.drop("_cand", "_k")
+
+
 def _exact_group(max_len: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ORD)
