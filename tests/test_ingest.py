@@ -115,3 +115,11 @@ def test_streaming_ingest_available_now(spark):
     q.awaitTermination(120)
     got = spark.read.parquet(os.path.join(out, "masters"))
     assert got.where(F.col("respondent_id").isNotNull()).count() >= 3
+
+
+def test_prepare_for_sql(spark):
+    from visitlens.sinks.writers import prepare_for_sql
+    df = spark.createDataFrame([(1.0, float("nan"), "x", "y")], ["a", "A", "a 1", "3rd?"])
+    out = prepare_for_sql(df)
+    assert out.columns == ["a", "a_1", "a_1_1", "col_3rd"]
+    assert out.collect()[0].a_1 is None

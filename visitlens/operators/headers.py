@@ -80,28 +80,32 @@ def simple_unique_names(headers: DataFrame, file_col: str = FILE, base_len: int
     return out.drop("_cand", "_k")
 
 
-def _exact_group(max_len: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ORD)
-        seen: dict[str, int] = {}
-        names = []
-        for base in pdf["identifier"].fillna(""):
-            cand = base[:max_len]
-            if cand not in seen:
-                seen[cand] = 0
-                names.append(cand)
-                continue
+def unique_name_list(identifiers: list[str], max_len: int = config.MAX_IDENTIFIER_LEN) -> list[str]:
+    """The sequential uniqueness rule over one ordered list of identifiers."""
+    seen: dict[str, int] = {}
+    names = []
+    for base in identifiers:
+        cand = base[:max_len]
+        if cand not in seen:
+            seen[cand] = 0
+            names.append(cand)
+            continue
+        seen[cand] += 1
+        suffix = f"_{seen[cand]}"
+        new = base[:max_len - len(suffix)] + suffix
+        while new in seen:
             seen[cand] += 1
             suffix = f"_{seen[cand]}"
             new = base[:max_len - len(suffix)] + suffix
-            while new in seen:
-                seen[cand] += 1
-                suffix = f"_{seen[cand]}"
-                new = base[:max_len - len(suffix)] + suffix
-            seen[new] = 0
-            names.append(new)
-        pdf = pdf.copy()
-        pdf["unique_name"] = names
+        seen[new] = 0
+        names.append(new)
+    return names
+
+
+def _exact_group(max_len: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(ORD).copy()
+        pdf["unique_name"] = unique_name_list(list(pdf["identifier"].fillna("")), max_len)
         return pdf
     return run
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -28,6 +29,29 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
     w.saveAsTable(name)
 
 
+def prepare_for_sql(df: DataFrame) -> DataFrame:
+    """Database-ready frame: unique, safe, <= 63-character column names and
+    no floating NaN (NaN becomes NULL). Renaming uses the column list only.
+    """
+    import re
+
+    from visitlens.operators.headers import unique_name_list
+
+    def clean(name: str) -> str:
+        c = re.sub(r"[^a-z0-9]+", "_", str(name).strip().lower()).strip("_")
+        return "col_" + c if re.match(r"^[0-9]", c) else c
+
+    names = unique_name_list([clean(c) for c in df.columns])
+    renamed = df.toDF(*names)  # positional: source names may differ only by case
+    cols = []
+    for field in renamed.schema.fields:
+        c = F.col(field.name)
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            c = F.when(~F.isnan(c), c).alias(field.name)
+        cols.append(c)
+    return renamed.select(*cols)
+
+
 def sql_type(dt: T.DataType) -> str:
     """Database column type for a Spark type (integers, floats, timestamps, else text)."""
     if isinstance(dt, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
