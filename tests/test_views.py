@@ -134,3 +134,14 @@ def test_section_union_paths_agree(spark):
     a = sorted(scoring.section_union(sections).collect(), key=key)
     b = sorted(scoring.section_union_wide(w).collect(), key=key)
     assert a == b and len(a) == 20
+
+
+def test_unified_master_names_source_tables(spark):
+    df = spark.createDataFrame([("Client A", "V (1)", 1, "nice", "1"), ("client-b", "W", 2, "n/a", "Yes")],
+                               "client_name string, venue_name string, respondent_id bigint, "
+                               "welcome_comments string, "
+                               "thinking_about_the_staff_please_select_the_words_that_best_desc string")
+    c = views.comments_view(spark, df).collect()
+    assert [(r.source_table, r.comment_text) for r in c] == [("client_a_master", "nice")]
+    w = sorted((r.source_table, r.word_label) for r in views.staff_words_view(spark, df).collect())
+    assert w == [("client_a_master", "Adept"), ("client_b_master", "Adept")]

@@ -60,8 +60,9 @@ def total_score_view(scores) -> DataFrame:
 
 
 def _rank_order():
-    # date desc nulls last, respondent (as text) desc, then a fixed tie-break
-    return [F.col("visit_date").desc_nulls_last(), F.col("respondent_id").desc_nulls_last(),
+    # date desc nulls last, respondent (as text) desc with nulls first as in
+    # PostgreSQL, then a fixed tie-break
+    return [F.col("visit_date").desc_nulls_last(), F.col("respondent_id").desc_nulls_first(),
             F.col("venue_name_original").asc_nulls_first(), F.col("assessor_id").asc_nulls_first(),
             F.col("assessor_id_raw").asc_nulls_first(), F.col("visit_type").asc_nulls_first(),
             F.col("visit_date_raw").asc_nulls_first()]
@@ -167,40 +168,65 @@ WORD_SCHEMA = T.StructType([
     T.StructField("source_table", T.StringType())])
 
 
-def comments_view(spark: SparkSession, tables: dict, comment_map=None) -> DataFrame:
+def _sources(tables) -> list[tuple[object, DataFrame]]:
+    """``{name: frame}`` -> [(literal name, frame)]; one unified frame ->
+    [(per-row table name from its client, frame)]."""
+    from visitlens.functions.text import table_name_for
+    if isinstance(tables, DataFrame):
+        return [(table_name_for(F.col("client_name").cast("string")), tables)]
+    return [(F.lit(name), df) for name, df in tables.items()]
+
+
+def comments_view(spark: SparkSession, tables, comment_map=None) -> DataFrame:
     """Free-text comments of every mapped column present in each table.
 
-    Blank cells and 'no comment' tokens are dropped; the text is kept as is.
+    ``tables`` is ``{table name: frame}`` or one unified master of all
+    clients (then ``source_table`` is each client's table name and the whole
+    master is read in one scan). Blank cells and 'no comment' tokens are
+    dropped; the text is kept as is.
     """
     rows = comment_map or config.COMMENT_MAP
     m = map_frame(spark, rows, ["section", "comment_type", "column_name"])
     parts = []
-    for name, df in tables.items():
-        long = unpivot_mapped(df, _visit_columns(False, False), m, rows,
-                              keep=~is_null_token(F.col("_vl_value")))
+    for name, df in _sources(tables):
+        if isinstance(tables, DataFrame):
+            df = df.withColumn("_vl_source", name)
+            name = F.col("_vl_source")
+            ids = _visit_columns(False, False) + [name]
+        else:
+            ids = _visit_columns(False, False)
+        long = unpivot_mapped(df, ids, m, rows, keep=~is_null_token(F.col("_vl_value")))
         if long is None:
             continue
         parts.append(long.select("visit_id", "client_name", "venue_name", "respondent_id",
                                  "section", "comment_type", F.col("_vl_value").alias("comment_text"),
-                                 F.lit(name).alias("source_table")))
+                                 name.alias("source_table")))
     if not parts:
         return spark.createDataFrame([], COMMENT_SCHEMA)
     return union_all(parts)
 
 
-def staff_words_view(spark: SparkSession, tables: dict, word_map=None) -> DataFrame:
-    """One row per selected checkbox word (value 1 / true / yes)."""
+def staff_words_view(spark: SparkSession, tables, word_map=None) -> DataFrame:
+    """One row per selected checkbox word (value 1 / true / yes).
+
+    ``tables`` as in ``comments_view``.
+    """
     rows = word_map or config.WORD_MAP
     m = map_frame(spark, rows, ["word_group", "word_label", "column_name"])
     parts = []
-    for name, df in tables.items():
-        long = unpivot_mapped(df, _visit_columns(False, False), m, rows,
-                              keep=is_truthy(F.col("_vl_value")))
+    for name, df in _sources(tables):
+        if isinstance(tables, DataFrame):
+            df = df.withColumn("_vl_source", name)
+            name = F.col("_vl_source")
+            ids = _visit_columns(False, False) + [name]
+        else:
+            ids = _visit_columns(False, False)
+        long = unpivot_mapped(df, ids, m, rows, keep=is_truthy(F.col("_vl_value")))
         if long is None:
             continue
         parts.append(long.select("visit_id", "client_name", "venue_name", "respondent_id",
                                  "word_group", "word_label", F.lit(1).alias("selected_flag"),
-                                 F.lit(name).alias("source_table")))
+                                 name.alias("source_table")))
     if not parts:
         return spark.createDataFrame([], WORD_SCHEMA)
     return union_all(parts)
