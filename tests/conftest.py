@@ -13,6 +13,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("local[4]", shuffle_partitions=8, app_name="visitlens-tests")
+    import tempfile
+    wh = tempfile.mkdtemp(prefix="visitlens-warehouse-")
+    s = get_spark("local[4]", shuffle_partitions=8, app_name="visitlens-tests",
+                  extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()

@@ -123,3 +123,25 @@ def test_prepare_for_sql(spark):
     out = prepare_for_sql(df)
     assert out.columns == ["a", "a_1", "a_1_1", "col_3rd"]
     assert out.collect()[0].a_1 is None
+
+
+def test_save_table_refresh_and_append(spark):
+    from visitlens.sinks.writers import save_table
+    df = spark.createDataFrame([(1, "a")], "id long, v string")
+    save_table(df, "vl_t_refresh")
+    save_table(df, "vl_t_refresh", mode="append")
+    assert spark.table("vl_t_refresh").count() == 2
+    save_table(df.withColumn("extra", F.lit(1.5)), "vl_t_refresh")  # full refresh, new schema
+    t = spark.table("vl_t_refresh")
+    assert t.count() == 1 and "extra" in t.columns
+
+
+def test_register_views_in_order(spark):
+    from conftest import SF_SMALL
+    from visitlens.plans.views import VIEW_NAMES, register_views
+    from visitlens.sources import fixtures as fx
+    names = register_views(spark, fx.section_scores_wide(spark, SF_SMALL), fx.feedback_service(spark, SF_SMALL),
+                           {"fx_comment_master": fx.comment_master(spark, SF_SMALL)})
+    assert names == VIEW_NAMES
+    assert spark.table("vw_report_base_powerbi").count() == spark.table("vw_powerbi_master_final").count()
+    assert spark.sql("select count(*) from vw_staff_service_words_powerbi").collect()[0][0] == 0
