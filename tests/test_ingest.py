@@ -93,7 +93,8 @@ def test_write_masters_and_status(spark):
     m = build_masters(spark, root, likert=[])
     out = tempfile.mkdtemp(prefix="visitlens-out-")
     write_client_masters(m.masters, os.path.join(out, "masters"))
-    back = spark.read.parquet(os.path.join(out, "masters"))
+    from visitlens.sources.catalog import read_client_masters
+    back = read_client_masters(spark, os.path.join(out, "masters"))
     assert back.count() == 3
     # rewriting one client only touches its partition
     write_client_masters(m.masters.where(F.col("client_name") == "client_b"), os.path.join(out, "masters"))

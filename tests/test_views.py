@@ -145,3 +145,16 @@ def test_unified_master_names_source_tables(spark):
     assert [(r.source_table, r.comment_text) for r in c] == [("client_a_master", "nice")]
     w = sorted((r.source_table, r.word_label) for r in views.staff_words_view(spark, df).collect())
     assert w == [("client_a_master", "Adept"), ("client_b_master", "Adept")]
+
+
+def test_fixture_union_path_equals_wide_path(spark):
+    from conftest import SF_SMALL
+    from visitlens.sources import fixtures as fx
+    wide = fx.section_scores_wide(spark, SF_SMALL)
+    a = views.total_score_view(fx.section_views(spark, SF_SMALL, wide))
+    b = views.total_score_view(wide)
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    qa = views.question_scores_view(fx.section_views(spark, SF_SMALL, wide))
+    qb = views.question_scores_view(wide)
+    assert qa.exceptAll(qb).count() == 0 and qb.exceptAll(qa).count() == 0
