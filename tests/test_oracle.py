@@ -25,3 +25,21 @@ def test_queries_match_oracle(spark):
     res = check(spark, SF_SMALL)
     bad = {k: m for k, (ok, m) in res.items() if not ok}
     assert not bad, bad
+
+
+def test_column_types_match_oracle(spark):
+    import duckdb
+
+    from visitlens.sources.tables import STAR_TABLES
+    con = duckdb.connect()
+    for t in STAR_TABLES:
+        con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
+    names = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+             "date": "DATE", "boolean": "BOOLEAN"}
+    osql = E.oracle_sql()
+    for name, fn in E.queries().items():
+        s = {f.name: names.get(f.dataType.simpleString(), f.dataType.simpleString())
+             for f in fn(spark, SF_SMALL).schema.fields}
+        rel = con.sql(osql[name])
+        d = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        assert s == d, name
