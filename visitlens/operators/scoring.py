@@ -63,7 +63,10 @@ def wide_scores(wide: DataFrame) -> DataFrame:
     Equal to ``section_union`` when every section comes from the same
     source rows, but reads that source once.
     """
-    return wide.select(*_keys_as_text(wide), *[F.col(c).cast("double").alias(c) for c in SECTION_TOTALS])
+    # keys keep their source types here: grouping on them gives the same groups
+    # as grouping on their text (the cast is one-to-one), and a source already
+    # hash-partitioned by respondent keeps satisfying the aggregate, so no shuffle
+    return wide.select(*RAW_KEYS, *[F.col(c).cast("double").alias(c) for c in SECTION_TOTALS])
 
 
 def _round_dec(c: Column, scale: int) -> Column:
@@ -86,12 +89,13 @@ def visit_scores(all_scores: DataFrame, keep_raw_assessor: bool = False) -> Data
     g = all_scores.groupBy(*RAW_KEYS).agg(
         *[_round_dec(F.max(c), 1).alias(c) for c in SECTION_TOTALS])
     clean_v = clean_venue("venue_name")
+    resp = F.col("respondent_id").cast("string")
     cols = [
-        F.concat_ws("|", F.col("client_name"), clean_v, F.col("respondent_id")).alias("visit_id"),
+        F.concat_ws("|", F.col("client_name"), clean_v, resp).alias("visit_id"),
         F.col("client_name"),
         clean_v.alias("venue_name"),
         F.col("venue_name").alias("venue_name_original"),
-        F.col("respondent_id"),
+        resp.alias("respondent_id"),
         assessor_key("assessor_id").alias("assessor_id"),
         F.col("visit_type"),
         F.col("visit_date_raw"),
@@ -100,7 +104,7 @@ def visit_scores(all_scores: DataFrame, keep_raw_assessor: bool = False) -> Data
         null_skipping_mean([F.col(c) for c in SECTION_TOTALS], 1).alias("total_score"),
     ]
     if keep_raw_assessor:
-        cols.append(F.col("assessor_id").alias("assessor_id_raw"))
+        cols.append(F.col("assessor_id").cast("string").alias("assessor_id_raw"))
     return g.select(*cols)
 
 
