@@ -146,3 +146,13 @@ def test_register_views_in_order(spark):
     assert names == VIEW_NAMES
     assert spark.table("vw_report_base_powerbi").count() == spark.table("vw_powerbi_master_final").count()
     assert spark.sql("select count(*) from vw_staff_service_words_powerbi").collect()[0][0] == 0
+
+
+def test_write_client_tables(spark):
+    from visitlens.sinks.writers import save_table, write_client_tables
+    root = make_tree()
+    m = build_masters(spark, root, likert=[])
+    status = write_client_tables(spark, m.masters, lambda name, df: save_table(df, name))
+    assert sorted((r.table, r.ok) for r in status.collect()) == [("client_a_master", True),
+                                                                 ("client_b_master", True)]
+    assert spark.table("client_a_master").count() == 2

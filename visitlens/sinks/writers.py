@@ -104,3 +104,18 @@ def write_each(spark: SparkSession, tables: dict, writer) -> DataFrame:
         except Exception as e:  # noqa: BLE001 - per-table isolation
             rows.append((name, False, f"{type(e).__name__}: {e}"[:1000]))
     return spark.createDataFrame(rows, STATUS_SCHEMA)
+
+
+def write_client_tables(spark: SparkSession, masters: DataFrame, writer,
+                        client_col: str = "client_name") -> DataFrame:
+    """Load each client's master as its own table (``<client>_master``).
+
+    Client names are metadata (one row per client); each table is written
+    by its own distributed job over the client's rows, after names are made
+    database-safe (``prepare_for_sql``). Returns the per-table status frame.
+    """
+    from visitlens.functions.text import table_name_for
+    names = (masters.select(client_col).distinct()
+                    .select(F.col(client_col), table_name_for(F.col(client_col)).alias("t")).collect())
+    tables = {r["t"]: prepare_for_sql(masters.where(F.col(client_col) == r[client_col])) for r in names}
+    return write_each(spark, tables, writer)
