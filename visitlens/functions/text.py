@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from visitlens import config
 
-# Characters Python's ``str.strip()`` removes: ASCII whitespace, the
-# information separators 0x1c-0x1f, NEL and every Unicode space separator.
-# Spark's ``trim`` only removes the space character, so recoders that follow
-# Python semantics use ``py_strip``.
-_PY_WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
-_PY_STRIP_RE = rf"^{_PY_WS}+|{_PY_WS}+$"
+# Characters Python's ``str.strip()`` removes (those with ``str.isspace()``):
+# ASCII whitespace, the separators 0x1c-0x1f, NEL and the Unicode spaces.
+# Spark's one-argument ``trim`` only removes the space character, so steps
+# that follow Python semantics use ``py_strip``: ``btrim`` with this set, a
+# plain character scan at both ends (no regular expression).
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 VENUE_SUFFIX_RE = r"\s*\(\d+\)\z"
 
@@ -27,7 +27,7 @@ def col_(c) -> Column:
 
 def py_strip(c) -> Column:
     """Python ``str.strip()`` on a string column (null stays null)."""
-    return F.regexp_replace(col_(c), _PY_STRIP_RE, "")
+    return F.btrim(col_(c), F.lit(PY_WHITESPACE))
 
 
 def clean_text(c) -> Column:
@@ -93,8 +93,7 @@ def clean_identifier(c, col_prefix: bool = True, keep_underscore: bool = False,
         x = F.regexp_replace(F.regexp_replace(x, r"[^a-z0-9_]+", "_"), r"_{2,}", "_")
         x = F.regexp_replace(x, r"^_+|_+$", "")
     else:
-        x = F.regexp_replace(x, r"[^a-z0-9]+", "_")
-        x = F.regexp_replace(x, r"^_|_$", "")
+        x = F.btrim(F.regexp_replace(x, r"[^a-z0-9]+", "_"), F.lit("_"))
     if col_prefix:
         first = F.substring(x, 1, 1)
         x = F.when((first >= "0") & (first <= "9"), F.concat(F.lit("col_"), x)).otherwise(x)
