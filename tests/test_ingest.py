@@ -114,7 +114,7 @@ def test_streaming_ingest_available_now(spark):
     out = tempfile.mkdtemp(prefix="visitlens-stream-")
     q = start(spark, root, out, available_now=True, query_name=f"t{os.getpid()}")
     q.awaitTermination(120)
-    got = spark.read.parquet(os.path.join(out, "masters"))
+    got = spark.read.option("mergeSchema", "true").parquet(os.path.join(out, "masters"))
     assert got.where(F.col("respondent_id").isNotNull()).count() >= 3
 
 

@@ -14,7 +14,6 @@ import os
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from visitlens.operators.headers import header_dictionary
 from visitlens.plans import master as M
@@ -30,10 +29,12 @@ def _ingest_batch(out_path: str):
         cells, quarantine = I.split_errors(decoded)
         dictionary = header_dictionary(I.header_cells(cells))
         wide = M.pivot_master(I.data_cells(cells), dictionary, I.file_table(cells))
-        wide = wide.withColumn("ingest_epoch", F.lit(epoch_id))
-        (wide.write.mode("append").option("mergeSchema", "true")
-             .partitionBy("client_name").parquet(os.path.join(out_path, "masters")))
-        quarantine.write.mode("append").parquet(os.path.join(out_path, "quarantine"))
+        # Each micro-batch owns one output folder, overwritten on a retry, so
+        # a batch replayed after a failure is written once (idempotent sink).
+        epoch_dir = f"ingest_epoch={epoch_id}"
+        (wide.write.mode("overwrite").partitionBy("client_name")
+             .parquet(os.path.join(out_path, "masters", epoch_dir)))
+        quarantine.write.mode("overwrite").parquet(os.path.join(out_path, "quarantine", epoch_dir))
         decoded.unpersist()
     return run
 
