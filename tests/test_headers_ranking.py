@@ -13,20 +13,17 @@ from visitlens.plans.master import client_dimension
 
 
 def seq_unique(names, max_len=63):
-    seen, out = {}, []
+    """Brute force: each name takes the first free candidate in its series."""
+    out, tried = [], {}
     for base in names:
-        cand = base[:max_len]
-        if cand not in seen:
-            seen[cand] = 0
-            out.append(cand)
-            continue
-        seen[cand] += 1
-        new = base[:max_len - len(f"_{seen[cand]}")] + f"_{seen[cand]}"
-        while new in seen:
-            seen[cand] += 1
-            new = base[:max_len - len(f"_{seen[cand]}")] + f"_{seen[cand]}"
-        seen[new] = 0
-        out.append(new)
+        series = [base[:max_len]] + [base[:max_len - len(f"_{k}")] + f"_{k}" for k in range(1, 200)]
+        start = tried.get(series[0], -1) + 1 if series[0] in out else 0
+        for k in range(start, len(series)):
+            if series[k] not in out:
+                out.append(series[k])
+                if k:
+                    tried[series[0]] = k
+                break
     return out
 
 

@@ -81,25 +81,31 @@ def simple_unique_names(headers: DataFrame, file_col: str = FILE, base_len: int
 
 
 def unique_name_list(identifiers: list[str], max_len: int = config.MAX_IDENTIFIER_LEN) -> list[str]:
-    """The sequential uniqueness rule over one ordered list of identifiers."""
-    seen: dict[str, int] = {}
-    names = []
-    for base in identifiers:
-        cand = base[:max_len]
-        if cand not in seen:
-            seen[cand] = 0
-            names.append(cand)
+    """The sequential uniqueness rule over one ordered list of identifiers.
+
+    ``used`` maps every name handed out so far to the last suffix number
+    tried for it. A name whose first choice is taken searches upward from
+    that number for the first free ``<base cut>_<k>``.
+    """
+    used: dict[str, int] = {}
+    out = []
+    for ident in identifiers:
+        first = ident[:max_len]
+        if first not in used:
+            used[first] = 0
+            out.append(first)
             continue
-        seen[cand] += 1
-        suffix = f"_{seen[cand]}"
-        new = base[:max_len - len(suffix)] + suffix
-        while new in seen:
-            seen[cand] += 1
-            suffix = f"_{seen[cand]}"
-            new = base[:max_len - len(suffix)] + suffix
-        seen[new] = 0
-        names.append(new)
-    return names
+        k = used[first]
+        while True:
+            k += 1
+            tail = f"_{k}"
+            name = ident[:max_len - len(tail)] + tail
+            if name not in used:
+                break
+        used[first] = k
+        used[name] = 0
+        out.append(name)
+    return out
 
 
 def _exact_group(max_len: int):
