@@ -158,3 +158,20 @@ def test_fixture_union_path_equals_wide_path(spark):
     qa = views.question_scores_view(fx.section_views(spark, SF_SMALL, wide))
     qb = views.question_scores_view(wide)
     assert qa.exceptAll(qb).count() == 0 and qb.exceptAll(qa).count() == 0
+
+
+def test_section_builder_feeds_reports(spark):
+    df = spark.createDataFrame(
+        [("c", "V (1)", 1, "1.0", "t", "05/03/2024", 3.0, 2.0, None, 0.0),
+         ("c", "V (2)", 2, "2.0", "t", "06/03/2024", None, None, None, None)],
+        KEYS + ", q1 double, q2 double, q3 double, q4 double")
+    spec = {"service_score": {"service_arrival_score": ["q1", "q2"], "service_timing_score": ["q3"]},
+            "selling_score": {"selling_written_score": ["q4"]},
+            "product_score": {}, "environment_score": {}}
+    wide = scoring.build_section_scores(df, spec)
+    r = {x.respondent_id: x for x in wide.collect()}
+    assert abs(r[1].service_arrival_score - 250 / 3) < 1e-9 and r[1].service_timing_score is None
+    assert abs(r[1].service_score - 250 / 3) < 1e-9 and r[1].selling_score == 0.0
+    assert r[2].service_score is None
+    totals = {x.respondent_id: x.total_score for x in views.total_score_view(wide).collect()}
+    assert totals == {"1": 41.7, "2": None}

@@ -156,3 +156,33 @@ def visit_group(rank: Column) -> Column:
     return (F.when(rank == config.LATEST_RANK, F.lit(config.VISIT_GROUP_LATEST))
              .when(rank.between(lo, hi), F.lit(config.VISIT_GROUP_PREVIOUS))
              .otherwise(F.lit(config.VISIT_GROUP_OLDER)))
+
+
+def row_mean(cols: list[Column]) -> Column:
+    """Mean of the non-null values in a row (null when all are null), as double."""
+    total = reduce(lambda a, b: a + b, [F.coalesce(c.cast("double"), F.lit(0.0)) for c in cols])
+    present = reduce(lambda a, b: a + b, [F.when(c.isNotNull(), 1).otherwise(0) for c in cols])
+    return total / F.nullif(present, F.lit(0))
+
+
+def build_section_scores(master: DataFrame, spec: dict, keys: list[str] | None = None) -> DataFrame:
+    """Section score frame from recoded Likert answers (0-3).
+
+    ``spec`` is ``{section score column: {category column: [Likert columns]}}``.
+    A category is the mean of its answered Likert columns rescaled to 0-100;
+    a section is the mean of its scored categories. Missing answers are
+    skipped, so a visit that skipped a part is scored on the rest. (The
+    source reports read such section views but do not define them; this is
+    the builder's documented rule.) One projection, no shuffle.
+    """
+    keys = keys or [k for k in RAW_KEYS if k in master.columns]
+    out = [F.col(k) for k in keys]
+    for section_col, categories in spec.items():
+        cat_cols = []
+        for cat_col, likert_cols in categories.items():
+            c = (row_mean([F.col(x) for x in likert_cols]) / F.lit(float(config.STAFF_SCALE_MAX)) * 100)
+            out.append(c.alias(cat_col))
+            cat_cols.append(c)
+        section = row_mean(cat_cols) if cat_cols else F.lit(None).cast("double")
+        out.append(section.alias(section_col))
+    return master.select(*out)

@@ -170,6 +170,21 @@ def q_unique_identifiers(spark, sf_dir):
     return d.select("file_id", "col_ord", "identifier", "unique_name")
 
 
+SECTION_SPEC = {"service_score": {"service_arrival_score": ["q_clean", "q_only_na"]},
+                "selling_score": {"selling_verbal_score": ["q_recommend_score"]}}
+
+
+def q_section_builder(spark, sf_dir):
+    from visitlens.operators.scoring import build_section_scores
+    df = fx.survey_wide(spark, sf_dir)
+    recoded = df.select("client_name", "venue_name", "respondent_id",
+                        R.likert_score(F.col("q_clean")).alias("q_clean"),
+                        R.likert_score(F.col("q_only_na")).alias("q_only_na"),
+                        # recommendation 0-2 read on the 0-3 scale of its section
+                        R.recommendation_score(F.col("q_recommend")).alias("q_recommend_score"))
+    return build_section_scores(recoded, SECTION_SPEC, ["client_name", "venue_name", "respondent_id"])
+
+
 def q_client_table_profile(spark, sf_dir):
     return table_profile(fx.comment_master(spark, sf_dir), "client_name")
 
@@ -229,6 +244,7 @@ QUERIES = {
     "unique_identifiers": q_unique_identifiers,
     "table_profile": q_table_profile,
     "client_table_profile": q_client_table_profile,
+    "section_builder": q_section_builder,
     "outer_union": q_outer_union,
     "client_ids": q_client_ids,
 }

@@ -198,6 +198,27 @@ def table_profile() -> str:
     return with_fixtures(q, _unique())
 
 
+def section_builder() -> str:
+    lk = lambda c: case_map(clean(c), config.LIKERT_MAP, "double")
+    t = clean("q_recommend")
+    rec = (f"cast(case when contains({t}, 'not very likely') then 0 when contains({t}, 'very likely') then 2 "
+           f"when contains({t}, 'quite likely') then 1 end as double)")
+
+    def mean(cols):
+        total = " + ".join(f"coalesce({c}, 0.0)" for c in cols)
+        n = " + ".join(f"(case when {c} is not null then 1 else 0 end)" for c in cols)
+        return f"(({total}) / nullif({n}, 0))"
+
+    r = (f"r as (select client_name, venue_name, respondent_id, {lk('q_clean')} as a, {lk('q_only_na')} as b, "
+         f"{rec} as c from fx_survey_wide)")
+    arrival = f"({mean(['a', 'b'])} / 3.0 * 100)"
+    verbal = f"({mean(['c'])} / 3.0 * 100)"
+    q = (f"select client_name, venue_name, respondent_id, {arrival} as service_arrival_score, "
+         f"{mean([arrival])} as service_score, {verbal} as selling_verbal_score, "
+         f"{mean([verbal])} as selling_score from r")
+    return with_fixtures(q, r)
+
+
 def client_table_profile() -> str:
     name = clean_identifier("concat(client_name, '_master')")
     table = f"substr({name}, 1, {config.MAX_IDENTIFIER_LEN})"
@@ -259,6 +280,7 @@ def queries() -> dict[str, str]:
         "unique_identifiers": unique_identifiers(),
         "table_profile": table_profile(),
         "client_table_profile": client_table_profile(),
+        "section_builder": section_builder(),
         "outer_union": outer_union(),
         "client_ids": client_ids(),
     }
