@@ -156,3 +156,31 @@ def test_write_client_tables(spark):
     assert sorted((r.table, r.ok) for r in status.collect()) == [("client_a_master", True),
                                                                  ("client_b_master", True)]
     assert spark.table("client_a_master").count() == 2
+
+
+def test_files_to_report_views(spark):
+    """Files -> recoded masters -> section scores -> report views."""
+    from visitlens.operators.scoring import build_section_scores
+    from visitlens.plans import views
+    root = tempfile.mkdtemp(prefix="visitlens-e2e-")
+    os.makedirs(os.path.join(root, "client_x"))
+    top = ["Respondent ID", "Assessor ID", "Visit Type", "Visit Date", "Welcome", "Farewell", "Welcome"]
+    sub = ["", "", "", "", "Rating", "Rating", "Comments"]
+    write_xlsx(os.path.join(root, "client_x", "Harbour Bar (1) Survey v2.xlsx"),
+               [top, sub, [11, 3, "Dinner", "01/06/2024", "Very Good", "good", "Lovely"],
+                [12, 3, "Lunch", "02/06/2024", "poor", "n/a", " n/a "]])
+    m = build_masters(spark, root)
+    master = m.masters.withColumnRenamed("visit_date", "visit_date_raw")
+    spec = {"service_score": {"service_arrival_score": ["welcome_rating"],
+                              "service_departure_score": ["farewell_rating"]}}
+    wide = build_section_scores(master, spec)
+    for s, total in (("selling", "selling_score"), ("product", "product_score"),
+                     ("environment", "environment_score")):
+        wide = wide.withColumn(total, F.lit(None).cast("double"))
+    out = {r.respondent_id: r for r in views.master_view(wide).collect()}
+    assert out["11"].venue_name == "Harbour Bar" and out["12"].visit_rank == 1 and out["11"].visit_rank == 2
+    assert out["11"].total_score == 83.3 and out["12"].total_score == 0.0
+    assert out["12"].performance_band == "Critical" and out["11"].assessor_id == "3"
+    comments = views.comments_view(spark, {"client_x_master": master.withColumnRenamed(
+        "welcome_comments", "welcome_comments")}).collect()
+    assert [(c.respondent_id, c.comment_text) for c in comments] == [("11", "Lovely")]
