@@ -96,6 +96,9 @@ def test_write_masters_and_status(spark):
     from visitlens.sources.catalog import read_client_masters
     back = read_client_masters(spark, os.path.join(out, "masters"))
     assert back.count() == 3
+    assert sorted(back.columns) == sorted(m.masters.columns)
+    cols = sorted(m.masters.columns)
+    assert back.select(*cols).exceptAll(m.masters.select(*cols)).count() == 0
     # rewriting one client only touches its partition
     write_client_masters(m.masters.where(F.col("client_name") == "client_b"), os.path.join(out, "masters"))
     assert spark.read.parquet(os.path.join(out, "masters")).count() == 3

@@ -8,8 +8,8 @@ Inputs:
   ``scores``   section scores, either a dict ``{section: frame}`` of the four
                section views, or one wide frame holding all four sections;
   ``feedback`` staff feedback frame (0-3 answers as text or numbers);
-  ``tables``   dict ``{table name: client master frame}`` for comments and
-               checkbox words.
+  ``tables``   dict ``{table name: client master frame}``, or one unified
+               master of all clients, for comments and checkbox words.
 """
 
 from __future__ import annotations
