@@ -187,3 +187,29 @@ def test_files_to_report_views(spark):
     comments = views.comments_view(spark, {"client_x_master": master.withColumnRenamed(
         "welcome_comments", "welcome_comments")}).collect()
     assert [(c.respondent_id, c.comment_text) for c in comments] == [("11", "Lovely")]
+
+
+def test_long_answers_give_same_comments_and_words(spark):
+    from visitlens.plans import master as M
+    from visitlens.plans import views
+    from visitlens.operators.headers import header_dictionary
+    from visitlens.sources import ingest as I
+    root = tempfile.mkdtemp(prefix="visitlens-long-")
+    os.makedirs(os.path.join(root, "client_y"))
+    top = ["Respondent ID", "Welcome", "Farewell", "Thinking about the staff, please select the words "
+           "that best describe them", ""]
+    sub = ["", "Comments", "Comments", "Adept", "Awkward"]
+    write_csv(os.path.join(root, "client_y", "Dock (2).csv"),
+              [top, sub, ["1", "Great", " n/a ", "Yes", ""], ["2", "", "Bye ", "", "1.0"]])
+    cells, _ = I.split_errors(I.decode_cells(I.list_files(spark, root)))
+    d = header_dictionary(I.header_cells(cells))
+    files = I.file_table(cells)
+    ans = M.answers(I.data_cells(cells), d, files)
+    wide = M.pivot_master(I.data_cells(cells), d, files)
+    key = lambda r: tuple(str(x) for x in r)
+    a = sorted(views.comments_from_answers(spark, ans).collect(), key=key)
+    b = sorted(views.comments_view(spark, wide).collect(), key=key)
+    assert a == b and [r.comment_text for r in a] == ["Great", "Bye "]
+    a = sorted(views.staff_words_from_answers(spark, ans).collect(), key=key)
+    b = sorted(views.staff_words_view(spark, wide).collect(), key=key)
+    assert a == b and len(a) == 2

@@ -1,7 +1,8 @@
 """Files -> client masters: the ingest side of the survey model.
 
-    files (binaryFile) -> long cells -> header dictionary -> wide rows per
-    file -> recoded client masters (+ client ids) -> parquet by client
+    files (binaryFile) -> long cells -> header dictionary -> long answers
+                                                          -> wide rows per file
+    -> recoded client masters (+ client ids) -> parquet by client
 
 Every arrow is a DataFrame transformation; the only values brought to the
 driver are metadata (distinct column names for the pivot, Likert columns
@@ -26,6 +27,7 @@ class Masters:
     masters: DataFrame      # one row per answered survey row, all clients
     dictionary: DataFrame   # header dictionary (file_id, col_ord, ..., unique_name)
     quarantine: DataFrame   # files that could not be decoded (path, error)
+    answers: DataFrame      # long answers (client, venue, file, row, respondent, column, value)
 
 
 def build_masters(spark: SparkSession, root: str, recode: bool = True,
@@ -38,8 +40,10 @@ def build_masters(spark: SparkSession, root: str, recode: bool = True,
     decoded = I.decode_cells(files).checkpoint(eager=True)
     cells, quarantine = I.split_errors(decoded)
     dictionary = header_dictionary(I.header_cells(cells))
-    wide = M.pivot_master(I.data_cells(cells), dictionary, I.file_table(cells))
+    files_t = I.file_table(cells)
+    answers = M.answers(I.data_cells(cells), dictionary, files_t)
+    wide = M.pivot_master(I.data_cells(cells), dictionary, files_t)
     wide = wide.drop("file_id", "row_id")
     if recode:
         wide = recode_survey(wide, likert=likert)
-    return Masters(M.with_client_ids(wide), dictionary, quarantine)
+    return Masters(M.with_client_ids(wide), dictionary, quarantine, answers)

@@ -35,6 +35,27 @@ def with_client_ids(df: DataFrame, client_col: str = "client_name") -> DataFrame
     return joined.select(*first, *[c for c in df.columns if c not in first])
 
 
+def answers(cells: DataFrame, dictionary: DataFrame, files: DataFrame,
+            respondent_name: str = "respondent_id") -> DataFrame:
+    """Long answers: one row per answered cell with its column name and keys.
+
+    ``client_name, venue_name, file_id, row_id, respondent_id, column_name,
+    value``. The respondent id of a row is read from that row's own cells by
+    a window over the row (bounded by the row's column count). Reports that
+    pick a few mapped columns (comments, checkbox words) read this directly,
+    so no wide pivot over all columns is needed.
+    """
+    from pyspark.sql import Window
+    named = (cells.join(dictionary.select("file_id", "col_ord", "unique_name"), ["file_id", "col_ord"])
+                  .withColumnRenamed("unique_name", "column_name"))
+    row = Window.partitionBy("file_id", "row_id")
+    named = named.withColumn("respondent_id", F.max(F.when(F.col("column_name") == respondent_name,
+                                                            F.col("value"))).over(row))
+    out = named.join(files.select("file_id", "client_name", "venue_name"), "file_id")
+    return out.select("client_name", "venue_name", "file_id", "row_id", "respondent_id",
+                      "column_name", "value")
+
+
 def pivot_master(cells: DataFrame, dictionary: DataFrame, files: DataFrame) -> DataFrame:
     """Wide master rows from long cells.
 
@@ -43,7 +64,9 @@ def pivot_master(cells: DataFrame, dictionary: DataFrame, files: DataFrame) -> D
     ``files``: ``file_id, client_name, venue_name``.
     Each output row is one data row of one file; a column a file lacks is
     null (outer union by name). Grouping is per file row, so no group is
-    larger than one row's cells.
+    larger than one row's cells. Text pivots evaluate one conditional
+    aggregate per output column, so use this for per-client table exports;
+    reports over a few mapped columns read ``answers`` instead.
     """
     named = cells.join(dictionary.select("file_id", "col_ord", "unique_name"), ["file_id", "col_ord"])
     # metadata only: one row per distinct column name, in first-seen column order

@@ -232,6 +232,47 @@ def staff_words_view(spark: SparkSession, tables, word_map=None) -> DataFrame:
     return union_all(parts)
 
 
+def _mapped_answers(spark: SparkSession, answers: DataFrame, rows, names, keep) -> DataFrame:
+    m = map_frame(spark, rows, names)
+    hits = answers.join(F.broadcast(m), on="column_name", how="inner").where(keep)
+    return hits.select(
+        F.concat_ws("|", F.col("client_name").cast("string"), clean_venue(F.col("venue_name").cast("string")),
+                    F.col("respondent_id").cast("string")).alias("visit_id"),
+        F.col("client_name").cast("string").alias("client_name"),
+        clean_venue(F.col("venue_name").cast("string")).alias("venue_name"),
+        F.col("respondent_id").cast("string").alias("respondent_id"),
+        *[F.col(n) for n in names if n != "column_name"],
+        F.col("value"), table_name_for_col())
+
+
+def table_name_for_col():
+    from visitlens.functions.text import table_name_for
+    return table_name_for(F.col("client_name").cast("string")).alias("source_table")
+
+
+def comments_from_answers(spark: SparkSession, answers: DataFrame, comment_map=None) -> DataFrame:
+    """``comments_view`` over long answers (``plans.master.answers``).
+
+    The mapped columns are picked by a broadcast join with the comment map
+    (fixed size), so no wide master is built; ``source_table`` is each
+    client's table name.
+    """
+    rows = comment_map or config.COMMENT_MAP
+    out = _mapped_answers(spark, answers, rows, ["section", "comment_type", "column_name"],
+                          ~is_null_token(F.col("value")))
+    return out.select("visit_id", "client_name", "venue_name", "respondent_id", "section",
+                      "comment_type", F.col("value").alias("comment_text"), "source_table")
+
+
+def staff_words_from_answers(spark: SparkSession, answers: DataFrame, word_map=None) -> DataFrame:
+    """``staff_words_view`` over long answers."""
+    rows = word_map or config.WORD_MAP
+    out = _mapped_answers(spark, answers, rows, ["word_group", "word_label", "column_name"],
+                          is_truthy(F.col("value")))
+    return out.select("visit_id", "client_name", "venue_name", "respondent_id", "word_group",
+                      "word_label", F.lit(1).alias("selected_flag"), "source_table")
+
+
 # --- registration ----------------------------------------------------------------
 
 VIEW_NAMES = [
