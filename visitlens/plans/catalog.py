@@ -185,6 +185,23 @@ def q_section_builder(spark, sf_dir):
     return build_section_scores(recoded, SECTION_SPEC, ["client_name", "venue_name", "respondent_id"])
 
 
+def _fixture_answers(df, key_cols):
+    """Long answers of a fixture master: every non-key column as (column_name, value)."""
+    from visitlens.operators.profile import to_long
+    cols = [c for c in df.columns if c not in key_cols]
+    return to_long(df, cols, key_cols)
+
+
+def q_comments_long(spark, sf_dir):
+    ans = _fixture_answers(fx.comment_master(spark, sf_dir), ["client_name", "venue_name", "respondent_id"])
+    return views.comments_from_answers(spark, ans)
+
+
+def q_staff_words_long(spark, sf_dir):
+    ans = _fixture_answers(fx.word_master(spark, sf_dir), ["client_name", "venue_name", "respondent_id"])
+    return views.staff_words_from_answers(spark, ans)
+
+
 def q_client_table_profile(spark, sf_dir):
     return table_profile(fx.comment_master(spark, sf_dir), "client_name")
 
@@ -245,6 +262,8 @@ QUERIES = {
     "table_profile": q_table_profile,
     "client_table_profile": q_client_table_profile,
     "section_builder": q_section_builder,
+    "comments_long": q_comments_long,
+    "staff_words_long": q_staff_words_long,
     "outer_union": q_outer_union,
     "client_ids": q_client_ids,
 }
