@@ -31,19 +31,22 @@ def likert_columns(df: DataFrame, exclude: list[str] | None = None) -> DataFrame
 
     A column qualifies when it has at least one non-null value and every
     non-null value, lower-cased and stripped, is a Likert answer or ``n/a``.
-    Output: ``column_name, n_values, is_likert``.
+    Output: ``column_name, n_values, is_likert`` (one row per column, also
+    for columns without any value). One unpivot and one grouped aggregate;
+    the column list (schema metadata) is unioned in so empty columns appear
+    without a join.
     """
     skip = set(exclude if exclude is not None else config.METADATA_COLUMNS)
     cols = [c for c in df.columns if c not in skip]
-    long = to_long(df, cols).where(F.col(VAL).isNotNull())
-    prof = long.groupBy(COL).agg(F.count(F.lit(1)).alias("n_values"),
-                                 F.bool_and(in_likert_domain(F.col(VAL))).alias("_all_in"))
-    # columns without any value are absent from the aggregate: add them back
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], f"{COL} string")
-    out = names.join(prof, on=COL, how="left")
-    return out.select(COL, F.coalesce(F.col("n_values"), F.lit(0)).cast("long").alias("n_values"),
-                      (F.coalesce(F.col("_all_in"), F.lit(False)) & (F.coalesce(F.col("n_values"), F.lit(0)) > 0))
-                      .alias("is_likert"))
+    val = F.col(VAL)
+    long = to_long(df, cols).select(COL, F.when(val.isNotNull(), 1).alias("_n"),
+                                    F.when(val.isNotNull(), in_likert_domain(val)).alias("_in"))
+    names = df.sparkSession.createDataFrame([(c, None, None) for c in cols],
+                                            f"{COL} string, _n int, _in boolean")
+    prof = long.unionByName(names).groupBy(COL).agg(F.count("_n").alias("n_values"),
+                                                    F.bool_and("_in").alias("_all_in"))
+    return prof.select(COL, F.col("n_values").cast("long").alias("n_values"),
+                       (F.coalesce(F.col("_all_in"), F.lit(False)) & (F.col("n_values") > 0)).alias("is_likert"))
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -107,6 +107,7 @@ def q_likert_columns(spark, sf_dir):
 
 def q_likert(spark, sf_dir):
     df = fx.survey_wide(spark, sf_dir)
+    # metadata only: one row per column of the profile reaches the driver
     chosen = [r[0] for r in likert_columns(df).where("is_likert").select("column_name").collect()]
     return df.select("respondent_id", *[R.likert_score(F.col(c)).alias(c) for c in sorted(chosen)])
 
