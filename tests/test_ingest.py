@@ -203,9 +203,8 @@ def test_long_answers_give_same_comments_and_words(spark):
               [top, sub, ["1", "Great", " n/a ", "Yes", ""], ["2", "", "Bye ", "", "1.0"]])
     cells, _ = I.split_errors(I.decode_cells(I.list_files(spark, root)))
     d = header_dictionary(I.header_cells(cells))
-    files = I.file_table(cells)
-    ans = M.answers(I.data_cells(cells), d, files)
-    wide = M.pivot_master(I.data_cells(cells), d, files)
+    ans = M.answers(I.data_cells(cells), d)
+    wide = M.pivot_master(I.data_cells(cells), d)
     key = lambda r: tuple(str(x) for x in r)
     a = sorted(views.comments_from_answers(spark, ans).collect(), key=key)
     b = sorted(views.comments_view(spark, wide).collect(), key=key)

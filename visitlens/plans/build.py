@@ -40,9 +40,8 @@ def build_masters(spark: SparkSession, root: str, recode: bool = True,
     decoded = I.decode_cells(files).checkpoint(eager=True)
     cells, quarantine = I.split_errors(decoded)
     dictionary = header_dictionary(I.header_cells(cells))
-    files_t = I.file_table(cells)
-    answers = M.answers(I.data_cells(cells), dictionary, files_t)
-    wide = M.pivot_master(I.data_cells(cells), dictionary, files_t)
+    answers = M.answers(I.data_cells(cells), dictionary)
+    wide = M.pivot_master(I.data_cells(cells), dictionary)
     wide = wide.drop("file_id", "row_id")
     if recode:
         wide = recode_survey(wide, likert=likert)

@@ -35,8 +35,18 @@ def with_client_ids(df: DataFrame, client_col: str = "client_name") -> DataFrame
     return joined.select(*first, *[c for c in df.columns if c not in first])
 
 
-def answers(cells: DataFrame, dictionary: DataFrame, files: DataFrame,
-            respondent_name: str = "respondent_id") -> DataFrame:
+def _with_path_columns(df: DataFrame) -> DataFrame:
+    """Client (parent folder) and venue (cleaned file stem) computed from ``file_id``.
+
+    Both are functions of the path, so rows carry them without a join to a
+    file table (no join key can be skewed by one large file).
+    """
+    from visitlens.functions.text import path_parent_name, path_stem, venue_from_stem
+    return df.withColumns({"client_name": path_parent_name("file_id"),
+                           "venue_name": venue_from_stem(path_stem("file_id"))})
+
+
+def answers(cells: DataFrame, dictionary: DataFrame, respondent_name: str = "respondent_id") -> DataFrame:
     """Long answers: one row per answered cell with its column name and keys.
 
     ``client_name, venue_name, file_id, row_id, respondent_id, column_name,
@@ -51,17 +61,17 @@ def answers(cells: DataFrame, dictionary: DataFrame, files: DataFrame,
     row = Window.partitionBy("file_id", "row_id")
     named = named.withColumn("respondent_id", F.max(F.when(F.col("column_name") == respondent_name,
                                                             F.col("value"))).over(row))
-    out = named.join(files.select("file_id", "client_name", "venue_name"), "file_id")
+    out = _with_path_columns(named)
     return out.select("client_name", "venue_name", "file_id", "row_id", "respondent_id",
                       "column_name", "value")
 
 
-def pivot_master(cells: DataFrame, dictionary: DataFrame, files: DataFrame) -> DataFrame:
+def pivot_master(cells: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Wide master rows from long cells.
 
     ``cells``: ``file_id, row_id, col_ord, value``;
-    ``dictionary``: ``file_id, col_ord, unique_name`` (footer dropped);
-    ``files``: ``file_id, client_name, venue_name``.
+    ``dictionary``: ``file_id, col_ord, unique_name`` (footer dropped).
+    Client and venue come from the file path.
     Each output row is one data row of one file; a column a file lacks is
     null (outer union by name). Grouping is per file row, so no group is
     larger than one row's cells. Text pivots evaluate one conditional
@@ -74,5 +84,5 @@ def pivot_master(cells: DataFrame, dictionary: DataFrame, files: DataFrame) -> D
     names = [r[0] for r in first.orderBy("_first", "unique_name").collect()]
     wide = (named.groupBy("file_id", "row_id").pivot("unique_name", names)
                  .agg(F.first("value", ignorenulls=True)))
-    out = wide.join(files.select("file_id", "client_name", "venue_name"), "file_id")
+    out = _with_path_columns(wide)
     return out.select("client_name", "venue_name", "file_id", "row_id", *names)

@@ -28,7 +28,7 @@ def _ingest_batch(out_path: str):
         decoded = I.decode_cells(batch).persist(StorageLevel.MEMORY_AND_DISK)  # decode once per batch
         cells, quarantine = I.split_errors(decoded)
         dictionary = header_dictionary(I.header_cells(cells))
-        wide = M.pivot_master(I.data_cells(cells), dictionary, I.file_table(cells))
+        wide = M.pivot_master(I.data_cells(cells), dictionary)
         # Each micro-batch owns one output folder, overwritten on a retry, so
         # a batch replayed after a failure is written once (idempotent sink).
         epoch_dir = f"ingest_epoch={epoch_id}"
