@@ -89,3 +89,20 @@ def test_global_row_number_and_client_ids(spark):
     assert sorted(r.o for r in ids.collect()) == list(range(1, 1201))
     dim = {r.client_name: r.client_id for r in client_dimension(df).collect()}
     assert dim["c0000"] == "C001" and dim["c0999"] == "C1000" and dim["c1199"] == "C1200"
+
+
+def test_hot_group_is_split_across_tasks(spark):
+    """A group holding most rows is numbered in several tasks, not one."""
+    rows = [("hot", i, i) for i in range(6000)] + [(f"g{i % 5}", i, 10**6 + i) for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, k long, id long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = distributed_row_number(df, ["g"], [F.col("k").asc(), F.col("id").asc()], "rn", num_partitions=8)
+        tasks = (got.where(F.col("g") == "hot").select(F.spark_partition_id().alias("p"))
+                    .groupBy("p").count().collect())
+        assert len(tasks) >= 4
+        assert max(r["count"] for r in tasks) < 6000 / 2
+        hot = sorted(r.rn for r in got.where(F.col("g") == "hot").select("rn").collect())
+        assert hot == list(range(1, 6001))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
