@@ -45,6 +45,11 @@ def _null_safe_eq(cols: list[str], prefix: str) -> Column:
     return cond
 
 
+def _shuffle_partitions(spark) -> int:
+    value = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    return int(value) if str(value).isdigit() else 200
+
+
 def distributed_row_number(df: DataFrame, partition_cols: list[str], order_cols: list[Column],
                            out_col: str = "row_number", num_partitions: int | None = None) -> DataFrame:
     """``row_number()`` over ``partition_cols`` ordered by ``order_cols``.
@@ -53,7 +58,7 @@ def distributed_row_number(df: DataFrame, partition_cols: list[str], order_cols:
     columns); exact ties are numbered in an arbitrary order, as in SQL.
     """
     spark = df.sparkSession
-    p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = num_partitions or _shuffle_partitions(spark)
     group = [F.col(c).asc_nulls_first() for c in partition_cols]
     # Both the slice numbering and the slice counts must see the same range
     # bounds. Persisting the range-partitioned rows pins one shuffle (one
