@@ -10,10 +10,11 @@ one task:
    large group is cut into several ordered range partitions;
 2. number rows inside each ``(partition id, g)`` slice with a window (each
    slice is at most one range partition);
-3. count rows per ``(partition id, g)``; only groups present in more than one
-   range partition need an offset, and there are at most ``2 * P`` such
-   slices (each partition holds at most two cut groups: its first and its
-   last), so that offset table is broadcast with a proven size bound.
+3. count rows per ``(partition id, g)`` (partial aggregate); only groups
+   present in more than one range partition need an offset, and there are at
+   most ``2 * P`` such slices (each partition holds at most two cut groups:
+   its first and its last), so that offset table is broadcast with a proven
+   size bound.
 
 For top-k-per-group filters (rank 1, ranks 2..11) the plain window plus a
 filter is better: Catalyst adds a partial ``WindowGroupLimit`` before the
@@ -73,13 +74,13 @@ def distributed_row_number(df: DataFrame, partition_cols: list[str], order_cols:
 
     stats = ranged.groupBy(_PID, *partition_cols).agg(F.count(F.lit(1)).alias(_N))
     if partition_cols:
-        # groups cut by a range bound: fewer than p groups, at most 2 * p slices
-        cut = (stats.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias(_NP))
-                    .where(F.col(_NP) > 1).drop(_NP))
-        cut = _prefixed(cut, partition_cols, "_c_")
-        cut_slices = stats.join(F.broadcast(cut), on=_null_safe_eq(partition_cols, "_c_"),
-                                how="left_semi")
-        off_w = Window.partitionBy(*partition_cols).orderBy(_PID)
+        # groups cut by a range bound appear in several slices; there are fewer
+        # than p such groups and at most 2 * p such slices. Both windows below
+        # are keyed by the group, so they share one (small) exchange.
+        by_group = Window.partitionBy(*partition_cols)
+        cut_slices = (stats.withColumn(_NP, F.count(F.lit(1)).over(by_group))
+                           .where(F.col(_NP) > 1).drop(_NP))
+        off_w = by_group.orderBy(_PID)
     else:
         cut_slices = stats  # one global group: at most p slices
         off_w = Window.orderBy(_PID)
