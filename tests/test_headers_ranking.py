@@ -56,6 +56,8 @@ def test_uniquifier_matches_sequential_rule(spark, lists):
         assert got[f] == seq_unique(names)
         assert len(set(got[f])) == len(got[f])
         assert all(len(n) <= 63 for n in got[f])
+    again = uniquify(spark, got)  # stable: unique names pass through unchanged
+    assert again == got
 
 
 def test_header_dictionary_footer_and_flatten(spark):
