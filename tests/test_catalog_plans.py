@@ -58,3 +58,17 @@ def test_filters_reach_scans(spark):
     text = plan_text(catalog.QUERIES["total_score"](spark, SF_SMALL))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double" in text
     assert "PushedFilters" in text
+
+
+def test_visit_totals_reuse_join_partitioning(spark):
+    """With shuffle joins (as at scale) the visit aggregate adds no exchange."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_text(catalog.QUERIES["total_score"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tree = [line.strip(" :+-") for line in text.split("\n\n")[0].splitlines()]
+    first = next(i for i, line in enumerate(tree) if line.startswith("HashAggregate"))
+    assert tree[first + 1].startswith("HashAggregate")  # final directly over partial
+    below = next(line for line in tree[first + 2:] if not line.startswith(("Project", "Filter")))
+    assert below.startswith("SortMergeJoin")  # partial aggregate reads the join, no exchange
