@@ -212,3 +212,22 @@ def test_long_answers_give_same_comments_and_words(spark):
     a = sorted(views.staff_words_from_answers(spark, ans).collect(), key=key)
     b = sorted(views.staff_words_view(spark, wide).collect(), key=key)
     assert a == b and len(a) == 2
+
+
+def test_xlsx_decoder_shared_and_rich_strings():
+    import io as _io
+
+    from visitlens.sources.decoders import csv_cells, xlsx_cells
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    ss = (f'<sst {ns}><si><t>plain</t></si><si><r><t>ri</t></r><r><t>ch</t></r>'
+          '<rPh><t>x</t></rPh></si></sst>')
+    sheet = (f'<worksheet {ns}><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c>'
+             '<c r="B1" t="s"><v>1</v></c><c r="AA1"><v>3.5</v></c><c r="AB1" t="b"><v>1</v></c>'
+             '</row></sheetData></worksheet>')
+    buf = _io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/sharedStrings.xml", ss)
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+    assert list(xlsx_cells(buf.getvalue())) == [(0, 0, "plain"), (0, 1, "rich"), (0, 26, "3.5"), (0, 27, "True")]
+    assert list(csv_cells(b'a,"b,c",\r\n1,,x')) == [(0, 0, "a"), (0, 1, "b,c"), (0, 2, None),
+                                                    (1, 0, "1"), (1, 1, None), (1, 2, "x")]

@@ -43,7 +43,10 @@ def _shared_strings(z: zipfile.ZipFile) -> list[str]:
         return []
     out = []
     for si in ET.fromstring(raw).iter(f"{_NS}si"):
-        out.append("".join(t.text or "" for t in si.iter(f"{_NS}t")))
+        # plain text, or rich-text runs; phonetic guides (rPh) are not cell text
+        plain = si.find(f"{_NS}t")
+        runs = "".join(r.findtext(f"{_NS}t") or "" for r in si.findall(f"{_NS}r"))
+        out.append((plain.text or "") if plain is not None else runs)
     return out
 
 
