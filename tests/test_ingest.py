@@ -231,3 +231,21 @@ def test_xlsx_decoder_shared_and_rich_strings():
     assert list(xlsx_cells(buf.getvalue())) == [(0, 0, "plain"), (0, 1, "rich"), (0, 26, "3.5"), (0, 27, "True")]
     assert list(csv_cells(b'a,"b,c",\r\n1,,x')) == [(0, 0, "a"), (0, 1, "b,c"), (0, 2, None),
                                                     (1, 0, "1"), (1, 1, None), (1, 2, "x")]
+
+
+def test_xlsx_date_cells_become_iso_text():
+    import io as _io
+
+    from visitlens.sources.decoders import xlsx_cells
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    styles = (f'<styleSheet {ns}><numFmts><numFmt numFmtId="164" formatCode="dd/mm/yyyy"/></numFmts>'
+              '<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="2"/>'
+              '</cellXfs></styleSheet>')
+    sheet = (f'<worksheet {ns}><sheetData><row r="1"><c r="A1" s="1"><v>45444</v></c>'
+             '<c r="B1" s="2"><v>45444.5</v></c><c r="C1" s="3"><v>45444</v></c></row></sheetData></worksheet>')
+    buf = _io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/styles.xml", styles)
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+    assert list(xlsx_cells(buf.getvalue())) == [(0, 0, "2024-06-01"), (0, 1, "2024-06-01 12:00:00"),
+                                                (0, 2, "45444")]

@@ -50,6 +50,51 @@ def _shared_strings(z: zipfile.ZipFile) -> list[str]:
     return out
 
 
+# Built-in number formats that show dates or times (ECMA-376 part 1, 18.8.30).
+_BUILTIN_DATE_FORMATS = set(range(14, 23)) | set(range(45, 48))
+
+
+def _is_date_format(code: str) -> bool:
+    text = re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", code)
+    return bool(re.search(r"[ydhs]", text, re.IGNORECASE))
+
+
+def _date_styles(z: zipfile.ZipFile) -> set[int]:
+    """Indexes of cell styles whose number format is a date or time."""
+    try:
+        root = ET.fromstring(z.read("xl/styles.xml"))
+    except KeyError:
+        return set()
+    custom = {int(f.get("numFmtId")): f.get("formatCode", "")
+              for f in root.iter(f"{_NS}numFmt")}
+    xfs = root.find(f"{_NS}cellXfs")
+    out = set()
+    for i, xf in enumerate(xfs if xfs is not None else []):
+        fid = int(xf.get("numFmtId", "0"))
+        if fid in _BUILTIN_DATE_FORMATS or (fid in custom and _is_date_format(custom[fid])):
+            out.add(i)
+    return out
+
+
+def _uses_1904(z: zipfile.ZipFile) -> bool:
+    try:
+        wb = ET.fromstring(z.read("xl/workbook.xml"))
+    except KeyError:
+        return False
+    pr = wb.find(f"{_NS}workbookPr")
+    return pr is not None and pr.get("date1904") in ("1", "true")
+
+
+def _serial_to_text(serial: str, date1904: bool) -> str:
+    """Excel day number -> ISO date (with time when it has one)."""
+    import datetime as dt
+    value = float(serial)
+    base = dt.datetime(1904, 1, 1) if date1904 else dt.datetime(1899, 12, 30)
+    when = base + dt.timedelta(days=value)
+    when = when.replace(microsecond=0) + dt.timedelta(seconds=round(when.microsecond / 1e6))
+    return when.strftime("%Y-%m-%d") if when.time() == dt.time(0) else when.strftime("%Y-%m-%d %H:%M:%S")
+
+
 def _first_sheet(z: zipfile.ZipFile) -> str:
     names = z.namelist()
     try:
@@ -68,9 +113,11 @@ def _first_sheet(z: zipfile.ZipFile) -> str:
 
 
 def xlsx_cells(data: bytes) -> Iterator[tuple[int, int, str | None]]:
-    """Cells of the first worksheet (values as stored; dates stay serial numbers)."""
+    """Cells of the first worksheet; date-styled numbers become ISO dates."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         strings = _shared_strings(z)
+        date_styles = _date_styles(z)
+        date1904 = _uses_1904(z)
         with z.open(_first_sheet(z)) as fh:
             for _ev, el in ET.iterparse(fh, events=("end",)):
                 if el.tag != f"{_NS}c":
@@ -91,6 +138,8 @@ def xlsx_cells(data: bytes) -> Iterator[tuple[int, int, str | None]]:
                         val = strings[int(val)]
                     elif val is not None and kind == "b":
                         val = "True" if val == "1" else "False"
+                    elif val is not None and kind == "n" and int(el.get("s", "0")) in date_styles:
+                        val = _serial_to_text(val, date1904)
                 yield row, col, (val if val != "" else None)
 
 
