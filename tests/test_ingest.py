@@ -242,10 +242,11 @@ def test_xlsx_date_cells_become_iso_text():
               '<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="2"/>'
               '</cellXfs></styleSheet>')
     sheet = (f'<worksheet {ns}><sheetData><row r="1"><c r="A1" s="1"><v>45444</v></c>'
-             '<c r="B1" s="2"><v>45444.5</v></c><c r="C1" s="3"><v>45444</v></c></row></sheetData></worksheet>')
+             '<c r="B1" s="2"><v>45444.5</v></c><c r="C1" s="3"><v>45444</v></c>'
+             '<c r="D1" s="1"><v>0.8125</v></c></row></sheetData></worksheet>')
     buf = _io.BytesIO()
     with zipfile.ZipFile(buf, "w") as z:
         z.writestr("xl/styles.xml", styles)
         z.writestr("xl/worksheets/sheet1.xml", sheet)
     assert list(xlsx_cells(buf.getvalue())) == [(0, 0, "2024-06-01"), (0, 1, "2024-06-01 12:00:00"),
-                                                (0, 2, "45444")]
+                                                (0, 2, "45444"), (0, 3, "19:30:00")]

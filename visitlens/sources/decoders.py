@@ -86,12 +86,15 @@ def _uses_1904(z: zipfile.ZipFile) -> bool:
 
 
 def _serial_to_text(serial: str, date1904: bool) -> str:
-    """Excel day number -> ISO date (with time when it has one)."""
+    """Excel day number -> ISO date (with time when it has one); a fraction
+    below one day is a time of day."""
     import datetime as dt
     value = float(serial)
     base = dt.datetime(1904, 1, 1) if date1904 else dt.datetime(1899, 12, 30)
     when = base + dt.timedelta(days=value)
     when = when.replace(microsecond=0) + dt.timedelta(seconds=round(when.microsecond / 1e6))
+    if 0 <= value < 1:  # a time of day without a date
+        return when.strftime("%H:%M:%S")
     return when.strftime("%Y-%m-%d") if when.time() == dt.time(0) else when.strftime("%Y-%m-%d %H:%M:%S")
 
 
