@@ -108,3 +108,15 @@ def test_hot_group_is_split_across_tasks(spark):
         assert hot == list(range(1, 6001))
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_distributed_row_number_with_adaptive_partition_count(spark):
+    rnd = random.Random(11)
+    rows = [("hot", rnd.randrange(10**6), i) for i in range(4000)]
+    rows += [(f"g{i % 23}", rnd.randrange(10**6), 10**5 + i) for i in range(700)]
+    df = spark.createDataFrame(rows, "g string, k long, id long")
+    order = [F.col("k").desc(), F.col("id").asc()]
+    got = distributed_row_number(df, ["g"], order, "rn")  # AQE may merge range partitions
+    exp = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    key = lambda r: (r.g, r.id)
+    assert sorted(got.collect(), key=key) == sorted(exp.collect(), key=key)

@@ -46,11 +46,6 @@ def _null_safe_eq(cols: list[str], prefix: str) -> Column:
     return cond
 
 
-def _shuffle_partitions(spark) -> int:
-    value = spark.conf.get("spark.sql.shuffle.partitions", "200")
-    return int(value) if str(value).isdigit() else 200
-
-
 def distributed_row_number(df: DataFrame, partition_cols: list[str], order_cols: list[Column],
                            out_col: str = "row_number", num_partitions: int | None = None) -> DataFrame:
     """``row_number()`` over ``partition_cols`` ordered by ``order_cols``.
@@ -58,16 +53,17 @@ def distributed_row_number(df: DataFrame, partition_cols: list[str], order_cols:
     ``order_cols`` should form a unique key inside each group (add tie-break
     columns); exact ties are numbered in an arbitrary order, as in SQL.
     """
-    spark = df.sparkSession
-    p = num_partitions or _shuffle_partitions(spark)
     group = [F.col(c).asc_nulls_first() for c in partition_cols]
     # Both the slice numbering and the slice counts must see the same range
     # bounds. Persisting the range-partitioned rows pins one shuffle (one
     # sampled set of bounds); a lost block is recomputed through that same
-    # shuffle dependency, so partition ids stay consistent.
-    ranged = (df.repartitionByRange(p, *group, *order_cols)
-                .withColumn(_PID, F.spark_partition_id())
-                .persist(StorageLevel.MEMORY_AND_DISK))
+    # shuffle dependency, so partition ids stay consistent. Without an
+    # explicit count, AQE may merge small neighbouring range partitions;
+    # merged partitions are contiguous, so partition ids still follow the
+    # key order, and a hot slice is never merged past the advisory size.
+    keys = [*group, *order_cols]
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = ranged.withColumn(_PID, F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
 
     slice_w = Window.partitionBy(_PID, *partition_cols).orderBy(*order_cols)
     local = ranged.withColumn(_LOCAL, F.row_number().over(slice_w))
