@@ -87,6 +87,17 @@ def main() -> None:
     sc.setJobGroup("distributed", "distributed row number")
     dist = distributed_row_number(hot, ["client_name", "venue_name"], order, "rn")
     dist.write.format("noop").mode("overwrite").save()
+    # copies: every third visit appears eleven times; the visit total groups
+    # on the raw keys and combines the copies map-side before its shuffle
+    sc.setJobGroup("prepare", "prepare")
+    wide_path = os.path.join(log_dir, "wide")
+    scoring.wide_scores(wide).write.parquet(wide_path)
+    w = spark.read.parquet(wide_path)
+    times = F.when(F.col("respondent_id") % 3 == 0, F.sequence(F.lit(1), F.lit(11))).otherwise(F.array(F.lit(1)))
+    copies = w.withColumn("_copy", F.explode(times)).drop("_copy")
+    n_copies = copies.count()
+    sc.setJobGroup("copies", "visit totals over copied rows")
+    scoring.visit_scores(copies).write.format("noop").mode("overwrite").save()
     sc.setJobGroup("check", "check")
     same = plain.select("visit_id", "venue_name_original", "rn").exceptAll(
         dist.select("visit_id", "venue_name_original", "rn")).count() == 0
@@ -95,6 +106,9 @@ def main() -> None:
     for g in ("plain", "distributed"):
         best, total = max_task_records(log_dir, g)
         out[g] = {"max_shuffle_records_one_task": best, "shuffle_records_total": total}
+    best, total = max_task_records(log_dir, "copies")
+    out["copies"] = {"input_rows": n_copies, "shuffle_records_total": total,
+                     "max_shuffle_records_one_task": best}
     print(json.dumps(out))
 
 
