@@ -175,3 +175,19 @@ def test_section_builder_feeds_reports(spark):
     assert r[2].service_score is None
     totals = {x.respondent_id: x.total_score for x in views.total_score_view(wide).collect()}
     assert totals == {"1": 41.7, "2": None}
+
+
+def test_tie_break_is_fixed(spark):
+    rows = [("c", "X (2)", 7, "1.0", "t", "01/02/2024", 50.0, None, None, None),
+            ("c", "X (1)", 7, "1.0", "t", "01/02/2024", 60.0, None, None, None)]
+    out = {r.venue_name_original: r.visit_rank for r in views.master_view(wide(spark, rows)).collect()}
+    assert out == {"X (1)": 1, "X (2)": 2}
+
+
+def test_outer_union_fills_missing_columns(spark):
+    from visitlens.operators.reshape import outer_union
+    a = spark.createDataFrame([(1, "x")], "a long, b string")
+    b = spark.createDataFrame([("y", 2.5)], "b string, c double")
+    out = outer_union([a, b])
+    assert out.columns == ["a", "b", "c"]
+    assert sorted(out.collect(), key=lambda r: r.b) == [(1, "x", None), (None, "y", 2.5)]
