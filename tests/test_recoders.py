@@ -50,6 +50,11 @@ def test_arrival_time(spark):
                R.arrival_time) == ["7.00 pm", "7.05 pm", "12.00 pm", None, None, "7.30 am", None, None]
 
 
+def test_arrival_time_short_fields(spark):
+    assert run(spark, ["7.5pm", "7:5:3 pm", "7.055pm", "11:59:59 PM"],
+               R.arrival_time) == ["7.05 pm", "7.05 pm", None, "11.59 pm"]
+
+
 def test_day_first_dates(spark):
     d = dt.date(2024, 9, 5)
     assert run(spark, ["31/02/2024", "5/9/2024", "2024-09-05", "05-09-2024", "soon"],

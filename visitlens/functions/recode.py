@@ -84,6 +84,9 @@ def arrival_time(c) -> Column:
     t = F.regexp_replace(t, " ", "")
     t = F.regexp_replace(t, ":", ".")
     t = F.regexp_replace(t, r"^(\d{1,2})(am|pm)$", "$1.00$2")
+    # one-digit minutes / seconds read as in Python's %M / %S (7.5pm -> 7.05 pm)
+    t = F.regexp_replace(t, r"^(\d{1,2})\.(\d)(?=[.ap])", "$1.0$2")
+    t = F.regexp_replace(t, r"^(\d{1,2}\.\d{2})\.(\d)(?=[ap])", "$1.0$2")
     t = F.upper(t)
     ts = F.coalesce(F.try_to_timestamp(t, F.lit("h.mma")),
                     F.try_to_timestamp(t, F.lit("h.mm.ssa")))
