@@ -68,8 +68,8 @@ def test_guarded_visit_date(spark):
 
 def test_guests(spark):
     assert run(spark, ["Two", " twenty-three ", "one hundred and five", "many", "4", "2.0", "six guests",
-                       "two thousand and five", "hundred", None],
-               R.guest_count) == [2, 23, 105, None, 4, 2, 6, 2005, 100, None]
+                       "two thousand and five", "hundred", None, "two point five", "pointless"],
+               R.guest_count) == [2, 23, 105, None, 4, 2, 6, 2005, 100, None, 2, None]
 
 
 def test_nan_to_null(spark):

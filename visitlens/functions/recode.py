@@ -126,10 +126,13 @@ def guest_count(c) -> Column:
     Number words (``twenty-three``, ``one hundred and five``) are looked up
     and folded left to right: ``hundred`` multiplies the running group,
     ``thousand``/``million``/``billion`` close a group; other words are
-    ignored. Text without number words is read as a number and truncated
-    (``2.0`` -> 2), as a numeric spreadsheet cell would be.
+    ignored; a decimal part after ``point`` is dropped. Text without number
+    words is read as a number and truncated (``2.0`` -> 2), as a numeric
+    spreadsheet cell would be.
     """
     t = F.lower(py_strip(F.regexp_replace(col_(c).cast("string"), "-", " ")))
+    # a count is whole: words after "point" (a decimal part) are not added
+    t = F.regexp_replace(t, r"(^|\s)point(\s.*)?$", "")
     words = F.split(t, r"\s+")
     m = F.create_map(*[F.lit(x) for x in chain.from_iterable(config.NUMBER_WORDS.items())])
     values = F.filter(F.transform(words, lambda w: F.try_element_at(m, w).cast("long")),
