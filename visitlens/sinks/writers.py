@@ -64,7 +64,7 @@ def sql_type(dt: T.DataType) -> str:
 
 
 def column_types(df: DataFrame) -> str:
-    """``createTableColumnTypes`` option value for a JDBC write."""
+    """Column list of a database ``CREATE TABLE`` for this frame (DDL text)."""
     return ", ".join(f'"{f.name}" {sql_type(f.dataType)}' for f in df.schema.fields)
 
 
@@ -73,12 +73,14 @@ def jdbc_write(df: DataFrame, table: str, url: str | None = None, url_env: str =
                mode: str = "overwrite", batch_size: int = 10_000, num_partitions: int = 8) -> None:
     """Write a table over JDBC in parallel batches.
 
-    ``overwrite`` drops and re-creates the table with the mapped column
-    types; ``append`` adds rows. An empty frame writes no rows.
+    ``overwrite`` drops and re-creates the table, ``append`` adds rows; an
+    empty frame writes no rows. Column types come from Spark's JDBC dialect
+    (for PostgreSQL: text, bigint, double precision, timestamp, the same
+    mapping as ``sql_type``).
     """
     url = url or os.environ[url_env]
     opts = {"url": url, "dbtable": table, "batchsize": str(batch_size),
-            "numPartitions": str(num_partitions), "createTableColumnTypes": column_types(df)}
+            "numPartitions": str(num_partitions)}
     if os.environ.get(user_env):
         opts["user"] = os.environ[user_env]
     if os.environ.get(password_env):
