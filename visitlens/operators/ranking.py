@@ -87,7 +87,7 @@ def distributed_row_number(df: DataFrame, partition_cols: list[str], order_cols:
 
     joined = local.join(F.broadcast(offsets), on=_null_safe_eq([_PID, *partition_cols], "_o_"),
                         how="left")
-    rank = (F.col(_LOCAL) + F.coalesce(F.col(_OFF), F.lit(0))).cast("int")
+    rank = F.col(_LOCAL).cast("long") + F.coalesce(F.col(_OFF), F.lit(0).cast("long"))  # groups may pass 2^31 rows
     return joined.select(*[F.col(c) for c in df.columns], rank.alias(out_col))
 
 

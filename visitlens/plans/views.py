@@ -72,7 +72,8 @@ def _with_flags(ranked: DataFrame) -> DataFrame:
     rank = F.col("visit_rank")
     lo, hi = config.PREVIOUS_RANKS
     return ranked.select(
-        *[c for c in MASTER_COLUMNS[:15]],
+        *[c for c in MASTER_COLUMNS[:14]],
+        rank.cast("long").alias("visit_rank"),
         F.coalesce(rank == config.LATEST_RANK, F.lit(False)).alias("is_latest_visit"),
         F.coalesce(rank.between(lo, hi), F.lit(False)).alias("is_previous_10_visits"),
         scoring.visit_group(rank).alias("visit_group"),
