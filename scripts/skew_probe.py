@@ -22,7 +22,7 @@ from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from visitlens.operators import scoring  # noqa: E402
-from visitlens.operators.ranking import distributed_row_number  # noqa: E402
+from visitlens.operators.ranking import distributed_row_number, top_n_per_group  # noqa: E402
 from visitlens.session import get_spark  # noqa: E402
 from visitlens.sources import fixtures as fx  # noqa: E402
 
@@ -87,6 +87,8 @@ def main() -> None:
     sc.setJobGroup("distributed", "distributed row number")
     dist = distributed_row_number(hot, ["client_name", "venue_name"], order, "rn")
     dist.write.format("noop").mode("overwrite").save()
+    sc.setJobGroup("top11", "ranks 1..11 per venue")
+    top_n_per_group(hot, ["client_name", "venue_name"], order, 11, "rn").write.format("noop").mode("overwrite").save()
     # copies: every third visit appears eleven times; the visit total groups
     # on the raw keys and combines the copies map-side before its shuffle
     sc.setJobGroup("prepare", "prepare")
@@ -106,6 +108,8 @@ def main() -> None:
     for g in ("plain", "distributed"):
         best, total = max_task_records(log_dir, g)
         out[g] = {"max_shuffle_records_one_task": best, "shuffle_records_total": total}
+    best, total = max_task_records(log_dir, "top11")
+    out["top11"] = {"max_shuffle_records_one_task": best, "shuffle_records_total": total}
     best, total = max_task_records(log_dir, "copies")
     out["copies"] = {"input_rows": n_copies, "shuffle_records_total": total,
                      "max_shuffle_records_one_task": best}
