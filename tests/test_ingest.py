@@ -250,3 +250,13 @@ def test_xlsx_date_cells_become_iso_text():
         z.writestr("xl/worksheets/sheet1.xml", sheet)
     assert list(xlsx_cells(buf.getvalue())) == [(0, 0, "2024-06-01"), (0, 1, "2024-06-01 12:00:00"),
                                                 (0, 2, "45444"), (0, 3, "19:30:00")]
+
+
+def test_register_views_with_unified_master(spark):
+    from conftest import SF_SMALL
+    from visitlens.plans.views import register_views
+    from visitlens.sources import fixtures as fx
+    master = fx.comment_master(spark, SF_SMALL)
+    register_views(spark, fx.section_scores_wide(spark, SF_SMALL), fx.feedback_service(spark, SF_SMALL), master)
+    sources = {r[0] for r in spark.sql("select distinct source_table from vw_comments_powerbi").collect()}
+    assert sources and all(s.startswith("client_") and s.endswith("_master") for s in sources)
