@@ -105,3 +105,24 @@ def test_null_tokens_and_truthy(spark):
 def test_plain_number(spark):
     vals = ["3", "3.0", "-1", "1e2", "NaN", ".5", "3\n"]
     assert run(spark, vals, T.is_plain_number) == [True, True, False, False, False, False, False]
+
+
+def test_text_identity_keeps_null(spark):
+    assert run(spark, ["a@b.c", None, "Ann"], R.text_identity) == ["a@b.c", None, "Ann"]
+
+
+def test_recode_chain_by_column_name(spark):
+    from visitlens.plans.recode import recode_survey
+    cols = ["Email Address", "please_enter_your_details_here_gender",
+            "how_likely_would_you_be_to_recommend_this_establishment_respons",
+            "total_expenditure_response", "time_you_arrived", "date_of_your_visit_this_visit",
+            "please_enter_the_number_of_guests_in_your_party_response", "welcome_rating"]
+    df = spark.createDataFrame([(None, " m", "Not very likely", "$5", "7pm", "5/9/2024", "two", "Good")],
+                               ", ".join(f"`{c}` string" for c in cols))
+    r = recode_survey(df).collect()[0]
+    assert r["Email Address"] is None and r["please_enter_your_details_here_gender"] == "Male"
+    assert r["how_likely_would_you_be_to_recommend_this_establishment_respons"] == 0.0
+    assert r["total_expenditure_response"] == 5.0 and r["time_you_arrived"] == "7.00 pm"
+    assert str(r["date_of_your_visit_this_visit"]) == "2024-09-05"
+    assert r["please_enter_the_number_of_guests_in_your_party_response"] == 2
+    assert r["welcome_rating"] == 2.0  # detected as a Likert column from its values
