@@ -116,8 +116,10 @@ def test_recode_chain_by_column_name(spark):
     cols = ["Email Address", "please_enter_your_details_here_gender",
             "how_likely_would_you_be_to_recommend_this_establishment_respons",
             "total_expenditure_response", "time_you_arrived", "date_of_your_visit_this_visit",
-            "please_enter_the_number_of_guests_in_your_party_response", "welcome_rating"]
-    df = spark.createDataFrame([(None, " m", "Not very likely", "$5", "7pm", "5/9/2024", "two", "Good")],
+            "please_enter_the_number_of_guests_in_your_party_response", "welcome_rating",
+            "speed_of_hot_beverage_service_how_long_did_it_take_to_receive_y"]
+    df = spark.createDataFrame([(None, " m", "Not very likely", "$5", "7pm", "5/9/2024", "two", "Good",
+                                 "Between five and six minutes")],
                                ", ".join(f"`{c}` string" for c in cols))
     r = recode_survey(df).collect()[0]
     assert r["Email Address"] is None and r["please_enter_your_details_here_gender"] == "Male"
@@ -126,3 +128,4 @@ def test_recode_chain_by_column_name(spark):
     assert str(r["date_of_your_visit_this_visit"]) == "2024-09-05"
     assert r["please_enter_the_number_of_guests_in_your_party_response"] == 2
     assert r["welcome_rating"] == 2.0  # detected as a Likert column from its values
+    assert r["speed_of_hot_beverage_service_how_long_did_it_take_to_receive_y"] == 2.0
