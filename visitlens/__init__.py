@@ -7,6 +7,23 @@ Layers:
   plans/      the report views and the master build, composed from operators
   sinks/      table / parquet / JDBC writers
   streaming/  incremental ingest of newly dropped survey files
+
+Typical use::
+
+    from visitlens.session import get_spark
+    from visitlens.plans.build import build_masters
+    from visitlens.plans import views
+    from visitlens.sinks.writers import write_client_masters
+
+    spark = get_spark()
+    m = build_masters(spark, "/data/surveys")          # root/<client>/<venue>.xlsx
+    write_client_masters(m.masters, "/warehouse/masters")
+    views.register_views(spark, section_scores, feedback, m.masters)
+    spark.table("vw_report_base_powerbi").show()
+
+``section_scores`` holds the four sections' category and total scores per
+visit (one wide frame, or ``{section: frame}``); ``scoring.build_section_scores``
+derives it from recoded Likert answers.
 """
 
 __version__ = "0.1.0"
