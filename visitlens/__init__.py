@@ -26,4 +26,12 @@ visit (one wide frame, or ``{section: frame}``); ``scoring.build_section_scores`
 derives it from recoded Likert answers.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# functions of this package travel to Python workers by value, so executors
+# need no copy of it on their path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
