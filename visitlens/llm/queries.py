@@ -5,16 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import chat_format, exact_dedup, pii, quality_rules
+from visitlens.llm import (
+    bpe, chat_format, exact_dedup, lm_scoring, near_dedup, packing, pii, quality_classifier, quality_rules, secret_scan)
 from visitlens.llm.common import table
 
+#: Conversation -1 of the chat query: both turns say this.
 CHAT_EXTRA = "<|im_end|><|im_start|>assistant ok"
 
 
+def tokenizer(name: str) -> str:
+    """Text of a public tokenizer's file, read where the job is built."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.score(docs, model).select(
+        "doc_id", F.coalesce(quality_classifier.held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
@@ -27,6 +44,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         base.alias("base_failed"), "kept", F.col("failed").alias("failed_bits"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
@@ -43,9 +72,14 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {
-    "op1_exact_dedup": op1_exact_dedup,
-    "op3_pii": op3_pii,
-    "op4_quality_rules": op4_quality_rules,
-    "op8_chat_format": op8_chat_format,
-}
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op2_quality_classifier, op3_pii, op4_quality_rules, op5_lm_scoring, op6_packing,
+    op7_secret_scan, op8_chat_format, op9_bpe, op10_minhash_near_dedup)}
