@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitlens.llm.common import with_running
+
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 #: Placeholder and tokens per unit of each attachment type (units: image
 #: tiles, audio seconds, document pages).
@@ -91,23 +93,18 @@ def format_chat(turns: DataFrame) -> DataFrame:
         F.filter(F.flatten(F.transform("turns", lambda t: t["parts"])),
                  lambda p: F.coalesce(p["type"], F.lit("text")) != "text").alias("files"))
     tail = f"{END}\n"
-    # running start of each turn: one fold that carries (position, spans)
-    sized = pieces.select(
+    sized = with_running(pieces.select(
         "*", F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], F.lit(tail))),
                           "").alias("formatted"),
-        F.transform("pieces", lambda p: F.struct(
-            (p["role"] == "assistant").alias("loss"),
-            F.length(p["head"]).cast("long").alias("head"),
-            F.length(p["body"]).cast("long").alias("body"))).alias("sizes"))
-    start = F.struct(F.lit(1).cast("long").alias("at"),
-                     F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
-    walked = F.aggregate("sizes", start, lambda acc, s: F.struct(
-        (acc["at"] + s["head"] + s["body"] + F.lit(len(tail))).alias("at"),
-        F.when(s["loss"], F.concat(acc["spans"], F.array(F.struct(
-            (acc["at"] + s["head"]).alias("start"), s["body"].alias("length"))))
-        ).otherwise(acc["spans"]).alias("spans")), lambda acc: acc["spans"])
+        F.transform("pieces", lambda p: (F.length(p["head"]) + F.length(p["body"]) + len(tail)).cast("bigint")).alias("sizes")),
+        {"ends": "sizes"})
+    bodies = F.transform("pieces", lambda p, i: F.struct(
+        (F.get(F.col("ends"), i) - len(tail) - F.length(p["body"]) + 1).alias("start"),
+        F.length(p["body"]).cast("bigint").alias("length"), p["role"].alias("role")))
+    spans = F.transform(F.filter(bodies, lambda b: b["role"] == "assistant"),
+                        lambda b: F.struct(b["start"].alias("start"), b["length"].alias("length")))
     return sized.select(
-        "conv_id", "formatted", walked.alias("loss_spans"),
+        "conv_id", "formatted", spans.alias("loss_spans"),
         F.transform("files", lambda p, i: F.struct(
             i.alias("n"), p["type"].alias("type"), p["ref"].alias("ref"),
             _tokens(p).cast("long").alias("tokens"))).alias("attachments"),

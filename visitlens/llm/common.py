@@ -36,6 +36,49 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def with_running(df: DataFrame, columns: dict[str, str], how: str = "sum") -> DataFrame:
+    """Adds running sums or maxima of arrays of non-negative bigints.
+
+    ``columns`` maps each new array column to its source. Every array is taken
+    in blocks of the square root of its size: block totals first, then each
+    place within its block. A fold that appends to an array copies it at every
+    step, which texts with thousands of matches cannot afford.
+    """
+    zero = F.lit(0).cast("bigint")
+
+    def total(part: Column) -> Column:
+        if how == "max":
+            return F.coalesce(F.array_max(part), zero)
+        return F.aggregate(part, zero, lambda a, x: a + x)
+
+    def joined(a: Column, b: Column) -> Column:
+        return F.greatest(a, b) if how == "max" else a + b
+
+    def block(j: Column, step: Column) -> Column:
+        return F.floor(j / step).cast("int")
+
+    def totals(new: str, old: str) -> Column:
+        step = F.col(f"_step_{new}")
+        return F.transform(F.sequence(F.lit(0), block(F.size(old), step)),
+                           lambda k: total(F.slice(F.col(old), k * step + 1, step)))
+
+    def before(new: str) -> Column:
+        blocks = F.col(f"_blocks_{new}")
+        return F.transform(blocks, lambda _, k: total(F.slice(blocks, F.lit(1), k)))
+
+    def placed(new: str, old: str) -> Column:
+        step = F.col(f"_step_{new}")
+        return F.transform(F.col(old), lambda _, j: joined(
+            F.get(F.col(f"_before_{new}"), block(j, step)),
+            total(F.slice(F.col(old), block(j, step) * step + 1, j % step + 1))))
+
+    df = df.withColumns({f"_step_{n}": F.greatest(F.ceil(F.sqrt(F.size(o))), F.lit(1)).cast("int") for n, o in columns.items()})
+    df = df.withColumns({f"_blocks_{n}": totals(n, o) for n, o in columns.items()})
+    df = df.withColumns({f"_before_{n}": before(n) for n in columns})
+    df = df.withColumns({n: placed(n, o) for n, o in columns.items()})
+    return df.drop(*[f"_{x}_{n}" for n in columns for x in ("step", "blocks", "before")])
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the cluster's shared ``spark.checkpoint.dir``.
 

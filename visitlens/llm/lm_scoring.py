@@ -1,25 +1,28 @@
 """Language-model scoring by context-tree weighting over bytes.
 
 The model: a byte is eight binary decisions, each with a context tree over the
-two preceding bytes. Every node of every tree keeps two counts and their
+``DEPTH`` preceding bytes. Every node of every tree keeps two counts and their
 Krichevsky-Trofimov estimate, and a node's prediction mixes its own estimate
 with its child's by the weights that context-tree weighting gives after the
 training texts. An end symbol closes each text, so a text's code length is that
-of a proper distribution. Counts come from all training texts: tasks count,
-Spark sums, and the driver turns the sums into one dense table of 256^3 log
-probabilities (64 MB at any corpus size), which is broadcast.
+of a proper distribution.
 
-The unigram reference: word counts must be looked up for every word of every
-text, and the vocabulary grows with the corpus, so it is never broadcast.
-Documents are dealt into blocks by hash; each block asks for its own distinct
-words once, a window over the word adds up the corpus count, and each block's
-answers meet its documents again in a cogroup. A word in every block costs one
-row per block.
+Nothing that grows with the corpus is broadcast or collected. Documents are
+dealt into blocks by hash; a block asks once for each of its distinct words and
+byte strings (a byte with its context) and says how often they occur in its
+training texts. A window adds up the corpus counts. The trees are tables: one
+aggregate per depth goes up (counts, block probabilities), one join per depth
+comes down (mixed predictions), and a byte string's probability is the product
+over its eight nodes. The answers meet the block's documents in a cogroup. A
+string in every block costs one row per block, whatever the size of the corpus.
+
+Strings that occur in held-out texts only are in the tables with count 0, so
+every node that a text needs exists; a node without counts predicts one half.
 
 Defined results: null text counts as empty, which has the end token only;
 repeated rows are trained on and scored each; an empty table gives no rows;
-without training texts every token has count 0; only the id and text columns
-are read.
+without training texts every token has count 0 and every bit costs one bit;
+only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -35,32 +38,36 @@ from pyspark.sql import functions as F
 
 from visitlens.llm.common import cut_lineage, id_text_crc, shuffle_partitions, text_or_empty
 
-END, CELLS = 255, 1 << 24
+#: Preceding bytes in a context.
+DEPTH = 4
 #: Bytes of text in a block of documents, and in one pass of a task.
 BLOCK_BYTES, PASS_BYTES = 16 << 20, 4 << 20
 ADD = 0.1
-
-
-def _log_gamma(x: np.ndarray) -> np.ndarray:
-    """Stirling's series after a shift by eight (exact to 1e-12 from 0.5 on)."""
-    shift = np.ones_like(x)
-    for j in range(8):
-        shift = shift * (x + j)
-    y = x + 8
-    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - np.log(shift)
-
-
-def _positions(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Cell (two bytes before, byte) of every byte and end, and each text's first."""
-    data = np.frombuffer(b"\0\0" + b"\xff\0\0".join(texts) + b"\xff", np.uint8).astype(np.uint32)
-    cells = data[2:] | data[1:-1] << np.uint32(8) | data[:-2] << np.uint32(16)
+#: First byte of an asked item: a word (the end token is the empty word), or a
+#: byte string of context and byte.
+WORD, STRING = b"w", b"s"
+
+
+def _strings(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Context and byte, as one number, of every byte and end; each text's first."""
+    start = b"\0" * DEPTH
+    data = np.frombuffer(start + (b"\xff" + start).join(texts) + b"\xff", np.uint8).astype(np.uint64)
+    size = len(data) - DEPTH
+    found = np.zeros(size, np.uint64)
+    for j in range(DEPTH + 1):
+        found = found << np.uint64(8) | data[j:size + j]
     sizes = np.array([len(t) + 1 for t in texts])
     first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    take = np.arange(int(sizes.sum())) + np.repeat(2 * np.arange(len(texts)), sizes)
-    return cells[take], first
+    take = np.arange(int(sizes.sum())) + np.repeat(DEPTH * np.arange(len(texts)), sizes)
+    return found[take], first
 
 
-def _passes(texts: Iterator[bytes]) -> Iterator[list[bytes]]:
+def _as_items(strings: np.ndarray) -> list[bytes]:
+    raw = strings.astype(">u8").tobytes()
+    return [STRING + raw[i + 7 - DEPTH:i + 8] for i in range(0, len(raw), 8)]
+
+
+def _passes(texts: list[bytes]) -> Iterator[list[bytes]]:
     some, size = [], 0
     for t in texts:
         some.append(t)
@@ -76,162 +83,177 @@ def _utf8(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = None
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            for texts in _passes(_utf8(batch.slice(at, 1024).column(0))):
-                found = np.bincount(_positions(texts)[0], minlength=CELLS)
-                total = found if total is None else np.add(total, found, out=total)
-    if total is not None:
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(total[cells], pa.int64())], ["cell", "n"])
-
-
-def _estimates(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each binary node: estimate of a one, log probability of its block.
-
-    ``counts``: (..., 256) by byte; nodes are numbered like a heap from 1.
-    """
-    heap = np.zeros((*counts.shape[:-1], 512))
-    heap[..., 256:] = counts
-    for level in range(7, -1, -1):
-        a = 1 << level
-        heap[..., a:2 * a] = heap[..., 2 * a:4 * a:2] + heap[..., 2 * a + 1:4 * a:2]
-    zeros, ones = heap[..., 0::2], heap[..., 1::2]
-    zeros[..., 0] = ones[..., 0] = 0  # place 0 is no node
-    block = _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1) - math.log(math.pi)
-    return (ones + 0.5) / (zeros + ones + 1), block
-
-
-def context_tree(counts: np.ndarray) -> np.ndarray:
-    """log10 probability of each byte after two bytes, from training counts.
-
-    Both arrays have the shape (second last byte, last byte, byte).
-    """
-    half = math.log(0.5)
-    middle_counts = counts.sum(axis=0)
-    kt1, block1 = _estimates(middle_counts)
-    below = np.zeros((256, 256))
-    for last in range(256):
-        if middle_counts[last].any():
-            below[last] = _estimates(counts[:, last])[1].sum(axis=0)
-    whole1 = np.logaddexp(block1, below) + half
-    weight1 = np.exp(block1 + half - whole1)
-    kt0, block0 = _estimates(middle_counts.sum(axis=0))
-    whole0 = np.logaddexp(block0, whole1.sum(axis=0)) + half
-    weight0 = np.exp(block0 + half - whole0)
-    table = np.empty((256, 256, 256), np.float32)
-    for last in range(256):
-        one = _estimates(counts[:, last])[0]
-        one = weight1[last] * kt1[last] + (1 - weight1[last]) * one
-        one = weight0 * kt0 + (1 - weight0) * one
-        path = np.zeros((256, 512))
-        for level in range(8):
-            a = 1 << level
-            path[:, 2 * a:4 * a:2] = path[:, a:2 * a] + np.log10(1 - one[:, a:2 * a])
-            path[:, 2 * a + 1:4 * a:2] = path[:, a:2 * a] + np.log10(one[:, a:2 * a])
-        table[:, last] = path[:, 256:]
-    return table
-
-
-def code_scores(table: np.ndarray, texts: list[bytes]) -> np.ndarray:
-    """log10 probability of each whole text, end symbol included."""
-    out = []
-    for some in _passes(iter(texts)):
-        cells, first = _positions(some)
-        out.append(np.add.reduceat(table.reshape(-1)[cells].astype(float), first))
-    return np.concatenate(out) if out else np.zeros(0)
-
-
 def _words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block: each distinct word and its count in training texts; the empty
-    word is the end token."""
-    counts: dict[int, Counter] = defaultdict(Counter)
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block: each distinct word and byte string with its training count."""
+    words: dict[int, Counter] = defaultdict(Counter)
+    strings: dict[int, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
+
+    def merge(block: int) -> tuple[np.ndarray, np.ndarray]:
+        keys, n = (np.concatenate(x) for x in zip(*strings[block]))
+        keys, inverse = np.unique(keys, return_inverse=True)
+        strings[block] = [(keys, np.bincount(inverse, weights=n).astype(np.int64))]
+        return strings[block][0]
+
+    def rows(block: int, items: list[bytes], n: list[int]) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(items), 1 << 16):
+            some = items[at:at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(some), block), pa.int32()), pa.array(some, pa.binary()),
+                 pa.array(n[at:at + (1 << 16)], pa.int64())], ["block", "item", "n"])
+
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
             part = batch.slice(at, 1024)
+            groups: dict[tuple[int, bool], list[bytes]] = defaultdict(list)
             for block, train, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), _utf8(part.column(2))):
-                words = _words(text)
-                words.append(b"")
-                own = counts[block]
-                if train:
-                    own.update(words)
-                else:
-                    own.update(dict.fromkeys(words, 0))
-    for block, own in counts.items():
-        words = list(own)
-        for at in range(0, len(words), 1 << 16):
-            some = words[at:at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(some), block), pa.int32()), pa.array(some, pa.binary()),
-                 pa.array([own[w] for w in some], pa.int64())], ["block", "word", "n"])
-
-
-def train(texts: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Context-tree table from all rows of ``texts``."""
-    rows = texts.select(text_or_empty(text_col).alias("text"))
-    sums = rows.mapInArrow(_count_cells, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-    got = sums.toArrow()  # at most 256^3 cells, whatever the corpus
-    counts = np.zeros(CELLS, np.float32)
-    counts[got.column("cell").to_numpy()] = got.column("n").to_numpy()
-    return context_tree(counts.reshape(256, 256, 256))
-
-
-def _blocks(docs: DataFrame, is_train: Column, n: int) -> DataFrame:
+                groups[block, train].append(text)
+            for (block, train), texts in groups.items():
+                own = words[block]
+                for text in texts:
+                    each = _words(text)
+                    each.append(b"")
+                    own.update(each if train else dict.fromkeys(each, 0))
+                for some in _passes(texts):
+                    keys, n = np.unique(_strings(some)[0], return_counts=True)
+                    strings[block].append((keys, n * train))
+                    if len(strings[block]) >= 16:
+                        merge(block)
+    for block in list(words):
+        own = words.pop(block)
+        yield from rows(block, [WORD + w for w in own], list(own.values()))
+        keys, n = merge(block)
+        del strings[block]
+        yield from rows(block, _as_items(keys), n.tolist())
+
+
+def _log_gamma(x: Column) -> Column:
+    """Stirling's series after a shift by eight (exact to 1e-11 from 0.5 on)."""
+    shift = x
+    for j in range(1, 8):
+        shift = shift * (x + j)
+    y = x + 8
+    return ((y - 0.5) * F.log(y) - y + F.lit(0.5 * math.log(2 * math.pi)) + 1 / (12 * y) - 1 / (360 * y * y * y)
+            + 1 / (1260 * y * y * y * y * y) - F.log(shift))
+
+
+def _block_probability(a: Column, b: Column) -> Column:
+    """Natural log of the Krichevsky-Trofimov probability of a zeros, b ones."""
+    a, b = a.cast("double"), b.cast("double")
+    return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1) - F.lit(math.log(math.pi))
+
+
+def _log_add(x: Column, y: Column) -> Column:
+    return F.greatest(x, y) + F.log1p(F.exp(-F.abs(x - y)))
+
+
+def _nodes(strings: DataFrame) -> DataFrame:
+    """(key, ctx, v, bit, n) for the eight binary nodes of each (key, n)."""
+    byte = F.col("key").bitwiseAND(F.lit(255))
+    path = F.array(*[F.struct(
+        F.shiftright(byte.bitwiseOR(F.lit(256)), 8 - i).cast("int").alias("v"),
+        F.shiftright(byte, 7 - i).bitwiseAND(F.lit(1)).cast("int").alias("bit")) for i in range(8)])
+    return strings.select("key", F.shiftright("key", 8).alias("ctx"), "n", F.explode(path).alias("p")).select(
+        "key", "ctx", "n", "p.v", "p.bit")
+
+
+def context_trees(strings: DataFrame) -> DataFrame:
+    """(key, logp): log10 probability of the byte after its context, for every
+    (key, n) of ``strings``, whose counts n are the training corpus."""
+    half = F.lit(math.log(0.5))
+    nodes = _nodes(strings)
+    level = cut_lineage(nodes.groupBy("ctx", "v").agg(
+        F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("a"),
+        F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("b"))
+        .withColumn("kt", _block_probability(F.col("a"), F.col("b"))).withColumn("whole", F.col("kt")))
+    levels = [level]
+    for depth in range(DEPTH - 1, -1, -1):
+        up = levels[-1].groupBy(F.col("ctx").bitwiseAND(F.lit((1 << 8 * depth) - 1)).alias("ctx"), "v").agg(
+            F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("whole").alias("below"))
+        up = up.withColumn("kt", _block_probability(F.col("a"), F.col("b")))
+        levels.append(cut_lineage(up.withColumn("whole", half + _log_add(F.col("kt"), F.col("below"))).drop("below")))
+    one = (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
+    # mixed: what the depths so far say; rest: the weight left for deeper ones
+    mixed = None
+    for depth, level in enumerate(reversed(levels)):
+        weight = F.lit(1.0) if depth == DEPTH else F.exp(half + F.col("kt") - F.col("whole"))
+        if mixed is None:
+            mixed = level.select("ctx", "v", (weight * one).alias("said"), (1 - weight).alias("rest"))
+        else:
+            above = mixed.select(F.col("ctx").alias("up"), "v", F.col("said").alias("said_up"), F.col("rest").alias("rest_up"))
+            down = level.withColumn("up", F.col("ctx").bitwiseAND(F.lit((1 << 8 * (depth - 1)) - 1)))
+            mixed = down.join(above, ["up", "v"]).select(
+                "ctx", "v", (F.col("said_up") + F.col("rest_up") * weight * one).alias("said"),
+                (F.col("rest_up") * (1 - weight)).alias("rest"))
+    said = nodes.join(mixed.select("ctx", "v", "said"), ["ctx", "v"])
+    return said.groupBy("key").agg(F.sum(F.log10(
+        F.when(F.col("bit") == 1, F.col("said")).otherwise(1 - F.col("said")))).alias("logp"))
+
+
+def _blocks(docs: DataFrame, n: int) -> DataFrame:
     return docs.select(F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int").alias("block"),
-                       is_train.alias("train"), "text", "id").repartition(n, "block")
+                       (~F.col("held")).alias("train"), "text", "id").repartition(n, "block")
 
 
 def score(docs: DataFrame, held_out: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score,
     bits_per_byte. Rows that are held out take no part in any count."""
-    spark = docs.sparkSession
     if held_out is None:
         held_out = id_text_crc(id_col) % 10 == 0
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held"))
     kind = rows.schema["id"].dataType.simpleString()
-    table = train(rows.filter(~F.col("held")))
-    shared = spark.sparkContext.broadcast(table)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(shuffle_partitions(spark), -(-size // BLOCK_BYTES))
-    blocks = _blocks(rows, ~F.col("held"), n)
-    asked = blocks.select("block", "train", "text").mapInArrow(_count_words, "block int, word binary, n bigint")
-    word = Window.partitionBy("word")
+    blocks = _blocks(rows, max(shuffle_partitions(docs.sparkSession), -(-size // BLOCK_BYTES)))
+    asked = blocks.select("block", "train", "text").mapInArrow(_ask, "block int, item binary, n bigint")
+    item = Window.partitionBy("item")
     counted = cut_lineage(asked.select(
-        "block", "word", "n", F.sum("n").over(word).alias("c"),
-        (F.row_number().over(word.orderBy("block")) == 1).alias("first")))
-    tokens, distinct = counted.agg(
+        "block", "item", "n", F.sum("n").over(item).alias("c"),
+        (F.row_number().over(item.orderBy("block")) == 1).alias("first")))
+    is_word = F.substring("item", 1, 1) == F.lit(WORD)
+    words = counted.filter(is_word)
+    tokens, distinct = words.agg(
         F.coalesce(F.sum("n"), F.lit(0)),
         F.coalesce(F.sum((F.col("first") & (F.col("c") > 0)).cast("long")), F.lit(0))).first()
     floor = math.log10(tokens + ADD * (distinct + 1))
+    key = F.conv(F.hex(F.substring("item", 2, DEPTH + 1)), 16, 10).cast("bigint")
+    strings = counted.filter(~is_word).withColumn("key", key)
+    known = context_trees(strings.filter("first").select("key", F.col("c").alias("n")))
+    answers = words.select("block", "item", F.log10(F.col("c") + ADD).alias("value")).unionByName(
+        strings.join(known, "key").select("block", "item", F.col("logp").alias("value")))
 
     def answer(some: pa.Table, known: pa.Table) -> pa.Table:
-        values = np.log10(known.column("c").to_numpy() + ADD)
-        of = dict(zip(known.column("word").to_pylist(), values.tolist()))
+        items, values = _utf8(known.column("item").combine_chunks()), known.column("value").to_numpy()
+        of = {x[1:]: v for x, v in zip(items, values.tolist()) if x[:1] == WORD}
+        place = [i for i, x in enumerate(items) if x[:1] == STRING]
+        raw = np.frombuffer(b"".join(items[i][1:] for i in place), np.uint8).reshape(-1, DEPTH + 1).astype(np.uint64)
+        keys = np.zeros(len(raw), np.uint64)
+        for j in range(DEPTH + 1):
+            keys = keys << np.uint64(8) | raw[:, j]
+        order = np.argsort(keys)
+        keys, logp = keys[order], values[place][order]
         kinds = [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
                  ("bits_per_byte", pa.float64())]
         out: dict[str, list] = {k: [] for k, _ in kinds}
         for at in range(0, some.num_rows, 1024):
-            texts = _utf8(some.column("text").slice(at, 1024).combine_chunks())
-            scores = code_scores(shared.value, texts)
-            for text, whole in zip(texts, scores.tolist()):
-                words = _words(text)
-                words.append(b"")
-                each = np.fromiter(map(of.__getitem__, words), float, len(words))
-                out["n_tokens"].append(len(words))
-                out["n_known"].append(int((each > 0).sum()))
-                out["base_score"].append(float(each.sum()) - len(words) * floor)
-                out["score"].append(whole)
-                out["bits_per_byte"].append(-whole / math.log10(2) / (len(text) + 1))
+            for texts in _passes(_utf8(some.column("text").slice(at, 1024).combine_chunks())):
+                found, first = _strings(texts)
+                scores = np.add.reduceat(logp[np.searchsorted(keys, found)], first)
+                for text, whole in zip(texts, scores.tolist()):
+                    each = _words(text)
+                    each.append(b"")
+                    got = np.fromiter(map(of.__getitem__, each), float, len(each))
+                    out["n_tokens"].append(len(each))
+                    out["n_known"].append(int((got > 0).sum()))
+                    out["base_score"].append(float(got.sum()) - len(each) * floor)
+                    out["score"].append(whole)
+                    out["bits_per_byte"].append(-whole / math.log10(2) / (len(text) + 1))
         return pa.table({"id": some.column("id"), "train": some.column("train"), **{k: pa.array(out[k], t) for k, t in kinds}})
 
-    both = blocks.groupBy("block").cogroup(counted.select("block", "word", "c").groupBy("block"))
+    both = blocks.groupBy("block").cogroup(answers.groupBy("block"))
     found = both.applyInArrow(answer, (
         f"id {kind}, train boolean, n_tokens bigint, n_known bigint, base_score double, score double, bits_per_byte double"))
     return found.select(F.col("id").alias(id_col), (~F.col("train")).alias("held_out"), "n_tokens", "n_known",

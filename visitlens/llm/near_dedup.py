@@ -237,3 +237,11 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str =
     return components(rows, size, percent).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("c").alias("component_id"),
         F.col("id").eqNullSafe(F.col("c")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is the least of its component."""
+    found = near_dedup(docs, size, percent, id_col, text_col)
+    gone = found.filter(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

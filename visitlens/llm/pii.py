@@ -1,8 +1,8 @@
 """Personal data: proposing patterns, checksums, context words.
 
 Each kind's pattern proposes leftmost, non-overlapping spans. Cutting the text
-at the same pattern gives the pieces between the matches, so one fold over
-(piece, match) pairs yields code-point offsets without any Python. Checksums
+at the same pattern gives the pieces between the matches, so running sums of
+the lengths yield code-point offsets without any Python. Checksums
 (Luhn for cards, mod-97 for account numbers) and ranges confirm a span; words
 in the text just before it raise its score. Patterns start at the beginning of
 a run and use possessive repeats, so long runs cost linear time.
@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import text_or_empty
+from visitlens.llm.common import text_or_empty, with_running
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: Kind -> proposing pattern. The first four are fixed by contract; they are
@@ -42,7 +42,6 @@ CONTEXT_CHARS, CONTEXT_BONUS = 40, 0.2
 #: Least score of a kind that is not one of the base kinds.
 LEAST_SCORE = 0.5
 KINDS = tuple(PATTERNS)
-SPAN = "struct<start:bigint,stop:bigint,score:double>"
 
 
 def _digits(match: Column) -> Column:
@@ -79,23 +78,19 @@ def _confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(kind: str, match: Column, piece: Column) -> Column:
-    """Confirmed spans of one kind from its matches and the pieces around them."""
-    pairs = F.transform(match, lambda m, i: F.struct(m.alias("m"), F.get(piece, i).alias("p")))
+def _spans(kind: str) -> Column:
+    """Confirmed spans of one kind from its matches, pieces and match ends."""
+    match, piece, stops = (F.col(f"_{x}_{kind}") for x in ("match", "piece", "stop"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["p"])
-        stop = start + F.length(x["m"])
-        near = F.lower(F.right(x["p"], F.lit(CONTEXT_CHARS))).rlike(CONTEXT[kind])
+    def span(m: Column, i: Column) -> Column:
+        near = F.lower(F.right(F.get(piece, i), F.lit(CONTEXT_CHARS))).rlike(CONTEXT[kind])
         score = F.lit(BASE_SCORE[kind]) + F.when(near, F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))
-        good = _confirmed(kind, x["m"])
-        if kind not in BASE_KINDS:
-            good = good & (score >= LEAST_SCORE)
-        span = F.array(F.struct(start.alias("start"), stop.alias("stop"), score.alias("score")))
-        return F.struct(stop.alias("at"), F.when(good, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+        stop = F.get(stops, i)
+        return F.when(_confirmed(kind, m), F.struct(
+            (stop - F.length(m)).alias("start"), stop.alias("stop"), score.alias("score")))
 
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
-    return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+    least = 0.0 if kind in BASE_KINDS else LEAST_SCORE
+    return F.filter(F.transform(match, span), lambda s: s.isNotNull() & (s["score"] >= least))
 
 
 def with_spans(docs: DataFrame, text_col: str = "_text") -> DataFrame:
@@ -103,13 +98,20 @@ def with_spans(docs: DataFrame, text_col: str = "_text") -> DataFrame:
     none = F.array().cast("array<string>")
     hint = {"email": "@", "phone": "+"}
     text = F.col(text_col)
-    found = docs.withColumns({f"_m_{k}": F.regexp_extract_all(text, F.lit(rx), F.lit(0)) if k not in hint else
+    found = docs.withColumns({f"_match_{k}": F.regexp_extract_all(text, F.lit(rx), F.lit(0)) if k not in hint else
                               F.when(F.contains(text, F.lit(hint[k])), F.regexp_extract_all(text, F.lit(rx), F.lit(0)))
                               .otherwise(none) for k, rx in PATTERNS.items()})
-    cut = found.withColumns({f"_p_{k}": F.when(F.size(f"_m_{k}") > 0, F.split(text, rx, -1)).otherwise(none)
+    cut = found.withColumns({f"_piece_{k}": F.when(F.size(f"_match_{k}") > 0, F.split(text, rx, -1)).otherwise(none)
                              for k, rx in PATTERNS.items()})
-    spans = cut.withColumns({f"_{k}": _spans(k, F.col(f"_m_{k}"), F.col(f"_p_{k}")) for k in KINDS})
-    return spans.drop(*[f"_{x}_{k}" for x in "mp" for k in KINDS])
+
+    def steps(kind: str) -> Column:
+        return F.transform(F.col(f"_match_{kind}"), lambda m, i: (
+            F.length(F.get(F.col(f"_piece_{kind}"), i)) + F.length(m)).cast("bigint"))
+
+    sized = cut.withColumns({f"_size_{k}": steps(k) for k in KINDS})
+    ended = with_running(sized, {f"_stop_{k}": f"_size_{k}" for k in KINDS})
+    spans = ended.withColumns({f"_{k}": _spans(k) for k in KINDS})
+    return spans.drop(*[f"_{x}_{k}" for x in ("match", "piece", "size", "stop") for k in KINDS])
 
 
 def _listed(kinds: tuple[str, ...]) -> Column:
@@ -149,16 +151,17 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
             s["start"].alias("start"), s["stop"].alias("stop"), F.lit(kind.upper()).alias("kind")))
 
     rows = rows.withColumn("_flat", F.sort_array(F.concat(*[named(k) for k in KINDS])))
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        before = F.substring(F.col("_text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["stop"]).alias("at"),
-                                                       acc["out"].alias("out"))).otherwise(
-            F.struct(s["stop"].alias("at"), F.concat(acc["out"], F.array(
-                before, F.concat(F.lit("<"), s["kind"], F.lit(">")))).alias("out")))
-
-    whole = F.aggregate("_flat", zero, step, lambda acc: F.concat(
-        F.array_join(acc["out"], ""), F.substring(F.col("_text"), (acc["at"] + 1).cast("int"), F.lit(2**31 - 1))))
+    rows = rows.withColumn("_stops", F.transform("_flat", lambda s: s["stop"]))
+    rows = with_running(rows, {"_reach": "_stops"}, "max")
+    reach = F.col("_reach")
+
+    def part(s: Column, i: Column) -> Column:
+        # text since the furthest end so far; a span that starts before it adds nothing
+        at = F.coalesce(F.get(reach, i - 1), F.lit(0).cast("bigint"))
+        before = F.substring(F.col("_text"), (at + 1).cast("int"), (s["start"] - at).cast("int"))
+        return F.when(s["start"] >= at, F.concat(before, F.lit("<"), s["kind"], F.lit(">"))).otherwise(F.lit(""))
+
+    whole = F.concat(F.array_join(F.transform("_flat", part), ""),
+                     F.substring(F.col("_text"), (F.array_max(reach) + 1).cast("int"), F.lit(2**31 - 1)))
     clean = F.when(F.size("_flat") > 0, whole).otherwise(F.col(f"c{at}"))
     return rows.select(*[(clean if i == at else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)])

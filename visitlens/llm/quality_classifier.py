@@ -5,7 +5,7 @@ character n-grams; a softmax layer on that average gives the label. The model
 is fitted by stochastic gradient descent in numpy on a bounded sample: the
 ``max_train_docs`` labelled documents of lowest id hash (a documented bound;
 scoring reads every row). The sample's n-gram counts are streamed from Spark
-once per epoch, partition by partition, so the driver never holds the sample.
+partition by partition, and held between passes only below ``HELD_BYTES``.
 For scoring, vectors and output layer fold into one number per bucket, so
 every executor needs 2 MB.
 
@@ -31,8 +31,11 @@ from visitlens.llm.hashing import mix, word_hashes
 
 #: Buckets for all n-grams, length of a vector, character n-gram lengths.
 BUCKETS, WIDTH, CHARS = 1 << 19, 16, (2, 4)
-#: Bound of the training sample, passes over it, and the learning rate.
-MAX_TRAIN_DOCS, EPOCHS, RATE, SEED = 4000, 4, 2.0, 7
+#: Bound of the training sample, steps of descent, first learning rate.
+MAX_TRAIN_DOCS, STEPS, RATE, SEED = 4000, 16_000, 2.0, 7
+#: A sample of at most this many bytes of n-gram counts stays on the driver
+#: between passes; a larger one is streamed again for every pass.
+HELD_BYTES = 1 << 28
 PASS_BYTES = 2 << 20
 
 
@@ -118,11 +121,13 @@ def train(sample: DataFrame) -> np.ndarray:
     rng = np.random.default_rng(SEED)
     vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
     layer, bias = np.zeros((WIDTH, 2), np.float32), np.zeros(2, np.float32)
-    step = 0
-    for _ in range(EPOCHS):
-        for row in made.toLocalIterator():
+    step, passes = 0, -(-STEPS // total)
+    held = made.agg(F.sum(F.octet_length("ids"))).first()[0] <= HELD_BYTES // 2
+    rows = list(made.toLocalIterator()) if held else None
+    for _ in range(passes):
+        for row in rows if held else made.toLocalIterator():
             ids, weights = np.frombuffer(row["ids"], "<u4"), np.frombuffer(row["weights"], "<f4")
-            rate = RATE * (1 - step / (EPOCHS * total))
+            rate = RATE * (1 - step / (passes * total))
             step += 1
             hidden = weights @ vectors[ids] if len(ids) else np.zeros(WIDTH, np.float32)
             out = hidden @ layer + bias
@@ -171,6 +176,14 @@ def score(docs: DataFrame, flat: np.ndarray, text_col: str = "text") -> DataFram
                          "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def accepted(docs: DataFrame, flat: np.ndarray, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the model predicts to be good."""
+    names = docs.columns
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names)])
+    good = score(plain, flat, f"k{names.index(text_col)}").filter("predicted = 1")
+    return good.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(names)])
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     return id_text_crc(id_col) % 3 == 1
 
