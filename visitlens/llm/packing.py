@@ -29,10 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitlens.llm.bpe import Remembered, byte_letters
 from visitlens.llm.common import text_or_empty
 
 SEQUENCE, END_ID = 4096, 2
-#: Tokens of a packing round, words a task remembers, weight of length squared.
+#: Tokens of a packing round, words of a generation that a task remembers,
+#: weight of length squared.
 ROUND, REMEMBERED, QUADRATIC = 1 << 21, 400_000, 1 / 1024
 
 
@@ -40,7 +42,10 @@ class WordIds:
     """Ids of whole texts through the tokenizer, remembered by word.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words in order. Ids are kept as little-endian bytes.
+    are those of its words in order. A plain word (Latin letters, perhaps with
+    a final comma or full stop, which the tokenizer always cuts off a letter)
+    goes straight to the tokenizer's merge model; every other word goes through
+    the whole tokenizer. Ids are kept as little-endian bytes.
     """
 
     def __init__(self, spec: str):
@@ -49,20 +54,29 @@ class WordIds:
         self.tok = Tokenizer.from_str(spec)
         self.tok.no_padding()
         self.tok.no_truncation()
-        self.known: dict[bytes, bytes] = {}
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.known = Remembered(self.word, REMEMBERED)
+        self.stems = Remembered(self.stem, REMEMBERED)
+        self.final = {mark: self.whole(mark) for mark in (b".", b",")}
+
+    def whole(self, word: bytes) -> bytes:
+        return np.asarray(self.tok.encode(word.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def stem(self, letters: bytes) -> bytes:
+        text = letters.decode("utf-8")
+        if not text.isalpha() or max(text) > "\u024f" or "\u0130" in text:
+            return self.whole(letters)
+        mapped = text.lower().encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.tok.model.tokenize(mapped)], "<u4").tobytes()
+
+    def word(self, word: bytes) -> bytes:
+        if word[-1:] in self.final and word[-2:-1].isalpha() and b"<|" not in word:
+            return self.stems(word[:-1].lower()) + self.final[word[-1:]]
+        return self.whole(word) if b"<|" in word else self.stems(word.lower())
 
     def __call__(self, text: str) -> bytes:
-        words, known = text.encode("utf-8", "replace").split(), self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
-            for at in range(0, len(new), 4096):
-                part = new[at:at + 4096]
-                found = self.tok.encode_batch([w.decode("utf-8") for w in part], add_special_tokens=False)
-                known.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(part, found))
-        return b"".join(map(known.__getitem__, words)) + END_ID.to_bytes(4, "little")
+        known, made = self.known.new, self.known
+        return b"".join([known.get(w) or made(w) for w in text.encode("utf-8", "replace").split()]) + END_ID.to_bytes(4, "little")
 
 
 def assign(lengths: list[int], room: np.ndarray) -> list[list[tuple[int, int, int]]]:
