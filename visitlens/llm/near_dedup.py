@@ -9,12 +9,12 @@ greater, less and equal (maximum likelihood with the known set sizes), and then
 confirmed on the full sets.
 
 Equal sets are one node, so copies never meet each other. Large buckets are
-not expanded into pairs: rounds of hub comparisons (each open member against
-its bucket's hub) merge them first, and a pair is compared only while its ends
-are in different components. Once the pairs still open are no more than the
-rows in buckets, all of them are compared, so no link between components is
-left out of the buckets. Components spread by least labels with pointer
-jumping; links, labels and sets stay in Spark.
+not expanded into pairs: in rounds, each open member meets a hub drawn anew for
+its bucket, which merges most of them, and a pair is compared only while its
+ends are in different components. Once the pairs still open are no more than
+the rows in buckets (or the rounds are over), all of them are compared, so no
+link between components is left out of the buckets. Components spread by least
+labels with pointer jumping; links, labels and sets stay in Spark.
 
 Defined results: null text counts as empty; without words a text has no
 shingle, links with nothing and is kept; with fewer words than a shingle the
@@ -46,6 +46,8 @@ BASE, SCALE, TOP = 1.001, 20.0, (1 << 16) - 2
 #: (five standard errors of the estimate).
 MARGIN = 5 * math.sqrt(0.16 / REGISTERS)
 PASS_BYTES, CHUNK = 2 << 20, 2048
+#: Most rounds in which members meet a hub of their bucket only.
+HUB_ROUNDS = 6
 
 _rng = np.random.default_rng(20)
 _TIMES = _rng.integers(1, 1 << 63, REGISTERS, dtype=np.uint64) | np.uint64(1)
@@ -163,34 +165,52 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
     return both.filter(100 * common >= percent * every).select("a", "b")
 
 
-def spread(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Least label per component: labels (id, c), links (a, b) between ids."""
+def _ends(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(x, y): the different labels of both ends of each link, both ways."""
     ends = (links.join(labels.select(F.col("id").alias("a"), F.col("c").alias("x")), "a")
             .join(labels.select(F.col("id").alias("b"), F.col("c").alias("y")), "b")
-            .filter("x <> y").select("x", "y"))
-    edges = cut_lineage(ends.unionByName(ends.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
-    roots = cut_lineage(edges.select(F.col("x").alias("v")).distinct().withColumn("r", F.col("v")))
-    while True:
-        told = (edges.join(roots.select(F.col("v").alias("x"), "r"), "x").select(F.col("y").alias("v"), "r")
-                .unionByName(roots.select("v", "r")).groupBy("v").agg(F.min("r").alias("r")))
-        jumped = (told.join(roots.select(F.col("v").alias("r"), F.col("r").alias("up")), "r", "left")
-                  .select("v", F.least("r", "up").alias("r")))
-        new = cut_lineage(jumped)
-        changed = new.join(roots.select("v", F.col("r").alias("old")), "v").filter("r <> old").limit(1).count()
-        roots = new
-        if not changed:
-            break
-    return cut_lineage(labels.join(roots.select(F.col("v").alias("c"), "r"), "c", "left")
+            .filter("x <> y").select(F.explode(F.array(
+                F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))).alias("e")))
+    return ends.select("e.x", "e.y")
+
+
+def _renamed(labels: DataFrame, names: DataFrame) -> DataFrame:
+    """``labels`` (id, c) after every label v became r of (v, r), if there is one."""
+    return cut_lineage(labels.join(names.select(F.col("v").alias("c"), "r"), "c", "left")
                        .select("id", F.coalesce("r", "c").alias("c")))
 
 
+def nearer(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """One step: each component takes the least label that a link shows it."""
+    least = _ends(labels, links).groupBy(F.col("x").alias("v")).agg(F.min(F.least("x", "y")).alias("r"))
+    return _renamed(labels, least)
+
+
+def spread(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Least label per component: labels (id, c), links (a, b) between ids.
+
+    Each step takes the least root of all neighbours and jumps to that root's
+    own root, so long chains shorten by half.
+    """
+    edges = cut_lineage(_ends(labels, links).distinct())
+    roots = edges.select(F.col("x").alias("v")).distinct().withColumn("r", F.col("v"))
+    moved = True
+    while moved:
+        told = (edges.join(roots.select(F.col("v").alias("x"), "r"), "x").select(F.col("y").alias("v"), "r", F.lit(None).alias("old"))
+                .unionByName(roots.select("v", "r", F.col("r").alias("old")))
+                .groupBy("v").agg(F.min("r").alias("r"), F.max("old").alias("old")))
+        roots = cut_lineage(told.join(roots.select(F.col("v").alias("r"), F.col("r").alias("up")), "r", "left")
+                            .select("v", F.least("r", "up").alias("r"), "old"))
+        moved = not roots.filter("r <> old").isEmpty()
+    return _renamed(labels, roots)
+
+
 def components(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
     """(id, n, c) per row of (id, text): set size and least linked id."""
     drawn = cut_lineage(sketches(docs, size))
     # one node per distinct set, named by its least id; node rows are bounded in size
-    named = (drawn.filter("n > 0 and id is not null").groupBy("same")
-             .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("regs").alias("regs")))
-    nodes = cut_lineage(named)
+    nodes = cut_lineage(drawn.filter("n > 0 and id is not null").groupBy("same")
+                        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("regs").alias("regs")))
     width = 2 * ROWS
     keys = nodes.select("id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(
         F.substring(F.col("regs"), i * width + 1, F.lit(width)), i))).alias("key"))
@@ -200,31 +220,32 @@ def components(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
     labels = cut_lineage(buckets.select("id").distinct().withColumn("c", F.col("id")))
     members = docs.select("id", "text").join(labels.select("id"), "id", "left_semi")
     sets = cut_lineage(full_sets(members, size).groupBy("id").agg(F.max("items").alias("items")))
-    tried = None
-    while rows:
+    links = None
+    for turn in range(HUB_ROUNDS + 1):
         placed = buckets.join(labels, "id")
-        parts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("first"))
-        open_keys = parts.groupBy("key").agg(
+        parts = placed.groupBy("key", "c").agg(
+            F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id")).alias("hub"))
+        open_keys = cut_lineage(parts.groupBy("key").agg(
             F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("same"),
-            F.min(F.struct("first", "c")).alias("hub")).filter("all * all > same")
+            F.min(F.struct("hub", "c")).alias("hub")).filter("all * all > same"))
         left = open_keys.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0] or 0
         if not left:
             break
-        if left <= rows:
+        last = left <= rows or turn == HUB_ROUNDS
+        if last:
             one, two = (placed.join(open_keys.select("key"), "key").select(
                 "key", F.col("id").alias(x), F.col("c").alias(f"c_{x}")) for x in "ab")
             pairs = one.join(two, "key").filter("a < b and c_a <> c_b").select("a", "b").distinct()
         else:
-            hubs = open_keys.select("key", F.col("hub.first").alias("a"), F.col("hub.c").alias("c_a"))
-            pairs = (placed.join(hubs, "key").filter("c <> c_a")
-                     .select("a", F.col("id").alias("b")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        labels = spread(labels, verified(pairs, nodes, sets, percent))
-        if left <= rows:
+            hubs = open_keys.select("key", F.col("hub.hub.id").alias("a"), F.col("hub.c").alias("c_a"))
+            pairs = placed.join(hubs, "key").filter("c <> c_a").select("a", F.col("id").alias("b")).distinct()
+        found = cut_lineage(verified(pairs, nodes, sets, percent))
+        links = found if links is None else links.unionByName(found)
+        if last:
             break
-        tried = pairs if tried is None else tried.unionByName(pairs)
+        labels = nearer(labels, found)
+    if links is not None:
+        labels = spread(labels, links)
     own = drawn.join(nodes.select("same", F.col("id").alias("node")), "same", "left")
     return own.join(labels.select(F.col("id").alias("node"), "c"), "node", "left").select(
         "id", "n", F.when((F.col("n") == 0) | F.col("id").isNull(), F.col("id"))
