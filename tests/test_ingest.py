@@ -8,7 +8,8 @@ from xml.sax.saxutils import escape
 from pyspark.sql import functions as F
 
 from visitlens.plans.build import build_masters
-from visitlens.sinks.writers import column_types, write_client_masters, write_each
+from visitlens.sources import ingest as I
+from visitlens.sinks.writers import column_types, write_client_masters, write_each, write_each_client
 
 TOP = ["Respondent ID", "How likely would you be to recommend this establishment?",
        "Please enter your details here:", "Thinking about the staff, please select the words that best describe them",
@@ -92,7 +93,7 @@ def test_write_masters_and_status(spark):
     root = make_tree()
     m = build_masters(spark, root, likert=[])
     out = tempfile.mkdtemp(prefix="visitlens-out-")
-    write_client_masters(m.masters, os.path.join(out, "masters"))
+    write_each_client(m.each(), os.path.join(out, "masters"))
     from visitlens.sources.catalog import read_client_masters
     back = read_client_masters(spark, os.path.join(out, "masters"))
     assert back.count() == 3
@@ -101,7 +102,7 @@ def test_write_masters_and_status(spark):
     assert back.select(*cols).exceptAll(m.masters.select(*cols)).count() == 0
     # rewriting one client only touches its partition
     write_client_masters(m.masters.where(F.col("client_name") == "client_b"), os.path.join(out, "masters"))
-    assert spark.read.parquet(os.path.join(out, "masters")).count() == 3
+    assert read_client_masters(spark, os.path.join(out, "masters")).count() == 3
     status = write_each(spark, {"good": m.masters, "bad": m.masters},
                         lambda name, df: (_ for _ in ()).throw(ValueError("boom")) if name == "bad"
                         else df.write.mode("overwrite").parquet(os.path.join(out, name)))
@@ -111,16 +112,6 @@ def test_write_masters_and_status(spark):
     assert types == '"respondent_id" TEXT, "total_expenditure_response" DOUBLE PRECISION'
 
 
-def test_streaming_ingest_available_now(spark):
-    from visitlens.streaming.file_drop import start
-    root = make_tree()
-    out = tempfile.mkdtemp(prefix="visitlens-stream-")
-    q = start(spark, root, out, available_now=True, query_name=f"t{os.getpid()}")
-    q.awaitTermination(120)
-    got = spark.read.option("mergeSchema", "true").parquet(os.path.join(out, "masters"))
-    assert got.where(F.col("respondent_id").isNotNull()).count() >= 3
-
-
 def test_prepare_for_sql(spark):
     from visitlens.sinks.writers import prepare_for_sql
     df = spark.createDataFrame([(1.0, float("nan"), "x", "y")], ["a", "A", "a 1", "3rd?"])
@@ -192,8 +183,6 @@ def test_files_to_report_views(spark):
 def test_long_answers_give_same_comments_and_words(spark):
     from visitlens.plans import master as M
     from visitlens.plans import views
-    from visitlens.operators.headers import header_dictionary
-    from visitlens.sources import ingest as I
     root = tempfile.mkdtemp(prefix="visitlens-long-")
     os.makedirs(os.path.join(root, "client_y"))
     top = ["Respondent ID", "Welcome", "Farewell", "Thinking about the staff, please select the words "
@@ -202,11 +191,13 @@ def test_long_answers_give_same_comments_and_words(spark):
     write_csv(os.path.join(root, "client_y", "Dock (2).csv"),
               [top, sub, ["1", "Great", " n/a ", "Yes", ""], ["2", "", "Bye ", "", "1.0"]])
     cells, _ = I.split_errors(I.decode_cells(I.list_files(spark, root)))
-    d = header_dictionary(I.header_cells(cells))
-    ans = M.answers(I.data_cells(cells), d)
-    wide = M.pivot_master(I.data_cells(cells), d)
+    d = M.client_dictionary(I.header_cells(cells))
+    ans = I.answer_cells(cells)
+    plan = ans._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    wide = M.pivot_client(ans, d, "client_y")
     key = lambda r: tuple(str(x) for x in r)
-    a = sorted(views.comments_from_answers(spark, ans).collect(), key=key)
+    a = sorted(views.comments_from_answers(spark, M.named_answers(ans, d)).collect(), key=key)
     b = sorted(views.comments_view(spark, wide).collect(), key=key)
     assert a == b and [r.comment_text for r in a] == ["Great", "Bye "]
     a = sorted(views.staff_words_from_answers(spark, ans).collect(), key=key)
@@ -214,6 +205,105 @@ def test_long_answers_give_same_comments_and_words(spark):
     assert a == b and len(a) == 2
 
 
+def drift_tree(spark):
+    root = tempfile.mkdtemp(prefix="visitlens-drift-")
+    for client in ("acme", "beta"):
+        os.makedirs(os.path.join(root, client))
+    ask = "Thinking about the staff, please select the words that best describe them"
+    write_csv(os.path.join(root, "acme", "a.csv"), [["Respondent ID", ask, "", "", "Food"], ["", "Adept", "Awkward", "Confident", "Rating"],
+                                                    ["1", "Yes", "1", "", "Good"]])
+    write_csv(os.path.join(root, "acme", "b.csv"), [["Respondent ID", ask, "", "Food", "Venue Name"], ["", "Adept", "Confident", "Rating", ""],
+                                                    ["2", "", "true", "rather salty", "Other place"]])
+    write_csv(os.path.join(root, "beta", "c.csv"), [["Respondent ID", "Food", "Extra"], ["", "Rating", ""], ["3", "poor", "x"]])
+    return root
+
+
+def test_drifting_files_keep_their_words(spark):
+    from visitlens.plans import views
+    m = build_masters(spark, drift_tree(spark), likert=[])
+    words = {(r.respondent_id, r.word_label) for r in views.staff_words_from_answers(spark, m.answers).collect()}
+    assert words == {("1", "Adept"), ("1", "Awkward"), ("2", "Confident")}
+    acme, beta = m.client("acme"), m.client("beta")
+    base = "thinking_about_the_staff_please_select_the_words_that_best_des"
+    assert acme.columns == ["client_id", "client_name", "venue_name", "respondent_id", base + "c", base[:-1] + "_1",
+                            base[:-1] + "_2", "food_rating", "venue_name_1"]
+    rows = {r["respondent_id"]: r for r in acme.collect()}
+    assert rows["2"][base[:-1] + "_2"] == 1 and rows["2"]["venue_name_1"] == "Other place" and rows["2"]["venue_name"] == "b"
+    assert beta.columns == ["client_id", "client_name", "venue_name", "respondent_id", "food_rating", "extra"]
+
+
+def test_likert_is_judged_per_file(spark):
+    m = build_masters(spark, drift_tree(spark))
+    assert {r.respondent_id: r.food_rating for r in m.client("acme").collect()} == {"1": "2.0", "2": "rather salty"}
+    assert m.client("beta").first().food_rating == 0.0
+    root = tempfile.mkdtemp(prefix="visitlens-likert-")
+    os.makedirs(os.path.join(root, "c"))
+    write_csv(os.path.join(root, "c", "a.csv"), [["Respondent ID", "First Name"], ["", ""], ["1", "Good"]])
+    assert build_masters(spark, root).client("c").first().first_name == "Good"
+
+
+def test_drifting_clients_round_trip(spark):
+    from visitlens.sources.catalog import read_client_masters
+    m = build_masters(spark, drift_tree(spark))
+    out = os.path.join(tempfile.mkdtemp(prefix="visitlens-out-"), "masters")
+    write_each_client(m.each(), out)
+    back = {r["respondent_id"]: r for r in read_client_masters(spark, out).collect()}
+    assert back["3"]["extra"] == "x" and back["1"]["extra"] is None and back["2"]["venue_name_1"] == "Other place"
+
+
+def test_large_bad_file_is_rejected_whole(spark):
+    root = tempfile.mkdtemp(prefix="visitlens-bad-")
+    os.makedirs(os.path.join(root, "c"))
+    good, bad = os.path.join(root, "c", "good.xlsx"), os.path.join(root, "c", "bad.xlsx")
+    write_xlsx(good, [["Respondent ID"], [""], *[[str(i)] for i in range(60_000)]])
+    with zipfile.ZipFile(good) as z:
+        sheet = z.read("xl/worksheets/sheet1.xml").decode()
+    with zipfile.ZipFile(bad, "w") as z:
+        z.writestr("xl/worksheets/sheet1.xml", sheet[:-40])
+    cells, quarantine = I.split_errors(I.decode_cells(I.list_files(spark, root)))
+    assert [r.path.endswith("bad.xlsx") for r in quarantine.collect()] == [True]
+    assert cells.where(F.col("path").endswith("bad.xlsx")).count() == 0
+    assert cells.where("row_id >= 0").count() == 60_000
+
+
+def test_clients_with_one_table_name_are_reported(spark):
+    from visitlens.sinks.writers import write_client_tables
+    df = spark.createDataFrame([("Acme Bar", 1), ("acme-bar", 2), ("Other", 3)], "client_name string, v long")
+    wrote = []
+    status = write_client_tables(spark, df, lambda name, frame: wrote.append((name, frame.count()))).collect()
+    assert sorted((r.table, r.ok) for r in status) == [("acme_bar_master", False), ("acme_bar_master", False), ("other_master", True)]
+    assert wrote == [("other_master", 1)]
+
+
+def test_client_ids_never_change_hands(spark):
+    from visitlens.plans.master import client_dimension
+    first = client_dimension(spark.createDataFrame([("b",), ("d",)], "client_name string"))
+    later = client_dimension(spark.createDataFrame([("a",), ("b",), ("c",)], "client_name string"), known=first)
+    assert {r.client_name: r.client_id for r in later.collect()} == {"b": "C001", "d": "C002", "a": "C003", "c": "C004"}
+
+
+def test_cells_without_references():
+    import io as _io
+
+    from visitlens.sources.decoders import xlsx_cells
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    sheet = (f'<worksheet {ns}><sheetData><row><c><v>1</v></c><c><v>2</v></c></row>'
+             '<row r="3"><c r="C3"><v>3</v></c><c><v>4</v></c></row></sheetData></worksheet>')
+    buf = _io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+    assert list(xlsx_cells(buf.getvalue())) == [(0, 0, "1"), (0, 1, "2"), (2, 2, "3"), (2, 3, "4")]
+
+
+def test_name_helpers_agree(spark):
+    from visitlens.functions import text
+    names = [" First  Name ", "3rd?", "a__b", "Éa-b", "", "col_1", "A" * 80 + "!"]
+    tops = ["Unnamed: 3_level_0", "Top ", "Top"]
+    df = spark.createDataFrame([(n, t) for n in names for t in tops], "n string, t string")
+    for r in df.select("n", "t", text.clean_identifier(F.col("n"), max_len=63).alias("a"), text.flatten_header("t", "n").alias("h")).collect():
+        assert (r.a, r.h) == (text.identifier(r.n, 63), text.header_text(r.t, r.n))
+
+
 def test_xlsx_decoder_shared_and_rich_strings():
     import io as _io
 

@@ -6,6 +6,8 @@ codegen; none of them runs Python per row.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,11 +42,6 @@ def clean_venue(c) -> Column:
     return F.trim(F.regexp_replace(col_(c), VENUE_SUFFIX_RE, ""))
 
 
-def visit_id(client, venue, respondent) -> Column:
-    """``client|clean venue|respondent``; null parts are skipped."""
-    return F.concat_ws("|", col_(client), clean_venue(venue), col_(respondent).cast("string"))
-
-
 def assessor_key(c) -> Column:
     """Part of an assessor id before the first dot, trimmed (``12.0`` -> ``12``)."""
     return F.trim(F.split_part(col_(c).cast("string"), F.lit("."), F.lit(1)))
@@ -102,6 +99,17 @@ def clean_identifier(c, col_prefix: bool = True, keep_underscore: bool = False,
     return x
 
 
+def identifier(name: str, max_len: int | None = None) -> str:
+    """``clean_identifier`` for one name on the driver (column lists, headers)."""
+    words = "_".join(re.findall("[a-z0-9]+", str(name).lower()))
+    return ("col_" + words if words[:1].isdigit() else words)[:max_len]
+
+
+def header_text(top: str, sub: str) -> str:
+    """``flatten_header`` for one header on the driver or in the decoder."""
+    return " ".join(part for part in (top, sub) if "Unnamed" not in part).strip()
+
+
 def table_name_for(client) -> Column:
     """Table name of a client master: ``clean(<client>_master)`` cut to 63."""
     name = clean_identifier(F.concat(col_(client), F.lit("_master")))

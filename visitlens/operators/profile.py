@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens import config
-from visitlens.functions.recode import in_likert_domain
+from visitlens.functions.recode import in_likert_domain, likert_score
+from visitlens.functions.text import clean_identifier, identifier
 
 COL = "column_name"
 VAL = "value"
@@ -36,8 +37,8 @@ def likert_columns(df: DataFrame, exclude: list[str] | None = None) -> DataFrame
     the column list (schema metadata) is unioned in so empty columns appear
     without a join.
     """
-    skip = set(exclude if exclude is not None else config.METADATA_COLUMNS)
-    cols = [c for c in df.columns if c not in skip]
+    skip = {identifier(c) for c in (exclude if exclude is not None else config.METADATA_COLUMNS)}
+    cols = [c for c in df.columns if identifier(c) not in skip]
     val = F.col(VAL)
     long = to_long(df, cols).select(COL, F.when(val.isNotNull(), 1).alias("_n"),
                                     F.when(val.isNotNull(), in_likert_domain(val)).alias("_in"))
@@ -49,6 +50,23 @@ def likert_columns(df: DataFrame, exclude: list[str] | None = None) -> DataFrame
                        (F.coalesce(F.col("_all_in"), F.lit(False)) & (F.col("n_values") > 0)).alias("is_likert"))
 
 
+def likert_by_file(answers: DataFrame, keys: list[str], name: str = COL, value: str = VAL) -> DataFrame:
+    """Long answers plus ``is_likert`` and ``likert_score``, judged per file.
+
+    ``keys`` name a column of one file (for example file and column); ``name``
+    is its header or identifier, by which metadata columns are left out. A
+    column is Likert in a file when it has values there and all of them are
+    Likert answers or ``n/a``. The profile is one partial aggregate with one
+    row per file and column, joined back to the answers.
+    """
+    val = F.col(value)
+    skip = [identifier(c) for c in config.METADATA_COLUMNS]
+    profile = (answers.where(val.isNotNull()).groupBy(*keys)
+                      .agg((F.bool_and(in_likert_domain(val)) & ~F.first(clean_identifier(F.col(name))).isin(skip)).alias("is_likert")))
+    joined = answers.join(profile, keys, "left").withColumn("is_likert", F.coalesce("is_likert", F.lit(False)))
+    return joined.withColumn("likert_score", F.when(F.col("is_likert"), likert_score(val)))
+
+
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count of each value (null included) per column: ``column_name, value, n``."""
     return (to_long(df, columns).groupBy(COL, VAL).agg(F.count(F.lit(1)).alias("n")))

@@ -9,6 +9,7 @@ may carry several labels.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from functools import reduce
 from itertools import chain
 
@@ -83,6 +84,16 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def same_types(frames: list[DataFrame]) -> list[DataFrame]:
+    """The frames with every column whose type differs between them as text."""
+    kinds = defaultdict(set)
+    for df in frames:
+        for name, kind in df.dtypes:
+            kinds[name].add(kind)
+    mixed = {name for name, found in kinds.items() if len(found) > 1}
+    return [df.withColumns({c: F.col(f"`{c}`").cast("string") for c in df.columns if c in mixed}) for df in frames]
+
+
 def outer_union(frames: list[DataFrame]) -> DataFrame:
     """Union by column name; columns missing in a frame are null-filled.
 

@@ -1,21 +1,25 @@
 """Files -> client masters: the ingest side of the survey model.
 
-    files (binaryFile) -> long cells -> header dictionary -> long answers
-                                                          -> wide rows per file
-    -> recoded client masters (+ client ids) -> parquet by client
+    files (binaryFile) -> long cells with headers -> long answers, Likert per file
+                                                  -> columns per client
+    -> wide recoded master per client (+ client ids) -> parquet by client
 
-Every arrow is a DataFrame transformation; the only values brought to the
-driver are metadata (distinct column names for the pivot, Likert columns
-from the per-column profile).
+Every arrow is a DataFrame transformation. The decoded cells and the judged
+answers are each written once to the checkpoint folder; every client's master
+reads them from there. Only metadata (client names, a client's column list)
+comes to the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from visitlens.operators.headers import header_dictionary
+from visitlens.operators.profile import likert_by_file
+from visitlens.operators.reshape import outer_union, same_types
 from visitlens.plans import master as M
 from visitlens.plans.recode import recode_survey
 from visitlens.session import ensure_checkpoint_dir
@@ -24,25 +28,53 @@ from visitlens.sources import ingest as I
 
 @dataclass
 class Masters:
-    masters: DataFrame      # one row per answered survey row, all clients
-    dictionary: DataFrame   # header dictionary (file_id, col_ord, ..., unique_name)
+    answers: DataFrame      # long answers (client, venue, file, row, respondent, headers, value, Likert)
+    dictionary: DataFrame   # columns per client (client_name, headers, col_ord, ..., unique_name)
     quarantine: DataFrame   # files that could not be decoded (path, error)
-    answers: DataFrame      # long answers (client, venue, file, row, respondent, column, value)
+    clients: DataFrame      # client dimension (client_id, client_name)
+    recode: bool = True
 
+    def named(self) -> DataFrame:
+        """Long answers with each client's unique column names."""
+        return M.named_answers(self.answers, self.dictionary)
 
-def build_masters(spark: SparkSession, root: str, recode: bool = True,
-                  likert: list[str] | None = None) -> Masters:
-    files = I.list_files(spark, root)
-    # Decoding (Python, per file) is the costly step and its cells feed the
-    # header dictionary, the pivot and the quarantine: decode once and cut
-    # the lineage with a reliable checkpoint in the cluster's checkpoint dir.
+    def client(self, name: str) -> DataFrame:
+        """Wide master of one client, with the columns that its files have."""
+        wide = M.pivot_client(self.answers, self.dictionary, name).drop("file_id", "row_id")
+        if self.recode:
+            wide = recode_survey(wide, likert=[])
+            numbers = [r["column_name"] for r in M.likert_names(self.answers, self.dictionary)
+                       .where(F.col("client_name") == name).collect()]
+            wide = wide.withColumns({c: F.col(c).try_cast("double") for c in numbers if c in wide.columns})
+        return M.with_client_ids(wide, dimension=self.clients)
+
+    def each(self) -> Iterator[tuple[str, DataFrame]]:
+        """(client name, wide master) of every client, in name order."""
+        for row in self.clients.orderBy("client_name").select("client_name").toLocalIterator():
+            yield row[0], self.client(row[0])
+
+    @property
+    def masters(self) -> DataFrame:
+        """All clients in one frame; a column a client lacks is null, and one
+        whose type differs between clients is text."""
+        return outer_union(same_types([df for _, df in self.each()]))
+
+
+def build_masters(spark: SparkSession, root: str, recode: bool = True, likert: list[str] | None = None,
+                  known_clients: DataFrame | None = None) -> Masters:
+    """``likert=[]`` leaves Likert answers as they are; by default they are
+    judged file by file. ``known_clients`` keeps the ids of an earlier load."""
     ensure_checkpoint_dir(spark)
-    decoded = I.decode_cells(files).checkpoint(eager=True)
+    # decoding (Python, per file) is the costly step: once, then from the folder
+    decoded = I.decode_cells(I.list_files(spark, root)).checkpoint(eager=True)
     cells, quarantine = I.split_errors(decoded)
-    dictionary = header_dictionary(I.header_cells(cells))
-    answers = M.answers(I.data_cells(cells), dictionary)
-    wide = M.pivot_master(I.data_cells(cells), dictionary)
-    wide = wide.drop("file_id", "row_id")
-    if recode:
-        wide = recode_survey(wide, likert=likert)
-    return Masters(M.with_client_ids(wide), dictionary, quarantine, answers)
+    answers = I.answer_cells(cells)
+    if recode and likert is None:
+        answers = likert_by_file(answers, ["file_id", "col_ord"], name="header")
+    else:
+        answers = answers.withColumns({"is_likert": F.lit(False), "likert_score": F.lit(None).cast("double")})
+    answers = answers.checkpoint(eager=True)
+    headers = I.header_cells(cells)
+    dictionary = M.client_dictionary(headers).checkpoint(eager=True)
+    clients = M.client_dimension(headers.select("client_name"), known=known_clients).checkpoint(eager=True)
+    return Masters(answers, dictionary, quarantine, clients, recode)

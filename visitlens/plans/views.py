@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitlens import config
-from visitlens.functions.text import clean_venue, is_null_token, is_plain_number, is_truthy
+from visitlens.functions.text import clean_identifier, clean_venue, is_null_token, is_plain_number, is_truthy
 from visitlens.operators import scoring
 from visitlens.operators.ranking import distributed_row_number, top_n_per_group
 from visitlens.operators.reshape import map_frame, union_all, unpivot_labeled, unpivot_mapped
 
-DEC = "decimal(18,6)"
+DEC = "decimal(38,6)"
 
 MASTER_COLUMNS = [
     "visit_id", "client_name", "venue_name", "venue_name_original", "respondent_id",
@@ -153,7 +153,11 @@ def staff_behaviour_view(feedback: DataFrame) -> DataFrame:
     long = unpivot_labeled(feedback, _visit_columns(), labels, "score",
                            ("section", "behaviour_metric"), value_type="string")
     long = long.where(is_plain_number(F.col("score")))
-    scaled = F.round(F.col("score").cast(DEC) / F.lit(config.STAFF_SCALE_MAX).cast("decimal(2,1)") * 100, 2)
+    # beyond a decimal's digits the share is taken in floating point
+    number = F.col("score").try_cast("double")
+    exact = F.round(F.col("score").cast(DEC) / F.lit(config.STAFF_SCALE_MAX).cast("decimal(2,1)") * 100, 2)
+    scaled = F.when(F.abs(number) < 1e28, exact.cast("double")).otherwise(
+        F.round(number / float(config.STAFF_SCALE_MAX) * 100, 2))
     return long.withColumn("score", scaled.cast("double"))
 
 
@@ -233,15 +237,19 @@ def staff_words_view(spark: SparkSession, tables, word_map=None) -> DataFrame:
     return union_all(parts)
 
 
+def _answer_keys() -> list:
+    return [F.concat_ws("|", F.col("client_name").cast("string"), clean_venue(F.col("venue_name").cast("string")),
+                        F.col("respondent_id").cast("string")).alias("visit_id"),
+            F.col("client_name").cast("string").alias("client_name"),
+            clean_venue(F.col("venue_name").cast("string")).alias("venue_name"),
+            F.col("respondent_id").cast("string").alias("respondent_id")]
+
+
 def _mapped_answers(spark: SparkSession, answers: DataFrame, rows, names, keep) -> DataFrame:
     m = map_frame(spark, rows, names)
     hits = answers.join(F.broadcast(m), on="column_name", how="inner").where(keep)
     return hits.select(
-        F.concat_ws("|", F.col("client_name").cast("string"), clean_venue(F.col("venue_name").cast("string")),
-                    F.col("respondent_id").cast("string")).alias("visit_id"),
-        F.col("client_name").cast("string").alias("client_name"),
-        clean_venue(F.col("venue_name").cast("string")).alias("venue_name"),
-        F.col("respondent_id").cast("string").alias("respondent_id"),
+        *_answer_keys(),
         *[F.col(n) for n in names if n != "column_name"],
         F.col("value"), table_name_for_col())
 
@@ -266,10 +274,23 @@ def comments_from_answers(spark: SparkSession, answers: DataFrame, comment_map=N
 
 
 def staff_words_from_answers(spark: SparkSession, answers: DataFrame, word_map=None) -> DataFrame:
-    """``staff_words_view`` over long answers."""
+    """``staff_words_view`` over long answers.
+
+    Answers that carry their headers are matched by question and sub-header
+    (the word itself), whatever suffix a file's column order gave the name.
+    """
     rows = word_map or config.WORD_MAP
-    out = _mapped_answers(spark, answers, rows, ["word_group", "word_label", "column_name"],
-                          is_truthy(F.col("value")))
+    if "header_sub" in answers.columns:
+        question = {g: c for g, w, c in reversed(rows)}  # the first word's column has the plain name
+        rows = [(g, w, question[g], w) for g, w, _ in rows]
+        asked = answers.withColumn("column_name", clean_identifier(F.col("header"), max_len=config.MAX_IDENTIFIER_LEN))
+        m = map_frame(spark, rows, ["word_group", "word_label", "column_name", "_word"])
+        word = clean_identifier(F.col("header_sub")) == clean_identifier(F.col("_word"))
+        hits = asked.join(F.broadcast(m), "column_name").where(word & is_truthy(F.col("value")))
+        out = hits.select(*_answer_keys(), "word_group", "word_label", table_name_for_col())
+    else:
+        out = _mapped_answers(spark, answers, rows, ["word_group", "word_label", "column_name"],
+                              is_truthy(F.col("value")))
     return out.select("visit_id", "client_name", "venue_name", "respondent_id", "word_group",
                       "word_label", F.lit(1).alias("selected_flag"), "source_table")
 

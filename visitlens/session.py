@@ -53,16 +53,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) is a private scratch folder made.
+    ``spark.checkpoint.dir`` names it and is used as is. Where it is unset, a
+    local master (tests) gets a private scratch folder; any other master is
+    refused, because its executors would each write to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="visitlens-ckpt-"))
+    if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="visitlens-ckpt-")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -7,11 +7,15 @@ come from the caller or from environment variables named by the caller.
 from __future__ import annotations
 
 import os
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from visitlens.functions.text import identifier, table_name_for
+from visitlens.operators.reshape import same_types
+
 
 def write_client_masters(df: DataFrame, path: str, client_col: str = "client_name") -> None:
     """One parquet partition per client; rewriting a client replaces only its partition."""
@@ -21,6 +25,17 @@ def write_client_masters(df: DataFrame, path: str, client_col: str = "client_nam
        .parquet(path))
 
 
+def write_each_client(masters, path: str, client_col: str = "client_name") -> None:
+    """Each (client, wide master) into its own partition, with its own columns.
+
+    ``masters`` yields pairs; every client is one distributed job. Read them
+    back with ``sources.catalog.read_client_masters``, which merges schemas; a
+    column whose type differs between clients is written as text.
+    """
+    for df in same_types([df for _, df in masters]):
+        write_client_masters(df, path, client_col)
+
+
 def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
     """Full refresh (``overwrite``, schema replaced) or ``append`` to a catalog table."""
     w = df.write.mode(mode)
@@ -33,15 +48,9 @@ def prepare_for_sql(df: DataFrame) -> DataFrame:
     """Database-ready frame: unique, safe, <= 63-character column names and
     no floating NaN (NaN becomes NULL). Renaming uses the column list only.
     """
-    import re
-
     from visitlens.operators.headers import unique_name_list
 
-    def clean(name: str) -> str:
-        c = re.sub(r"[^a-z0-9]+", "_", str(name).strip().lower()).strip("_")
-        return "col_" + c if re.match(r"^[0-9]", c) else c
-
-    names = unique_name_list([clean(c) for c in df.columns])
+    names = unique_name_list([identifier(c) for c in df.columns])
     renamed = df.toDF(*names)  # positional: source names may differ only by case
     cols = []
     for field in renamed.schema.fields:
@@ -58,29 +67,43 @@ def sql_type(dt: T.DataType) -> str:
         return "BIGINT"
     if isinstance(dt, (T.DoubleType, T.FloatType)):
         return "DOUBLE PRECISION"
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return "TIMESTAMP"
     return "TEXT"
 
 
+#: Names by which Spark's JDBC writer accepts the types of ``sql_type``.
+JDBC_TYPES = {"BIGINT": "BIGINT", "DOUBLE PRECISION": "DOUBLE", "TIMESTAMP": "TIMESTAMP", "TEXT": "STRING"}
+
+
 def column_types(df: DataFrame) -> str:
     """Column list of a database ``CREATE TABLE`` for this frame (DDL text)."""
     return ", ".join(f'"{f.name}" {sql_type(f.dataType)}' for f in df.schema.fields)
 
 
+def typed_for_sql(df: DataFrame) -> DataFrame:
+    """Dates as timestamps, the only form of them that ``sql_type`` knows."""
+    return df.select(*[F.col(f"`{f.name}`").cast("timestamp").alias(f.name) if isinstance(f.dataType, T.DateType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def jdbc_write(df: DataFrame, table: str, url: str | None = None, url_env: str = "VISITLENS_JDBC_URL",
                user_env: str = "VISITLENS_JDBC_USER", password_env: str = "VISITLENS_JDBC_PASSWORD",
                mode: str = "overwrite", batch_size: int = 10_000, num_partitions: int = 8) -> None:
     """Write a table over JDBC in parallel batches.
 
     ``overwrite`` drops and re-creates the table, ``append`` adds rows; an
-    empty frame writes no rows. Column types come from Spark's JDBC dialect
-    (for PostgreSQL: text, bigint, double precision, timestamp, the same
-    mapping as ``sql_type``).
+    empty frame writes no rows. A created table gets the column types of
+    ``sql_type``.
     """
+    df = typed_for_sql(df)
     url = url or os.environ[url_env]
     opts = {"url": url, "dbtable": table, "batchsize": str(batch_size),
             "numPartitions": str(num_partitions)}
+    if mode == "overwrite":
+        # JDBC sources parse this with Spark's type names
+        opts["createTableColumnTypes"] = ", ".join(
+            f"`{f.name}` {JDBC_TYPES[sql_type(f.dataType)]}" for f in df.schema.fields)
     if os.environ.get(user_env):
         opts["user"] = os.environ[user_env]
     if os.environ.get(password_env):
@@ -93,18 +116,25 @@ STATUS_SCHEMA = T.StructType([T.StructField("table", T.StringType()),
                               T.StructField("error", T.StringType())])
 
 
-def write_each(spark: SparkSession, tables: dict, writer) -> DataFrame:
+def write_each(spark: SparkSession, tables, writer) -> DataFrame:
     """Write each named table; one failure is recorded and the others go on.
 
+    ``tables`` is a dict or a list of (name, frame); a name that occurs twice
+    is an error of every table that has it, and none of them is written.
     Returns a status frame ``table, ok, error``.
     """
+    pairs = list(tables.items()) if isinstance(tables, dict) else list(tables)
+    uses = Counter(name for name, _ in pairs)
     rows = []
-    for name, df in tables.items():
+    for name, df in pairs:
+        if uses[name] > 1:
+            rows.append((name, False, f"{uses[name]} tables have this name; none was written"))
+            continue
         try:
             writer(name, df)
             rows.append((name, True, None))
         except Exception as e:  # noqa: BLE001 - per-table isolation
-            rows.append((name, False, f"{type(e).__name__}: {e}"[:1000]))
+            rows.append((name, False, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
@@ -114,10 +144,10 @@ def write_client_tables(spark: SparkSession, masters: DataFrame, writer,
 
     Client names are metadata (one row per client); each table is written
     by its own distributed job over the client's rows, after names are made
-    database-safe (``prepare_for_sql``). Returns the per-table status frame.
+    database-safe (``prepare_for_sql``). Two clients whose names clean to one
+    table name are both reported and not written. Returns the status frame.
     """
-    from visitlens.functions.text import table_name_for
     names = (masters.select(client_col).distinct()
                     .select(F.col(client_col), table_name_for(F.col(client_col)).alias("t")).collect())
-    tables = {r["t"]: prepare_for_sql(masters.where(F.col(client_col) == r[client_col])) for r in names}
+    tables = [(r["t"], prepare_for_sql(masters.where(F.col(client_col).eqNullSafe(r[client_col])))) for r in names]
     return write_each(spark, tables, writer)

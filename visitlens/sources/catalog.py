@@ -34,5 +34,8 @@ def present_columns(columns: DataFrame, map_df: DataFrame) -> DataFrame:
 
 
 def read_client_masters(spark: SparkSession, path: str) -> DataFrame:
-    """Client masters written by ``sinks.write_client_masters`` (partition-pruned by client)."""
-    return spark.read.parquet(path)
+    """Client masters written by ``sinks.write_client_masters`` (partition-pruned by client).
+
+    Clients have their own columns, so the schemas of all files are merged.
+    """
+    return spark.read.option("mergeSchema", "true").parquet(path)

@@ -15,6 +15,7 @@ import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
+#: Cells in one frame that a task hands on.
 CHUNK = 50_000
 
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -122,15 +123,19 @@ def xlsx_cells(data: bytes) -> Iterator[tuple[int, int, str | None]]:
         date_styles = _date_styles(z)
         date1904 = _uses_1904(z)
         with z.open(_first_sheet(z)) as fh:
-            for _ev, el in ET.iterparse(fh, events=("end",)):
+            # r is optional on rows and cells: then the place follows the previous one
+            row, col = -1, -1
+            for event, el in ET.iterparse(fh, events=("start", "end")):
+                if event == "start":
+                    if el.tag == f"{_NS}row":
+                        row, col = int(el.get("r", row + 2)) - 1, -1
+                    continue
                 if el.tag != f"{_NS}c":
                     if el.tag == f"{_NS}row":
                         el.clear()
                     continue
-                m = _COL_RE.match(el.get("r", ""))
-                if not m:
-                    continue
-                col, row = _col_index(m.group(1)), int(m.group(2)) - 1
+                place = _COL_RE.match(el.get("r", ""))
+                col = _col_index(place.group(1)) if place else col + 1
                 kind = el.get("t", "n")
                 if kind == "inlineStr":
                     val = "".join(t.text or "" for t in el.iter(f"{_NS}t"))

@@ -3,8 +3,8 @@
 Layout: ``<root>/<client>/<venue file>.xlsx`` (two header rows). The files
 are listed by Spark's ``binaryFile`` source (parallel listing, one record
 per file) and decoded in ``mapInPandas``, one file at a time, into long
-cells. Header drift between files is just more rows; nothing is unioned
-per file.
+cells that carry their headers. Header drift between files is just more
+rows; nothing is unioned per file.
 
 Errors are data: a file that cannot be decoded yields one row with its
 ``error`` text, which ``split_errors`` routes to a quarantine frame while
@@ -13,23 +13,37 @@ the other files go on.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby, islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlens.functions.text import path_parent_name, path_stem, venue_from_stem
+from visitlens.functions.text import (
+    flatten_header, header_text, identifier, is_footer_header, path_parent_name, path_stem, venue_from_stem)
 from visitlens.sources.decoders import CHUNK, cells_for
 
+#: Data cells carry their column's two header texts and their row's respondent;
+#: every column also has one record with row -1, so columns without answers
+#: are known. ``nth`` numbers equal headers of one file, ``last_ord`` is the
+#: file's last column.
 CELL_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("row_id", T.LongType()),
     T.StructField("col_ord", T.IntegerType()),
+    T.StructField("last_ord", T.IntegerType()),
+    T.StructField("header_top", T.StringType()),
+    T.StructField("header_sub", T.StringType()),
+    T.StructField("nth", T.IntegerType()),
+    T.StructField("respondent_id", T.StringType()),
     T.StructField("value", T.StringType()),
     T.StructField("error", T.StringType()),
 ])
+RESPONDENT = "respondent_id"
 
 
 def list_files(spark: SparkSession, root: str, patterns: str = "*.{xlsx,csv}") -> DataFrame:
@@ -42,31 +56,63 @@ def list_files(spark: SparkSession, root: str, patterns: str = "*.{xlsx,csv}") -
 
 
 def in_client_folders(files: DataFrame, root: str) -> DataFrame:
-    """Keep files whose grandparent folder is the root (``root/<client>/<file>``)."""
-    root_name = root.rstrip("/").split("/")[-1]
-    grand = F.regexp_extract("path", r"([^/]*)/[^/]*/[^/]*$", 1)
-    return files.where(grand == F.lit(root_name))
+    """Keep files exactly two levels below the root (``root/<client>/<file>``).
+
+    Listed paths carry a scheme that the root may lack, so the root's own path
+    is what comes before the client folder, compared from its end.
+    """
+    own = re.sub(r"^[a-z][a-z0-9+.-]*:/*", "/", root).rstrip("/")
+    return files.where(F.regexp_replace("path", r"/[^/]+/[^/]+$", "").endswith(own))
+
+
+def _headers(path: str, content: bytes) -> dict[int, tuple[str, str, int]]:
+    """Column -> (top, sub, nth) of one file, after reading it to its end.
+
+    Reading all of it first means that a file which breaks anywhere yields
+    nothing but its error. Blank top cells take the text to their left, as
+    under a merged header; other blanks get a placeholder name.
+    """
+    rows: tuple[dict[int, str], dict[int, str]] = ({}, {})
+    for row, col, value in cells_for(path, content):
+        if row < 2:
+            rows[row][col] = value
+    found, seen, left = {}, Counter(), None
+    for col in sorted({*rows[0], *rows[1]}):
+        left = rows[0].get(col) or left
+        top = left or f"Unnamed: {col}_level_0"
+        sub = rows[1].get(col) or f"Unnamed: {col}_level_1"
+        found[col] = (top, sub, seen[top, sub])
+        seen[top, sub] += 1
+    return found
+
+
+def _file_rows(path: str, content: bytes) -> Iterator[tuple]:
+    headers = _headers(path, content)
+    last = max(headers, default=-1)
+    for col, (top, sub, nth) in headers.items():
+        yield path, -1, col, last, top, sub, nth, None, None, None
+    key = next((c for c, (top, sub, _) in headers.items() if identifier(header_text(top, sub)) == RESPONDENT), None)
+    rows = groupby((c for c in cells_for(path, content) if c[0] >= 2 and c[1] in headers), key=lambda c: c[0])
+    for row, cells in rows:
+        values = {col: value for _, col, value in cells}
+        for col, value in values.items():
+            yield path, row - 2, col, last, *headers[col], values.get(key), value, None
 
 
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             try:
-                buf = []
-                for row, col, val in cells_for(path, bytes(content)):
-                    buf.append((path, row, col, val, None))
-                    if len(buf) >= CHUNK:
-                        yield pd.DataFrame(buf, columns=CELL_SCHEMA.fieldNames())
-                        buf = []
-                if buf:
-                    yield pd.DataFrame(buf, columns=CELL_SCHEMA.fieldNames())
+                rows = _file_rows(path, bytes(content))
+                while part := list(islice(rows, CHUNK)):
+                    yield pd.DataFrame(part, columns=CELL_SCHEMA.fieldNames())
             except Exception as e:  # noqa: BLE001 - one bad file must not stop the others
-                yield pd.DataFrame([(path, None, None, None, f"{type(e).__name__}: {e}")],
-                                   columns=CELL_SCHEMA.fieldNames())
+                empty = dict.fromkeys(CELL_SCHEMA.fieldNames())
+                yield pd.DataFrame([empty | {"path": path, "error": f"{type(e).__name__}: {e}"}])
 
 
 def decode_cells(files: DataFrame) -> DataFrame:
-    """Long cells ``(path, row_id, col_ord, value, error)`` of every file."""
+    """Long cells (``CELL_SCHEMA``) of every file; one error row per bad file."""
     return files.select("path", "content").mapInPandas(_decode, CELL_SCHEMA)
 
 
@@ -77,36 +123,31 @@ def split_errors(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def file_table(cells: DataFrame) -> DataFrame:
-    """One row per file: client (parent folder) and venue (cleaned file stem)."""
-    files = cells.select("path").distinct()
-    return files.select(F.col("path").alias("file_id"),
-                        path_parent_name("path").alias("client_name"),
-                        venue_from_stem(path_stem("path")).alias("venue_name"))
+def without_footer(cells: DataFrame) -> DataFrame:
+    """Cells and header records except those of a file's footer column.
+
+    Each record knows its file's last column, so no window is needed.
+    """
+    footer = (F.col("col_ord") == F.col("last_ord")) & is_footer_header(flatten_header("header_top", "header_sub"))
+    return cells.where(~F.coalesce(footer, F.lit(False)))
 
 
 def header_cells(cells: DataFrame) -> DataFrame:
-    """The two header rows as ``(file_id, col_ord, header_top, header_sub)``.
+    """One row per file and column: keys, place and both header texts."""
+    return (without_footer(cells).where(F.col("row_id") == -1)
+            .select(F.col("path").alias("file_id"), path_parent_name("path").alias("client_name"),
+                    "col_ord", "header_top", "header_sub", "nth"))
+
+
+def answer_cells(cells: DataFrame) -> DataFrame:
+    """Long answers: one row per answer cell with its header and row keys.
 
-    Blank top cells under a merged header take the text to their left, as a
-    spreadsheet reader does for merged cells.
+    ``client_name, venue_name, file_id, row_id, respondent_id, col_ord,
+    header_top, header_sub, nth, header, value``. Client and venue are read
+    from the path and the header travels with the cell: no join, no shuffle.
     """
-    from pyspark.sql import Window
-    h = (cells.where(F.col("row_id") < 2)
-              .groupBy("path", "col_ord")
-              .agg(F.max(F.when(F.col("row_id") == 0, F.col("value"))).alias("top"),
-                   F.max(F.when(F.col("row_id") == 1, F.col("value"))).alias("sub")))
-    w = Window.partitionBy("path").orderBy("col_ord").rowsBetween(Window.unboundedPreceding, 0)
-    top = F.coalesce(F.col("top"), F.last("top", ignorenulls=True).over(w))
-    return h.select(F.col("path").alias("file_id"), "col_ord",
-                    F.coalesce(top, F.concat(F.lit("Unnamed: "), F.col("col_ord").cast("string"),
-                                             F.lit("_level_0"))).alias("header_top"),
-                    F.coalesce(F.col("sub"), F.concat(F.lit("Unnamed: "), F.col("col_ord").cast("string"),
-                                                      F.lit("_level_1"))).alias("header_sub"))
-
-
-def data_cells(cells: DataFrame) -> DataFrame:
-    """Answer cells (below the two header rows) keyed by file."""
-    return (cells.where(F.col("row_id") >= 2)
-                 .select(F.col("path").alias("file_id"), (F.col("row_id") - 2).alias("row_id"),
-                         "col_ord", "value"))
+    return (without_footer(cells).where(F.col("row_id") >= 0)
+            .select(path_parent_name("path").alias("client_name"),
+                    venue_from_stem(path_stem("path")).alias("venue_name"),
+                    F.col("path").alias("file_id"), "row_id", "respondent_id", "col_ord", "header_top",
+                    "header_sub", "nth", flatten_header("header_top", "header_sub").alias("header"), "value"))

@@ -22,11 +22,3 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-def register_tables(spark: SparkSession, sf_dir: str, names=None) -> None:
-    """Register the given tables as temp views under their own names."""
-    for name in names or STAR_TABLES:
-        path = table_path(sf_dir, name)
-        if os.path.exists(path):
-            read_table(spark, sf_dir, name).createOrReplaceTempView(name)
