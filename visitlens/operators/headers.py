@@ -13,6 +13,10 @@ than that many rows.
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterator
+from itertools import count
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,28 +87,24 @@ def simple_unique_names(headers: DataFrame, file_col: str = FILE, base_len: int
 def unique_name_list(identifiers: list[str], max_len: int = config.MAX_IDENTIFIER_LEN) -> list[str]:
     """The sequential uniqueness rule over one ordered list of identifiers.
 
-    ``used`` maps every name handed out so far to the last suffix number
-    tried for it. A name whose first choice is taken searches upward from
-    that number for the first free ``<base cut>_<k>``.
+    A name that is free stays (cut to ``max_len``). Otherwise it takes the
+    first free ``<base>_<k>``, the base cut so that the whole fits; numbers
+    run on per base, because names once taken are never given back.
     """
-    used: dict[str, int] = {}
+    taken: set[str] = set()
+    numbers: dict[str, Iterator[int]] = defaultdict(lambda: count(1))
+
+    def choose(name: str) -> str:
+        base = name[:max_len]
+        if base not in taken:
+            return base
+        tails = (f"_{k}" for k in numbers[base])
+        return next(c for c in (name[:max_len - len(t)] + t for t in tails) if c not in taken)
+
     out = []
-    for ident in identifiers:
-        first = ident[:max_len]
-        if first not in used:
-            used[first] = 0
-            out.append(first)
-            continue
-        k = used[first]
-        while True:
-            k += 1
-            tail = f"_{k}"
-            name = ident[:max_len - len(tail)] + tail
-            if name not in used:
-                break
-        used[first] = k
-        used[name] = 0
-        out.append(name)
+    for name in identifiers:
+        out.append(choose(name))
+        taken.add(out[-1])
     return out
 
 

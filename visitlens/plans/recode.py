@@ -12,25 +12,17 @@ from pyspark.sql import functions as F
 
 from visitlens import config
 from visitlens.functions import recode as R
-from visitlens.functions.text import col_
+from visitlens.functions.text import col_, identifier
 from visitlens.operators.profile import likert_columns
 
 
-def _canon(name: str) -> str:
-    import re
-    c = re.sub(r"[^a-z0-9]+", "_", name.strip().lower())
-    c = re.sub(r"_+", "_", c).strip("_")
-    c = "col_" + c if re.match(r"^[0-9]", c) else c
-    return c[:config.MAX_IDENTIFIER_LEN]
-
-
 def _named(df: DataFrame, raw_names) -> list[str]:
-    wanted = set(raw_names) | {_canon(n) for n in raw_names}
+    wanted = set(raw_names) | {identifier(n, config.MAX_IDENTIFIER_LEN) for n in raw_names}
     return [c for c in df.columns if c in wanted]
 
 
 def checkbox_columns(df: DataFrame) -> list[str]:
-    prefixes = list(config.CHECKBOX_PREFIXES) + [_canon(p) for p in config.CHECKBOX_PREFIXES]
+    prefixes = list(config.CHECKBOX_PREFIXES) + [identifier(p, config.MAX_IDENTIFIER_LEN) for p in config.CHECKBOX_PREFIXES]
     return [c for c in df.columns if any(c.startswith(p) for p in prefixes)]
 
 
