@@ -129,3 +129,24 @@ def test_recode_chain_by_column_name(spark):
     assert r["please_enter_the_number_of_guests_in_your_party_response"] == 2
     assert r["welcome_rating"] == 2.0  # detected as a Likert column from its values
     assert r["speed_of_hot_beverage_service_how_long_did_it_take_to_receive_y"] == 2.0
+
+
+def test_dates_in_other_layouts(spark):
+    from visitlens.functions.recode import day_first_date
+    texts = ["2024-06-01 19:30:00", "2024-06-01T08:00:00", "1.6.2024", "01/06/24", "1 June 2024", "1st Jun 2024", "1-Jun-2024",
+             "01/06/2024 7:05 PM", "31/02/2024", "June", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: str(r.d) if r.d else None for r in df.select("i", day_first_date(F.col("t")).alias("d")).collect()}
+    assert [got[i] for i in range(len(texts))] == ["2024-06-01"] * 8 + [None] * 4
+
+
+def test_long_numbers_do_not_stop_the_staff_view(spark):
+    from visitlens.plans.views import staff_behaviour_view
+    from visitlens import config
+    metrics = [c for c, _ in config.STAFF_METRICS]
+    df = spark.createDataFrame([("c", "v", "1", "a", "01/01/2024", "9" * 40, "61412345678901", "3", "2.0")[:5 + len(metrics)]],
+                               ", ".join(f"{n} string" for n in ["client_name", "venue_name", "respondent_id", "assessor_id",
+                                                                  "visit_date_raw", *metrics][:9]))
+    df = df.withColumns({m: F.lit(None).cast("string") for m in metrics if m not in df.columns})
+    scores = [r.score for r in staff_behaviour_view(df).collect()]
+    assert any(s > 1e40 for s in scores) and 100.0 in scores

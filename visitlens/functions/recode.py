@@ -96,12 +96,20 @@ def arrival_time(c) -> Column:
 def day_first_date(c) -> Column:
     """Day-first date text -> date; unreadable or impossible dates -> null.
 
-    Accepted layouts: d/M/yyyy, d-M-yyyy, yyyy-MM-dd.
+    Accepted: day, month (number or English name), year in any of ``/ - .`` or
+    spaces, or year first; a two-digit year; and a time after the date, which
+    is dropped.
     """
     t = py_strip(col_(c).cast("string"))
-    return F.coalesce(F.try_to_date(t, "d/M/yyyy"),
-                      F.try_to_date(t, "d-M-yyyy"),
-                      F.try_to_date(t, "yyyy-MM-dd"))
+    t = F.regexp_replace(t, r"[T\s]+[0-9]{1,2}[:.][0-9]{2}.*$", "")
+    t = F.regexp_replace(t, r"[\s./-]+", "-")
+    t = F.regexp_replace(t, r"^([0-9]{1,2})(?i:st|nd|rd|th)-", "$1-")
+    named = F.initcap(F.lower(F.regexp_replace(t, "-", " ")))
+    year_first, short = t.rlike(r"^[0-9]{4}-"), t.rlike(r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}$")
+    numeric = (F.when(year_first, F.try_to_date(t, "yyyy-M-d")).when(short, F.try_to_date(t, "d-M-yy"))
+                .otherwise(F.try_to_date(t, "d-M-yyyy")))
+    return F.coalesce(numeric, F.when(named.rlike("[A-Z]"), F.coalesce(
+        F.try_to_date(named, "d MMM yyyy"), F.try_to_date(named, "d MMMM yyyy"))))
 
 
 def guarded_visit_date(c) -> Column:

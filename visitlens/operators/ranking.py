@@ -23,10 +23,11 @@ shuffle, so at most k rows per group and map task are shuffled.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from visitlens.session import ensure_checkpoint_dir
+
 _PID = "_vl_pid"
 _LOCAL = "_vl_local"
 _N = "_vl_n"
@@ -55,15 +56,15 @@ def distributed_row_number(df: DataFrame, partition_cols: list[str], order_cols:
     """
     group = [F.col(c).asc_nulls_first() for c in partition_cols]
     # Both the slice numbering and the slice counts must see the same range
-    # bounds. Persisting the range-partitioned rows pins one shuffle (one
-    # sampled set of bounds); a lost block is recomputed through that same
-    # shuffle dependency, so partition ids stay consistent. Without an
-    # explicit count, AQE may merge small neighbouring range partitions;
-    # merged partitions are contiguous, so partition ids still follow the
-    # key order, and a hot slice is never merged past the advisory size.
+    # bounds, so the range-partitioned rows are cut from their lineage once, in
+    # the shared checkpoint folder: nothing stays persisted, and a lost
+    # executor loses nothing. Without an explicit count, AQE may merge small
+    # neighbouring partitions; merged ones are contiguous, so partition ids
+    # still follow the key order.
     keys = [*group, *order_cols]
     ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    ranged = ranged.withColumn(_PID, F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
 
     slice_w = Window.partitionBy(_PID, *partition_cols).orderBy(*order_cols)
     local = ranged.withColumn(_LOCAL, F.row_number().over(slice_w))

@@ -13,12 +13,14 @@ from visitlens import config
 from visitlens.functions import recode as R
 from visitlens.functions import text as T_
 from visitlens.operators import headers as H
-from visitlens.operators.profile import likert_columns, name_profile, table_profile, value_counts
+from visitlens.operators.profile import likert_by_file, likert_columns, name_profile, table_profile, value_counts
 from visitlens.operators.reshape import outer_union
 from visitlens.plans import master as M
 from visitlens.plans import oracle, oracle_more, views
 from visitlens.plans import recode as rc
 from visitlens.sources import fixtures as fx
+from visitlens.sources.ingest import answer_cells
+from visitlens.sources.tables import read_table
 
 
 def _scores(spark, sf_dir):
@@ -229,7 +231,53 @@ def q_client_ids(spark, sf_dir):
     return M.with_client_ids(fx.fx_visit(spark, sf_dir))
 
 
+# --- drifting survey files built from whole documents -------------------------
+
+WORD_QUESTION = "Thinking about the staff, please select the words that best describe them"
+#: Words in two layouts of one client: the second lacks a column of the first.
+LAYOUTS = {"full": ["Adept", "Awkward", "Confident"], "short": ["Adept", "Confident"]}
+
+
+def _document_cells(spark, sf_dir):
+    """Decoded cells as ``sources.ingest`` yields them: one survey row per
+    document, the client is its source, ticks follow from its text."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("n"))
+    tick = {"Adept": F.col("n") % 2 == 0, "Awkward": F.col("n") % 3 == 0, "Confident": F.col("n") % 5 < 2}
+    layout = F.when(F.col("doc_id") % 2 == 0, F.lit("full")).otherwise(F.lit("short"))
+    rows = docs.withColumn("layout", layout).withColumn("path", F.concat_ws("/", F.lit("/in"), "source", F.concat("layout", F.lit(".csv"))))
+    found = []
+    for name, words in LAYOUTS.items():
+        headers = [("Respondent ID", "Unnamed: 0_level_1"), *[(WORD_QUESTION, w) for w in words]]
+        cells = [F.struct(F.lit(i).alias("col_ord"), F.lit(top).alias("header_top"), F.lit(sub).alias("header_sub"),
+                          (F.when(tick[sub], F.lit("Yes")) if sub in tick else F.col("doc_id").cast("string")).alias("value"))
+                 for i, (top, sub) in enumerate(headers)]
+        found.append(rows.where(F.col("layout") == name).select(
+            "path", F.col("doc_id").alias("row_id"), F.lit(len(words)).alias("last_ord"),
+            F.col("doc_id").cast("string").alias("respondent_id"), F.explode(F.array(*cells)).alias("c")))
+    return found[0].unionByName(found[1]).select(
+        "path", "row_id", "c.col_ord", "last_ord", "c.header_top", "c.header_sub", F.lit(0).alias("nth"),
+        "respondent_id", "c.value")
+
+
+def q_ingest_words(spark, sf_dir):
+    return views.staff_words_from_answers(spark, answer_cells(_document_cells(spark, sf_dir)))
+
+
+def q_likert_by_file(spark, sf_dir):
+    """One column per source, Likert in some sources and free text in others."""
+    docs = read_table(spark, sf_dir, "documents")
+    free = (F.length("source") % 2 == 0) & (F.col("doc_id") % 7 == 0)
+    grade = F.element_at(F.array(*[F.lit(x) for x in ("Good", " very good", "n/a", "Poor")]),
+                         (F.length("text") % 4 + 1).cast("int"))
+    answers = docs.select(F.col("source").alias("file_id"), F.lit(1).alias("col_ord"), F.lit("Food Rating").alias("header"),
+                          F.col("doc_id").alias("respondent_id"), F.when(free, F.col("text")).otherwise(grade).alias("value"))
+    return likert_by_file(answers, ["file_id", "col_ord"], name="header").select(
+        "file_id", "respondent_id", "is_likert", "likert_score")
+
+
 QUERIES = {
+    "ingest_words": q_ingest_words,
+    "likert_by_file": q_likert_by_file,
     "section_union": q_section_union,
     "total_score": q_total_score,
     "master": q_master,

@@ -82,6 +82,8 @@ _DOMAIN = "('poor', 'fair', 'good', 'very good', 'n/a')"
 def likert_columns() -> str:
     parts = []
     for c in _SURVEY_COLS:
+        if c.replace("_", " ") in [m.lower() for m in config.METADATA_COLUMNS]:
+            continue  # metadata is never a question
         parts.append(
             f"select '{c}' as column_name, cast(count({c}) as bigint) as n_values, "
             f"(coalesce(bool_and({clean(c)} in {_DOMAIN}), false) and count({c}) > 0) as is_likert "
@@ -124,10 +126,12 @@ def arrival_time() -> str:
 
 
 def parse_dates() -> str:
-    t = pystrip("date_of_visit")
-    return with_fixtures(
-        f"select respondent_id, cast(coalesce(try_strptime({t}, '%d/%m/%Y'), try_strptime({t}, '%d-%m-%Y'), "
-        f"try_strptime({t}, '%Y-%m-%d')) as date) as date_of_visit from fx_raw_text")
+    """Dates by their parts: separators made alike, times cut off."""
+    plain = f"regexp_replace({pystrip('date_of_visit')}, '[T\\s]+[0-9]{{1,2}}[:.][0-9]{{2}}.*$', '')"
+    alike = f"regexp_replace({plain}, '[\\s./-]+', '-', 'g')"
+    forms = ", ".join(f"try_strptime(d, '{form}')" for form in ("%Y-%m-%d", "%d-%m-%Y", "%d-%m-%y", "%d-%b-%Y", "%d-%B-%Y"))
+    return with_fixtures(f"select respondent_id, cast(coalesce({forms}) as date) as date_of_visit "
+                         f"from (select respondent_id, {alike} as d from fx_raw_text)")
 
 
 def guests() -> str:
@@ -259,8 +263,33 @@ def client_ids() -> str:
     return with_fixtures(q, dim)
 
 
+def ingest_words() -> str:
+    """Ticked words straight from the documents: no column names, no suffixes."""
+    ticks = (("Adept", "length(text) % 2 = 0"), ("Awkward", "length(text) % 3 = 0 and doc_id % 2 = 0"),
+             ("Confident", "length(text) % 5 < 2"))
+    venue = "case when doc_id % 2 = 0 then 'full' else 'short' end"
+    return " union all ".join(
+        f"select source || '|' || {venue} || '|' || doc_id as visit_id, source as client_name, {venue} as venue_name, "
+        f"cast(doc_id as varchar) as respondent_id, 'Staff Behaviour' as word_group, '{word}' as word_label, "
+        f"cast(1 as integer) as selected_flag, source || '_master' as source_table from documents where {when}"
+        for word, when in ticks)
+
+
+def likert_by_file() -> str:
+    scores = ", ".join(f"('{k}', {v})" for k, v in config.LIKERT_MAP.items())
+    return (
+        "with a as (select source as file_id, doc_id as respondent_id, lower(trim(case when length(source) % 2 = 0 and "
+        "doc_id % 7 = 0 then text else ['Good', ' very good', 'n/a', 'Poor'][length(text) % 4 + 1] end)) as v "
+        f"from documents), s as (select * from (values {scores}) t(k, score)), "
+        f"f as (select a.*, coalesce(bool_and(v in (select k from s) or v = '{config.LIKERT_NA}') over (partition by file_id), "
+        "false) as is_likert from a) select file_id, respondent_id, is_likert, "
+        "cast(case when is_likert then score end as double) as likert_score from f left join s on v = k")
+
+
 def queries() -> dict[str, str]:
     return {
+        "ingest_words": ingest_words(),
+        "likert_by_file": likert_by_file(),
         "recommendation": recommendation(),
         "speed": speed(),
         "gender": gender(),
