@@ -6,18 +6,18 @@ Layers:
   operators/  reusable DataFrame operators (headers, unpivot, ranking, scoring)
   plans/      the report views and the master build, composed from operators
   sinks/      table / parquet / JDBC writers
-  streaming/  incremental ingest of newly dropped survey files
+  llm/        training-data operators (optional, nothing here imports it)
 
 Typical use::
 
     from visitlens.session import get_spark
     from visitlens.plans.build import build_masters
     from visitlens.plans import views
-    from visitlens.sinks.writers import write_client_masters
+    from visitlens.sinks.writers import write_each_client
 
     spark = get_spark()
     m = build_masters(spark, "/data/surveys")          # root/<client>/<venue>.xlsx
-    write_client_masters(m.masters, "/warehouse/masters")
+    write_each_client(m.each(), "/warehouse/masters")
     views.register_views(spark, section_scores, feedback, m.masters)
     spark.table("vw_report_base_powerbi").show()
 

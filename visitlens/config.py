@@ -274,6 +274,3 @@ NUMBER_WORDS = {
 
 # Database identifier limit for generated column and table names.
 MAX_IDENTIFIER_LEN = 63
-
-# Spreadsheet column limit (xlsx): bounds the header list of one file.
-MAX_FILE_COLUMNS = 16384
