@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import cut_lineage, id_text_crc, shuffle_partitions, text_or_empty
+from visitlens.llm.common import cut_lineage, id_text_crc, text_or_empty
 
 #: Preceding bytes in a context.
 DEPTH = 4
@@ -207,7 +207,7 @@ def score(docs: DataFrame, held_out: Column | None = None, id_col: str = "doc_id
                        F.coalesce(held_out, F.lit(False)).alias("held"))
     kind = rows.schema["id"].dataType.simpleString()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = _blocks(rows, max(shuffle_partitions(docs.sparkSession), -(-size // BLOCK_BYTES)))
+    blocks = _blocks(rows, max(1, -(-size // BLOCK_BYTES)))  # by bytes alone: each block asks for its own items
     asked = blocks.select("block", "train", "text").mapInArrow(_ask, "block int, item binary, n bigint")
     item = Window.partitionBy("item")
     counted = cut_lineage(asked.select(
