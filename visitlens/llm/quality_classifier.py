@@ -32,10 +32,10 @@ from visitlens.llm.hashing import mix, word_hashes
 #: Buckets for all n-grams, length of a vector, character n-gram lengths.
 BUCKETS, WIDTH, CHARS = 1 << 19, 16, (2, 4)
 #: Bound of the training sample, steps of descent, first learning rate.
-MAX_TRAIN_DOCS, STEPS, RATE, SEED = 4000, 16_000, 2.0, 7
+MAX_TRAIN_DOCS, STEPS, RATE, SEED = 2000, 16_000, 2.0, 7
 #: A sample of at most this many bytes of n-gram counts stays on the driver
 #: between passes; a larger one is streamed again for every pass.
-HELD_BYTES = 1 << 28
+HELD_BYTES = 1 << 27
 PASS_BYTES = 2 << 20
 
 
