@@ -33,17 +33,14 @@ KEY_CHARS = 24
 LEAST_SHARE = 1 << 20
 
 
-def _large_groups(keyed: DataFrame, partitions: int) -> DataFrame:
-    """Digest, winner, size and slice count of groups above a partition's share."""
+def _large_groups(keyed: DataFrame, share: int) -> DataFrame:
+    """Digest, winner, size and slice count of groups above ``share`` bytes."""
     groups = keyed.groupBy("_sha").agg(
         F.sum("_bytes").alias("bytes"), F.count(F.lit(1)).alias("_all_size"),
         F.min(F.struct((-F.col("_chars")).alias("neg"), F.col("_id").isNull().alias("nil"),
                        F.col("_id").alias("id"))).alias("best"))
-    total = groups.agg(F.sum("bytes").alias("total"))
-    share = F.greatest(F.lit(LEAST_SHARE), F.col("total") / F.lit(4 * partitions))
-    return (groups.join(F.broadcast(total)).filter(F.col("bytes") > share)
-            .select("_sha", F.col("best.id").alias("_all_keep"), "_all_size",
-                    F.ceil(F.col("bytes") / share).alias("_slices")))
+    return groups.filter(F.col("bytes") > share).select(
+        "_sha", F.col("best.id").alias("_all_keep"), "_all_size", F.ceil(F.col("bytes") / share).alias("_slices"))
 
 
 def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -61,7 +58,8 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .withColumn("_chars", F.length("_text").cast("long"))
              .withColumn("_bytes", F.octet_length("_norm").cast("long"))
              .withColumn("_sha", F.sha2("_norm", 256)))
-    large = _large_groups(keyed.select("_id", "_chars", "_bytes", "_sha"), parts)
+    total = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    large = _large_groups(keyed.select("_id", "_chars", "_bytes", "_sha"), max(LEAST_SHARE, total // (4 * parts)))
     sliced = (keyed.withColumn("_head", F.substring("_norm", 1, KEY_CHARS))
               .join(F.broadcast(large), "_sha", "left")
               .withColumn("_slice", F.when(F.col("_slices").isNull(), F.lit(0).cast("long")).otherwise(
