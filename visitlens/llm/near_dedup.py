@@ -9,11 +9,11 @@ greater, less and equal (maximum likelihood with the known set sizes), and then
 confirmed on the full sets.
 
 Equal sets are one node, so copies never meet each other. Large buckets are
-not expanded into pairs: in rounds, each open member meets a hub drawn anew for
-its bucket, which merges most of them, and a pair is compared only while its
-ends are in different components. Once the pairs still open are no more than
-the rows in buckets (or the rounds are over), all of them are compared, so no
-link between components is left out of the buckets. Components spread by least
+not expanded into pairs: in rounds, each open member meets one hub, drawn anew
+from its buckets, which merges most of them, and a pair is compared only while
+its ends are in different components. Once the pairs still open are no more
+than twice the members (or the rounds are over), all of them are compared, so
+no link between components is left out of the buckets. Components spread by least
 labels with pointer jumping; links, labels and sets stay in Spark.
 
 Defined results: null text counts as empty; without words a text has no
@@ -47,7 +47,7 @@ BASE, SCALE, TOP = 1.001, 20.0, (1 << 16) - 2
 MARGIN = 5 * math.sqrt(0.16 / REGISTERS)
 PASS_BYTES, CHUNK = 2 << 20, 2048
 #: Most rounds in which members meet a hub of their bucket only.
-HUB_ROUNDS = 6
+HUB_ROUNDS = 4
 
 _rng = np.random.default_rng(20)
 _TIMES = _rng.integers(1, 1 << 63, REGISTERS, dtype=np.uint64) | np.uint64(1)
@@ -216,10 +216,10 @@ def components(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
         F.substring(F.col("regs"), i * width + 1, F.lit(width)), i))).alias("key"))
     shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("key")
     buckets = cut_lineage(keys.join(shared, "key"))
-    rows = buckets.count()
     labels = cut_lineage(buckets.select("id").distinct().withColumn("c", F.col("id")))
-    members = docs.select("id", "text").join(labels.select("id"), "id", "left_semi")
-    sets = cut_lineage(full_sets(members, size).groupBy("id").agg(F.max("items").alias("items")))
+    members = labels.count()
+    texts = docs.select("id", "text").join(labels.select("id"), "id", "left_semi")
+    sets = cut_lineage(full_sets(texts, size).groupBy("id").agg(F.max("items").alias("items")))
     links = None
     for turn in range(HUB_ROUNDS + 1):
         placed = buckets.join(labels, "id")
@@ -231,14 +231,16 @@ def components(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
         left = open_keys.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0] or 0
         if not left:
             break
-        last = left <= rows or turn == HUB_ROUNDS
+        last = left <= 2 * members or turn == HUB_ROUNDS
         if last:
             one, two = (placed.join(open_keys.select("key"), "key").select(
                 "key", F.col("id").alias(x), F.col("c").alias(f"c_{x}")) for x in "ab")
             pairs = one.join(two, "key").filter("a < b and c_a <> c_b").select("a", "b").distinct()
         else:
-            hubs = open_keys.select("key", F.col("hub.hub.id").alias("a"), F.col("hub.c").alias("c_a"))
-            pairs = placed.join(hubs, "key").filter("c <> c_a").select("a", F.col("id").alias("b")).distinct()
+            # one hub for each member: the first, in this turn's order, of its buckets' hubs
+            hubs = open_keys.select("key", F.col("hub.hub").alias("hub"), F.col("hub.c").alias("c_a"))
+            pairs = (placed.join(hubs, "key").filter("c <> c_a").groupBy(F.col("id").alias("b"))
+                     .agg(F.min("hub").alias("hub")).select(F.col("hub.id").alias("a"), "b"))
         found = cut_lineage(verified(pairs, nodes, sets, percent))
         links = found if links is None else links.unionByName(found)
         if last:
