@@ -245,7 +245,9 @@ def components(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
         links = found if links is None else links.unionByName(found)
         if last:
             break
-        labels = nearer(labels, found)
+        # the first step brings a hub the least label of its members, the second
+        # brings that label to all of them
+        labels = nearer(nearer(labels, found), found)
     if links is not None:
         labels = spread(labels, links)
     own = drawn.join(nodes.select("same", F.col("id").alias("node")), "same", "left")
