@@ -46,6 +46,8 @@ BASE, SCALE, TOP = 1.001, 20.0, (1 << 16) - 2
 #: (five standard errors of the estimate).
 MARGIN = 5 * math.sqrt(0.16 / REGISTERS)
 PASS_BYTES, CHUNK = 2 << 20, 2048
+#: Rows of small tables (labels, links, roots) in one partition.
+SMALL_ROWS = 100_000
 #: Most rounds in which members meet a hub of their bucket only.
 HUB_ROUNDS = 4
 
@@ -174,35 +176,42 @@ def _ends(labels: DataFrame, links: DataFrame) -> DataFrame:
     return ends.select("e.x", "e.y")
 
 
-def _renamed(labels: DataFrame, names: DataFrame) -> DataFrame:
+def _kept_small(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, cut from its lineage, in as few partitions as its rows call for;
+    ``rows`` bounds them. Small tables then leave few shuffle files."""
+    return cut_lineage(df).coalesce(1 + rows // SMALL_ROWS)
+
+
+def _renamed(labels: DataFrame, names: DataFrame, rows: int) -> DataFrame:
     """``labels`` (id, c) after every label v became r of (v, r), if there is one."""
-    return cut_lineage(labels.join(names.select(F.col("v").alias("c"), "r"), "c", "left")
-                       .select("id", F.coalesce("r", "c").alias("c")))
+    return _kept_small(labels.join(names.select(F.col("v").alias("c"), "r"), "c", "left")
+                       .select("id", F.coalesce("r", "c").alias("c")), rows)
 
 
-def nearer(labels: DataFrame, links: DataFrame) -> DataFrame:
+def nearer(labels: DataFrame, links: DataFrame, rows: int) -> DataFrame:
     """One step: each component takes the least label that a link shows it."""
     least = _ends(labels, links).groupBy(F.col("x").alias("v")).agg(F.min(F.least("x", "y")).alias("r"))
-    return _renamed(labels, least)
+    return _renamed(labels, least, rows)
 
 
-def spread(labels: DataFrame, links: DataFrame) -> DataFrame:
+def spread(labels: DataFrame, links: DataFrame, rows: int) -> DataFrame:
     """Least label per component: labels (id, c), links (a, b) between ids.
 
     Each step takes the least root of all neighbours and jumps to that root's
     own root, so long chains shorten by half.
     """
     edges = cut_lineage(_ends(labels, links).distinct())
+    edges = edges.coalesce(1 + edges.count() // SMALL_ROWS)
     roots = edges.select(F.col("x").alias("v")).distinct().withColumn("r", F.col("v"))
     moved = True
     while moved:
         told = (edges.join(roots.select(F.col("v").alias("x"), "r"), "x").select(F.col("y").alias("v"), "r", F.lit(None).alias("old"))
                 .unionByName(roots.select("v", "r", F.col("r").alias("old")))
                 .groupBy("v").agg(F.min("r").alias("r"), F.max("old").alias("old")))
-        roots = cut_lineage(told.join(roots.select(F.col("v").alias("r"), F.col("r").alias("up")), "r", "left")
-                            .select("v", F.least("r", "up").alias("r"), "old"))
+        roots = _kept_small(told.join(roots.select(F.col("v").alias("r"), F.col("r").alias("up")), "r", "left")
+                            .select("v", F.least("r", "up").alias("r"), "old"), rows)
         moved = not roots.filter("r <> old").isEmpty()
-    return _renamed(labels, roots)
+    return _renamed(labels, roots, rows)
 
 
 def components(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
@@ -218,6 +227,8 @@ def components(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
     buckets = cut_lineage(keys.join(shared, "key"))
     labels = cut_lineage(buckets.select("id").distinct().withColumn("c", F.col("id")))
     members = labels.count()
+    buckets = buckets.coalesce(1 + BANDS * members // (8 * SMALL_ROWS))
+    labels = labels.coalesce(1 + members // SMALL_ROWS)
     texts = docs.select("id", "text").join(labels.select("id"), "id", "left_semi")
     sets = cut_lineage(full_sets(texts, size).groupBy("id").agg(F.max("items").alias("items")))
     links = None
@@ -241,15 +252,15 @@ def components(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
             hubs = open_keys.select("key", F.col("hub.hub").alias("hub"), F.col("hub.c").alias("c_a"))
             pairs = (placed.join(hubs, "key").filter("c <> c_a").groupBy(F.col("id").alias("b"))
                      .agg(F.min("hub").alias("hub")).select(F.col("hub.id").alias("a"), "b"))
-        found = cut_lineage(verified(pairs, nodes, sets, percent))
+        found = _kept_small(verified(pairs, nodes, sets, percent), 2 * members)
         links = found if links is None else links.unionByName(found)
         if last:
             break
         # the first step brings a hub the least label of its members, the second
         # brings that label to all of them
-        labels = nearer(nearer(labels, found), found)
+        labels = nearer(nearer(labels, found, members), found, members)
     if links is not None:
-        labels = spread(labels, links)
+        labels = spread(labels, links, members)
     own = drawn.join(nodes.select("same", F.col("id").alias("node")), "same", "left")
     return own.join(labels.select(F.col("id").alias("node"), "c"), "node", "left").select(
         "id", "n", F.when((F.col("n") == 0) | F.col("id").isNull(), F.col("id"))
