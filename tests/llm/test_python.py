@@ -146,6 +146,25 @@ def test_random_tokens_are_found(spark):
     assert all(got[i].spans == "" for i in got if i >= 100)
 
 
+@pytest.mark.parametrize("name", ["base32", "base32_lower", "lower_digits", "upper_digits", "alnum"])
+@pytest.mark.parametrize("size", [32, 64, 128])
+def test_random_tokens_of_every_alphabet(name, size):
+    rng = random.Random(size)
+    tokens = ["".join(rng.choices(secret_scan.ALPHABETS[name], k=size)) for _ in range(300)]
+    assert sum(secret_scan.natural_p(t) < 1.0 for t in tokens) >= 294
+
+
+def test_single_case_keys_are_found(spark):
+    rng = random.Random(6)
+    keys = ["".join(rng.choices(a + "0123456789", k=n)) for a in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+            for n in (32, 64, 128) for _ in range(10)]
+    words = ["international_communication", "thequickbrownfoxjumpsoverthelazydog2024", "WWW_EXAMPLE_COM_INDEX_HTML"]
+    rows = [(i, f"key {t} end") for i, t in enumerate(keys)] + [(100 + i, f"key {w} end") for i, w in enumerate(words)]
+    got = {r.doc_id: r.spans for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert sum(got[i] == f"random:4:{4 + len(t)}" for i, t in enumerate(keys)) >= 58
+    assert not any(got[100 + i] for i in range(len(words)))
+
+
 def test_bpe_round_trip(spark, edge, small):
     tok = Tokenizer.from_str(BYTES)
 

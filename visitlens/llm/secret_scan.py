@@ -39,6 +39,8 @@ TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 #: Alphabets from narrow to wide; the first that holds a token is its encoding.
 ALPHABETS = {
     "hex": "0123456789abcdef", "hex_upper": "0123456789ABCDEF", "base32": string.ascii_uppercase + "234567",
+    "base32_lower": string.ascii_lowercase + "234567", "lower_digits": string.ascii_lowercase + string.digits,
+    "upper_digits": string.ascii_uppercase + string.digits,
     "alnum": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/=",
     "base64url": string.ascii_letters + string.digits + "_-=",
     "mixed": string.ascii_letters + string.digits + "+/_-=",
