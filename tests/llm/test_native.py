@@ -60,6 +60,35 @@ def test_pii_added_kinds(spark, text, spans):
     assert pii.find_pii(docs).first().spans == spans
 
 
+LISTED = [f"{n:03}-45-6789" for n in range(101, 121)]
+
+
+@pytest.mark.parametrize("text,found", [
+    ("SSNs: 123-45-6789, 987-65-4321", ["123-45-6789", "987-65-4321"]),
+    ("078-05-1120 is my SSN", ["078-05-1120"]),
+    ("SSNs: " + ", ".join(LISTED) + ".", LISTED),
+    (", ".join(LISTED[:9]) + " and " + LISTED[9] + " are SSNs", LISTED[:10]),
+    ("ssn 123-45-6789" + " then a long run of other words" * 3 + " part 987-65-4321", ["123-45-6789"]),
+    ("part 987-65-4321" + " then a long run of other words" * 3 + " ssn 123-45-6789", ["123-45-6789"]),
+    ("é 💡 ssn for 12-3 and 4-5 é 987-65-4321", ["987-65-4321"]),
+])
+def test_ssn_context(spark, text, found):
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    spans = [f"ssn:{text.index(x)}:{text.index(x) + 11}" for x in found]
+    assert pii.find_pii(docs).first().spans == ",".join(spans)
+    clean = pii.redact(docs).first().text
+    assert clean.count("<SSN>") == len(found) and not any(x in clean for x in found)
+
+
+@pytest.mark.parametrize("text,score", [
+    ("card 12, 13, 4111 1111 1111 1111", 1.0), ("4111 1111 1111 1111, 12, card", 1.0),
+    ("card" + " 12a" * 12 + " 4111 1111 1111 1111", 0.8), ("x 4111 1111 1111 1111 x", 0.8),
+])
+def test_context_on_both_sides(spark, text, score):
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert pii.find_pii(docs).first().best_score == pytest.approx(score)
+
+
 def test_redact(edge):
     got = {r.doc_id: r for r in pii.redact(edge).collect()}
     assert got[10].text == "<PHONE>, <CARD>"

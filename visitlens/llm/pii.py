@@ -4,7 +4,9 @@ Each kind's pattern proposes leftmost, non-overlapping spans. Cutting the text
 at the same pattern gives the pieces between the matches, so running sums of
 the lengths yield code-point offsets without any Python. Checksums
 (Luhn for cards, mod-97 for account numbers) and ranges confirm a span; words
-in the text just before it raise its score. Patterns start at the beginning of
+in the text just before or after it raise its score, whatever was matched in
+between. A kind that counts only with such words keeps them along a list of
+numbers parted by punctuation, so long lists stay whole. Patterns start at the beginning of
 a run and use possessive repeats, so long runs cost linear time.
 
 Defined results: null text counts as empty; empty texts have no span; digests
@@ -32,7 +34,9 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
-#: Score of a confirmed span, and the words before it that raise the score.
+#: Least characters of a match: how many neighbours reach CONTEXT_CHARS.
+LEAST_CHARS = {"email": 5, "ip": 7, "card": 2, "phone": 4, "iban": 15, "ssn": 11}
+#: Score of a confirmed span, and the words near it that raise the score.
 BASE_SCORE = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "ssn": 0.3}
 CONTEXT = {
     "email": "mail|contact|write to", "ip": "ip|host|server|address", "card": "card|visa|credit|pay",
@@ -42,6 +46,9 @@ CONTEXT_CHARS, CONTEXT_BONUS = 40, 0.2
 #: Least score of a kind that is not one of the base kinds.
 LEAST_SCORE = 0.5
 KINDS = tuple(PATTERNS)
+#: Kinds that their context alone confirms, and what parts the numbers of a list.
+LISTED = tuple(k for k in KINDS if k not in BASE_KINDS and BASE_SCORE[k] < LEAST_SCORE)
+LIST_GAP = r"^[\s\p{Punct}]*(?:(?:and|or)\s+)?$"
 
 
 def _digits(match: Column) -> Column:
@@ -78,13 +85,38 @@ def _confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _near(kind: str, i: Column) -> Column:
+    """Whether a context word is within CONTEXT_CHARS of match ``i``, before or
+    after; only so many neighbours are joined as can lie in that window."""
+    piece, before, after = (F.col(f"_{x}_{kind}") for x in ("piece", "before", "after"))
+    reach = -(-CONTEXT_CHARS // LEAST_CHARS[kind])
+    wide = F.lit(CONTEXT_CHARS)
+    ahead = F.concat(F.array_join(F.slice(before, F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach))), ""),
+                     F.right(F.get(piece, i), wide))
+    behind = F.concat(F.left(F.get(piece, i + 1), wide), F.array_join(F.slice(after, i + 2, F.lit(reach)), ""))
+    return (F.lower(F.right(ahead, wide)).rlike(CONTEXT[kind])
+            | F.lower(F.left(behind, wide)).rlike(CONTEXT[kind]))
+
+
+def _anchors(near: Column, piece: Column) -> Column:
+    """Per match: an odd number if it is near a word, an even one if it starts
+    a list, else 0. A running maximum then is odd where the list so far has one."""
+    return F.transform(near, lambda x, i: F.when(x | ~F.get(piece, i).rlike(LIST_GAP), 2 * i + x.cast("int"))
+                       .otherwise(F.lit(0)).cast("bigint"))
+
+
 def _spans(kind: str) -> Column:
     """Confirmed spans of one kind from its matches, pieces and match ends."""
-    match, piece, stops = (F.col(f"_{x}_{kind}") for x in ("match", "piece", "stop"))
+    match, stops = F.col(f"_match_{kind}"), F.col(f"_stop_{kind}")
+
+    def near(i: Column) -> Column:
+        if kind not in LISTED:
+            return _near(kind, i)
+        last = F.size(match) - 1
+        return (F.get(F.col(f"_fore_{kind}"), i) % 2 == 1) | (F.get(F.col(f"_back_{kind}"), last - i) % 2 == 1)
 
     def span(m: Column, i: Column) -> Column:
-        near = F.lower(F.right(F.get(piece, i), F.lit(CONTEXT_CHARS))).rlike(CONTEXT[kind])
-        score = F.lit(BASE_SCORE[kind]) + F.when(near, F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))
+        score = F.lit(BASE_SCORE[kind]) + F.when(near(i), F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))
         stop = F.get(stops, i)
         return F.when(_confirmed(kind, m), F.struct(
             (stop - F.length(m)).alias("start"), stop.alias("stop"), score.alias("score")))
@@ -108,10 +140,26 @@ def with_spans(docs: DataFrame, text_col: str = "_text") -> DataFrame:
         return F.transform(F.col(f"_match_{kind}"), lambda m, i: (
             F.length(F.get(F.col(f"_piece_{kind}"), i)) + F.length(m)).cast("bigint"))
 
-    sized = cut.withColumns({f"_size_{k}": steps(k) for k in KINDS})
+    def edge(kind: str, side: str) -> Column:
+        # the last characters up to each match's end, or the first from its start
+        def text_at(m: Column, i: Column) -> Column:
+            if side == "before":
+                return F.right(F.concat(F.get(F.col(f"_piece_{kind}"), i), m), F.lit(CONTEXT_CHARS))
+            return F.left(F.concat(m, F.get(F.col(f"_piece_{kind}"), i + 1)), F.lit(CONTEXT_CHARS))
+
+        return F.transform(F.col(f"_match_{kind}"), text_at)
+
+    sized = cut.withColumns({f"_size_{k}": steps(k) for k in KINDS} | {
+        f"_{side}_{k}": edge(k, side) for side in ("before", "after") for k in KINDS})
     ended = with_running(sized, {f"_stop_{k}": f"_size_{k}" for k in KINDS})
+    for k in LISTED:
+        ended = ended.withColumn("_near", F.transform(F.col(f"_match_{k}"), lambda _, i: _near(k, i)))
+        ended = ended.withColumns({
+            "_ahead": _anchors(F.col("_near"), F.col(f"_piece_{k}")),
+            "_behind": _anchors(F.reverse("_near"), F.reverse(f"_piece_{k}"))})
+        ended = with_running(ended, {f"_fore_{k}": "_ahead", f"_back_{k}": "_behind"}, "max").drop("_near", "_ahead", "_behind")
     spans = ended.withColumns({f"_{k}": _spans(k) for k in KINDS})
-    return spans.drop(*[f"_{x}_{k}" for x in ("match", "piece", "size", "stop") for k in KINDS])
+    return spans.drop(*[f"_{x}_{k}" for x in ("match", "piece", "size", "stop", "before", "after", "fore", "back") for k in KINDS])
 
 
 def _listed(kinds: tuple[str, ...]) -> Column:
