@@ -60,6 +60,24 @@ def test_pii_added_kinds(spark, text, spans):
     assert pii.find_pii(docs).first().spans == spans
 
 
+@pytest.mark.parametrize("text,found", [
+    ("BE68 5390 0754 7034 EUR 50", ["BE68 5390 0754 7034"]),
+    ("ES91 2100 0418 4502 0005 1332 BIC X", ["ES91 2100 0418 4502 0005 1332"]),
+    ("BE68 5390 0754 7034 10 times", ["BE68 5390 0754 7034"]),
+    ("BE68 5390 0754 7034 VISA CARD 2024 now", ["BE68 5390 0754 7034"]),
+    ("BE68 5390 0754 7034 GB82 WEST 1234 5698 7654 32 EUR", ["BE68 5390 0754 7034", "GB82 WEST 1234 5698 7654 32"]),
+    ("REF AB12 BE68 5390 0754 7034 EUR", ["BE68 5390 0754 7034"]),
+    ("ZZ80 5390 0754 7034 EUR 50", ["ZZ80 5390 0754 7034"]),
+    ("BE69 5390 0754 7034 EUR 50", []),
+    ("NO93 8601 1117 947 and NO9386011117947.", ["NO93 8601 1117 947", "NO9386011117947"]),
+])
+def test_iban_ends_with_its_number(spark, text, found):
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    got = [s for s in pii.find_pii(docs).first().spans.split(",") if s.startswith("iban")]
+    assert got == [f"iban:{text.index(x)}:{text.index(x) + len(x)}" for x in found]
+    assert pii.redact(docs).first().text.count("<IBAN>") == len(found)
+
+
 LISTED = [f"{n:03}-45-6789" for n in range(101, 121)]
 
 

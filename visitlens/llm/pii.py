@@ -24,6 +24,28 @@ from pyspark.sql import functions as F
 from visitlens.llm.common import text_or_empty, with_running
 
 BASE_KINDS = ("email", "ip", "card", "phone")
+#: Account number length -> country codes that use it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(size: int, codes: str) -> str:
+    groups, rest = divmod(size - 4, 4)
+    spaced = rf"(?:\x20[A-Z0-9]{{4}}){{{groups}}}" + (rf"\x20[A-Z0-9]{{{rest}}}" if rest else "")
+    return rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:[A-Z0-9]{{{size - 4}}}|{spaced})"
+
+
+#: A number of its country's length; and any other, whose groups are not the
+#: start of such a one.
+IBAN_KNOWN = "(?:" + "|".join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items()) + ")(?![A-Za-z0-9])"
+IBAN_CODES = "^(?:" + "|".join(" ".join(IBAN_LENGTHS.values()).split()) + ")"
+IBAN_OTHER = (r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20(?!" + IBAN_KNOWN + r")[A-Z0-9]{4}){2,7}"
+              r"(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 #: Kind -> proposing pattern. The first four are fixed by contract; they are
 #: written so that a match starts where the plain pattern's leftmost one does.
 PATTERNS = {
@@ -31,7 +53,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}+",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{IBAN_KNOWN}|{IBAN_OTHER})",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 #: Least characters of a match: how many neighbours reach CONTEXT_CHARS.
@@ -71,6 +93,16 @@ def _mod97(match: Column) -> Column:
     return rest == 1
 
 
+def _account(match: Column) -> Column:
+    """The account number that a match starts with, or null. Its length is only
+    open for codes without a fixed one: then fewer groups are tried as well."""
+    groups = F.split(match, " ")
+    least = F.when(match.rlike(IBAN_CODES), F.size(groups)).otherwise(F.lit(1))
+    tries = F.transform(F.sequence(F.size(groups), least, F.lit(-1)),
+                        lambda k: F.array_join(F.slice(groups, F.lit(1), k), " "))
+    return F.get(F.filter(tries, lambda t: F.length(F.replace(t, F.lit(" "), F.lit(""))).between(15, 34) & _mod97(t)), F.lit(0))
+
+
 def _confirmed(kind: str, match: Column) -> Column:
     if kind == "ip":
         part = "0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])?"
@@ -81,7 +113,7 @@ def _confirmed(kind: str, match: Column) -> Column:
     if kind == "phone":
         return F.length(_digits(match)).between(8, 15)
     if kind == "iban":
-        return F.length(F.replace(match, F.lit(" "), F.lit(""))).between(15, 34) & _mod97(match)
+        return _account(match).isNotNull()
     return F.lit(True)
 
 
@@ -118,8 +150,10 @@ def _spans(kind: str) -> Column:
     def span(m: Column, i: Column) -> Column:
         score = F.lit(BASE_SCORE[kind]) + F.when(near(i), F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))
         stop = F.get(stops, i)
-        return F.when(_confirmed(kind, m), F.struct(
-            (stop - F.length(m)).alias("start"), stop.alias("stop"), score.alias("score")))
+        start = stop - F.length(m)
+        if kind == "iban":
+            stop = start + F.length(_account(m))
+        return F.when(_confirmed(kind, m), F.struct(start.alias("start"), stop.alias("stop"), score.alias("score")))
 
     least = 0.0 if kind in BASE_KINDS else LEAST_SCORE
     return F.filter(F.transform(match, span), lambda s: s.isNotNull() & (s["score"] >= least))
