@@ -36,6 +36,24 @@ def test_drop_duplicates_keeps_columns(edge):
     assert left.count() == len({x[3] for x in brute.exact(EDGE)})
 
 
+def test_large_groups_of_empty_and_short_texts_are_cut(spark, monkeypatch):
+    rows = [(i, (None, "", " \n ")[i % 3]) for i in range(900)] + [(1000 + i, "ok" + " " * (i % 2)) for i in range(900)]
+    rows += [(2000 + i, f"text {i}") for i in range(900)]
+    cut, real = [], exact_dedup._large_groups
+
+    def spy(keyed, share):
+        out = real(keyed, share)
+        cut.extend(out.collect())
+        return out
+
+    monkeypatch.setattr(exact_dedup, "LEAST_SHARE", 1 << 10)
+    monkeypatch.setattr(exact_dedup, "_large_groups", spy)
+    got = exact_dedup.mark_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == sorted(brute.exact(rows))
+    assert sum(r.kept for r in got) == 902
+    assert sorted(r["_all_size"] for r in cut) == [900, 900] and all(r["_slices"] > 1 for r in cut)
+
+
 def test_pii_edges(edge):
     for r in pii.find_pii(edge).collect():
         text = {i: t for i, t in EDGE}[r.doc_id]

@@ -7,8 +7,9 @@ Every partition is then sorted externally on the whole normalised text, which
 puts equal texts next to each other, and the window compares neighbours in
 full.
 
-A group of copies whose bytes exceed a partition's share is cut into slices
-before the sort. Its winner and size come from a small map-side aggregate over
+A group of copies whose weight exceeds a partition's share is cut into slices
+before the sort; a row weighs its original text's bytes plus a fixed cost, so
+that many empty or short texts count too. Its winner and size come from a small map-side aggregate over
 digests; at most ``4 x partitions`` groups can exceed the share, which bounds
 the broadcast of that list.
 
@@ -29,12 +30,12 @@ from visitlens.llm.common import shuffle_partitions, text_or_empty, without_spac
 
 #: Leading characters of the normalised text that take part in the range key.
 KEY_CHARS = 24
-#: Least share of a partition, in bytes of normalised text.
-LEAST_SHARE = 1 << 20
+#: Least share of a partition, and what a row weighs besides its text, in bytes.
+LEAST_SHARE, ROW_BYTES = 1 << 20, 64
 
 
 def _large_groups(keyed: DataFrame, share: int) -> DataFrame:
-    """Digest, winner, size and slice count of groups above ``share`` bytes."""
+    """Digest, winner, size and slice count of groups that weigh more than ``share``."""
     groups = keyed.groupBy("_sha").agg(
         F.sum("_bytes").alias("bytes"), F.count(F.lit(1)).alias("_all_size"),
         F.min(F.struct((-F.col("_chars")).alias("neg"), F.col("_id").isNull().alias("nil"),
@@ -56,9 +57,9 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     normal = without_spaces(F.col("_text"))
     keyed = (rows.withColumn("_norm", normal)
              .withColumn("_chars", F.length("_text").cast("long"))
-             .withColumn("_bytes", F.octet_length("_norm").cast("long"))
+             .withColumn("_bytes", F.octet_length("_text").cast("long") + ROW_BYTES)
              .withColumn("_sha", F.sha2("_norm", 256)))
-    total = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    total = rows.agg(F.sum(F.octet_length("_text").cast("long") + ROW_BYTES)).first()[0] or 0
     large = _large_groups(keyed.select("_id", "_chars", "_bytes", "_sha"), max(LEAST_SHARE, total // (4 * parts)))
     sliced = (keyed.withColumn("_head", F.substring("_norm", 1, KEY_CHARS))
               .join(F.broadcast(large), "_sha", "left")
