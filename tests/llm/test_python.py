@@ -40,6 +40,16 @@ def test_classifier_edges(spark, edge):
     assert quality_classifier.score(plain.limit(0), model).count() == 0
 
 
+def test_classifier_ignores_the_order_of_the_table(spark):
+    rows = [(i, f"good words {i} again" if i % 2 else f"bad text {i} {i}", i % 2) for i in range(120)]
+    models = []
+    for order in (rows, rows[::-1], sorted(rows, key=lambda r: r[2])):
+        both = spark.createDataFrame(order, "doc_id bigint, text string, quality int").coalesce(1)
+        models.append(quality_classifier.train(quality_classifier.train_sample(both.drop("quality"), both, "doc_id", "text", 100)))
+    assert all(np.array_equal(models[0], m) for m in models[1:])
+    assert quality_classifier.MAX_TRAIN_DOCS == 4000
+
+
 def test_scoring_edges(spark, edge):
     got = collections.defaultdict(list)
     for r in lm_scoring.score(edge).collect():

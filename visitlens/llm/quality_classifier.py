@@ -32,7 +32,7 @@ from visitlens.llm.hashing import mix, word_hashes
 #: Buckets for all n-grams, length of a vector, character n-gram lengths.
 BUCKETS, WIDTH, CHARS = 1 << 19, 16, (2, 4)
 #: Bound of the training sample, steps of descent, first learning rate.
-MAX_TRAIN_DOCS, STEPS, RATE, SEED = 2000, 16_000, 2.0, 7
+MAX_TRAIN_DOCS, STEPS, RATE, SEED = 4000, 16_000, 2.0, 7
 #: A sample of at most this many bytes of n-gram counts stays on the driver
 #: between passes; a larger one is streamed again for every pass.
 HELD_BYTES = 1 << 27
@@ -97,7 +97,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_docs: int) -> DataFrame:
-    """(label, text) of the labelled documents of lowest id hash."""
+    """(label, text, h) of the labelled documents of lowest id hash h."""
     clean = (labels.select(F.col(id_col).alias("k"), F.col("quality").cast("int").alias("label"))
              .filter("k is not null and label in (0, 1)")
              .groupBy("k").agg(F.min("label").alias("label"), F.max("label").alias("most"))
@@ -109,8 +109,11 @@ def train_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
 
 
 def train(sample: DataFrame) -> np.ndarray:
-    """Logit of label 1 per bucket, and the bias in the last place."""
-    made = cut_lineage(sample.select("label", "text").mapInArrow(_features, "label int, ids binary, weights binary"))
+    """Logit of label 1 per bucket, and the bias in the last place.
+
+    Descent takes the sample by hash, so the table's order does not matter.
+    """
+    made = cut_lineage(sample.orderBy("h", "text", "label").select("label", "text").mapInArrow(_features, "label int, ids binary, weights binary"))
     counts = {r["label"]: r["count"] for r in made.groupBy("label").count().collect()}
     total = sum(counts.values())
     flat = np.zeros(BUCKETS + 1, np.float32)
