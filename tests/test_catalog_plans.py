@@ -5,7 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from visitlens import config
 from visitlens.functions.text import clean_identifier
 from visitlens.operators import headers as H

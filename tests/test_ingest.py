@@ -132,7 +132,7 @@ def test_save_table_refresh_and_append(spark):
 
 
 def test_register_views_in_order(spark):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from visitlens.plans.views import VIEW_NAMES, register_views
     from visitlens.sources import fixtures as fx
     names = register_views(spark, fx.section_scores_wide(spark, SF_SMALL), fx.feedback_service(spark, SF_SMALL),
@@ -343,7 +343,7 @@ def test_xlsx_date_cells_become_iso_text():
 
 
 def test_register_views_with_unified_master(spark):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from visitlens.plans.views import register_views
     from visitlens.sources import fixtures as fx
     master = fx.comment_master(spark, SF_SMALL)

@@ -9,7 +9,7 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import check  # noqa: E402
 from visitlens.plans import catalog  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
+from paths import SF_SMALL  # noqa: E402
 
 
 def test_every_query_has_an_oracle():

@@ -148,7 +148,7 @@ def test_unified_master_names_source_tables(spark):
 
 
 def test_fixture_union_path_equals_wide_path(spark):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from visitlens.sources import fixtures as fx
     wide = fx.section_scores_wide(spark, SF_SMALL)
     a = views.total_score_view(fx.section_views(spark, SF_SMALL, wide))
