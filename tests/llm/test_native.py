@@ -2,7 +2,7 @@
 
 import brute
 import pytest
-from conftest import EDGE, SMALL
+from rows import EDGE, SMALL
 from pyspark.sql import functions as F
 
 from visitlens.llm import chat_format, exact_dedup, pii, quality_rules, queries

@@ -3,7 +3,7 @@
 import brute
 import corpus_pipeline as pipeline
 import pytest
-from conftest import SMALL
+from rows import SMALL
 
 import __spark_entry__ as entry
 

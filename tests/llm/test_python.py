@@ -9,7 +9,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import EDGE, SMALL
+from rows import EDGE, SMALL
 from tokenizers import Tokenizer
 
 from visitlens.llm import bpe, hashing, lm_scoring, near_dedup, packing, quality_classifier, queries, secret_scan
