@@ -32,11 +32,12 @@ def test_stages(spark):
 
 def test_queries_are_registered():
     names = entry.queries()
-    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 10
+    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 13
     assert set(entry.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("name", ["op1_exact_dedup", "op4_quality_rules", "op8_chat_format"])
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op4_quality_rules", "op8_chat_format", "op11_source_divergence",
+                                  "op12_fill_in_middle", "op13_decontamination"])
 def test_oracles(spark, name):
     from oracle_check import check
 

@@ -19,27 +19,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, and the index of each text's first word (and the end).
+def word_table(data: np.ndarray, letter: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of every run of bytes that ``letter`` marks.
 
-    Words are the runs between the six white-space bytes. A word's hash sums a
-    scramble of each (byte, place in the word), so it takes a few array passes
-    whatever the words are.
+    A word's hash sums a scramble of each (byte, place in the word), so it takes
+    a few array passes whatever the words are. The last byte is no letter.
     """
-    if not texts:
-        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    stops = np.cumsum([len(t) + 1 for t in texts])
-    letter = ~_SPACE[data]
     edge = np.diff(letter.astype(np.int8), prepend=0)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+        return np.zeros(0, np.uint64), starts, ends
     sizes = ends - starts
     first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
     each = mix((data[letter].astype(np.uint64) + np.uint64(1)) + (place.astype(np.uint64) << np.uint64(9)))
-    words = mix(np.add.reduceat(each, first) + sizes.astype(np.uint64))
+    return mix(np.add.reduceat(each, first) + sizes.astype(np.uint64)), starts, ends
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, and the index of each text's first word (and the end).
+
+    Words are the runs between the six white-space bytes.
+    """
+    if not texts:
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
+    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    stops = np.cumsum([len(t) + 1 for t in texts])
+    words, starts, _ = word_table(data, ~_SPACE[data])
+    if not len(words):
+        return words, np.zeros(len(texts) + 1, np.int64)
     return words, np.concatenate(([0], np.searchsorted(starts, stops)))
 
 

@@ -70,8 +70,92 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(24 + length(role) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id"""
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SOURCE_DIVERGENCE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+t AS (SELECT i, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT i) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+cells AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n
+  FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+whole AS (SELECT lang, source, sum(n) AS total FROM cells GROUP BY lang, source),
+p AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)::HUGEINT) // (total + 5 * v)::HUGEINT AS p
+  FROM cells JOIN whole USING (lang, source) JOIN v USING (lang)),
+q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)::HUGEINT) // (any_value(lang_total) + 5 * any_value(v))::HUGEINT AS q
+  FROM cells JOIN (SELECT lang, sum(total) AS lang_total FROM whole GROUP BY lang) USING (lang) JOIN v USING (lang)
+  GROUP BY lang, term),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(any_value(s.value), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source AS one, y.source AS two, sum(abs(x.p - y.p)) AS value
+             FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s
+    ON s.lang = a.lang AND s.one = a.source AND s.two = b.source
+  GROUP BY a.lang, a.source, b.source),
+term AS (
+  SELECT p.lang, p.source, 'term' AS part, p.term AS item, p.p - q.q AS value
+  FROM p JOIN q USING (lang, term) WHERE n > 0 AND p.p > q.q),
+ranked AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+         CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+FILL_IN_MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+c AS (
+  SELECT doc_id, text, units, len(units) AS n,
+         CAST('0x' || h[1:8] AS UBIGINT) % (len(units) + 1) AS c1, CAST('0x' || h[9:16] AS UBIGINT) % (len(units) + 1) AS c2,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR CAST('0x' || h[17:24] AS UBIGINT) % 100 >= 100 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS UBIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+s AS (
+  SELECT doc_id, text, n, form, array_to_string(units[1:least(c1, c2)], '') AS prefix,
+         array_to_string(units[least(c1, c2) + 1:greatest(c1, c2)], '') AS middle,
+         array_to_string(units[greatest(c1, c2) + 1:n], '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM s"""
+
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATION = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, {_WORDS} AS words FROM benchmark),
+grams AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS gram
+  FROM (SELECT item_id, words, least(10, len(words)) AS size, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i
+        FROM b WHERE len(words) > 0)),
+places AS (
+  SELECT r, i, size, array_to_string(words[i:i + size - 1], ' ') AS gram
+  FROM (SELECT r, words, size, unnest(range(1, len(words) - size + 2)) AS i
+        FROM d, (SELECT DISTINCT size FROM grams))),
+hits AS (SELECT r, i, places.size AS size, item_id FROM places JOIN grams USING (size, gram)),
+covered AS (SELECT r, count(DISTINCT w) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS w FROM hits) GROUP BY r),
+items AS (SELECT r, list_sort(list(DISTINCT item_id)) AS items FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered ON d.r = covered.r LEFT JOIN items ON d.r = items.r"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op4_quality_rules": QUALITY_RULES,
     "op8_chat_format": CHAT_FORMAT,
+    "op11_source_divergence": SOURCE_DIVERGENCE,
+    "op12_fill_in_middle": FILL_IN_MIDDLE,
+    "op13_decontamination": DECONTAMINATION,
 }

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.llm import (
-    bpe, chat_format, exact_dedup, lm_scoring, near_dedup, packing, pii, quality_classifier, quality_rules, secret_scan)
+    bpe, chat_format, decontamination, exact_dedup, fill_in_middle, lm_scoring, near_dedup, packing, pii, quality_classifier,
+    quality_rules, secret_scan, source_divergence)
 from visitlens.llm.common import table
 
 #: Conversation -1 of the chat query: both turns say this.
@@ -80,6 +81,24 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.restore(fill_in_middle.transform(table(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.measure(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_quality_classifier, op3_pii, op4_quality_rules, op5_lm_scoring, op6_packing,
-    op7_secret_scan, op8_chat_format, op9_bpe, op10_minhash_near_dedup)}
+    op7_secret_scan, op8_chat_format, op9_bpe, op10_minhash_near_dedup, op11_source_divergence, op12_fill_in_middle,
+    op13_decontamination)}
