@@ -169,3 +169,66 @@ def near(rows, size, percent):
                 a, b = sorted((find(i), find(rows[y][0])))
                 parent[b] = a
     return [(len(s), find(i)) for s, (i, _) in zip(sets, rows)]
+
+
+def divergence(rows, min_docs=30, top=50):
+    """(text, lang, source) rows -> sorted (lang, source, part, item, value, rank)."""
+    docs = [(lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")))
+            for t, lang, source in rows]
+    out = []
+    for lang in {d[0] for d in docs}:
+        own = [d for d in docs if d[0] == lang]
+        held = collections.Counter(w for d in own for w in set(d[2]))
+        kept = [w for w, n in held.items() if n >= min_docs]
+
+        def shares(words):
+            counts = collections.Counter(w for w in words if held[w] >= min_docs)
+            n = sum(counts.values())
+            return {w: 1 + 10 ** 9 * (counts[w] + 5) // (n + 5 * len(kept)) for w in kept}, counts
+
+        q, _ = shares([w for d in own for w in d[2]])
+        p = {s: shares([w for d in own if d[1] == s for w in d[2]]) for s in {d[1] for d in own}}
+        for s in p:
+            pair = [("pair", o, sum(abs(p[s][0][w] - p[o][0][w]) for w in kept)) for o in p if o != s]
+            term = [("term", w, p[s][0][w] - q[w]) for w in kept if p[s][1][w] > 0 and p[s][0][w] > q[w]]
+            for part, limit in ((pair, None), (term, top)):
+                part.sort(key=lambda x: (-x[2], x[1].encode()))
+                out += [(lang, s, *x, i + 1) for i, x in enumerate(part[:limit])]
+    return sorted(out)
+
+
+def middle(doc_id, text):
+    """(n, form, prefix_chars, middle_chars, output) of one document."""
+    text = text or ""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = hashlib.sha256(f"7:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * i:8 * i + 8], 16) for i in range(4)]
+    a, b = sorted((h[0] % (len(units) + 1), h[1] % (len(units) + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")):
+        return len(units), "plain", None, None, text
+    if h[3] % 100 < 50:
+        return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def leaks(rows, items, size=10):
+    """(doc_id, text) rows, (item_id, text) items -> (doc_id, n_words, n_hit, items) in order."""
+    def words(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+
+    windows = collections.defaultdict(set)
+    for item, t in items:
+        w = words(t)
+        for i in range(max(len(w) - size + 1, 1) if w else 0):
+            windows[tuple(w[i:i + size])].add("" if item is None else str(item))
+    out = []
+    for i, t in rows:
+        w, hit, named = words(t), set(), set()
+        for n in {len(k) for k in windows}:
+            for at in range(len(w) - n + 1):
+                if own := windows.get(tuple(w[at:at + n])):
+                    hit |= set(range(at, at + n))
+                    named |= own
+        out.append((i, len(w), len(hit), sorted(named)))
+    return out

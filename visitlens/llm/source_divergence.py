@@ -2,9 +2,11 @@
 
 Late string materialization: a task counts the terms of its documents as
 strings, and only fixed-width digests of the terms are shuffled to be counted.
-For the digests that are kept, the least and greatest string tell whether two
-terms share one; such digests are split by their strings and counted anew. Texts
-are joined back for the rows that are put out.
+A first scan finds the digests in enough documents; their low bits, a table of
+fixed size, are broadcast, and a second scan counts those terms per source. For
+them alone, the least and greatest string tell whether two terms share a digest;
+such digests are split by their strings and counted anew. Texts are joined back
+for the rows that are put out.
 
 Kept terms are dealt into blocks with all counts of a term in one block. A block
 gives each pair of sources one partial sum (numpy over its terms), so pairs of
@@ -19,12 +21,13 @@ rows; only the text, lang and source columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.llm.common import cut_lineage
@@ -37,51 +40,106 @@ PASS_BYTES = 8 << 20
 BLOCK_ROWS, CELLS = 100_000, 1 << 20
 #: Sources whose pairs a block sums at once; languages with more take the block once a tile.
 TILE = 1000
-_COUNTS = "lang string, source string, term string, n bigint, docs bigint"
+#: Low bits of a digest that the table of kept terms goes by (16 MB), and bits in a block of it.
+LOOK_BITS, BLOCK_BITS = 27, 1 << 16
+Digest = Callable[[bytes], int]
 
 
-def _counted(part: pa.RecordBatch) -> pa.RecordBatch:
-    """(lang, source, term, n, docs) of a few documents; a null term for each group."""
-    table = pa.table({"lang": part.column(0), "source": part.column(1), "row": np.arange(part.num_rows)})
-    groups = table.group_by(["lang", "source"], use_threads=False).aggregate([("row", "list")])
-    group_of = np.empty(part.num_rows, np.int64)
+def term_digest(term: bytes) -> int:
+    """64-bit digest of a term."""
+    return xxhash.xxh64_intdigest(term)
+
+
+def _terms(part: pa.RecordBatch, digest: Digest) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Document and term number of every term, the terms, and their digests."""
+    pieces = pc.split_pattern_regex(pc.ascii_lower(part.column("text")), pattern=NOT_TERM)
+    flat = pc.list_flatten(pieces)
+    held = pc.not_equal(flat, "")
+    terms = flat.filter(held).dictionary_encode()
+    doc = pc.list_parent_indices(pieces).filter(held).to_numpy().astype(np.int64)
+    names = terms.dictionary
+    digests = np.fromiter((digest(t) for t in names.cast(pa.binary()).to_pylist()), np.uint64, len(names))
+    return doc, terms.indices.to_numpy().astype(np.int64), names, digests.view(np.int64)
+
+
+def _groups(part: pa.RecordBatch, names: list[str]) -> tuple[pa.Table, np.ndarray]:
+    """The distinct values of ``names`` and each document's place among them."""
+    table = pa.table({n: part.column(n) for n in names} | {"row": np.arange(part.num_rows)})
+    groups = table.group_by(names, use_threads=False).aggregate([("row", "list")])
     lists = groups.column("row_list").combine_chunks()
+    group_of = np.empty(part.num_rows, np.int64)
     group_of[pc.list_flatten(lists).to_numpy()] = pc.list_parent_indices(lists).to_numpy()
-    pieces = pc.split_pattern_regex(pc.ascii_lower(part.column(2)), pattern=NOT_TERM)
-    terms = pc.list_flatten(pieces).dictionary_encode()
-    code, doc = terms.indices.to_numpy().astype(np.int64), pc.list_parent_indices(pieces).to_numpy().astype(np.int64)
-    size = max(len(terms.dictionary), 1)
-    real = np.ones(size, bool)
-    real[:len(terms.dictionary)] = pc.not_equal(terms.dictionary, "").to_numpy(zero_copy_only=False)
-    held = real[code]
-    per_doc, n = np.unique(doc[held] * size + code[held], return_counts=True)
+    return groups, group_of
+
+
+def _counted(part: pa.RecordBatch, names: list[str], digest: Digest, kept: np.ndarray | None) -> pa.RecordBatch:
+    """names, digest, term, n, docs of a few documents; with ``kept`` only terms whose bit is set."""
+    doc, code, terms, digests = _terms(part, digest)
+    size = max(len(terms), 1)
+    if kept is not None:
+        bit = digests.view(np.uint64) & np.uint64(len(kept) * 8 - 1)
+        held = (kept[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)[code]
+        doc, code = doc[held], code[held]
+    groups, group_of = _groups(part, names)
+    per_doc, n = np.unique(doc * size + code, return_counts=True)
     key, back = np.unique(group_of[per_doc // size] * size + per_doc % size, return_inverse=True)
-    total = np.bincount(back, n, len(key)).astype(np.int64)
-    own, none = key // size, np.zeros(groups.num_rows, np.int64)
-    at = pa.array(np.concatenate((own, np.arange(groups.num_rows))))
-    names = terms.dictionary.take(pa.array(key % size)) if len(key) else pa.array([], pa.string())
+    at, own = pa.array(key // size), key % size
+    columns = [groups.column(c).combine_chunks().take(at) for c in names] + [pa.array(digests[own])]
+    if kept is not None:
+        columns += [terms.take(pa.array(own)), pa.array(np.bincount(back, n, len(key)).astype(np.int64))]
     return pa.RecordBatch.from_arrays(
-        [groups.column("lang").combine_chunks().take(at), groups.column("source").combine_chunks().take(at),
-         pa.concat_arrays([names.cast(pa.string()), pa.nulls(groups.num_rows, pa.string())]),
-         pa.array(np.concatenate((total, none))), pa.array(np.concatenate((np.bincount(back, minlength=len(key)), none)))],
-        ["lang", "source", "term", "n", "docs"])
+        [*columns, pa.array(np.bincount(back, minlength=len(key)))], [*names, "digest", *(["term", "n"] if kept is not None else []), "docs"])
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few MB of documents at a time."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            stop = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PASS_BYTES)), at + 1)
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
+def term_documents(docs: DataFrame, digest: Digest = term_digest) -> DataFrame:
+    """(lang, digest, docs): documents with a term, summed over a few of them at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return (_counted(part, ["lang"], digest, None) for part in _parts(batches))
+
+    return docs.select("lang", "text").mapInArrow(run, "lang string, digest bigint, docs bigint")
+
+
+def kept_bits(digests: DataFrame) -> np.ndarray:
+    """A bit for every value that the last ``LOOK_BITS`` bits of a digest take.
+
+    The bits are set in tasks, a block each; whatever the number of digests,
+    ``2 ** LOOK_BITS`` bits come to the driver.
+    """
+    low = F.col("digest").bitwiseAND(F.lit((1 << LOOK_BITS) - 1))
+
+    def run(table: pa.Table) -> pa.Table:
+        bits = np.zeros(BLOCK_BITS, np.uint8)
+        bits[table.column("low").to_numpy() % BLOCK_BITS] = 1
+        return pa.table({"block": table.column("block")[:1], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+    blocks = (digests.select(low.alias("low")).withColumn("block", F.floor(F.col("low") / BLOCK_BITS).cast("bigint"))
+              .groupBy("block").applyInArrow(run, "block bigint, bits binary"))
+    out = np.zeros((1 << LOOK_BITS) // 8, np.uint8)
+    for r in blocks.collect():
+        out[r["block"] * BLOCK_BITS // 8:(r["block"] + 1) * BLOCK_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents, summed over a few
-    documents at a time; one row with a null term for each group met."""
+def term_counts(docs: DataFrame, kept: np.ndarray, digest: Digest = term_digest) -> DataFrame:
+    """(lang, source, digest, term, n, docs) of terms whose bit is set, summed over
+    a few documents at a time."""
+    shared = docs.sparkSession.sparkContext.broadcast(kept)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ends = np.cumsum(pc.binary_length(batch.column(2)).to_numpy())
-            at = 0
-            while at < batch.num_rows:
-                stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PASS_BYTES))
-                stop = max(stop, at + 1)
-                yield _counted(batch.slice(at, stop - at))
-                at = stop
+        return (_counted(part, ["lang", "source"], digest, shared.value) for part in _parts(batches))
 
-    return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
-                       ).mapInArrow(run, _COUNTS)
+    return docs.mapInArrow(run, "lang string, source string, digest bigint, term string, n bigint, docs bigint")
 
 
 def _shares(counts: np.ndarray, whole: np.ndarray) -> np.ndarray:
@@ -167,39 +225,38 @@ def _per_term(counts: DataFrame) -> DataFrame:
             .groupBy("lang", "digest", "split").agg(F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("by")))
 
 
-def kept_terms(counts: DataFrame, digest: Column, min_docs: int) -> tuple[DataFrame, DataFrame]:
+def kept_terms(counts: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
     """Terms in at least ``min_docs`` documents of their language, and their texts.
 
     The first frame is (lang, digest, split, docs, by) with ``split`` null unless
     another term has the digest; the second is (lang, digest, lo, hi).
     """
-    met = counts.filter("term is not null").withColumn("digest", digest)
     none = F.lit(None).cast("string").alias("split")
-    terms = cut_lineage(_per_term(met.select("lang", "source", "digest", none, "n", "docs")).filter(F.col("docs") >= min_docs))
-    texts = cut_lineage(met.join(terms.select("lang", "digest"), ["lang", "digest"], "left_semi")
-                        .groupBy("lang", "digest").agg(F.min("term").alias("lo"), F.max("term").alias("hi")))
+    enough = F.col("docs") >= min_docs
+    terms = cut_lineage(_per_term(counts.select("lang", "source", "digest", none, "n", "docs")).filter(enough))
+    texts = cut_lineage(counts.groupBy("lang", "digest").agg(F.min("term").alias("lo"), F.max("term").alias("hi")))
     shared = texts.filter("lo <> hi").select("lang", "digest")
     if shared.isEmpty():
         return terms, texts
-    apart = _per_term(met.join(shared, ["lang", "digest"], "left_semi").select(
-        "lang", "source", "digest", F.col("term").alias("split"), "n", "docs")).filter(F.col("docs") >= min_docs)
+    apart = _per_term(counts.join(shared, ["lang", "digest"], "left_semi").select(
+        "lang", "source", "digest", F.col("term").alias("split"), "n", "docs")).filter(enough)
     return cut_lineage(terms.join(shared, ["lang", "digest"], "left_anti").unionByName(apart)), texts
 
 
-def divergence(docs: DataFrame, digest: Column | None = None, min_docs: int = MIN_DOCS, top: int = TOP,
+def divergence(docs: DataFrame, digest: Digest = term_digest, min_docs: int = MIN_DOCS, top: int = TOP,
                block_rows: int = BLOCK_ROWS) -> DataFrame:
     """lang, source, part, item, value, rank: distances to the other sources of the
-    language (``pair``) and the ``top`` terms above the language's share (``term``).
-
-    ``digest`` is the fixed-width digest of the column ``term``.
-    """
-    counts = cut_lineage(term_counts(docs))
-    terms, texts = kept_terms(counts, F.xxhash64("term") if digest is None else digest, min_docs)
+    language (``pair``) and the ``top`` terms above the language's share (``term``)."""
+    docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    often = cut_lineage(term_documents(docs, digest).groupBy("lang", "digest").agg(F.sum("docs").alias("docs"))
+                        .filter(F.col("docs") >= min_docs).select("digest"))
+    counts = cut_lineage(term_counts(docs, kept_bits(often), digest))
+    terms, texts = kept_terms(counts, min_docs)
     met = terms.select("lang", "digest", "split", F.explode("by").alias("e")).select(
         "lang", "digest", "split", "e.source", "e.n")
     sizes = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    groups = (counts.filter("term is null").groupBy("lang", "source").agg(F.sum("n").alias("n"))
-              .unionByName(met.select("lang", "source", "n")).groupBy("lang", "source").agg(F.sum("n").alias("n")))
+    groups = (docs.select("lang", "source", F.lit(0).cast("bigint").alias("n")).unionByName(met.select("lang", "source", "n"))
+              .groupBy("lang", "source").agg(F.sum("n").alias("n")))
     of_lang = groups.groupBy("lang").agg(F.sum("n").alias("lang_n")).join(sizes, "lang", "left")
     smooth = SMOOTH * F.coalesce("v", F.lit(0))
     # a language without kept terms has nothing to divide
