@@ -1,16 +1,17 @@
 """Source divergence audit: how each source's term shares differ within a language.
 
-Late string materialization: a task counts the terms of its documents as
-strings, and only fixed-width digests of the terms are shuffled to be counted.
-A first scan finds the digests in enough documents; their low bits, a table of
-fixed size, are broadcast, and a second scan counts those terms per source. For
-them alone, the least and greatest string tell whether two terms share a digest;
-such digests are split by their strings and counted anew. Texts are joined back
-for the rows that are put out.
-
-Kept terms are dealt into blocks with all counts of a term in one block. A block
-gives each pair of sources one partial sum (numpy over its terms), so pairs of
-sources are never made per term, and each source its highest terms with all ties.
+Late string materialization. A first scan counts the terms of a few documents at
+a time as strings and ships only fixed-width numbers: digests of terms and
+sources with their counts, bundled by block of digests. A block adds up its
+bundles and keeps the terms in enough documents. Their low bits, a table of fixed
+size, are broadcast; a second scan ships the texts of those terms, and a block
+takes the least and the greatest string of every digest. Where the two differ,
+several terms share the digest: it is split, and its terms are counted anew by
+their strings. Texts of sources are joined back for the groups alone.
+
+A block has all counts of its terms, gives each pair of sources one partial sum
+(numpy over its terms), so pairs of sources are never made per term, and each
+source its highest terms.
 
 Defined results: null text, lang and source count as the empty text; a group
 (lang, source) without terms has the shares of zero counts; a language without
@@ -30,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from visitlens.llm.bits import bit_table, held
 from visitlens.llm.common import cut_lineage
 
 #: Bytes that are not part of a term (A-Z are lower-cased first).
@@ -37,11 +39,10 @@ NOT_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS, TOP, SMOOTH, UNIT = 30, 50, 5, 1_000_000_000
 PASS_BYTES = 8 << 20
 #: Rows (term, source) in one block, about; cells of the matrix that a block holds at once.
-BLOCK_ROWS, CELLS = 100_000, 1 << 20
+#: Bytes of text for each block of digests; cells of the matrix that a block holds at once.
+BLOCK_BYTES, CELLS = 8 << 20, 1 << 20
 #: Sources whose pairs a block sums at once; languages with more take the block once a tile.
 TILE = 1000
-#: Low bits of a digest that the table of kept terms goes by (16 MB), and bits in a block of it.
-LOOK_BITS, BLOCK_BITS = 27, 1 << 16
 Digest = Callable[[bytes], int]
 
 
@@ -54,41 +55,55 @@ def _terms(part: pa.RecordBatch, digest: Digest) -> tuple[np.ndarray, np.ndarray
     """Document and term number of every term, the terms, and their digests."""
     pieces = pc.split_pattern_regex(pc.ascii_lower(part.column("text")), pattern=NOT_TERM)
     flat = pc.list_flatten(pieces)
-    held = pc.not_equal(flat, "")
-    terms = flat.filter(held).dictionary_encode()
-    doc = pc.list_parent_indices(pieces).filter(held).to_numpy().astype(np.int64)
+    real = pc.not_equal(flat, "")
+    terms = flat.filter(real).dictionary_encode()
+    doc = pc.list_parent_indices(pieces).filter(real).to_numpy().astype(np.int64)
     names = terms.dictionary
     digests = np.fromiter((digest(t) for t in names.cast(pa.binary()).to_pylist()), np.uint64, len(names))
     return doc, terms.indices.to_numpy().astype(np.int64), names, digests.view(np.int64)
 
 
-def _groups(part: pa.RecordBatch, names: list[str]) -> tuple[pa.Table, np.ndarray]:
-    """The distinct values of ``names`` and each document's place among them."""
-    table = pa.table({n: part.column(n) for n in names} | {"row": np.arange(part.num_rows)})
-    groups = table.group_by(names, use_threads=False).aggregate([("row", "list")])
-    lists = groups.column("row_list").combine_chunks()
-    group_of = np.empty(part.num_rows, np.int64)
-    group_of[pc.list_flatten(lists).to_numpy()] = pc.list_parent_indices(lists).to_numpy()
-    return groups, group_of
+def _lists(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(values, kind))
 
 
-def _counted(part: pa.RecordBatch, names: list[str], digest: Digest, kept: np.ndarray | None) -> pa.RecordBatch:
-    """names, digest, term, n, docs of a few documents; with ``kept`` only terms whose bit is set."""
+def _per_document(part: pa.RecordBatch, digest: Digest, wanted: np.ndarray | None) -> tuple:
+    """Language of each document, and (document, term, count) of its distinct terms."""
     doc, code, terms, digests = _terms(part, digest)
+    if wanted is not None:
+        often = held(wanted, digests)[code]
+        doc, code = doc[often], code[often]
     size = max(len(terms), 1)
-    if kept is not None:
-        bit = digests.view(np.uint64) & np.uint64(len(kept) * 8 - 1)
-        held = (kept[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)[code]
-        doc, code = doc[held], code[held]
-    groups, group_of = _groups(part, names)
-    per_doc, n = np.unique(doc * size + code, return_counts=True)
-    key, back = np.unique(group_of[per_doc // size] * size + per_doc % size, return_inverse=True)
-    at, own = pa.array(key // size), key % size
-    columns = [groups.column(c).combine_chunks().take(at) for c in names] + [pa.array(digests[own])]
-    if kept is not None:
-        columns += [terms.take(pa.array(own)), pa.array(np.bincount(back, n, len(key)).astype(np.int64))]
+    both, n = np.unique(doc * size + code, return_counts=True)
+    langs = part.column("lang").dictionary_encode()
+    return langs.dictionary, langs.indices.to_numpy().astype(np.int64), both // size, both % size, n, terms, digests
+
+
+def _bundled(part: pa.RecordBatch, digest: Digest, n_blocks: int) -> pa.RecordBatch:
+    """Counts of a few documents: one row per language and block of digests."""
+    names, lang_of, doc, code, n, terms, digests = _per_document(part, digest, None)
+    size, block_of = max(len(terms), 1), (digests.view(np.uint64) % np.uint64(n_blocks)).astype(np.int64)
+    src, src_of = np.unique(part.column("src").to_numpy(), return_inverse=True)
+    # (language, term, source) in order of language, block and term
+    rank = np.empty(len(terms), np.int64)
+    rank[np.argsort(block_of, kind="stable")] = np.arange(len(terms))
+    term = lang_of[doc] * size + rank[code]
+    key, back = np.unique(term * len(src) + src_of[doc], return_inverse=True)
+    own, first = np.unique(key // len(src), return_index=True)
+    by_rank = np.argsort(rank)
+    lang, code = own // size, by_rank[own % size] if len(terms) else own
+    group = np.flatnonzero(np.diff(lang * n_blocks + block_of[code], prepend=-1)) if len(own) else np.zeros(0, np.int64)
+    ends, entry_ends = np.append(group[1:], len(own)), np.append(first[group[1:]], len(key))
+    if not len(own):
+        ends = entry_ends = np.zeros(0, np.int64)
+    width = np.diff(np.append(first, len(key)))
     return pa.RecordBatch.from_arrays(
-        [*columns, pa.array(np.bincount(back, minlength=len(key)))], [*names, "digest", *(["term", "n"] if kept is not None else []), "docs"])
+        [names.take(pa.array(lang[group])), pa.array(block_of[code[group]] if len(own) else group),
+         _lists(digests[code] if len(own) else own, ends, pa.int64()),
+         _lists(np.bincount(np.searchsorted(own, term), minlength=len(own)), ends, pa.int32()),
+         _lists(width, ends, pa.int32()), _lists(src[key % len(src)], entry_ends, pa.int64()),
+         _lists(np.bincount(back, n, len(key)).astype(np.int64), entry_ends, pa.int32())],
+        ["lang", "block", "digests", "docs", "width", "src", "n"])
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,44 +117,125 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = stop
 
 
-def term_documents(docs: DataFrame, digest: Digest = term_digest) -> DataFrame:
-    """(lang, digest, docs): documents with a term, summed over a few of them at a time."""
+_BUNDLE = "lang string, block bigint, digests array<bigint>, docs array<int>, width array<int>, src array<bigint>, n array<int>"
+
+
+def term_bundles(docs: DataFrame, n_blocks: int, digest: Digest = term_digest) -> DataFrame:
+    """Per language and block of digests: digests, documents with each, numbers of
+    sources, and the sources' digests and counts, of a few documents at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return (_counted(part, ["lang"], digest, None) for part in _parts(batches))
+        return (_bundled(part, digest, n_blocks) for part in _parts(batches))
+
+    return docs.select("lang", "src", "text").mapInArrow(run, _BUNDLE)
 
-    return docs.select("lang", "text").mapInArrow(run, "lang string, digest bigint, docs bigint")
 
+def _flat(table: pa.Table, name: str) -> np.ndarray:
+    """All numbers of a list column."""
+    return _items(table, name).to_numpy() if table.num_rows else np.zeros(0, np.int64)
 
-def kept_bits(digests: DataFrame) -> np.ndarray:
-    """A bit for every value that the last ``LOOK_BITS`` bits of a digest take.
 
-    The bits are set in tasks, a block each; whatever the number of digests,
-    ``2 ** LOOK_BITS`` bits come to the driver.
-    """
-    low = F.col("digest").bitwiseAND(F.lit((1 << LOOK_BITS) - 1))
+def _items(table: pa.Table, name: str) -> pa.Array:
+    return pa.concat_arrays([c.flatten() for c in table.column(name).chunks if len(c)])
 
+
+def kept_counts(bundles: DataFrame, min_docs: int) -> DataFrame:
+    """Per language and block: digests of terms in at least ``min_docs`` documents,
+    with the numbers, digests and counts of their sources."""
     def run(table: pa.Table) -> pa.Table:
-        bits = np.zeros(BLOCK_BITS, np.uint8)
-        bits[table.column("low").to_numpy() % BLOCK_BITS] = 1
-        return pa.table({"block": table.column("block")[:1], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+        digests, back = np.unique(_flat(table, "digests"), return_inverse=True)
+        docs = np.bincount(back, _flat(table, "docs"), len(digests))
+        place = np.cumsum(docs >= min_docs) - 1
+        term = np.repeat(back, _flat(table, "width"))
+        often = docs[term] >= min_docs
+        src, src_of = np.unique(_flat(table, "src")[often], return_inverse=True)
+        key, back = np.unique(place[term[often]] * max(len(src), 1) + src_of, return_inverse=True)
+        n = np.bincount(back, _flat(table, "n")[often], len(key)).astype(np.int64)
+        digests = digests[docs >= min_docs]
+        width = np.bincount(key // max(len(src), 1), minlength=len(digests))
+        return pa.table({
+            "lang": table.column("lang")[:1], "block": table.column("block")[:1], "digests": _lists(digests, [len(digests)], pa.int64()),
+            "width": _lists(width, [len(width)], pa.int32()), "src": _lists(src[key % max(len(src), 1)], [len(key)], pa.int64()),
+            "n": _lists(n, [len(n)], pa.int64())})
 
-    blocks = (digests.select(low.alias("low")).withColumn("block", F.floor(F.col("low") / BLOCK_BITS).cast("bigint"))
-              .groupBy("block").applyInArrow(run, "block bigint, bits binary"))
-    out = np.zeros((1 << LOOK_BITS) // 8, np.uint8)
-    for r in blocks.collect():
-        out[r["block"] * BLOCK_BITS // 8:(r["block"] + 1) * BLOCK_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
-    return out
+    return bundles.groupBy("lang", "block").applyInArrow(
+        run, "lang string, block bigint, digests array<bigint>, width array<int>, src array<bigint>, n array<bigint>")
 
 
-def term_counts(docs: DataFrame, kept: np.ndarray, digest: Digest = term_digest) -> DataFrame:
-    """(lang, source, digest, term, n, docs) of terms whose bit is set, summed over
-    a few documents at a time."""
-    shared = docs.sparkSession.sparkContext.broadcast(kept)
+def term_texts(docs: DataFrame, wanted: np.ndarray, n_blocks: int, digest: Digest = term_digest) -> DataFrame:
+    """Per language and block: digests and texts of the terms whose bit is set."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return (_counted(part, ["lang", "source"], digest, shared.value) for part in _parts(batches))
+        for part in _parts(batches):
+            names, lang_of, doc, code, _, terms, digests = _per_document(part, digest, shared.value)
+            block_of = (digests.view(np.uint64) % np.uint64(n_blocks)).astype(np.int64)
+            own = np.unique(lang_of[doc] * max(len(terms), 1) + code)
+            lang, code = own // max(len(terms), 1), own % max(len(terms), 1)
+            order = np.lexsort((block_of[code], lang))
+            lang, code = lang[order], code[order]
+            group = np.flatnonzero(np.diff(lang * n_blocks + block_of[code], prepend=-1)) if len(own) else np.zeros(0, np.int64)
+            ends = np.append(group[1:], len(own)) if len(own) else group
+            yield pa.RecordBatch.from_arrays(
+                [names.take(pa.array(lang[group])), pa.array(block_of[code[group]]), _lists(digests[code], ends, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), terms.take(pa.array(code)).cast(pa.string()))],
+                ["lang", "block", "digests", "terms"])
+
+    return docs.select("lang", "text").mapInArrow(run, "lang string, block bigint, digests array<bigint>, terms array<string>")
+
+
+_NAMED = "lang string, block bigint, terms array<string>, width array<int>, src array<bigint>, n array<bigint>, clash array<bigint>"
+
+
+def named_counts(counts: DataFrame, texts: DataFrame) -> DataFrame:
+    """``counts`` with the terms' texts; ``clash`` has the digests that several terms
+    share, which the other columns leave out."""
+    def run(own: pa.Table, found: pa.Table) -> pa.Table:
+        digests, width = _flat(own, "digests"), _flat(own, "width")
+        flat = pa.table({"digest": _flat(found, "digests"), "term": _items(found, "terms")})
+        flat = flat.take(pc.sort_indices(flat, sort_keys=[("digest", "ascending"), ("term", "ascending")]))
+        first = np.searchsorted(flat.column("digest").to_numpy(), digests)
+        last = np.searchsorted(flat.column("digest").to_numpy(), digests, "right") - 1
+        lo, hi = (flat.column("term").combine_chunks().take(pa.array(x)) for x in (first, last))
+        alone = pc.equal(lo, hi).to_numpy(zero_copy_only=False)
+        entry = np.repeat(alone, width)
+        return pa.table({
+            "lang": own.column("lang"), "block": own.column("block"),
+            "terms": pa.ListArray.from_arrays(pa.array([0, int(alone.sum())], pa.int32()), lo.filter(pa.array(alone))),
+            "width": _lists(width[alone], [int(alone.sum())], pa.int32()), "src": _lists(_flat(own, "src")[entry], [int(entry.sum())], pa.int64()),
+            "n": _lists(_flat(own, "n")[entry], [int(entry.sum())], pa.int64()),
+            "clash": _lists(digests[~alone], [int((~alone).sum())], pa.int64())})
 
-    return docs.mapInArrow(run, "lang string, source string, digest bigint, term string, n bigint, docs bigint")
+    filled = counts.filter(F.size("digests") > 0)
+    return filled.groupBy("lang", "block").cogroup(texts.groupBy("lang", "block")).applyInArrow(
+        lambda own, found: run(own, found) if own.num_rows else pa.table(_schema_of_nothing()), _NAMED)
+
+
+def _schema_of_nothing() -> dict:
+    kinds = {"lang": pa.string(), "block": pa.int64(), "terms": pa.list_(pa.string()), "width": pa.list_(pa.int32()),
+             "src": pa.list_(pa.int64()), "n": pa.list_(pa.int64()), "clash": pa.list_(pa.int64())}
+    return {k: pa.array([], t) for k, t in kinds.items()}
+
+
+def split_counts(docs: DataFrame, clash: DataFrame, n_blocks: int, min_docs: int, digest: Digest) -> DataFrame:
+    """Like ``named_counts``, for the terms whose digests (lang, digest) are shared:
+    counted by their strings."""
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(clash.select("digest")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            _, _, doc, code, n, terms, digests = _per_document(part, digest, shared.value)
+            at = pa.array(doc)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("lang").take(at), part.column("src").take(at), pa.array(digests[code]), terms.take(pa.array(code)).cast(pa.string()),
+                 pa.array(n)], ["lang", "src", "digest", "term", "n"])
+
+    met = docs.select("lang", "src", "text").mapInArrow(run, "lang string, src bigint, digest bigint, term string, n bigint").join(
+        clash, ["lang", "digest"], "left_semi")
+    by = met.groupBy("lang", "term", "src").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("docs"))
+    terms = by.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.collect_list(F.struct("src", "n")).alias("by")).filter(F.col("docs") >= min_docs)
+    return terms.select("lang", F.pmod(F.xxhash64("term"), F.lit(n_blocks)).alias("block"), F.array("term").alias("terms"),
+                        F.array(F.size("by")).alias("width"), F.col("by.src").alias("src"), F.col("by.n").alias("n"),
+                        F.array().cast("array<bigint>").alias("clash"))
 
 
 def _shares(counts: np.ndarray, whole: np.ndarray) -> np.ndarray:
@@ -151,28 +247,20 @@ def _shares(counts: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return out + 1
 
 
-def _block(table: pa.Table, tile: int, top: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Pair sums (one, two, value) and term rows (row, value) of one block.
-
-    Rows of kind 0 are the language's groups, those of kind 1 counts of terms.
-    """
-    kind = table.column("kind").to_numpy()
-    group, row = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
-    source = table.column("source").combine_chunks().dictionary_encode()
-    name, names = source.indices.to_numpy(), [s.encode() for s in source.dictionary.to_pylist()]
-    group = group[sorted(range(len(group)), key=lambda i: names[name[group[i]]])]
-    place = np.zeros(len(names), np.int64)
-    place[name[group]] = np.arange(len(group))
-    n, size = table.column("n").to_numpy(), len(group)
+def _block(told: pa.Table, rows: pa.Table, tile: int, top: int) -> pa.Table:
+    """Pair sums and highest terms of one block: ``told`` are the language's groups."""
+    names = told.column("source").to_pylist()
+    order = sorted(range(len(names)), key=lambda i: names[i].encode())
+    names, size = [names[i] for i in order], len(names)
+    src = told.column("group").to_numpy()[order]
     # one more column: the language as a whole
-    whole = np.append(table.column("whole").to_numpy()[group], table.column("lang_whole").to_numpy()[group[0]]).astype(np.int64)
-    split = table.column("split").combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy()[row]
-    digest = table.column("digest").fill_null(0).to_numpy()[row]
-    order = np.lexsort((split, digest))
-    row, split, digest = row[order], split[order], digest[order]
-    owner = place[name[row]]
-    new = np.flatnonzero((np.diff(digest) != 0) | (np.diff(split) != 0)) + 1
-    starts = np.concatenate(([0], new, [len(row)])) if len(row) else np.zeros(1, np.int64)
+    whole = np.append(told.column("whole").to_numpy()[order], told.column("lang_whole").to_numpy()[0]).astype(np.int64)
+    terms = _items(rows, "terms") if rows.num_rows else pa.array([], pa.string())
+    width, n = _flat(rows, "width"), _flat(rows, "n")
+    by_src = np.argsort(src)
+    owner = by_src[np.searchsorted(src[by_src], _flat(rows, "src"))] if len(n) else np.zeros(0, np.int64)
+    starts, row = np.concatenate(([0], np.cumsum(width))), np.arange(len(n))
+    of_term = np.repeat(np.arange(len(width)), width)
     mine = range(tile * TILE, min((tile + 1) * TILE, size))
     sums = np.zeros((len(mine), size), np.int64)
     best = [(row[:0], row[:0], row[:0])]
@@ -188,101 +276,80 @@ def _block(table: pa.Table, tile: int, top: int) -> tuple[list[np.ndarray], list
         for i in mine:
             sums[i - mine.start, i + 1:] += np.abs(p[:, i + 1:size] - p[:, i:i + 1]).sum(axis=0)
         above = p[term, owner[part]] - p[term, size]
-        held = (above > 0) & (tile == 0)
-        best.append((row[part][held], owner[part][held], above[held]))
+        more = (above > 0) & (tile == 0)
+        best.append((row[part][more], owner[part][more], above[more]))
     one, two = np.nonzero(np.arange(size)[None, :] > np.arange(mine.start, mine.stop)[:, None])
     at, owner, value = (np.concatenate(x) for x in zip(*best, strict=True))
-    order = np.lexsort((-value, owner))
-    at, owner, value = at[order], owner[order], value[order]
-    first = np.searchsorted(owner, np.arange(size))
-    full = np.searchsorted(owner, np.arange(size), "right") - first >= top
-    least = np.zeros(size, np.int64)
-    least[full] = value[first[full] + top - 1]
-    held = value >= least[owner]
-    return [group[one + mine.start], group[two], sums[one, two]], [at[held], value[held]]
-
-
-def _blocks(rows: DataFrame, top: int) -> DataFrame:
-    """(part, lang, source, other, digest, split, value) of every block."""
-    def run(table: pa.Table) -> pa.Table:
-        (one, two, value), (row, above) = _block(table, table.column("tile")[0].as_py(), top)
-        at = pa.array(np.concatenate((one, row)))
-        source = table.column("source").combine_chunks()
-        return pa.table({
-            "part": pa.array(["pair"] * len(one) + ["term"] * len(row), pa.string()),
-            "lang": table.column("lang").take(at), "source": source.take(at),
-            "other": pa.concat_arrays([source.take(pa.array(two)), pa.nulls(len(row), source.type)]),
-            "digest": table.column("digest").take(at), "split": table.column("split").take(at),
-            "value": pa.array(np.concatenate((value, above)))})
-
-    return rows.groupBy("lang", "block", "tile").applyInArrow(
-        run, "part string, lang string, source string, other string, digest bigint, split string, value bigint")
-
-
-def _per_term(counts: DataFrame) -> DataFrame:
-    """(lang, digest, split, docs, by): documents, and (source, n) of each source with the term."""
-    return (counts.groupBy("lang", "source", "digest", "split").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-            .groupBy("lang", "digest", "split").agg(F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("by")))
-
-
-def kept_terms(counts: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
-    """Terms in at least ``min_docs`` documents of their language, and their texts.
-
-    The first frame is (lang, digest, split, docs, by) with ``split`` null unless
-    another term has the digest; the second is (lang, digest, lo, hi).
-    """
-    none = F.lit(None).cast("string").alias("split")
-    enough = F.col("docs") >= min_docs
-    terms = cut_lineage(_per_term(counts.select("lang", "source", "digest", none, "n", "docs")).filter(enough))
-    texts = cut_lineage(counts.groupBy("lang", "digest").agg(F.min("term").alias("lo"), F.max("term").alias("hi")))
-    shared = texts.filter("lo <> hi").select("lang", "digest")
-    if shared.isEmpty():
-        return terms, texts
-    apart = _per_term(counts.join(shared, ["lang", "digest"], "left_semi").select(
-        "lang", "source", "digest", F.col("term").alias("split"), "n", "docs")).filter(enough)
-    return cut_lineage(terms.join(shared, ["lang", "digest"], "left_anti").unionByName(apart)), texts
+    found = pa.table({"owner": owner, "value": value, "term": terms.take(pa.array(of_term[at]))})
+    found = found.take(pc.sort_indices(found, sort_keys=[("owner", "ascending"), ("value", "descending"), ("term", "ascending")]))
+    owner = found.column("owner").to_numpy()
+    found = found.filter(pa.array(np.arange(len(owner)) - np.searchsorted(owner, owner) < top))
+    names = pa.array(names, pa.string())
+    return pa.table({
+        "part": pa.array(["pair"] * len(one) + ["term"] * found.num_rows, pa.string()),
+        "source": pa.concat_arrays([names.take(pa.array(one + mine.start)), names.take(found.column("owner").combine_chunks())]),
+        "item": pa.concat_arrays([names.take(pa.array(two)), found.column("term").combine_chunks().cast(pa.string())]),
+        "value": pa.concat_arrays([pa.array(sums[one, two]), found.column("value").combine_chunks().cast(pa.int64())])})
+
+
+def _blocks(told: DataFrame, rows: DataFrame, top: int) -> DataFrame:
+    """(part, lang, source, item, value) of every block and tile."""
+    def run(told: pa.Table, rows: pa.Table) -> pa.Table:
+        out = _block(told, rows, told.column("tile")[0].as_py(), top)
+        lang = told.column("lang").combine_chunks().take(pa.array(np.zeros(out.num_rows, np.int64)))
+        return out.append_column("lang", lang).select(["part", "lang", "source", "item", "value"])
+
+    keys = ("lang", "block", "tile")
+    return told.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInArrow(
+        run, "part string, lang string, source string, item string, value bigint")
+
+
+def source_digests(docs: DataFrame) -> DataFrame:
+    """(lang, source, text) rows with ``src``, a digest that no two sources share."""
+    names = cut_lineage(docs.select("source").distinct())
+    seed = 0
+    while not names.groupBy(F.xxhash64("source", F.lit(seed))).count().filter("count > 1").isEmpty():
+        seed += 1
+    return docs.withColumn("src", F.xxhash64("source", F.lit(seed)))
 
 
 def divergence(docs: DataFrame, digest: Digest = term_digest, min_docs: int = MIN_DOCS, top: int = TOP,
-               block_rows: int = BLOCK_ROWS) -> DataFrame:
+               block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """lang, source, part, item, value, rank: distances to the other sources of the
     language (``pair``) and the ``top`` terms above the language's share (``term``)."""
-    docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    often = cut_lineage(term_documents(docs, digest).groupBy("lang", "digest").agg(F.sum("docs").alias("docs"))
-                        .filter(F.col("docs") >= min_docs).select("digest"))
-    counts = cut_lineage(term_counts(docs, kept_bits(often), digest))
-    terms, texts = kept_terms(counts, min_docs)
-    met = terms.select("lang", "digest", "split", F.explode("by").alias("e")).select(
-        "lang", "digest", "split", "e.source", "e.n")
-    sizes = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    groups = (docs.select("lang", "source", F.lit(0).cast("bigint").alias("n")).unionByName(met.select("lang", "source", "n"))
-              .groupBy("lang", "source").agg(F.sum("n").alias("n")))
-    of_lang = groups.groupBy("lang").agg(F.sum("n").alias("lang_n")).join(sizes, "lang", "left")
+    docs = source_digests(docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]))
+    n_blocks = 1 + (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes
+    counts = cut_lineage(kept_counts(term_bundles(docs, n_blocks, digest), min_docs))
+    wanted = bit_table(counts.select(F.explode("digests").alias("digest")))
+    rows = cut_lineage(named_counts(counts, term_texts(docs, wanted, n_blocks, digest)))
+    clash = rows.select("lang", F.explode("clash").alias("digest"))
+    if not clash.isEmpty():
+        rows = cut_lineage(rows.unionByName(split_counts(docs, cut_lineage(clash), n_blocks, min_docs, digest)))
+    rows = rows.drop("clash")
+    met = rows.select("lang", F.explode(F.arrays_zip("src", "n")).alias("e")).select("lang", "e.src", "e.n")
+    sizes = rows.groupBy("lang").agg(F.sum(F.size("terms")).alias("v"))
+    known = docs.select("lang", "source", "src").distinct()
+    groups = known.join(met.groupBy("lang", "src").agg(F.sum("n").alias("n")), ["lang", "src"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    of_lang = groups.groupBy("lang").agg(F.sum("n").alias("lang_n"), F.count(F.lit(1)).alias("sources")).join(sizes, "lang", "left")
     smooth = SMOOTH * F.coalesce("v", F.lit(0))
     # a language without kept terms has nothing to divide
-    groups = cut_lineage(groups.join(of_lang, "lang").select(
-        "lang", "source", F.greatest(F.col("n") + smooth, F.lit(1)).alias("whole"),
-        F.greatest(F.col("lang_n") + smooth, F.lit(1)).alias("lang_whole")))
-    rows = terms.agg(F.sum(F.size("by"))).first()[0] or 0
-    most = groups.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
-    n_blocks, none = 1 + rows // block_rows, F.lit(None)
-    dealt = met.select(
-        "lang", F.pmod(F.xxhash64("digest", "split"), F.lit(n_blocks)).alias("block"), F.lit(1).alias("kind"), "source", "n",
-        none.cast("bigint").alias("whole"), none.cast("bigint").alias("lang_whole"), "digest", "split")
-    told = groups.select(
-        "lang", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))).alias("block"), F.lit(0).alias("kind"), "source",
-        F.lit(0).cast("bigint").alias("n"), "whole", "lang_whole", none.cast("bigint").alias("digest"), none.cast("string").alias("split"))
-    tiles = F.explode(F.sequence(F.lit(0), F.lit((max(most, 1) - 1) // TILE)))
-    found = cut_lineage(_blocks(dealt.unionByName(told).withColumn("tile", tiles), top))
-    pairs = found.filter("part = 'pair'").groupBy("lang", "source", "other").agg(F.sum("value").alias("value"))
-    both = pairs.select("lang", F.explode(F.array(F.struct("source", F.col("other").alias("item")), F.struct(
-        F.col("other").alias("source"), F.col("source").alias("item")))).alias("e"), "value").select(
+    told = groups.join(of_lang, "lang").select(
+        "lang", "source", F.col("src").alias("group"), "sources", F.greatest(F.col("n") + smooth, F.lit(1)).alias("whole"),
+        F.greatest(F.col("lang_n") + smooth, F.lit(1)).alias("lang_whole"))
+    told = cut_lineage(told)
+    tiles = F.floor((F.col("sources") - 1) / TILE).cast("int")
+    # each block of a language that has terms, and one for every language
+    used = rows.select("lang", "block").unionByName(told.select("lang", F.lit(0).cast("bigint").alias("block"))).distinct()
+    told = told.join(used, "lang").withColumn("tile", F.explode(F.sequence(F.lit(0), tiles)))
+    many = told.groupBy("lang").agg(F.max("tile").alias("last"))
+    placed = rows.join(many, "lang").withColumn("tile", F.explode(F.sequence(F.lit(0), "last"))).drop("last")
+    told = told.drop("sources")
+    found = cut_lineage(_blocks(told.toDF(*told.columns), placed.toDF(*placed.columns), top))
+    pairs = found.filter("part = 'pair'").groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    both = pairs.select("lang", F.explode(F.array(F.struct("source", "item"), F.struct(
+        F.col("item").alias("source"), F.col("source").alias("item")))).alias("e"), "value").select(
         "lang", "e.source", F.lit("pair").alias("part"), "e.item", "value")
-    own = Window.partitionBy("lang", "source").orderBy(F.desc("value"))
-    best = found.filter("part = 'term'").withColumn("place", F.rank().over(own)).filter(F.col("place") <= top)
-    named = best.join(texts.select("lang", "digest", "lo"), ["lang", "digest"]).select(
-        "lang", "source", "part", F.coalesce("split", "lo").alias("item"), "value")
     ranked = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
-    return (both.unionByName(named).withColumn("rank", F.row_number().over(ranked))
-            .filter((F.col("part") == "pair") | (F.col("rank") <= top))
+    return (both.unionByName(found.filter("part = 'term'").select("lang", "source", "part", "item", "value"))
+            .withColumn("rank", F.row_number().over(ranked)).filter((F.col("part") == "pair") | (F.col("rank") <= top))
             .select("lang", "source", "part", "item", "value", "rank"))
