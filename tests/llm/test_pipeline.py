@@ -36,7 +36,7 @@ def test_queries_are_registered():
     assert set(entry.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("name", ["op1_exact_dedup", "op4_quality_rules", "op8_chat_format", "op11_source_divergence",
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op4_quality_rules", "op8_chat_format", "op10_minhash_near_dedup", "op11_source_divergence",
                                   "op12_fill_in_middle", "op13_decontamination"])
 def test_oracles(spark, name):
     from oracle_check import check

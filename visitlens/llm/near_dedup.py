@@ -8,13 +8,15 @@ bucket the similarity of a pair is first estimated from how many registers are
 greater, less and equal (maximum likelihood with the known set sizes), and then
 confirmed on the full sets.
 
-Equal sets are one node, so copies never meet each other. Large buckets are
-not expanded into pairs: in rounds, each open member meets one hub, drawn anew
-from its buckets, which merges most of them, and a pair is compared only while
-its ends are in different components. Once the pairs still open are no more
-than twice the members (or the rounds are over), all of them are compared, so
-no link between components is left out of the buckets. Components spread by least
-labels with pointer jumping; links, labels and sets stay in Spark.
+Equal sets are one node, so copies never meet each other. No bucket is expanded
+into all its pairs unless it is small. In two turns each member meets one hub, the
+member of its buckets that collides with the most others, then one drawn anew;
+that joins most of a group, and what is in one component is compared no further.
+Buckets that still hold several components are finished exactly: small ones pair by
+pair, the members of larger ones by prefixes of their rarest shingles, which sets
+that link must share, so texts with much boilerplate and few words of their own
+do not meet. Components spread by least labels with pointer jumping; links, labels
+and sets stay in Spark, and every join is a shuffle join.
 
 Defined results: null text counts as empty; without words a text has no
 shingle, links with nothing and is kept; with fewer words than a shingle the
@@ -31,11 +33,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from visitlens.llm.bits import bit_table, counter_table, held, slots
 from visitlens.llm.common import cut_lineage, text_or_empty
-from visitlens.llm.hashing import mix, shingles, word_hashes
+from visitlens.llm.hashing import shingles, word_hashes
 
 #: Registers in a band and bands: a pair at 0.8 shares no band with chance 5e-6.
 ROWS, BANDS = 6, 40
@@ -48,8 +51,13 @@ MARGIN = 5 * math.sqrt(0.16 / REGISTERS)
 PASS_BYTES, CHUNK = 2 << 20, 2048
 #: Rows of small tables (labels, links, roots) in one partition.
 SMALL_ROWS = 100_000
-#: Most rounds in which members meet a hub of their bucket only.
-HUB_ROUNDS = 4
+#: Turns in which a member meets one hub of its buckets only.
+HUB_TURNS = 2
+#: Members of a bucket that are still compared with each other after those turns;
+#: those of larger ones are compared by their rarest items.
+SMALL_BUCKET = 32
+#: Ratio of the bounds of a size class.
+CLASS_RATIO = 1.03
 
 _rng = np.random.default_rng(20)
 _TIMES = _rng.integers(1, 1 << 63, REGISTERS, dtype=np.uint64) | np.uint64(1)
@@ -122,58 +130,60 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, f"id {kind}, n bigint, same binary, regs binary")
 
 
-def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(id, items) of (id, text): all shingle hashes."""
+def full_sets(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
+    """(id, n, regs, items) of (id, text): registers and all shingle hashes, of the
+    rows whose id has its bit in ``wanted`` (and few others)."""
     kind = docs.schema["id"].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(held(shared.value, batch.column(2).to_numpy())))
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                items = [found.astype(np.int64) for _, found in _text_sets(part, 1, size)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(items, pa.list_(pa.int64()))], ["id", "items"])
+                items = [found for _, found in _text_sets(part, 1, size)]
+                regs = [registers(x).astype("<u2").tobytes() if len(x) else b"" for x in items]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(x) for x in items], pa.int64()), pa.array(regs, pa.binary()),
+                     pa.array([x.astype(np.int64) for x in items], pa.list_(pa.int64()))], ["id", "n", "regs", "items"])
 
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, items array<bigint>")
+    return docs.select("id", "text", F.xxhash64("id").alias("number")).mapInArrow(
+        run, f"id {kind}, n bigint, regs binary, items array<bigint>")
 
 
-def _estimated(pairs: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b, n_a, n_b, regs_a, regs_b) whose estimate is near enough."""
-    kind = pairs.schema["a"].dataType.simpleString()
+def _sets_of(column: pa.ListArray) -> list[np.ndarray]:
+    values, at = column.values.to_numpy(), column.offsets.to_numpy()
+    return [values[a:b].view(np.uint64) for a, b in zip(at[:-1], at[1:], strict=True)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                left, right = (np.frombuffer(b"".join(part.column(i).to_pylist()), "<u2").reshape(-1, REGISTERS) for i in (4, 5))
-                sizes = [part.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (2, 3)]
-                near = estimate((left > right).sum(axis=1), (left < right).sum(axis=1), *sizes) >= threshold - MARGIN
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(near))
 
-    return pairs.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(run, f"a {kind}, b {kind}")
+def overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    return int(np.count_nonzero(b[at] == a))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets overlap by at least ``percent``."""
-    a = nodes.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("regs").alias("regs_a"))
-    b = nodes.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("regs").alias("regs_b"))
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are estimated near enough and whose full sets overlap by
+    at least ``percent``."""
+    kind = pairs.schema["a"].dataType.simpleString()
+    one, two = (sets.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "regs", "items")]).hint("merge") for x in "ab")
     fits = (100 * F.least("n_a", "n_b")) >= (percent * F.greatest("n_a", "n_b"))
-    near = _estimated(pairs.join(a, "a").join(b, "b").filter(fits), percent / 100)
-    left = sets.select(F.col("id").alias("a"), F.col("items").alias("items_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("items").alias("items_b"))
-    both = near.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("items_a", "items_b"))
-    every = F.size("items_a") + F.size("items_b") - common
-    return both.filter(100 * common >= percent * every).select("a", "b")
+    both = pairs.join(one, "a").join(two, "b").filter(fits & (F.col("n_a") > 0))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, REGISTERS) for i in (4, 5))
+            sizes = [batch.column(i).to_numpy().astype(float) for i in (2, 3)]
+            near = estimate((left > right).sum(axis=1), (left < right).sum(axis=1), *sizes) >= percent / 100 - MARGIN
+            sets_a, sets_b = _sets_of(batch.column(6)), _sets_of(batch.column(7))
+            for i in np.flatnonzero(near):
+                common = overlap(sets_a[i], sets_b[i])
+                near[i] = 100 * common >= percent * (len(sets_a[i]) + len(sets_b[i]) - common)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near))
 
-def _ends(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """(x, y): the different labels of both ends of each link, both ways."""
-    ends = (links.join(labels.select(F.col("id").alias("a"), F.col("c").alias("x")), "a")
-            .join(labels.select(F.col("id").alias("b"), F.col("c").alias("y")), "b")
-            .filter("x <> y").select(F.explode(F.array(
-                F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))).alias("e")))
-    return ends.select("e.x", "e.y")
+    return both.select("a", "b", "n_a", "n_b", "regs_a", "regs_b", "items_a", "items_b").mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
 def _kept_small(df: DataFrame, rows: int) -> DataFrame:
@@ -182,89 +192,181 @@ def _kept_small(df: DataFrame, rows: int) -> DataFrame:
     return cut_lineage(df).coalesce(1 + rows // SMALL_ROWS)
 
 
-def _renamed(labels: DataFrame, names: DataFrame, rows: int) -> DataFrame:
-    """``labels`` (id, c) after every label v became r of (v, r), if there is one."""
-    return _kept_small(labels.join(names.select(F.col("v").alias("c"), "r"), "c", "left")
-                       .select("id", F.coalesce("r", "c").alias("c")), rows)
-
-
-def nearer(labels: DataFrame, links: DataFrame, rows: int) -> DataFrame:
-    """One step: each component takes the least label that a link shows it."""
-    least = _ends(labels, links).groupBy(F.col("x").alias("v")).agg(F.min(F.least("x", "y")).alias("r"))
-    return _renamed(labels, least, rows)
-
-
-def spread(labels: DataFrame, links: DataFrame, rows: int) -> DataFrame:
-    """Least label per component: labels (id, c), links (a, b) between ids.
+def spread(links: DataFrame, rows: int) -> DataFrame:
+    """(id, c): least id of the component of every id in ``links`` (a, b).
 
     Each step takes the least root of all neighbours and jumps to that root's
-    own root, so long chains shorten by half.
+    own root, so long chains shorten by half. Joins are by shuffle: nothing is
+    held for a broadcast, whatever the number of steps.
     """
-    edges = cut_lineage(_ends(labels, links).distinct())
-    edges = edges.coalesce(1 + edges.count() // SMALL_ROWS)
-    roots = edges.select(F.col("x").alias("v")).distinct().withColumn("r", F.col("v"))
+    ways = F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y"))))
+    edges = _kept_small(links.select(ways.alias("e")).select("e.x", "e.y"), 2 * rows)
+    roots = _kept_small(edges.groupBy(F.col("x").alias("v")).agg(F.min(F.least("x", "y")).alias("r")), rows)
     moved = True
     while moved:
-        told = (edges.join(roots.select(F.col("v").alias("x"), "r"), "x").select(F.col("y").alias("v"), "r", F.lit(None).alias("old"))
+        told = (edges.join(roots.select(F.col("v").alias("x"), "r").hint("merge"), "x").select(F.col("y").alias("v"), "r", F.lit(None).alias("old"))
                 .unionByName(roots.select("v", "r", F.col("r").alias("old")))
                 .groupBy("v").agg(F.min("r").alias("r"), F.max("old").alias("old")))
-        roots = _kept_small(told.join(roots.select(F.col("v").alias("r"), F.col("r").alias("up")), "r", "left")
-                            .select("v", F.least("r", "up").alias("r"), "old"), rows)
+        ups = roots.select(F.col("v").alias("r"), F.col("r").alias("up")).hint("merge")
+        roots = _kept_small(told.join(ups, "r", "left").select("v", F.least("r", "up").alias("r"), "old"), rows)
         moved = not roots.filter("r <> old").isEmpty()
-    return _renamed(labels, roots, rows)
+    return roots.select(F.col("v").alias("id"), F.col("r").alias("c"))
 
 
-def components(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
-    """(id, n, c) per row of (id, text): set size and least linked id."""
-    drawn = cut_lineage(sketches(docs, size))
-    # one node per distinct set, named by its least id; node rows are bounded in size
-    nodes = cut_lineage(drawn.filter("n > 0 and id is not null").groupBy("same")
-                        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("regs").alias("regs")))
+def bucket_rows(nodes: DataFrame) -> DataFrame:
+    """(key, id, score) of every band of (id, regs) that nodes share.
+
+    A node's score is the number of nodes that its buckets hold: those nearest to
+    all others of a group collide the most.
+    """
     width = 2 * ROWS
     keys = nodes.select("id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(
         F.substring(F.col("regs"), i * width + 1, F.lit(width)), i))).alias("key"))
-    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("key")
-    buckets = cut_lineage(keys.join(shared, "key"))
-    labels = cut_lineage(buckets.select("id").distinct().withColumn("c", F.col("id")))
-    members = labels.count()
-    buckets = buckets.coalesce(1 + BANDS * members // (8 * SMALL_ROWS))
-    labels = labels.coalesce(1 + members // SMALL_ROWS)
-    texts = docs.select("id", "text").join(labels.select("id"), "id", "left_semi")
-    sets = cut_lineage(full_sets(texts, size).groupBy("id").agg(F.max("items").alias("items")))
-    links = None
-    for turn in range(HUB_ROUNDS + 1):
-        placed = buckets.join(labels, "id")
-        parts = placed.groupBy("key", "c").agg(
-            F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id")).alias("hub"))
-        open_keys = cut_lineage(parts.groupBy("key").agg(
-            F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("same"),
-            F.min(F.struct("hub", "c")).alias("hub")).filter("all * all > same"))
-        left = open_keys.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0] or 0
-        if not left:
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").hint("merge")
+    return keys.join(shared, "key").select("key", "id", F.sum("m").over(Window.partitionBy("id")).alias("score"))
+
+
+def open_buckets(placed: DataFrame, rank: Column) -> DataFrame:
+    """(key, m, hub) of the buckets with more than one component; the hub is the
+    member of highest ``rank``."""
+    return placed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"),
+        F.max(F.struct(rank.alias("rank"), "id", "c")).alias("hub")).filter("lo <> hi").select("key", "m", "hub")
+
+
+def hub_pairs(placed: DataFrame, found: DataFrame) -> DataFrame:
+    """One pair (a, b) for each member of an open bucket: the hub of highest rank
+    among its buckets' hubs, if that is in another component."""
+    return (placed.join(found.select("key", "hub").hint("merge"), "key").filter("c <> hub.c")
+            .groupBy(F.col("id").alias("b")).agg(F.max("hub").alias("hub")).select(F.col("hub.id").alias("a"), "b"))
+
+
+def small_bucket_pairs(placed: DataFrame, found: DataFrame) -> DataFrame:
+    """All pairs of different components in buckets of at most ``SMALL_BUCKET`` members."""
+    own = placed.join(found.filter(F.col("m") <= SMALL_BUCKET).select("key").hint("merge"), "key")
+    one, two = (own.select("key", F.col("id").alias(x), F.col("c").alias(f"c_{x}")) for x in "ab")
+    return one.join(two.hint("merge"), "key").filter("a < b and c_a <> c_b").select("a", "b").distinct()
+
+
+def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Least overlap of sets of sizes ``a`` and ``b`` that are similar enough."""
+    return -(-(percent * (a + b)) // (100 + percent))
+
+
+def _class_starts(most: int) -> np.ndarray:
+    """Least set size of each size class."""
+    out = [1]
+    while out[-1] <= most:
+        out.append(max(out[-1] + 1, math.ceil(out[-1] * CLASS_RATIO)))
+    return np.array(out)
+
+
+def prefix_tokens(rows: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """(probe, class, item, id, c, n, place) of (id, c, n, items).
+
+    A set's items are taken rarest first, by the counters. Two sets that link
+    share an item among the first ``n - needed + 1`` of both. A set is indexed in
+    its own size class for partners of its size or larger, and probes every class
+    that a smaller partner may have, each with the shortest prefix that is exact
+    for it.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+    shared = rows.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, found in enumerate(_sets_of(batch.column(3))):
+                n = len(found)
+                starts = _class_starts(n)
+                own = int(np.searchsorted(starts, n, "right")) - 1
+                least = -(-percent * n // 100)
+                lengths = [n - int(needed(n, n, percent)) + 1]
+                classes = [own]
+                for k in range(int(np.searchsorted(starts, least, "right")) - 1, own + 1):
+                    lengths.append(n - int(needed(max(int(starts[k]), least), n, percent)) + 1)
+                    classes.append(k)
+                order = np.lexsort((found, shared.value[slots(found)]))[:max(lengths)]
+                first = found[order].view(np.int64)
+                total = sum(lengths)
+                at = pa.array(np.full(total, i))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(np.arange(len(lengths)) > 0, lengths)), pa.array(np.repeat(classes, lengths), pa.int32()),
+                     pa.array(np.concatenate([first[:x] for x in lengths])), batch.column(0).take(at), batch.column(1).take(at),
+                     pa.array(np.full(total, n), pa.int64()), pa.array(np.concatenate([np.arange(x) for x in lengths]), pa.int64())],
+                    ["probe", "class", "item", "id", "c", "n", "place"])
+
+    return rows.select("id", "c", "n", "items").mapInArrow(
+        run, f"probe boolean, class int, item bigint, id {kind}, c {kind}, n bigint, place bigint")
+
+
+def item_counts(rows: DataFrame) -> DataFrame:
+    """(slot, n) of the items of (items), summed over a batch at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot, n = np.unique(slots(batch.column(0).flatten().to_numpy()), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n)], ["slot", "n"])
+
+    return rows.select("items").mapInArrow(run, "slot bigint, n bigint")
+
+
+def large_bucket_pairs(placed: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Every pair of different components that may link, among the members of the
+    larger open buckets, by their rarest items instead of their buckets."""
+    members = (placed.join(found.filter(F.col("m") > SMALL_BUCKET).select("key").hint("merge"), "key").groupBy("id").agg(F.min("c").alias("c")))
+    rows = cut_lineage(sets.join(members.hint("merge"), "id").filter("n > 0").select("id", "c", "n", "items"))
+    tokens = cut_lineage(prefix_tokens(rows, counter_table(item_counts(rows)), percent))
+    one, two = (tokens.filter(test).select("class", "item", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "c", "n", "place")])
+                for x, test in (("a", ~F.col("probe")), ("b", F.col("probe"))))
+    a, b = F.col("n_a"), F.col("n_b")
+    ordered = (a < b) | ((a == b) & (F.col("id_a") < F.col("id_b")))
+    # what is left behind the shared item bounds the overlap
+    enough = F.least(a - F.col("place_a"), b - F.col("place_b")) * (100 + percent) >= percent * (a + b)
+    both = one.join(two.hint("merge"), ["class", "item"]).filter(ordered & (100 * a >= percent * b) & (F.col("c_a") != F.col("c_b")) & enough)
+    return both.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """(id, c) of the nodes that are linked with another, or None without any."""
+    buckets = cut_lineage(bucket_rows(nodes))
+    rows = buckets.count()
+    if not rows:
+        return None
+    buckets = buckets.coalesce(1 + rows // (8 * SMALL_ROWS))
+    sets = cut_lineage(full_sets(docs, size, bit_table(buckets.select(F.xxhash64("id")))))
+    placed, links, labels = buckets.withColumn("c", F.col("id")), None, None
+    for turn in range(HUB_TURNS + 1):
+        found = cut_lineage(open_buckets(placed, F.xxhash64("id", F.lit(turn)) if turn else F.col("score"))).coalesce(1 + rows // (8 * SMALL_ROWS))
+        if found.isEmpty():
             break
-        last = left <= 2 * members or turn == HUB_ROUNDS
-        if last:
-            one, two = (placed.join(open_keys.select("key"), "key").select(
-                "key", F.col("id").alias(x), F.col("c").alias(f"c_{x}")) for x in "ab")
-            pairs = one.join(two, "key").filter("a < b and c_a <> c_b").select("a", "b").distinct()
+        if turn < HUB_TURNS:
+            pairs = hub_pairs(placed, found)
         else:
-            # one hub for each member: the first, in this turn's order, of its buckets' hubs
-            hubs = open_keys.select("key", F.col("hub.hub").alias("hub"), F.col("hub.c").alias("c_a"))
-            pairs = (placed.join(hubs, "key").filter("c <> c_a").groupBy(F.col("id").alias("b"))
-                     .agg(F.min("hub").alias("hub")).select(F.col("hub.id").alias("a"), "b"))
-        found = _kept_small(verified(pairs, nodes, sets, percent), 2 * members)
-        links = found if links is None else links.unionByName(found)
-        if last:
-            break
-        # the first step brings a hub the least label of its members, the second
-        # brings that label to all of them
-        labels = nearer(nearer(labels, found, members), found, members)
-    if links is not None:
-        labels = spread(labels, links, members)
-    own = drawn.join(nodes.select("same", F.col("id").alias("node")), "same", "left")
-    return own.join(labels.select(F.col("id").alias("node"), "c"), "node", "left").select(
-        "id", "n", F.when((F.col("n") == 0) | F.col("id").isNull(), F.col("id"))
-        .otherwise(F.coalesce("c", "node")).alias("c"))
+            pairs = small_bucket_pairs(placed, found)
+            if not found.filter(F.col("m") > SMALL_BUCKET).isEmpty():
+                pairs = pairs.unionByName(large_bucket_pairs(placed, found, sets, percent))
+        more = _kept_small(verified(_kept_small(pairs, rows), sets, percent), rows)
+        if more.isEmpty():
+            continue
+        links = more if links is None else links.unionByName(more)
+        labels = spread(links, rows)
+        if turn < HUB_TURNS:
+            placed = cut_lineage(buckets.join(labels.hint("merge"), "id", "left").withColumn("c", F.coalesce("c", "id"))).coalesce(
+                1 + rows // (8 * SMALL_ROWS))
+    return labels
+
+
+def components(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
+    """(id, n, c) per row of (id, text): set size and least linked id."""
+    drawn = cut_lineage(sketches(docs, size))
+    # one node per distinct set, named by its least id; node rows are bounded in size
+    nodes = cut_lineage(drawn.filter("n > 0 and id is not null").groupBy("same")
+                        .agg(F.min("id").alias("id"), F.first("regs").alias("regs")))
+    labels = _links(nodes, docs, size, percent)
+    named = nodes.select("same", F.col("id").alias("node"))
+    if labels is not None:
+        named = named.join(labels.withColumnRenamed("id", "node").hint("merge"), "node", "left").select("same", F.coalesce("c", "node").alias("node"))
+    return drawn.select("id", "n", "same").join(named.hint("merge"), "same", "left").select(
+        "id", "n", F.when((F.col("n") == 0) | F.col("id").isNull(), F.col("id")).otherwise(F.col("node")).alias("c"))
 
 
 def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -151,10 +151,31 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered ON d.r = covered.r LEFT JOIN items ON d.r = items.r"""
 
+NEAR_DEDUP = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array({_LOWER}, '{_SPACE}+') IF x <> ''] AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, words[i] || CASE WHEN len(words) > 1 THEN ' ' || words[i + 1] ELSE '' END AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words), 2))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edges AS (SELECT a AS x, b AS y FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS c FROM documents
+  UNION
+  SELECT edges.y, reach.c FROM reach JOIN edges ON edges.x = reach.doc_id),
+component AS (SELECT doc_id, min(c) AS c FROM reach GROUP BY doc_id)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c AS component_id, w.doc_id = c AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN component ON component.doc_id = w.doc_id"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op4_quality_rules": QUALITY_RULES,
     "op8_chat_format": CHAT_FORMAT,
+    "op10_minhash_near_dedup": NEAR_DEDUP,
     "op11_source_divergence": SOURCE_DIVERGENCE,
     "op12_fill_in_middle": FILL_IN_MIDDLE,
     "op13_decontamination": DECONTAMINATION,
