@@ -60,7 +60,7 @@ def test_boilerplate_is_not_compared_pair_by_pair(spark, compared):
 
 
 def test_copies_meet_their_source(spark, compared):
-    rows = star(300, random.Random(4)) + boilerplate(100, random.Random(5))[1:]
+    rows = star(300, random.Random(4)) + boilerplate(20, random.Random(5))[1:]
     rows = [(i if n <= 300 else 1000 + i, t) for n, (i, t) in enumerate(rows)]
     want = {i: w[1] for (i, _), w in zip(sorted(rows), brute.near(sorted(rows), 2, 80))}
     assert len({c for i, c in want.items() if i <= 300}) == 1

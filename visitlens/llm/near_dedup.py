@@ -15,7 +15,8 @@ that joins most of a group, and what is in one component is compared no further.
 Buckets that still hold several components are finished exactly: small ones pair by
 pair, the members of larger ones by prefixes of their rarest shingles, which sets
 that link must share, so texts with much boilerplate and few words of their own
-do not meet. Components spread by least labels with pointer jumping; links, labels
+do not meet. Of these pairs the best between two components go first, the others
+only where the components stay apart. Components spread by least labels with pointer jumping; links, labels
 and sets stay in Spark, and every join is a shuffle join.
 
 Defined results: null text counts as empty; without words a text has no
@@ -56,6 +57,8 @@ HUB_TURNS = 2
 #: Members of a bucket that are still compared with each other after those turns;
 #: those of larger ones are compared by their rarest items.
 SMALL_BUCKET = 32
+#: Pairs of a text with a component that are compared before all others.
+BEST = 3
 #: Ratio of the bounds of a size class.
 CLASS_RATIO = 1.03
 
@@ -130,9 +133,24 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, f"id {kind}, n bigint, same binary, regs binary")
 
 
+def register_marks(regs: np.ndarray) -> np.ndarray:
+    """Two bits of every register, thirty registers in a 64-bit number."""
+    bits = (regs.reshape(len(regs), -1, 30) & 3).astype(np.uint64) << (2 * np.arange(30, dtype=np.uint64))
+    return bits.sum(axis=2, dtype=np.uint64).astype(np.int64)
+
+
+def agreement(a: Column, b: Column) -> Column:
+    """Registers whose marks are equal: those that are, and a quarter of the others."""
+    unequal = F.lit(0)
+    for i in range(REGISTERS // 30):
+        x = a[i].bitwiseXOR(b[i])
+        unequal = unequal + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(int("01" * 30, 2))))
+    return REGISTERS - unequal
+
+
 def full_sets(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
-    """(id, n, regs, items) of (id, text): registers and all shingle hashes, of the
-    rows whose id has its bit in ``wanted`` (and few others)."""
+    """(id, n, regs, marks, items) of (id, text): registers and all shingle hashes, of
+    the rows whose id has its bit in ``wanted`` (and few others)."""
     kind = docs.schema["id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
@@ -142,13 +160,15 @@ def full_sets(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 items = [found for _, found in _text_sets(part, 1, size)]
-                regs = [registers(x).astype("<u2").tobytes() if len(x) else b"" for x in items]
+                regs = [registers(x) for x in items]
+                marks = register_marks(np.array(regs)) if regs else []
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) for x in items], pa.int64()), pa.array(regs, pa.binary()),
-                     pa.array([x.astype(np.int64) for x in items], pa.list_(pa.int64()))], ["id", "n", "regs", "items"])
+                    [part.column(0), pa.array([len(x) for x in items], pa.int64()), pa.array([x.astype("<u2").tobytes() for x in regs], pa.binary()),
+                     pa.array(list(marks), pa.list_(pa.int64())), pa.array([x.astype(np.int64) for x in items], pa.list_(pa.int64()))],
+                    ["id", "n", "regs", "marks", "items"])
 
     return docs.select("id", "text", F.xxhash64("id").alias("number")).mapInArrow(
-        run, f"id {kind}, n bigint, regs binary, items array<bigint>")
+        run, f"id {kind}, n bigint, regs binary, marks array<bigint>, items array<bigint>")
 
 
 def _sets_of(column: pa.ListArray) -> list[np.ndarray]:
@@ -242,10 +262,13 @@ def hub_pairs(placed: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def small_bucket_pairs(placed: DataFrame, found: DataFrame) -> DataFrame:
-    """All pairs of different components in buckets of at most ``SMALL_BUCKET`` members."""
+    """All pairs (a, b, c_a, c_b, rank) of different components in buckets of at most
+    ``SMALL_BUCKET`` members; their rank is the agreement that goes with the number
+    of buckets they share."""
     own = placed.join(found.filter(F.col("m") <= SMALL_BUCKET).select("key").hint("merge"), "key")
     one, two = (own.select("key", F.col("id").alias(x), F.col("c").alias(f"c_{x}")) for x in "ab")
-    return one.join(two.hint("merge"), "key").filter("a < b and c_a <> c_b").select("a", "b").distinct()
+    return one.join(two.hint("merge"), "key").filter("a < b and c_a <> c_b").groupBy("a", "b", "c_a", "c_b").agg(
+        (REGISTERS * (0.25 + 0.75 * F.pow(F.least(F.count(F.lit(1)), F.lit(BANDS)) / BANDS, F.lit(1 / ROWS)))).cast("int").alias("rank"))
 
 
 def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -262,7 +285,7 @@ def _class_starts(most: int) -> np.ndarray:
 
 
 def prefix_tokens(rows: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """(probe, class, item, id, c, n, place) of (id, c, n, items).
+    """(probe, class, item, id, c, n, place, marks) of (id, c, n, items, marks).
 
     A set's items are taken rarest first, by the counters. Two sets that link
     share an item among the first ``n - needed + 1`` of both. A set is indexed in
@@ -292,11 +315,11 @@ def prefix_tokens(rows: DataFrame, counts: np.ndarray, percent: int) -> DataFram
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(np.arange(len(lengths)) > 0, lengths)), pa.array(np.repeat(classes, lengths), pa.int32()),
                      pa.array(np.concatenate([first[:x] for x in lengths])), batch.column(0).take(at), batch.column(1).take(at),
-                     pa.array(np.full(total, n), pa.int64()), pa.array(np.concatenate([np.arange(x) for x in lengths]), pa.int64())],
-                    ["probe", "class", "item", "id", "c", "n", "place"])
+                     pa.array(np.full(total, n), pa.int64()), pa.array(np.concatenate([np.arange(x) for x in lengths]), pa.int64()), batch.column(4).take(at)],
+                    ["probe", "class", "item", "id", "c", "n", "place", "marks"])
 
-    return rows.select("id", "c", "n", "items").mapInArrow(
-        run, f"probe boolean, class int, item bigint, id {kind}, c {kind}, n bigint, place bigint")
+    return rows.select("id", "c", "n", "items", "marks").mapInArrow(
+        run, f"probe boolean, class int, item bigint, id {kind}, c {kind}, n bigint, place bigint, marks array<bigint>")
 
 
 def item_counts(rows: DataFrame) -> DataFrame:
@@ -311,18 +334,37 @@ def item_counts(rows: DataFrame) -> DataFrame:
 
 def large_bucket_pairs(placed: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Every pair of different components that may link, among the members of the
-    larger open buckets, by their rarest items instead of their buckets."""
+    larger open buckets, by their rarest items instead of their buckets; their rank is
+    the agreement of their registers."""
     members = (placed.join(found.filter(F.col("m") > SMALL_BUCKET).select("key").hint("merge"), "key").groupBy("id").agg(F.min("c").alias("c")))
-    rows = cut_lineage(sets.join(members.hint("merge"), "id").filter("n > 0").select("id", "c", "n", "items"))
+    rows = cut_lineage(sets.join(members.hint("merge"), "id").filter("n > 0").select("id", "c", "n", "items", "marks"))
     tokens = cut_lineage(prefix_tokens(rows, counter_table(item_counts(rows)), percent))
-    one, two = (tokens.filter(test).select("class", "item", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "c", "n", "place")])
+    one, two = (tokens.filter(test).select("class", "item", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "c", "n", "place", "marks")])
                 for x, test in (("a", ~F.col("probe")), ("b", F.col("probe"))))
     a, b = F.col("n_a"), F.col("n_b")
     ordered = (a < b) | ((a == b) & (F.col("id_a") < F.col("id_b")))
     # what is left behind the shared item bounds the overlap
     enough = F.least(a - F.col("place_a"), b - F.col("place_b")) * (100 + percent) >= percent * (a + b)
     both = one.join(two.hint("merge"), ["class", "item"]).filter(ordered & (100 * a >= percent * b) & (F.col("c_a") != F.col("c_b")) & enough)
-    return both.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    return both.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "c_a", "c_b").agg(
+        F.max(agreement(F.col("marks_a"), F.col("marks_b"))).alias("rank"))
+
+
+def best_pairs(pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of highest rank between a and b's component and between b and
+    a's component: a few for a text and a large component, however many of its
+    members it meets."""
+    one, two = (pairs.withColumn("place", F.row_number().over(Window.partitionBy(x, f"c_{y}").orderBy(F.desc("rank"), y)))
+                .filter(F.col("place") <= BEST).select("a", "b") for x, y in ("ab", "ba"))
+    return one.join(two.hint("merge"), ["a", "b"])
+
+
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are in different components by ``labels``."""
+    for x in "ab":
+        own = labels.select(F.col("id").alias(x), F.col("c").alias(f"now_{x}")).hint("merge")
+        pairs = pairs.join(own, x, "left").withColumn(f"now_{x}", F.coalesce(f"now_{x}", f"c_{x}"))
+    return pairs.filter("now_a <> now_b").select("a", "b")
 
 
 def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame | None:
@@ -331,27 +373,35 @@ def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
     rows = buckets.count()
     if not rows:
         return None
-    buckets = buckets.coalesce(1 + rows // (8 * SMALL_ROWS))
+    few = 1 + rows // (8 * SMALL_ROWS)
+    buckets = buckets.coalesce(few)
     sets = cut_lineage(full_sets(docs, size, bit_table(buckets.select(F.xxhash64("id")))))
-    placed, links, labels = buckets.withColumn("c", F.col("id")), None, None
+    links = labels = None
+
+    def linked(pairs: DataFrame) -> None:
+        nonlocal links, labels
+        more = _kept_small(verified(_kept_small(pairs, rows), sets, percent), rows)
+        if not more.isEmpty():
+            links = more if links is None else links.unionByName(more)
+            labels = spread(links, rows)
+
+    placed = buckets.withColumn("c", F.col("id"))
     for turn in range(HUB_TURNS + 1):
-        found = cut_lineage(open_buckets(placed, F.xxhash64("id", F.lit(turn)) if turn else F.col("score"))).coalesce(1 + rows // (8 * SMALL_ROWS))
+        found = cut_lineage(open_buckets(placed, F.xxhash64("id", F.lit(turn)) if turn else F.col("score"))).coalesce(few)
         if found.isEmpty():
-            break
-        if turn < HUB_TURNS:
-            pairs = hub_pairs(placed, found)
-        else:
-            pairs = small_bucket_pairs(placed, found)
-            if not found.filter(F.col("m") > SMALL_BUCKET).isEmpty():
-                pairs = pairs.unionByName(large_bucket_pairs(placed, found, sets, percent))
-        more = _kept_small(verified(_kept_small(pairs, rows), sets, percent), rows)
-        if more.isEmpty():
-            continue
-        links = more if links is None else links.unionByName(more)
-        labels = spread(links, rows)
+            return labels
         if turn < HUB_TURNS:
-            placed = cut_lineage(buckets.join(labels.hint("merge"), "id", "left").withColumn("c", F.coalesce("c", "id"))).coalesce(
-                1 + rows // (8 * SMALL_ROWS))
+            linked(hub_pairs(placed, found))
+            if labels is not None:
+                placed = cut_lineage(buckets.join(labels.hint("merge"), "id", "left").withColumn("c", F.coalesce("c", "id"))).coalesce(few)
+    pairs = small_bucket_pairs(placed, found)
+    if not found.filter(F.col("m") > SMALL_BUCKET).isEmpty():
+        pairs = pairs.unionByName(large_bucket_pairs(placed, found, sets, percent))
+    pairs = _kept_small(pairs, rows)
+    best = _kept_small(best_pairs(pairs), rows)
+    linked(best)
+    rest = pairs.join(best.hint("merge"), ["a", "b"], "left_anti")
+    linked(rest.select("a", "b") if labels is None else apart(rest, labels))
     return labels
 
 
