@@ -68,12 +68,13 @@ def test_copies_meet_their_source(spark, compared):
     assert sum(compared) <= 4 * len(rows)
 
 
-@pytest.mark.parametrize("turns, small", [(0, 1), (0, 32), (1, 2)])
+@pytest.mark.parametrize("turns, small", [(("rest",), 1), (("rest",), 32), (("nearest", "rest"), 2)])
 def test_prefixes_lose_no_link(spark, monkeypatch, turns, small):
     """The exact finish alone: all buckets large, or all of one size, without hubs."""
-    monkeypatch.setattr(near_dedup, "HUB_TURNS", turns)
+    monkeypatch.setattr(near_dedup, "TURNS", turns)
     monkeypatch.setattr(near_dedup, "SMALL_BUCKET", small)
-    rng = random.Random(turns + small)
+    monkeypatch.setattr(near_dedup, "TILE", 5)
+    rng = random.Random(len(turns) + small)
     rows = star(40, rng) + [(100 + i, t) for i, t in boilerplate(30, rng)]
     for k in range(8):
         base = [word(rng) for _ in range(rng.choice([3, 10, 60, 400]))]

@@ -9,15 +9,15 @@ greater, less and equal (maximum likelihood with the known set sizes), and then
 confirmed on the full sets.
 
 Equal sets are one node, so copies never meet each other. No bucket is expanded
-into all its pairs unless it is small. In two turns each member meets one hub, the
-member of its buckets that collides with the most others, then one drawn anew;
-that joins most of a group, and what is in one component is compared no further.
-Buckets that still hold several components are finished exactly: small ones pair by
-pair, the members of larger ones by prefixes of their rarest shingles, which sets
-that link must share, so texts with much boilerplate and few words of their own
-do not meet. Of these pairs the best between two components go first, the others
-only where the components stay apart. Components spread by least labels with pointer jumping; links, labels
-and sets stay in Spark, and every join is a shuffle join.
+into all its pairs unless it is small. Each member first meets one hub, the member
+of its buckets that collides with the most others, then, in larger buckets, the few
+members of other components whose registers agree with its own the most; that
+joins a group, and what is in one component is compared no further. Buckets that
+still hold several components are finished exactly: small ones pair by pair, the
+members of larger ones by prefixes of their rarest shingles, which sets that link
+must share, so texts with much boilerplate and few words of their own do not meet.
+Components spread by least labels with pointer jumping; links, labels and sets stay
+in Spark, and every join is a shuffle join.
 
 Defined results: null text counts as empty; without words a text has no
 shingle, links with nothing and is kept; with fewer words than a shingle the
@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.llm.bits import bit_table, counter_table, held, slots
@@ -52,13 +52,14 @@ MARGIN = 5 * math.sqrt(0.16 / REGISTERS)
 PASS_BYTES, CHUNK = 2 << 20, 2048
 #: Rows of small tables (labels, links, roots) in one partition.
 SMALL_ROWS = 100_000
-#: Turns in which a member meets one hub of its buckets only.
-HUB_TURNS = 2
-#: Members of a bucket that are still compared with each other after those turns;
-#: those of larger ones are compared by their rarest items.
+#: What members are compared with: one hub, then the nearest of their buckets, then
+#: all that may still link.
+TURNS = ("hub", "nearest", "rest")
+#: Members of a bucket that are compared with each other in the end; those of
+#: larger ones are compared by their rarest items.
 SMALL_BUCKET = 32
-#: Pairs of a text with a component that are compared before all others.
-BEST = 3
+#: Nearest members that a member is compared with, and members in a tile of a bucket.
+BEST, TILE = 2, 2048
 #: Ratio of the bounds of a size class.
 CLASS_RATIO = 1.03
 
@@ -139,13 +140,11 @@ def register_marks(regs: np.ndarray) -> np.ndarray:
     return bits.sum(axis=2, dtype=np.uint64).astype(np.int64)
 
 
-def agreement(a: Column, b: Column) -> Column:
-    """Registers whose marks are equal: those that are, and a quarter of the others."""
-    unequal = F.lit(0)
-    for i in range(REGISTERS // 30):
-        x = a[i].bitwiseXOR(b[i])
-        unequal = unequal + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(int("01" * 30, 2))))
-    return REGISTERS - unequal
+def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Matrix of the registers whose marks are equal: those that are, and a quarter
+    of the others."""
+    x = a[:, None, :] ^ b[None, :, :]
+    return REGISTERS - np.bitwise_count((x | x >> np.uint64(1)) & np.uint64(int("01" * 30, 2))).sum(axis=2, dtype=np.int64)
 
 
 def full_sets(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
@@ -246,29 +245,69 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
     return keys.join(shared, "key").select("key", "id", F.sum("m").over(Window.partitionBy("id")).alias("score"))
 
 
-def open_buckets(placed: DataFrame, rank: Column) -> DataFrame:
+def open_buckets(placed: DataFrame) -> DataFrame:
     """(key, m, hub) of the buckets with more than one component; the hub is the
-    member of highest ``rank``."""
+    member of highest score."""
     return placed.groupBy("key").agg(
         F.count(F.lit(1)).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"),
-        F.max(F.struct(rank.alias("rank"), "id", "c")).alias("hub")).filter("lo <> hi").select("key", "m", "hub")
+        F.max(F.struct("score", "id", "c")).alias("hub")).filter("lo <> hi").select("key", "m", "hub")
 
 
 def hub_pairs(placed: DataFrame, found: DataFrame) -> DataFrame:
-    """One pair (a, b) for each member of an open bucket: the hub of highest rank
+    """One pair (a, b) for each member of an open bucket: the hub of highest score
     among its buckets' hubs, if that is in another component."""
     return (placed.join(found.select("key", "hub").hint("merge"), "key").filter("c <> hub.c")
             .groupBy(F.col("id").alias("b")).agg(F.max("hub").alias("hub")).select(F.col("hub.id").alias("a"), "b"))
 
 
 def small_bucket_pairs(placed: DataFrame, found: DataFrame) -> DataFrame:
-    """All pairs (a, b, c_a, c_b, rank) of different components in buckets of at most
-    ``SMALL_BUCKET`` members; their rank is the agreement that goes with the number
-    of buckets they share."""
+    """All pairs of different components in buckets of at most ``SMALL_BUCKET`` members."""
     own = placed.join(found.filter(F.col("m") <= SMALL_BUCKET).select("key").hint("merge"), "key")
     one, two = (own.select("key", F.col("id").alias(x), F.col("c").alias(f"c_{x}")) for x in "ab")
-    return one.join(two.hint("merge"), "key").filter("a < b and c_a <> c_b").groupBy("a", "b", "c_a", "c_b").agg(
-        (REGISTERS * (0.25 + 0.75 * F.pow(F.least(F.count(F.lit(1)), F.lit(BANDS)) / BANDS, F.lit(1 / ROWS)))).cast("int").alias("rank"))
+    return one.join(two.hint("merge"), "key").filter("a < b and c_a <> c_b").select("a", "b").distinct()
+
+
+def nearest_pairs(placed: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+    """For each member of a larger open bucket, the few members of its buckets in other
+    components whose registers agree with its own the most.
+
+    Members are compared in memory, by the marks of their registers; a bucket is dealt
+    into tiles, and each two tiles meet in a task, so that no task holds a bucket and
+    no pair is a row but the best ones of a member.
+    """
+    kind = placed.schema["id"].dataType.simpleString()
+    large = found.filter(F.col("m") > SMALL_BUCKET).select("key", F.ceil(F.col("m") / TILE).cast("int").alias("tiles")).hint("merge")
+    rows = placed.select("key", "id", "c").join(large, "key").join(sets.select("id", "marks").hint("merge"), "id")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    least = REGISTERS * (0.25 + 0.75 * (0.8 - MARGIN))
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, own = table.column("id").combine_chunks(), table.column("own").to_numpy()
+        marks = table.column("marks").combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(np.uint64)
+        codes = table.column("c").combine_chunks().dictionary_encode().indices.to_numpy()
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        of, to, rank = [], [], []
+        for left, right in {(i, j), (j, i)}:
+            one, two = np.flatnonzero(own == left), np.flatnonzero(own == right)
+            for at in range(0, len(one), 128):
+                some = one[at:at + 128]
+                agree = agreement(marks[some], marks[two])
+                agree[codes[some][:, None] == codes[two][None, :]] = -1
+                n = min(BEST, len(two))
+                best = np.argpartition(agree, len(two) - n, axis=1)[:, len(two) - n:]
+                value = np.take_along_axis(agree, best, 1)
+                row, place = np.nonzero(value >= least)
+                of.append(some[row])
+                to.append(two[best[row, place]])
+                rank.append(value[row, place])
+        none = np.zeros(0, np.int64)
+        of, to, rank = (np.concatenate([none, *x]) for x in (of, to, rank))
+        return pa.table({"id": ids.take(pa.array(of)), "other": ids.take(pa.array(to)), "rank": pa.array(rank)})
+
+    tiled = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    near = tiled.groupBy("key", "i", "j").applyInArrow(run, f"id {kind}, other {kind}, rank bigint")
+    best = near.distinct().withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("rank"), "other"))).filter(F.col("place") <= BEST)
+    return best.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
 def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -285,7 +324,7 @@ def _class_starts(most: int) -> np.ndarray:
 
 
 def prefix_tokens(rows: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """(probe, class, item, id, c, n, place, marks) of (id, c, n, items, marks).
+    """(probe, class, item, id, c, n, place) of (id, c, n, items).
 
     A set's items are taken rarest first, by the counters. Two sets that link
     share an item among the first ``n - needed + 1`` of both. A set is indexed in
@@ -315,11 +354,11 @@ def prefix_tokens(rows: DataFrame, counts: np.ndarray, percent: int) -> DataFram
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(np.arange(len(lengths)) > 0, lengths)), pa.array(np.repeat(classes, lengths), pa.int32()),
                      pa.array(np.concatenate([first[:x] for x in lengths])), batch.column(0).take(at), batch.column(1).take(at),
-                     pa.array(np.full(total, n), pa.int64()), pa.array(np.concatenate([np.arange(x) for x in lengths]), pa.int64()), batch.column(4).take(at)],
-                    ["probe", "class", "item", "id", "c", "n", "place", "marks"])
+                     pa.array(np.full(total, n), pa.int64()), pa.array(np.concatenate([np.arange(x) for x in lengths]), pa.int64())],
+                    ["probe", "class", "item", "id", "c", "n", "place"])
 
-    return rows.select("id", "c", "n", "items", "marks").mapInArrow(
-        run, f"probe boolean, class int, item bigint, id {kind}, c {kind}, n bigint, place bigint, marks array<bigint>")
+    return rows.select("id", "c", "n", "items").mapInArrow(
+        run, f"probe boolean, class int, item bigint, id {kind}, c {kind}, n bigint, place bigint")
 
 
 def item_counts(rows: DataFrame) -> DataFrame:
@@ -334,37 +373,18 @@ def item_counts(rows: DataFrame) -> DataFrame:
 
 def large_bucket_pairs(placed: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Every pair of different components that may link, among the members of the
-    larger open buckets, by their rarest items instead of their buckets; their rank is
-    the agreement of their registers."""
+    larger open buckets, by their rarest items instead of their buckets."""
     members = (placed.join(found.filter(F.col("m") > SMALL_BUCKET).select("key").hint("merge"), "key").groupBy("id").agg(F.min("c").alias("c")))
-    rows = cut_lineage(sets.join(members.hint("merge"), "id").filter("n > 0").select("id", "c", "n", "items", "marks"))
+    rows = cut_lineage(sets.join(members.hint("merge"), "id").filter("n > 0").select("id", "c", "n", "items"))
     tokens = cut_lineage(prefix_tokens(rows, counter_table(item_counts(rows)), percent))
-    one, two = (tokens.filter(test).select("class", "item", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "c", "n", "place", "marks")])
+    one, two = (tokens.filter(test).select("class", "item", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "c", "n", "place")])
                 for x, test in (("a", ~F.col("probe")), ("b", F.col("probe"))))
     a, b = F.col("n_a"), F.col("n_b")
     ordered = (a < b) | ((a == b) & (F.col("id_a") < F.col("id_b")))
     # what is left behind the shared item bounds the overlap
     enough = F.least(a - F.col("place_a"), b - F.col("place_b")) * (100 + percent) >= percent * (a + b)
     both = one.join(two.hint("merge"), ["class", "item"]).filter(ordered & (100 * a >= percent * b) & (F.col("c_a") != F.col("c_b")) & enough)
-    return both.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "c_a", "c_b").agg(
-        F.max(agreement(F.col("marks_a"), F.col("marks_b"))).alias("rank"))
-
-
-def best_pairs(pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of highest rank between a and b's component and between b and
-    a's component: a few for a text and a large component, however many of its
-    members it meets."""
-    one, two = (pairs.withColumn("place", F.row_number().over(Window.partitionBy(x, f"c_{y}").orderBy(F.desc("rank"), y)))
-                .filter(F.col("place") <= BEST).select("a", "b") for x, y in ("ab", "ba"))
-    return one.join(two.hint("merge"), ["a", "b"])
-
-
-def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose ends are in different components by ``labels``."""
-    for x in "ab":
-        own = labels.select(F.col("id").alias(x), F.col("c").alias(f"now_{x}")).hint("merge")
-        pairs = pairs.join(own, x, "left").withColumn(f"now_{x}", F.coalesce(f"now_{x}", f"c_{x}"))
-    return pairs.filter("now_a <> now_b").select("a", "b")
+    return both.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
 def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame | None:
@@ -386,22 +406,20 @@ def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
             labels = spread(links, rows)
 
     placed = buckets.withColumn("c", F.col("id"))
-    for turn in range(HUB_TURNS + 1):
-        found = cut_lineage(open_buckets(placed, F.xxhash64("id", F.lit(turn)) if turn else F.col("score"))).coalesce(few)
+    for turn in TURNS:
+        found = cut_lineage(open_buckets(placed)).coalesce(few)
         if found.isEmpty():
             return labels
-        if turn < HUB_TURNS:
+        large = not found.filter(F.col("m") > SMALL_BUCKET).isEmpty()
+        if turn == "hub":
             linked(hub_pairs(placed, found))
-            if labels is not None:
-                placed = cut_lineage(buckets.join(labels.hint("merge"), "id", "left").withColumn("c", F.coalesce("c", "id"))).coalesce(few)
-    pairs = small_bucket_pairs(placed, found)
-    if not found.filter(F.col("m") > SMALL_BUCKET).isEmpty():
-        pairs = pairs.unionByName(large_bucket_pairs(placed, found, sets, percent))
-    pairs = _kept_small(pairs, rows)
-    best = _kept_small(best_pairs(pairs), rows)
-    linked(best)
-    rest = pairs.join(best.hint("merge"), ["a", "b"], "left_anti")
-    linked(rest.select("a", "b") if labels is None else apart(rest, labels))
+        elif turn == "nearest" and large:
+            linked(nearest_pairs(placed, found, sets))
+        elif turn == "rest":
+            pairs = small_bucket_pairs(placed, found)
+            linked(pairs.unionByName(large_bucket_pairs(placed, found, sets, percent)).distinct() if large else pairs)
+        if labels is not None and turn != "rest":
+            placed = cut_lineage(buckets.join(labels.hint("merge"), "id", "left").withColumn("c", F.coalesce("c", "id"))).coalesce(few)
     return labels
 
 
