@@ -74,6 +74,15 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def once_a_worker(shared, make):
+    """``make`` of the broadcast's ``spec``, kept beside it: tasks that a Python
+    worker runs one after the other share it, with all that it remembers."""
+    held = shared.value
+    if "made" not in held:
+        held["made"] = make(held["spec"])
+    return held["made"]
+
+
 class ByteBpe:
     """Encoder and decoder of one vocabulary (the text of its JSON file)."""
 
@@ -218,12 +227,11 @@ class ByteBpe:
 
 def _per_batch(docs: DataFrame, spec: str, schema: str, rows) -> DataFrame:
     """Runs ``rows(bpe, id list, value list) -> column lists`` on Arrow batches."""
-    shared = docs.sparkSession.sparkContext.broadcast(spec)
+    shared = docs.sparkSession.sparkContext.broadcast({"spec": spec})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = None
         for batch in batches:
-            bpe = bpe or ByteBpe(shared.value)
+            bpe = once_a_worker(shared, ByteBpe)
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 columns = rows(bpe, part.column(1).to_pylist())

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.bpe import Remembered, byte_letters
+from visitlens.llm.bpe import Remembered, byte_letters, once_a_worker
 from visitlens.llm.common import text_or_empty
 
 SEQUENCE, END_ID = 4096, 2
@@ -163,11 +163,11 @@ def pack(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "te
     offset, and the ids themselves (array<int>) if asked for."""
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(spec)
+    shared = docs.sparkSession.sparkContext.broadcast({"spec": spec})
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, ids_of, kind_of_id = Packer(TaskContext.get().partitionId() << 33), None, None
+        packer, kind_of_id = Packer(TaskContext.get().partitionId() << 33), None
 
         def batch_of(found: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*found))
@@ -177,7 +177,7 @@ def pack(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "te
             return pa.RecordBatch.from_arrays(arrays, ["id", *names] + ["ids"] * with_ids)
 
         for batch in batches:
-            ids_of, kind_of_id = ids_of or WordIds(shared.value), batch.schema.field(0).type
+            ids_of, kind_of_id = once_a_worker(shared, WordIds), batch.schema.field(0).type
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 found = [r for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) for r in packer.add(i, ids_of(t))]
