@@ -17,13 +17,12 @@ from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from visitlens import config
 from visitlens.functions.text import clean_identifier, flatten_header, is_footer_header
+from visitlens.session import ensure_checkpoint_dir
 
 FILE = "file_id"
 ORD = "col_ord"
@@ -108,12 +107,46 @@ def unique_name_list(identifiers: list[str], max_len: int = config.MAX_IDENTIFIE
     return out
 
 
-def _exact_group(max_len: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ORD).copy()
-        pdf["unique_name"] = unique_name_list(list(pdf["identifier"].fillna("")), max_len)
-        return pdf
-    return run
+def _name(base: Column, k: Column, max_len: int) -> Column:
+    """``base`` itself for k = 0, else the base cut so that ``_k`` fits."""
+    tail = F.concat(F.lit("_"), k.cast("string"))
+    return F.when(k == 0, base).otherwise(F.concat(F.substring(base, F.lit(1), F.lit(max_len) - F.length(tail)), tail))
+
+
+def _claims(names: DataFrame, max_len: int) -> DataFrame:
+    """(file, base, k, at): names that are a base's k-th candidate, and the places that
+    hold them: names of other bases, and a base that reads like its own candidate."""
+    digits = F.regexp_extract("name", "_([1-9][0-9]{0,8})$", 1)
+    tail = F.when(digits == "", 0).otherwise(F.length(digits) + 1)
+    forms = F.array(F.struct(F.lit(0).alias("tail"), F.col("name").alias("stem"), F.lit(0).alias("k")),
+                    F.struct(tail.alias("tail"), F.substring(F.col("name"), F.lit(1), F.length("name") - tail).alias("stem"),
+                             F.coalesce(digits.try_cast("int"), F.lit(0)).alias("k")))
+    held = names.select("file", F.col("base").alias("own"), (F.col("name") == F.col("base")).alias("whole"), "at",
+                        F.explode(F.array_distinct(forms)).alias("f")).select("file", "own", "whole", "at", "f.tail", "f.stem", "f.k")
+    bases = names.select("file", "base").distinct().select(
+        "file", "base", F.explode(F.array(*[F.struct(F.lit(n).alias("tail"), F.substring("base", 1, max_len - n).alias("stem"))
+                                            for n in (0, *range(2, 11))])).alias("f")).select("file", "base", "f.tail", "f.stem")
+    return held.join(bases, ["file", "tail", "stem"]).where("own <> base or (whole and tail > 0)").select(
+        "file", "base", "k", "at")
+
+
+def _numbered(names: DataFrame, max_len: int) -> DataFrame:
+    """One round: every name anew, given the names that the places before it hold."""
+    claims = _claims(names, max_len).groupBy("file", "base").agg(F.collect_list(F.struct("k", "at")).alias("claims"))
+    places = names.groupBy("file", "base").agg(F.sort_array(F.collect_list("at")).alias("places"))
+    both = places.join(claims, ["file", "base"], "left").withColumn(
+        "claims", F.coalesce("claims", F.array().cast("array<struct<k:int,at:int>>")))
+
+    def step(state: Column, at: Column) -> Column:
+        first = state["last"] + 1
+        free = F.filter(F.sequence(first, first + F.size("claims")),
+                        lambda k: ~F.exists("claims", lambda c: (c["k"] == k) & (c["at"] < at)))
+        return F.struct(free[0].alias("last"), F.concat(state["ks"], F.array(free[0])).alias("ks"))
+
+    start = F.struct(F.lit(-1).alias("last"), F.array().cast("array<int>").alias("ks"))
+    ks = F.aggregate("places", start, step, lambda state: state["ks"])
+    return both.select("file", "base", F.explode(F.arrays_zip(F.col("places").alias("at"), ks.alias("k"))).alias("p")).select(
+        "file", "base", "p.at", _name(F.col("base"), F.col("p.k"), max_len).alias("name"))
 
 
 def unique_names(headers: DataFrame, file_col: str = FILE,
@@ -128,22 +161,35 @@ def unique_names(headers: DataFrame, file_col: str = FILE,
     Plan: the closed form (``row_number`` per file and name) equals the
     sequential rule exactly when its output names are distinct within the
     file (every candidate is the output of its first use, so any collision
-    with a generated name shows up as a repeated output). Files with a
-    repeated output are renamed by the sequential rule in ``applyInPandas``,
-    one file per group (bounded by the file's column count). All windows and
-    the grouped step are keyed by file, so one shuffle by file serves them
-    all.
+    with a generated name shows up as a repeated output). The headers are read
+    once, and where all names are distinct that is all. Files with a repeated
+    output go through rounds: each finds, by a join on name stems, which
+    candidates of a base are held by other bases' earlier columns, and numbers
+    the base's columns past them. A name depends on earlier columns only, so
+    after some rounds nothing changes, and then it is the sequential rule's.
+    All steps are keyed by file, whose columns bound them; none is Python.
     """
+    spark = headers.sparkSession
+    ensure_checkpoint_dir(spark)
     closed = _closed_form(headers, file_col, max_len)
     dup = F.count(F.lit(1)).over(Window.partitionBy(file_col, "unique_name")) > 1
     closed = closed.withColumn("_dup", dup)
-    closed = closed.withColumn("_bad", F.max("_dup").over(Window.partitionBy(file_col)))
-    base_cols = headers.columns
-    good = closed.where(~F.col("_bad")).select(*base_cols, "unique_name")
-    schema = T.StructType(list(headers.schema.fields) + [T.StructField("unique_name", T.StringType())])
-    fixed = (closed.where(F.col("_bad")).select(*base_cols)
-                   .groupBy(file_col).applyInPandas(_exact_group(max_len), schema))
-    return good.unionByName(fixed)
+    closed = closed.withColumn("_bad", F.max("_dup").over(Window.partitionBy(file_col))).checkpoint(eager=True)
+    columns = [*headers.columns, "unique_name"]
+    bad = closed.where("_bad")
+    if bad.isEmpty():
+        return closed.select(*columns)
+    own = F.struct(F.col(file_col))  # equal also where the file is null
+    names = bad.select(own.alias("file"), F.coalesce("_cand", F.lit("")).alias("base"), F.col(ORD).cast("int").alias("at"),
+                       F.coalesce("unique_name", F.lit("")).alias("name")).checkpoint(eager=True)
+    changed = True
+    while changed:
+        after = _numbered(names, max_len).checkpoint(eager=True)
+        changed = not after.join(names.withColumnRenamed("name", "old").drop("base"), ["file", "at"]).where("name <> old").isEmpty()
+        names = after
+    named = names.select(F.col("file").alias("_file"), F.col("at").alias("_at"), "name")
+    fixed = bad.drop("unique_name").join(named, (own == F.col("_file")) & (F.col(ORD) == F.col("_at"))).withColumnRenamed("name", "unique_name")
+    return closed.where(~F.col("_bad")).select(*columns).unionByName(fixed.select(*columns))
 
 
 def header_dictionary(headers: DataFrame, file_col: str = FILE) -> DataFrame:

@@ -16,6 +16,10 @@ one task:
    its first and its last), so that offset table is broadcast with a proven
    size bound.
 
+``balanced_row_number`` takes that way for the groups that need it only: a
+mergeable summary of bounded size finds the groups above a task's share, which
+are cut by range; all others take one hash shuffle and a plain window.
+
 For top-k-per-group filters (rank 1, ranks 2..11) the plain window plus a
 filter is better: Catalyst adds a partial ``WindowGroupLimit`` before the
 shuffle, so at most k rows per group and map task are shuffled.
@@ -28,6 +32,9 @@ from pyspark.sql import functions as F
 
 from visitlens.session import ensure_checkpoint_dir
 
+#: Rows up to which a group is left to one task, however many tasks there are.
+LEAST_HOT_ROWS = 10_000
+
 _PID = "_vl_pid"
 _LOCAL = "_vl_local"
 _N = "_vl_n"
@@ -92,6 +99,37 @@ def distributed_row_number(df: DataFrame, partition_cols: list[str], order_cols:
     return joined.select(*[F.col(c) for c in df.columns], rank.alias(out_col))
 
 
+def hot_groups(rows: DataFrame, partition_cols: list[str], least: int, parts: int) -> list[int]:
+    """Hashes of the groups that have about ``least`` rows or more.
+
+    The frequent-items summary of each task has a bounded number of counters,
+    and summaries add up, so only that many reach the driver whatever the
+    number of groups. Its error is far below ``least``: no group of that size is
+    missed. Groups whose hashes are equal count as one.
+    """
+    tracked = min(1_000_000, 1 << (16 * parts).bit_length())
+    found = rows.select(F.xxhash64(*partition_cols).alias("h")).agg(F.expr(f"approx_top_k(h, {min(4 * parts, tracked)}, {tracked})").alias("t"))
+    return [t["item"] for t in found.first()["t"] or [] if t["count"] >= least]
+
+
+def balanced_row_number(df: DataFrame, partition_cols: list[str], order_cols: list[Column], out_col: str = "row_number",
+                        least: int | None = None) -> DataFrame:
+    """``row_number()`` over ``partition_cols``: one shuffle, and a range cut only for
+    groups of at least ``least`` rows (twice a task's share by default)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.checkpoint(eager=True)  # the summary and the ranking read the same rows
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if least is None:
+        least = max(LEAST_HOT_ROWS, 2 * rows.count() // parts)
+    hot = hot_groups(rows, partition_cols, least, parts)
+    own = F.row_number().over(Window.partitionBy(*partition_cols).orderBy(*order_cols)).cast("long")
+    if not hot:
+        return rows.withColumn(out_col, own)
+    is_hot = F.xxhash64(*partition_cols).isin(hot)
+    cut = distributed_row_number(rows.where(is_hot), partition_cols, order_cols, out_col)
+    return rows.where(~is_hot).withColumn(out_col, own).unionByName(cut)
+
+
 def top_n_per_group(df: DataFrame, partition_cols: list[str], order_cols: list[Column],
                     n_max: int, out_col: str = "row_number", n_min: int = 1) -> DataFrame:
     """Rows ranked ``n_min..n_max`` in their group, with their rank.

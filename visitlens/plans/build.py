@@ -5,8 +5,8 @@
     -> wide recoded master per client (+ client ids) -> parquet by client
 
 Every arrow is a DataFrame transformation. The decoded cells and the judged
-answers are each written once to the checkpoint folder; every client's master
-reads them from there. Only metadata (client names, a client's column list)
+answers are each written once to the checkpoint folder; ``Masters.write`` makes
+all masters from them in one pass, ``Masters.client`` one client's as a frame. Only metadata (client names, a client's column list)
 comes to the driver.
 """
 
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from visitlens.operators.profile import likert_by_file
 from visitlens.operators.reshape import outer_union, same_types
 from visitlens.plans import master as M
+from visitlens.plans.one_pass import write_masters
 from visitlens.plans.recode import recode_survey
 from visitlens.session import ensure_checkpoint_dir
 from visitlens.sources import ingest as I
@@ -53,6 +54,11 @@ class Masters:
         for row in self.clients.orderBy("client_name").select("client_name").toLocalIterator():
             yield row[0], self.client(row[0])
 
+    def write(self, path: str) -> None:
+        """Every client's wide master as one snapshot at ``path``, in one pass over
+        the answers (``one_pass``); read it back with ``one_pass.read_masters``."""
+        write_masters(self, path)
+
     @property
     def masters(self) -> DataFrame:
         """All clients in one frame; a column a client lacks is null, and one
@@ -61,12 +67,15 @@ class Masters:
 
 
 def build_masters(spark: SparkSession, root: str, recode: bool = True, likert: list[str] | None = None,
-                  known_clients: DataFrame | None = None) -> Masters:
-    """``likert=[]`` leaves Likert answers as they are; by default they are
+                  known_clients: DataFrame | None = None, masters: bool = False) -> Masters:
+    """Masters of the exports below ``root``; with ``masters`` from the ``..._master``
+    files of earlier loads, which name client and venue in their rows.
+
+    ``likert=[]`` leaves Likert answers as they are; by default they are
     judged file by file. ``known_clients`` keeps the ids of an earlier load."""
     ensure_checkpoint_dir(spark)
     # decoding (Python, per file) is the costly step: once, then from the folder
-    decoded = I.decode_cells(I.list_files(spark, root)).checkpoint(eager=True)
+    decoded = I.read_cells(spark, root, masters).checkpoint(eager=True)
     cells, quarantine = I.split_errors(decoded)
     answers = I.answer_cells(cells)
     if recode and likert is None:

@@ -13,13 +13,16 @@ from visitlens import config
 from visitlens.functions import recode as R
 from visitlens.functions import text as T_
 from visitlens.operators import headers as H
-from visitlens.operators.profile import likert_by_file, likert_columns, name_profile, table_profile, value_counts
+from visitlens.operators import value_types as V
+from visitlens.operators.profile import likert_by_file, likert_columns, name_profile, table_profile, to_long, value_counts
 from visitlens.operators.reshape import outer_union
 from visitlens.plans import master as M
 from visitlens.plans import oracle, oracle_more, views
 from visitlens.plans import recode as rc
+from visitlens.plans.sql_views import ReportCatalog
 from visitlens.sources import fixtures as fx
-from visitlens.sources.ingest import answer_cells
+from visitlens.session import scratch_folder
+from visitlens.sources.ingest import answer_cells, read_cells, split_errors
 from visitlens.sources.tables import read_table
 
 
@@ -275,8 +278,61 @@ def q_likert_by_file(spark, sf_dir):
         "file_id", "respondent_id", "is_likert", "likert_score")
 
 
+# --- loads: split exports and value-driven types --------------------------------
+
+def _survey_exports(spark, sf_dir) -> str:
+    """CSV exports with two header rows, written from the documents: one folder a
+    client, one row a document, texts quoted with their line breaks."""
+    docs = read_table(spark, sf_dir, "documents")
+    part = (F.col("doc_id") % 4).cast("string")
+    rows = docs.select(F.concat("source", F.lit("-"), part).alias("client"), F.lit(1).alias("_n"),
+                       F.col("doc_id").cast("string").alias("Respondent ID"), F.col("text").alias("Visit"), F.col("lang").alias("_lang"))
+    second = rows.select("client").distinct().select(
+        "client", F.lit(0).alias("_n"), F.lit("").alias("Respondent ID"), F.lit("Comments").alias("Visit"), F.lit("Language").alias("_lang"))
+    root = scratch_folder(spark, "exports")
+    out = rows.unionByName(second).repartition("client").sortWithinPartitions("client", "_n").drop("_n")
+    # the second top cell stays blank, as under a merged header
+    out = out.toDF("client", "Respondent ID", "Visit", "")
+    out.write.partitionBy("client").option("header", True).option("quoteAll", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root)
+    return root
+
+
+def q_split_csv(spark, sf_dir):
+    cells, _ = split_errors(read_cells(spark, _survey_exports(spark, sf_dir)))
+    return answer_cells(cells).select(
+        F.regexp_replace("client_name", "^client=", "").alias("client_name"), "respondent_id", "col_ord", "header",
+        F.length("value").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"))
+
+
+def q_column_types(spark, sf_dir):
+    df = fx.load_text(spark, sf_dir)
+    cols = [c for c in df.columns if c not in ("respondent_id", "client_name")]
+    return V.column_types(to_long(df, cols, ["client_name"]), ["client_name", "column_name"])
+
+
+def q_typed_load(spark, sf_dir):
+    df = V.with_inferred_types(fx.load_text(spark, sf_dir))
+    return df.withColumn("stamped", F.date_format("stamped", "yyyy-MM-dd HH:mm:ss"))
+
+
+def q_catalog_report(spark, sf_dir):
+    """The report base, read through persistent views over saved tables."""
+    folder = scratch_folder(spark, "report")
+    database = "vl_" + folder.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    catalog = ReportCatalog(spark, database)
+    catalog.save_tables(_scores(spark, sf_dir), fx.feedback_service(spark, sf_dir), {"fx_comment_master": fx.comment_master(spark, sf_dir)})
+    catalog.create()
+    return spark.table(f"{database}.vw_report_base_powerbi")
+
+
 QUERIES = {
+    "catalog_report": q_catalog_report,
     "ingest_words": q_ingest_words,
+    "split_csv": q_split_csv,
+    "column_types": q_column_types,
+    "typed_load": q_typed_load,
     "likert_by_file": q_likert_by_file,
     "section_union": q_section_union,
     "total_score": q_total_score,

@@ -286,9 +286,63 @@ def likert_by_file() -> str:
         "cast(case when is_likert then score end as double) as likert_score from f left join s on v = k")
 
 
+_LOAD_COLUMNS = ["visits", "amount", "visited", "stamped", "flag", "one_bad", "code", "long_number", "nothing", "impossible_day"]
+_MISSING_WORDS = "('', '#n/a', '#n/a n/a', '#na', '-1.#ind', '-1.#qnan', '-nan', '1.#ind', '1.#qnan', '<na>', 'n/a', 'na', 'nan', 'none', 'null')"
+
+
+def _plain_date(x: str) -> str:
+    forms = ", ".join(f"try_strptime({x}, '{form}')" for form in ("%Y-%m-%d", "%d/%m/%Y", "%d-%m-%Y"))
+    return f"coalesce({forms})"
+
+
+def _moment(x: str) -> str:
+    forms = ", ".join(f"try_strptime({x}, '{form}')" for form in ("%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M"))
+    return f"coalesce({forms}, {_plain_date(x)})"
+
+
+def column_types() -> str:
+    """Types by counting the values that each type can hold."""
+    cells = "\nunion all\n".join(
+        f"select client_name, '{c}' as column_name, {pystrip(c)} as v from fx_load" for c in _LOAD_COLUMNS)
+    plain = "regexp_full_match(v, '[+-]?(0|[1-9][0-9]*)(\\.0+)?')"
+    number = "regexp_full_match(v, '[+-]?((0|[1-9][0-9]*)(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?')"
+    small = "try_cast(regexp_replace(v, '\\.0+$', '') as bigint) is not null"
+    every = lambda test: f"bool_and({test}) filter (where v is not null)"
+    q = f"""select client_name, column_name, count(v) as n_values,
+  case when count(v) = 0 then 'empty' when {every("lower(v) in ('true', 'false')")} then 'bool'
+       when {every(f"{plain} and {small}")} then 'int'
+       when {every(f"{number} and (not {plain} or {small})")} then 'double'
+       when {every(f"{_plain_date('v')} is not null")} then 'date'
+       when {every(f"{_moment('v')} is not null")} then 'timestamp' else 'text' end as value_type
+from (select client_name, column_name, case when lower(v) not in {_MISSING_WORDS} then v end as v from cells)
+group by client_name, column_name"""
+    return with_fixtures(q, f"cells as (\n{cells}\n)")
+
+
+def typed_load() -> str:
+    text = {c: f"(case when lower({pystrip(c)}) not in {_MISSING_WORDS} then {pystrip(c)} end)" for c in _LOAD_COLUMNS}
+    return with_fixtures(f"""select respondent_id, client_name,
+  cast(regexp_replace({text['visits']}, '\\.0+$', '') as bigint) as visits, cast({text['amount']} as double) as amount,
+  cast({_plain_date(text['visited'])} as date) as visited, strftime({_moment(text['stamped'])}, '%Y-%m-%d %H:%M:%S') as stamped,
+  lower({text['flag']}) = 'true' as flag, one_bad, code, long_number, nothing, impossible_day from fx_load""")
+
+
+def split_csv() -> str:
+    """The exports hold the documents, so reading them gives the documents back."""
+    cell = ("select concat(source, '-', cast(doc_id % 4 as varchar)) as client_name, cast(doc_id as varchar) as respondent_id, "
+            "{i} as col_ord, '{header}' as header, nullif({value}, '') as value from documents")
+    cells = " union all ".join(cell.format(i=i, header=h, value=v) for i, (h, v) in enumerate((
+        ("Respondent ID", "cast(doc_id as varchar)"), ("Visit Comments", "text"), ("Visit Language", "lang"))))
+    return (f"select client_name, respondent_id, col_ord, header, cast(length(value) as integer) as n_chars, sha256(value) as value_sha256 "
+            f"from ({cells})")
+
+
 def queries() -> dict[str, str]:
     return {
         "ingest_words": ingest_words(),
+        "split_csv": split_csv(),
+        "column_types": column_types(),
+        "typed_load": typed_load(),
         "likert_by_file": likert_by_file(),
         "recommendation": recommendation(),
         "speed": speed(),

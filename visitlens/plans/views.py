@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from visitlens import config
 from visitlens.functions.text import clean_identifier, clean_venue, is_null_token, is_plain_number, is_truthy
 from visitlens.operators import scoring
-from visitlens.operators.ranking import distributed_row_number, top_n_per_group
+from visitlens.operators.ranking import balanced_row_number, top_n_per_group
 from visitlens.operators.reshape import map_frame, union_all, unpivot_labeled, unpivot_mapped
 
 DEC = "decimal(38,6)"
@@ -84,7 +84,7 @@ def _with_flags(ranked: DataFrame) -> DataFrame:
 def master_view(scores) -> DataFrame:
     """Every filtered visit with its rank inside (client, venue), flags and band."""
     total = scoring.total_score(_all_scores(scores), keep_raw_assessor=True)
-    ranked = distributed_row_number(total, ["client_name", "venue_name"], _rank_order(), "visit_rank")
+    ranked = balanced_row_number(total, ["client_name", "venue_name"], _rank_order(), "visit_rank")
     return _with_flags(ranked)
 
 
@@ -131,10 +131,7 @@ def question_scores_view(scores) -> DataFrame:
 
 def question_ratings_view(scores) -> DataFrame:
     qs = question_scores_view(scores)
-    score = F.round(F.col("question_score").cast(DEC), 2).cast("double")
-    return qs.select(*[c for c in qs.columns if c != "question_score"],
-                     score.alias("question_score"),
-                     scoring.rating(F.col("question_score")).alias("rating"))
+    return qs.withColumn("rating", scoring.rating(F.col("question_score")))
 
 
 def section_breakdown_view(scores) -> DataFrame:
@@ -307,14 +304,16 @@ VIEW_NAMES = [
 
 
 def build_views(spark: SparkSession, scores, feedback: DataFrame, tables: dict) -> dict:
-    """All report views by name (lazy frames)."""
+    """All report views by name (frames); the visits are ranked once for the three
+    views that show them."""
     comments = comments_view(spark, tables)
+    master = master_view(scores)
     return {
         "vw_total_score_final": total_score_view(scores),
-        "vw_powerbi_master_final": master_view(scores),
+        "vw_powerbi_master_final": master,
         "vw_latest_visit_score_final": latest_visit_view(scores),
         "vw_previous_visits_score_final": previous_visits_view(scores),
-        "vw_trend_score_final": trend_view(scores),
+        "vw_trend_score_final": master,
         "vw_question_scores": question_scores_view(scores),
         "vw_question_scores_powerbi": question_ratings_view(scores),
         "vw_section_breakdown_final": section_breakdown_view(scores),
@@ -322,7 +321,7 @@ def build_views(spark: SparkSession, scores, feedback: DataFrame, tables: dict)
         "vw_full_survey_comments_powerbi": comments,
         "vw_comments_powerbi": comments.select(*COMMENT_SCHEMA.fieldNames()),
         "vw_staff_service_words_powerbi": staff_words_view(spark, tables),
-        "vw_report_base_powerbi": report_base_view(scores),
+        "vw_report_base_powerbi": master.select(*MASTER_COLUMNS),
     }
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -68,3 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="visitlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new folder below the shared checkpoint folder (not yet made)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

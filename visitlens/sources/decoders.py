@@ -12,14 +12,21 @@ import csv
 import io
 import re
 import zipfile
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from xml.etree import ElementTree as ET
 
+from visitlens.functions.text import header_text, identifier
+
 #: Cells in one frame that a task hands on.
 CHUNK = 50_000
+#: Most characters in a field of a CSV export; a file with a longer one is rejected.
+FIELD_LIMIT = 1 << 24
 
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL_NS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+_TYPED = re.compile(r"([+-]?[0-9]*[.,]?[0-9]+([eE][+-]?[0-9]+)?|[0-9]{1,4}[/.-][0-9]{1,2}[/.-][0-9]{1,4}([ T][0-9:.]+)?|(?i:true|false))\Z")
 _COL_RE = re.compile(r"([A-Z]+)(\d+)")
 
 
@@ -32,9 +39,81 @@ def _col_index(letters: str) -> int:
 
 def csv_cells(data: bytes, encoding: str = "utf-8-sig") -> Iterator[tuple[int, int, str | None]]:
     text = io.StringIO(data.decode(encoding, errors="replace"), newline="")
-    for r, row in enumerate(csv.reader(text)):
-        for c, v in enumerate(row):
-            yield r, c, (v if v != "" else None)
+    limit = csv.field_size_limit(FIELD_LIMIT)
+    try:
+        for r, row in enumerate(csv.reader(text)):
+            for c, v in enumerate(row):
+                yield r, c, (v if v != "" else None)
+    finally:
+        csv.field_size_limit(limit)
+
+
+@dataclass
+class Layout:
+    """What the first rows of a file say about its columns."""
+
+    depth: int                                  # header rows
+    headers: dict[int, tuple[str, str, int]]    # column -> (top, sub, nth)
+    respondent: int | None = None               # columns that hold a row's keys
+    client: int | None = None
+    venue: int | None = None
+
+
+def is_typed(value: str | None) -> bool:
+    """A number, date, time or truth value: data, not a header."""
+    return bool(value and _TYPED.match(value.strip()))
+
+
+def header_depth(rows: dict[int, dict[int, str | None]]) -> int:
+    """One or two header rows, by the evidence of a file's first rows.
+
+    A blank or repeated cell in the first row is a merged header, so a second row
+    names its columns. A first row that names client and venue is that of a
+    master, and typed values in the second row are answers: one header row. Else
+    the second row holds texts or nothing, as the sub-headers of an export do.
+    """
+    top, second = rows.get(0, {}), rows.get(1, {})
+    width = 1 + max([*top, *second], default=-1)
+    names = [top.get(c) for c in range(width)]
+    if not all(names) or len(set(names)) < len(names):
+        return 2
+    if {identifier(n) for n in names} >= {"client_name", "venue_name"}:
+        return 1
+    return 1 if any(map(is_typed, second.values())) else 2
+
+
+def layout_of(rows: dict[int, dict[int, str | None]]) -> Layout:
+    """Header rows, column names and key columns from a file's first rows.
+
+    Blank top cells take the text to their left, as under a merged header;
+    other blanks get a placeholder name. In a master (one header row that names
+    client and venue) those columns are keys of a row, not answers.
+    """
+    depth = header_depth(rows)
+    tops, subs = rows.get(0, {}), rows.get(1, {}) if depth == 2 else {}
+    found, seen, left = {}, Counter(), None
+    for col in sorted({*tops, *subs}):
+        left = tops.get(col) or (left if depth == 2 else None)
+        top = left or f"Unnamed: {col}_level_0"
+        sub = subs.get(col) or f"Unnamed: {col}_level_1"
+        found[col] = (top, sub, seen[top, sub])
+        seen[top, sub] += 1
+    names = {c: identifier(header_text(top, sub)) for c, (top, sub, _) in found.items()}
+    first = {name: c for c, name in reversed(names.items())}
+    out = Layout(depth, found, first.get("respondent_id"))
+    if depth == 1 and {"client_name", "venue_name"} <= first.keys():
+        out.client, out.venue = first["client_name"], first["venue_name"]
+        out.headers = {c: h for c, h in found.items() if names[c] not in ("client_id", "client_name", "venue_name")}
+    return out
+
+
+def read_layout(cells: Iterator[tuple[int, int, str | None]]) -> Layout:
+    """``layout_of`` a file's cells, all of which are read."""
+    rows: dict[int, dict[int, str | None]] = {}
+    for row, col, value in cells:
+        if row < 2:
+            rows.setdefault(row, {})[col] = value
+    return layout_of(rows)
 
 
 def _shared_strings(z: zipfile.ZipFile) -> list[str]:

@@ -154,6 +154,24 @@ select o_orderkey as respondent_id,
 from orders
 )"""
 
+FX_LOAD = """
+fx_load as (
+select o_orderkey as respondent_id, concat('client_', cast(o_custkey % 5 as varchar)) as client_name,
+  case o_orderkey % 7 when 0 then cast(null as varchar) when 1 then ' N/A ' when 2 then concat(cast(o_orderkey as varchar), '.0') else cast(o_orderkey as varchar) end as visits,
+  case o_orderkey % 5 when 0 then concat('-', cast(o_orderkey as varchar), '.25') when 1 then '1.5e3' when 2 then '' else cast(o_orderkey as varchar) end as amount,
+  case o_orderkey % 4 when 0 then strftime(o_orderdate, '%d/%m/%Y') when 1 then strftime(o_orderdate, '%Y-%m-%d')
+    when 2 then concat(' ', strftime(o_orderdate, '%-d-%-m-%Y'), ' ') else 'nan' end as visited,
+  case o_orderkey % 3 when 0 then concat(strftime(o_orderdate, '%Y-%m-%d'), ' 07:30:00') when 1 then concat(strftime(o_orderdate, '%Y-%m-%d'), 'T23:05')
+    else strftime(o_orderdate, '%d/%m/%Y') end as stamped,
+  case o_orderkey % 4 when 0 then 'True' when 1 then ' FALSE' when 2 then 'true' end as flag,
+  case when o_orderkey % 4999 = 1 then 'seven' else cast(o_orderkey % 10 as varchar) end as one_bad,
+  lpad(cast(o_orderkey % 1000 as varchar), 4, '0') as code,
+  concat('9223372036854775', lpad(cast(o_orderkey % 1000 as varchar), 3, '0')) as long_number,
+  case o_orderkey % 2 when 0 then 'null' else '  ' end as nothing,
+  case o_orderkey % 2 when 0 then '31/02/2024' else '05/09/2024' end as impossible_day
+from orders
+)"""
+
 FX_FILE = """
 fx_file as (
 select doc_id as file_id,
@@ -194,6 +212,7 @@ FIXTURES = {
     "fx_word_master": (FX_WORD_MASTER, ["fx_visit"]),
     "fx_survey_wide": (FX_SURVEY_WIDE, ["fx_visit"]),
     "fx_raw_text": (FX_RAW_TEXT, []),
+    "fx_load": (FX_LOAD, []),
     "fx_file": (FX_FILE, []),
     "fx_header": (FX_HEADER, []),
 }

@@ -219,6 +219,36 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Untyped master columns, as text (FX9): gaps, mixed dates, codes, single bad cells."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    k = F.col("o_orderkey")
+    key = k.cast("string")
+
+    def day(form):
+        return F.date_format("o_orderdate", form)
+
+    def case(mod, values, default=None):
+        expr = F.when(F.lit(False), F.lit(None).cast("string"))
+        for i, val in enumerate(values):
+            expr = expr.when(k % mod == i, F.lit(val) if isinstance(val, str) or val is None else val)
+        return expr.otherwise(default) if default is not None else expr
+
+    return o.select(
+        k.alias("respondent_id"), F.concat(F.lit("client_"), (F.col("o_custkey") % 5).cast("string")).alias("client_name"),
+        case(7, [None, " N/A ", F.concat(key, F.lit(".0"))], key).alias("visits"),
+        case(5, [F.concat(F.lit("-"), key, F.lit(".25")), "1.5e3", ""], key).alias("amount"),
+        case(4, [day("dd/MM/yyyy"), day("yyyy-MM-dd"), F.concat(F.lit(" "), day("d-M-yyyy"), F.lit(" ")), "nan"]).alias("visited"),
+        case(3, [F.concat(day("yyyy-MM-dd"), F.lit(" 07:30:00")), F.concat(day("yyyy-MM-dd"), F.lit("T23:05")), day("dd/MM/yyyy")]).alias("stamped"),
+        case(4, ["True", " FALSE", "true"]).alias("flag"),
+        F.when(k % 4999 == 1, "seven").otherwise((k % 10).cast("string")).alias("one_bad"),
+        F.lpad((k % 1000).cast("string"), 4, "0").alias("code"),
+        F.concat(F.lit("9223372036854775"), F.lpad((k % 1000).cast("string"), 3, "0")).alias("long_number"),
+        case(2, ["null", "  "]).alias("nothing"),
+        case(2, ["31/02/2024", "05/09/2024"]).alias("impossible_day"),
+    )
+
+
 _FILE_SUFFIXES = ["_iGUEST-Survey v2.1", " Survey V3 (1)", "--iguest__survey", ""]
 FOOTER_TEXT = "IMPORTANT: check for typos before you submit"
 

@@ -3,7 +3,8 @@
 Layout: ``<root>/<client>/<venue file>.xlsx`` (two header rows). The files
 are listed by Spark's ``binaryFile`` source (parallel listing, one record
 per file) and decoded in ``mapInPandas``, one file at a time, into long
-cells that carry their headers. Header drift between files is just more
+cells that carry their headers. CSV exports are read in splits that are
+aligned to records (``split_csv``). Header drift between files is just more
 rows; nothing is unioned per file.
 
 Errors are data: a file that cannot be decoded yields one row with its
@@ -14,7 +15,6 @@ the other files go on.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby, islice
 
@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlens.functions.text import (
-    flatten_header, header_text, identifier, is_footer_header, path_parent_name, path_stem, venue_from_stem)
-from visitlens.sources.decoders import CHUNK, cells_for
+from visitlens.functions.text import flatten_header, is_footer_header, path_parent_name, path_stem, venue_from_stem
+from visitlens.sources import split_csv
+from visitlens.sources.decoders import CHUNK, cells_for, read_layout
 
-#: Data cells carry their column's two header texts and their row's respondent;
+#: Data cells carry their column's two header texts and their row's respondent,
+#: and, in a master of earlier loads, their row's client and venue;
 #: every column also has one record with row -1, so columns without answers
 #: are known. ``nth`` numbers equal headers of one file, ``last_ord`` is the
 #: file's last column.
@@ -40,19 +41,20 @@ CELL_SCHEMA = T.StructType([
     T.StructField("header_sub", T.StringType()),
     T.StructField("nth", T.IntegerType()),
     T.StructField("respondent_id", T.StringType()),
+    T.StructField("client", T.StringType()),
+    T.StructField("venue", T.StringType()),
     T.StructField("value", T.StringType()),
     T.StructField("error", T.StringType()),
 ])
-RESPONDENT = "respondent_id"
 
 
-def list_files(spark: SparkSession, root: str, patterns: str = "*.{xlsx,csv}") -> DataFrame:
-    """Survey files one folder below ``root`` (client folders only)."""
+def list_files(spark: SparkSession, root: str, patterns: str = "*.{xlsx,csv}", anywhere: bool = False) -> DataFrame:
+    """Survey files one folder below ``root`` (client folders only), or ``anywhere``."""
     files = (spark.read.format("binaryFile")
                   .option("pathGlobFilter", patterns)
                   .option("recursiveFileLookup", "true")
                   .load(root))
-    return in_client_folders(files, root)
+    return files if anywhere else in_client_folders(files, root)
 
 
 def in_client_folders(files: DataFrame, root: str) -> DataFrame:
@@ -65,38 +67,19 @@ def in_client_folders(files: DataFrame, root: str) -> DataFrame:
     return files.where(F.regexp_replace("path", r"/[^/]+/[^/]+$", "").endswith(own))
 
 
-def _headers(path: str, content: bytes) -> dict[int, tuple[str, str, int]]:
-    """Column -> (top, sub, nth) of one file, after reading it to its end.
-
-    Reading all of it first means that a file which breaks anywhere yields
-    nothing but its error. Blank top cells take the text to their left, as
-    under a merged header; other blanks get a placeholder name.
-    """
-    rows: tuple[dict[int, str], dict[int, str]] = ({}, {})
-    for row, col, value in cells_for(path, content):
-        if row < 2:
-            rows[row][col] = value
-    found, seen, left = {}, Counter(), None
-    for col in sorted({*rows[0], *rows[1]}):
-        left = rows[0].get(col) or left
-        top = left or f"Unnamed: {col}_level_0"
-        sub = rows[1].get(col) or f"Unnamed: {col}_level_1"
-        found[col] = (top, sub, seen[top, sub])
-        seen[top, sub] += 1
-    return found
-
-
 def _file_rows(path: str, content: bytes) -> Iterator[tuple]:
-    headers = _headers(path, content)
-    last = max(headers, default=-1)
+    # reading all of it first: a file that breaks anywhere yields nothing but its error
+    layout = read_layout(cells_for(path, content))
+    headers, last = layout.headers, max(layout.headers, default=-1)
     for col, (top, sub, nth) in headers.items():
-        yield path, -1, col, last, top, sub, nth, None, None, None
-    key = next((c for c, (top, sub, _) in headers.items() if identifier(header_text(top, sub)) == RESPONDENT), None)
-    rows = groupby((c for c in cells_for(path, content) if c[0] >= 2 and c[1] in headers), key=lambda c: c[0])
+        yield path, -1, col, last, top, sub, nth, None, None, None, None, None
+    rows = groupby((c for c in cells_for(path, content) if c[0] >= layout.depth), key=lambda c: c[0])
     for row, cells in rows:
         values = {col: value for _, col, value in cells}
+        keys = [values.get(c) if c is not None else None for c in (layout.respondent, layout.client, layout.venue)]
         for col, value in values.items():
-            yield path, row - 2, col, last, *headers[col], values.get(key), value, None
+            if col in headers:
+                yield path, row - layout.depth, col, last, *headers[col], *keys, value, None
 
 
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -116,6 +99,19 @@ def decode_cells(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(_decode, CELL_SCHEMA)
 
 
+def read_cells(spark: SparkSession, root: str, masters: bool = False) -> DataFrame:
+    """Long cells of every survey file below ``root``: workbooks one file a task,
+    CSV exports in record-aligned splits, however large a file is.
+
+    With ``masters`` the files are those named ``..._master``, in any folder. Either
+    may have one or two header rows; each file's first rows tell.
+    """
+    books, exports = ("*_master.xlsx", "*_master.csv") if masters else ("*.xlsx", "*.csv")
+    found = split_csv.lines(spark, root, exports)
+    return decode_cells(list_files(spark, root, books, anywhere=masters)).unionByName(
+        split_csv.csv_cells(found if masters else in_client_folders(found, root)))
+
+
 def split_errors(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good cells, quarantine) where quarantine lists ``path, error``."""
     bad = cells.where(F.col("error").isNotNull()).select("path", "error")
@@ -133,10 +129,18 @@ def without_footer(cells: DataFrame) -> DataFrame:
 
 
 def header_cells(cells: DataFrame) -> DataFrame:
-    """One row per file and column: keys, place and both header texts."""
-    return (without_footer(cells).where(F.col("row_id") == -1)
-            .select(F.col("path").alias("file_id"), path_parent_name("path").alias("client_name"),
-                    "col_ord", "header_top", "header_sub", "nth"))
+    """One row per file and column: keys, place and both header texts.
+
+    The client is the file's folder; a master's columns belong to each client
+    that its rows name.
+    """
+    records = without_footer(cells)
+    columns = [F.col("path").alias("file_id"), "col_ord", "header_top", "header_sub", "nth"]
+    found = records.where(F.col("row_id") == -1).select(path_parent_name("path").alias("client_name"), *columns)
+    if "client" not in cells.columns:
+        return found
+    own = records.where((F.col("row_id") >= 0) & F.col("client").isNotNull()).select(F.col("client").alias("client_name"), *columns).distinct()
+    return found.join(own.select("file_id").distinct(), "file_id", "left_anti").unionByName(own)
 
 
 def answer_cells(cells: DataFrame) -> DataFrame:
@@ -144,10 +148,14 @@ def answer_cells(cells: DataFrame) -> DataFrame:
 
     ``client_name, venue_name, file_id, row_id, respondent_id, col_ord,
     header_top, header_sub, nth, header, value``. Client and venue are read
-    from the path and the header travels with the cell: no join, no shuffle.
+    from the path (in a master, from the row) and the header travels with the
+    cell: no join, no shuffle.
     """
+    def own(name: str) -> list:
+        return [F.col(name)] if name in cells.columns else []
+
     return (without_footer(cells).where(F.col("row_id") >= 0)
-            .select(path_parent_name("path").alias("client_name"),
-                    venue_from_stem(path_stem("path")).alias("venue_name"),
+            .select(F.coalesce(*own("client"), path_parent_name("path")).alias("client_name"),
+                    F.coalesce(*own("venue"), venue_from_stem(path_stem("path"))).alias("venue_name"),
                     F.col("path").alias("file_id"), "row_id", "respondent_id", "col_ord", "header_top",
                     "header_sub", "nth", flatten_header("header_top", "header_sub").alias("header"), "value"))
