@@ -2,14 +2,21 @@
 
 Three patterns (assignments, access keys, long hex runs) give the base spans.
 Every other long token is a candidate. Its encoding is inferred from its
-characters, and three tests ask whether it looks drawn at random from that
-alphabet: chi-squared uniformity, runs of character classes, and serial
-correlation. A candidate that no test rejects gets a p-value under the
-natural-text null: the likelihood ratio of random against natural class
-changes is a bet whose chance of reaching r is at most 1 / r, so short tokens
-can never score well. The false-discovery rule (Benjamini and Hochberg, in
-each length class) then runs over all candidates of the corpus; only a
-histogram of bounded size reaches the driver.
+characters (without the hyphens or underscores that part it), and three tests ask
+whether it looks drawn at random from that alphabet: chi-squared uniformity, runs
+of character classes, and serial correlation. A candidate that no test rejects
+gets a p-value under the natural-text null: the likelihood ratio of random against
+natural text is a bet whose chance of reaching r is at most 1 / r, so short tokens
+can never score well. Natural text keeps its character class, and within a class
+a character follows the one before as in the corpus, whose pairs are counted over
+all words too short to be candidates; so random letters of one class differ
+from words. The false-discovery rule (Benjamini and Hochberg, in each length class)
+then runs over all candidates of the corpus; only a histogram and the pair counts,
+both of bounded size, reach the driver.
+
+What holds by encoding: tokens of letters alone, of either case, and identifiers
+in hexadecimal with hyphens are judged like others. Digits alone are judged by the
+corpus' digit pairs only, so a long number is found where those are far from even.
 
 Defined results: null text counts as empty; a text without spans has the
 digest of the empty string; repeated rows give repeated results; an empty
@@ -35,10 +42,11 @@ KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")  # LEAST characters
 #: Alphabets from narrow to wide; the first that holds a token is its encoding.
 ALPHABETS = {
-    "hex": "0123456789abcdef", "hex_upper": "0123456789ABCDEF", "base32": string.ascii_uppercase + "234567",
+    "digits": string.digits, "hex": "0123456789abcdef", "hex_upper": "0123456789ABCDEF", "lower": string.ascii_lowercase,
+    "upper": string.ascii_uppercase, "letters": string.ascii_letters, "base32": string.ascii_uppercase + "234567",
     "base32_lower": string.ascii_lowercase + "234567", "lower_digits": string.ascii_lowercase + string.digits,
     "upper_digits": string.ascii_uppercase + string.digits,
     "alnum": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/=",
@@ -50,6 +58,10 @@ ALPHABETS = {
 ALPHA, STAY, RATE = 0.001, 0.9, 0.01
 #: Lower bounds of the length classes; p-values are binned by tenths of log10.
 LENGTHS, BINS = (0, 28, 40, 64), 400
+#: Pairs that the natural model assumes beside each seen one's, spread evenly.
+PRIOR = 500.0
+#: Least characters of a candidate.
+LEAST = 20
 
 _SETS = {k: frozenset(v) for k, v in ALPHABETS.items()}
 _CLASS = np.full(128, 3)
@@ -89,17 +101,77 @@ def battery(token: str) -> tuple[str, float, float, float]:
     return encoding, uniform, min(1.0, runs), 2 * _upper_tail(abs(serial) / math.sqrt(n - 1))
 
 
-def natural_p(token: str) -> float:
+def pair_counts(docs: DataFrame) -> np.ndarray:
+    """How often an ASCII character follows another of its class (letters of either
+    case, digits), over all words of (text) too short to be candidates."""
+    follows = np.zeros(256, np.int64)
+    follows[:128] = _CLASS
+    follows[128:] = 3
+    part_of = np.zeros(256, bool)
+    part_of[[ord(c) for c in ALPHABETS["mixed"]]] = True
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                texts = batch.column(0).slice(at, 1024).cast(pa.binary()).to_pylist()
+                data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+                edge = np.diff(part_of[data].astype(np.int8), prepend=0)
+                starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+                short = np.repeat(ends - starts < LEAST, ends - starts)
+                inside = np.zeros(len(data), bool)
+                inside[part_of[data]] = short
+                same = inside[1:] & inside[:-1] & (follows[data[1:]] == follows[data[:-1]]) & (follows[data[1:]] < 3)
+                pair, n = np.unique(data[:-1][same].astype(np.int64) << 7 | data[1:][same], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], ["pair", "n"])
+
+    out = np.zeros(1 << 14)
+    for r in docs.select("text").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r["pair"]] = r["n"]
+    return out.reshape(128, 128)
+
+
+def natural_model(pairs: np.ndarray | None = None) -> np.ndarray:
+    """Log of how much likelier than by an even draw from its class a character
+    follows another of that class; zero without counts. Words in capitals have the
+    letter pairs of others, so both cases are counted together."""
+    out = np.zeros((128, 128))
+    if pairs is not None:
+        at = {chars: np.ix_([ord(c) for c in chars], [ord(c) for c in chars])
+              for chars in (string.ascii_lowercase, string.ascii_uppercase, string.digits)}
+        letters = pairs[at[string.ascii_lowercase]] + pairs[at[string.ascii_uppercase]]
+        for chars, own in at.items():
+            counts = pairs[own] if chars == string.digits else letters
+            out[own] = np.log((counts + PRIOR / len(chars)) / (counts.sum(axis=1, keepdims=True) + PRIOR) * len(chars))
+    return out
+
+
+_EVEN = natural_model()
+
+
+def plain(token: str) -> str:
+    """``token`` without the hyphens or underscores that part it."""
+    for mark in "-_":
+        parts = token.split(mark)
+        if len(parts) > 1 and all(p.isalnum() for p in parts):
+            return "".join(parts)
+    return token
+
+
+def natural_p(token: str, model: np.ndarray = _EVEN) -> float:
     """p-value under natural text, or 1 where a test rejects randomness."""
+    token = plain(token)
     encoding, *tests = battery(token)
     if 3 * min(tests) < ALPHA:
         return 1.0
     alphabet = ALPHABETS[encoding]
     share = np.bincount(_CLASS[[ord(c) for c in alphabet]], minlength=4) / len(alphabet)
-    classes = _CLASS[[ord(c) for c in token]]
+    codes = np.array([ord(c) for c in token])
+    classes = _CLASS[codes]
     same = classes[1:] == classes[:-1]
     drawn = np.log(np.maximum(share[classes[1:]], 1e-9)).sum()
-    natural = np.where(same, math.log(STAY), math.log((1 - STAY) / 3)).sum()
+    # a class that is the whole alphabet cannot be left
+    stay = 1.0 if share.max() == 1 else STAY
+    natural = np.where(same, math.log(stay), math.log(max(1 - stay, 1e-9) / 3)).sum() + model[codes[:-1], codes[1:]].sum()
     return float(min(1.0, math.exp(min(0.0, natural - drawn))))
 
 
@@ -113,7 +185,7 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[1])))
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rows(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
@@ -125,7 +197,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = []
                 for m in TOKEN.finditer(text):
                     if not any(a < m.end() and m.start() < b for a, _, b in spans):
-                        p = natural_p(m[0])
+                        p = natural_p(m[0], model)
                         own.append({"start": m.start(), "stop": m.end(), "class": sum(len(m[0]) >= x for x in LENGTHS) - 1,
                                     "bin": min(BINS, int(-10 * math.log10(max(p, 1e-60))))})
                 tokens.append(own)
@@ -156,7 +228,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """Per row: base counts and digest, and all spans by start."""
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    found = cut_lineage(rows.mapInArrow(_rows, (
+    model = natural_model(pair_counts(rows))
+    found = cut_lineage(rows.mapInArrow(lambda batches: _rows(batches, model), (
         f"id {kind}, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, "
         "base array<struct<start:bigint,stop:bigint,kind:string>>, "
         "tokens array<struct<start:bigint,stop:bigint,class:int,bin:int>>")))
