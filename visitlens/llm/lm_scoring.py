@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,9 +44,6 @@ DEPTH = 4
 #: Bytes of text in a block of documents, and in one pass of a task.
 BLOCK_BYTES, PASS_BYTES = 16 << 20, 4 << 20
 ADD = 0.1
-#: First byte of an asked item: a word (the end token is the empty word), or a
-#: byte string of context and byte.
-WORD, STRING = b"w", b"s"
 
 
 def _strings(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -62,9 +60,38 @@ def _strings(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return found[take], first
 
 
-def _as_items(strings: np.ndarray) -> list[bytes]:
-    raw = strings.astype(">u8").tobytes()
-    return [STRING + raw[i + 7 - DEPTH:i + 8] for i in range(0, len(raw), 8)]
+class Places:
+    """Places of numbers in an array of distinct ones, by rounds of hash tables:
+    what finds its place taken goes to the next round's table."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.rounds, left, odd = keys, [], np.arange(len(keys)), 0x9E3779B97F4A7C15
+        while len(left):
+            bits = max(4, int(4 * len(left)).bit_length())
+            table = np.zeros(1 << bits, np.int32)
+            at = self._hash(keys[left], odd, bits)
+            table[at] = left
+            self.rounds.append((odd, bits, table))
+            left, odd = left[table[at] != left], odd * 0xD1342543DE82EF95 % (1 << 64) | 1
+
+    @staticmethod
+    def _hash(keys: np.ndarray, odd: int, bits: int) -> np.ndarray:
+        return (keys * np.uint64(odd)) >> np.uint64(64 - bits)
+
+    def __call__(self, found: np.ndarray) -> np.ndarray:
+        out, left = np.empty(len(found), np.int32), None
+        for odd, bits, table in self.rounds:
+            some = found if left is None else found[left]
+            place = table[self._hash(some, odd, bits)]
+            if left is None:
+                out[:] = place
+            else:
+                out[left] = place
+            missed = np.flatnonzero(self.keys[place] != some)
+            left = missed if left is None else left[missed]
+            if not len(left):
+                break
+        return out
 
 
 def _passes(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -98,12 +125,10 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings[block] = [(keys, np.bincount(inverse, weights=n).astype(np.int64))]
         return strings[block][0]
 
-    def rows(block: int, items: list[bytes], n: list[int]) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(items), 1 << 16):
-            some = items[at:at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(some), block), pa.int32()), pa.array(some, pa.binary()),
-                 pa.array(n[at:at + (1 << 16)], pa.int64())], ["block", "item", "n"])
+    def rows(block: int, words: pa.Array, keys: pa.Array, n: pa.Array) -> Iterator[pa.RecordBatch]:
+        whole = pa.RecordBatch.from_arrays([pa.array(np.full(len(n), block), pa.int32()), words, keys, n], ["block", "word", "key", "n"])
+        for at in range(0, len(n), 1 << 16):
+            yield whole.slice(at, 1 << 16)
 
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
@@ -124,10 +149,10 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         merge(block)
     for block in list(words):
         own = words.pop(block)
-        yield from rows(block, [WORD + w for w in own], list(own.values()))
+        yield from rows(block, pa.array(list(own), pa.binary()), pa.nulls(len(own), pa.int64()), pa.array(list(own.values()), pa.int64()))
         keys, n = merge(block)
         del strings[block]
-        yield from rows(block, _as_items(keys), n.tolist())
+        yield from rows(block, pa.nulls(len(keys), pa.binary()), pa.array(keys.astype(np.int64)), pa.array(n))
 
 
 def _log_gamma(x: Column) -> Column:
@@ -208,40 +233,34 @@ def score(docs: DataFrame, held_out: Column | None = None, id_col: str = "doc_id
     kind = rows.schema["id"].dataType.simpleString()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = _blocks(rows, max(1, -(-size // BLOCK_BYTES)))  # by bytes alone: each block asks for its own items
-    asked = blocks.select("block", "train", "text").mapInArrow(_ask, "block int, item binary, n bigint")
-    item = Window.partitionBy("item")
+    # a word (the end token is the empty word), or a byte string of context and byte
+    asked = blocks.select("block", "train", "text").mapInArrow(_ask, "block int, word binary, key bigint, n bigint")
+    item = Window.partitionBy("word", "key")
     counted = cut_lineage(asked.select(
-        "block", "item", "n", F.sum("n").over(item).alias("c"),
+        "block", "word", "key", "n", F.sum("n").over(item).alias("c"),
         (F.row_number().over(item.orderBy("block")) == 1).alias("first")))
-    is_word = F.substring("item", 1, 1) == F.lit(WORD)
-    words = counted.filter(is_word)
+    words = counted.filter("key is null")
     tokens, distinct = words.agg(
         F.coalesce(F.sum("n"), F.lit(0)),
         F.coalesce(F.sum((F.col("first") & (F.col("c") > 0)).cast("long")), F.lit(0))).first()
     floor = math.log10(tokens + ADD * (distinct + 1))
-    key = F.conv(F.hex(F.substring("item", 2, DEPTH + 1)), 16, 10).cast("bigint")
-    strings = counted.filter(~is_word).withColumn("key", key)
+    strings = counted.filter("key is not null")
     known = context_trees(strings.filter("first").select("key", F.col("c").alias("n")))
-    answers = words.select("block", "item", F.log10(F.col("c") + ADD).alias("value")).unionByName(
-        strings.join(known, "key").select("block", "item", F.col("logp").alias("value")))
+    answers = words.select("block", "word", "key", F.log10(F.col("c") + ADD).alias("value")).unionByName(
+        strings.join(known, "key").select("block", "word", "key", F.col("logp").alias("value")))
 
     def answer(some: pa.Table, known: pa.Table) -> pa.Table:
-        items, values = _utf8(known.column("item").combine_chunks()), known.column("value").to_numpy()
-        of = {x[1:]: v for x, v in zip(items, values.tolist()) if x[:1] == WORD}
-        place = [i for i, x in enumerate(items) if x[:1] == STRING]
-        raw = np.frombuffer(b"".join(items[i][1:] for i in place), np.uint8).reshape(-1, DEPTH + 1).astype(np.uint64)
-        keys = np.zeros(len(raw), np.uint64)
-        for j in range(DEPTH + 1):
-            keys = keys << np.uint64(8) | raw[:, j]
-        order = np.argsort(keys)
-        keys, logp = keys[order], values[place][order]
+        own = known.filter(pc.is_null(known.column("key")))
+        of = dict(zip(_utf8(own.column("word").combine_chunks()), own.column("value").to_pylist()))
+        known = known.filter(pc.is_valid(known.column("key")))
+        place, logp = Places(known.column("key").to_numpy().astype(np.uint64)), known.column("value").to_numpy()
         kinds = [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
                  ("bits_per_byte", pa.float64())]
         out: dict[str, list] = {k: [] for k, _ in kinds}
         for at in range(0, some.num_rows, 1024):
             for texts in _passes(_utf8(some.column("text").slice(at, 1024).combine_chunks())):
                 found, first = _strings(texts)
-                scores = np.add.reduceat(logp[np.searchsorted(keys, found)], first)
+                scores = np.add.reduceat(logp[place(found)], first)
                 for text, whole in zip(texts, scores.tolist()):
                     each = _words(text)
                     each.append(b"")
