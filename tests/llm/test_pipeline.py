@@ -30,6 +30,36 @@ def test_stages(spark):
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in clean.collect()}
 
 
+def test_stages_on_edge_rows(spark, edge):
+    """Nulls, blank and very long texts, repeated rows and clashing columns through all stages."""
+    docs = edge.unionByName(edge.limit(0).union(edge.sparkSession.createDataFrame(
+        [(None, "no id at all", None, None, None, None, None, None, None, None, None, None, None),
+         (99, None, None, None, None, 1, "k", "s", "i", "n", "c", "m", "st")], edge.schema)))
+    stage = dict(pipeline.STAGES)
+    kept = docs
+    for name in ("exact", "near", "private"):
+        before = sorted((repr(r.doc_id), repr(r.text)) for r in kept.collect())
+        kept = pipeline.cut_lineage(stage[name](spark, kept, SMALL))
+        assert kept.columns == docs.columns
+        assert {i for i, _ in ((repr(r.doc_id), 0) for r in kept.collect())} <= {i for i, _ in before}
+    rows = {r.doc_id: r for r in kept.collect()}
+    assert None in rows and rows[None].text == "no id at all"
+    assert {4, 5, 6} & rows.keys() == {5}  # equal without white space: the longest stays
+    assert {1, 2, 3, 99} & rows.keys() == {3}  # blank texts are one group
+    assert len(rows[7].text) > 50_000 and "a.b@c.de" not in rows[7].text
+    packed = stage["packed"](spark, kept, SMALL).collect()
+    assert {r.doc_id for r in packed} == set(rows) and max(r.length for r in packed) <= 4096
+    scored = stage["quality"](spark, docs, SMALL)
+    assert scored.columns == docs.columns and scored.count() <= docs.count()
+
+
+@pytest.mark.parametrize("name", [n for n, _ in pipeline.STAGES])
+def test_stages_on_an_empty_table(spark, name):
+    docs = pipeline.table(spark, SMALL, "documents").limit(0)
+    out = dict(pipeline.STAGES)[name](spark, docs, SMALL)
+    assert out.count() == 0 and (name == "packed" or out.columns == docs.columns)
+
+
 def test_queries_are_registered():
     names = entry.queries()
     assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 13
