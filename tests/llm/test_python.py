@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import tracemalloc
 import zlib
 
 import brute
@@ -40,6 +41,34 @@ def test_classifier_edges(spark, edge):
     assert quality_classifier.score(plain.limit(0), model).count() == 0
 
 
+def test_classifier_scores_in_small_passes():
+    """Many texts at once take little memory, and are scored as each alone."""
+    texts = [f"text number {i} with words {i * i} and more ".encode() * 70 for i in range(1024)]
+    flat = np.random.default_rng(3).normal(size=quality_classifier.BUCKETS + 1).astype(np.float32)
+    tracemalloc.start()
+    got = quality_classifier.score_texts(flat, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, texts)) > 2 << 20 and peak < 64 << 20
+    assert all(got[i] == quality_classifier.score_texts(flat, texts[i:i + 1])[0] for i in range(0, 1024, 100))
+
+
+def test_classifier_sends_a_text_once(spark, edge, monkeypatch):
+    flat = np.zeros(quality_classifier.BUCKETS + 1, np.float32)
+    flat[::3] = 1
+    sent, plain = [], type(edge).mapInArrow
+    monkeypatch.setattr(type(edge), "mapInArrow", lambda self, *a, **b: sent.append(len(self.columns)) or plain(self, *a, **b))
+    docs = edge.select("doc_id", "text", "kept")
+    got = quality_classifier.score(docs, flat).collect()
+    assert sent == [3] and len(got) == len(EDGE)
+    assert {r.doc_id: r.text for r in got} == dict(EDGE)
+    assert len({r.score for r in got if r.doc_id in (1, 2)}) == 1
+    numbers = spark.createDataFrame([(1, 20), (2, None)], "doc_id bigint, text int")
+    words = spark.createDataFrame([(1, "20"), (2, None)], "doc_id bigint, text string")
+    assert [tuple(r[:2]) for r in quality_classifier.score(numbers, flat).orderBy("doc_id").collect()] == [(1, 20), (2, None)]
+    assert len({tuple(r.score for r in quality_classifier.score(d, flat).orderBy("doc_id").collect()) for d in (numbers, words)}) == 1
+
+
 def test_classifier_ignores_the_order_of_the_table(spark):
     rows = [(i, f"good words {i} again" if i % 2 else f"bad text {i} {i}", i % 2) for i in range(120)]
     models = []

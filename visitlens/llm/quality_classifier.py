@@ -36,7 +36,9 @@ MAX_TRAIN_DOCS, STEPS, RATE, SEED = 4000, 16_000, 2.0, 7
 #: A sample of at most this many bytes of n-gram counts stays on the driver
 #: between passes; a larger one is streamed again for every pass.
 HELD_BYTES = 1 << 27
-PASS_BYTES = 2 << 20
+#: Bytes of text scored at a time; the arrays of a pass take over a hundred
+#: times as much.
+PASS_BYTES = 1 << 18
 
 
 def buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +82,7 @@ def _passes(texts: list[bytes]) -> Iterator[list[bytes]]:
 
 
 def _utf8(column: pa.Array) -> list[bytes]:
-    return column.cast(pa.binary()).to_pylist()
+    return column.cast(pa.binary()).fill_null(b"").to_pylist()
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,19 +161,25 @@ def score_texts(flat: np.ndarray, texts: list[bytes]) -> np.ndarray:
 
 
 def score(docs: DataFrame, flat: np.ndarray, text_col: str = "text") -> DataFrame:
-    """``docs`` with two more columns, ``score`` and ``predicted``, at the end."""
+    """``docs`` with two more columns, ``score`` and ``predicted``, at the end.
+
+    A text that is a string travels once, to be scored and carried; only of
+    another type is a string made beside it.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(flat)
     names = docs.columns
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
-                       text_or_empty(text_col).alias("text"))
+    carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
+    once = (text_col, "string") in docs.dtypes
+    rows = docs.select(*carried, *([] if once else [text_or_empty(text_col).alias("text")]))
+    text_at = names.index(text_col) if once else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                got = score_texts(shared.value, _utf8(part.column(len(names))))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(got, pa.float64())],
-                                                 [*part.schema.names[:-1], "score"])
+                got = score_texts(shared.value, _utf8(part.column(text_at)))
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(names)], pa.array(got, pa.float64())],
+                                                 [*part.schema.names[:len(names)], "score"])
 
     kinds = ", ".join(f"c{i} {rows.schema[i].dataType.simpleString()}" for i in range(len(names)))
     scored = rows.mapInArrow(run, f"{kinds}, score double")
