@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import tracemalloc
+import types
 import zlib
 
 import brute
@@ -13,7 +14,7 @@ import pytest
 from rows import EDGE, SMALL
 from tokenizers import Tokenizer
 
-from visitlens.llm import bpe, hashing, lm_scoring, near_dedup, packing, quality_classifier, queries, secret_scan
+from visitlens.llm import bpe, common, hashing, lm_scoring, near_dedup, packing, quality_classifier, queries, secret_scan
 
 BYTES = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
 WORDS = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
@@ -165,6 +166,27 @@ def test_word_ids_equal_the_tokenizer(small):
         assert np.frombuffer(ids_of(text), "<u4").tolist() == want
 
 
+def test_word_ids_remember_a_word_once():
+    """Words and stems share one table, and all forms of a word its stem."""
+    ids_of, tok = packing.WordIds(WORDS), Tokenizer.from_str(WORDS)
+    words = [f"wo{chr(97 + i % 26)}{chr(97 + i // 26)}rd" for i in range(400)]
+    ids_of(" ".join(words))
+    tables = [t for t in vars(ids_of).values() if isinstance(t, bpe.Remembered)]
+    assert sum(len(t.new) + len(t.old) for t in tables) == len(words)
+    for w in words[:40]:
+        text = f"{w}, {w.title()} {w.upper()}. {w}.. {w}<|x. {w.title()}, é{w}. {w}1."
+        assert np.frombuffer(ids_of(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids + [2]
+
+
+def test_arrow_memory_goes_back_after_a_task(monkeypatch):
+    done = []
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: types.SimpleNamespace(release_unused=lambda: done.append(1)))
+    run = common.handing_back(lambda batches: (2 * b for b in batches))
+    rows = run(iter([1, 2]))
+    assert next(rows) == 2 and not done
+    assert list(rows) == [4] and done == [1]
+
+
 def test_secrets(spark, edge, small):
     for docs, rows in ((secret_scan.scan(edge), EDGE), (queries.op7_secret_scan(spark, SMALL), small)):
         texts = dict(rows)

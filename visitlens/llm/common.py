@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +81,18 @@ def with_running(df: DataFrame, columns: dict[str, str], how: str = "sum") -> Da
     return df.drop(*[f"_{x}_{n}" for n in columns for x in ("step", "blocks", "before")])
 
 
+def handing_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for ``mapInArrow``, after which the memory that Arrow's pool holds
+    unused goes back to the system: Spark keeps the worker for later stages."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return whole
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the cluster's shared ``spark.checkpoint.dir``.
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.llm.bits import bit_table, counter_table, held, slots
-from visitlens.llm.common import cut_lineage, text_or_empty
+from visitlens.llm.common import cut_lineage, handing_back, text_or_empty
 from visitlens.llm.hashing import shingles, word_hashes
 
 #: Registers in a band and bands: a pair at 0.8 shares no band with chance 5e-6.
@@ -131,7 +131,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(same, pa.binary()), pa.array(regs, pa.binary())],
                 ["id", "n", "same", "regs"])
 
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, n bigint, same binary, regs binary")
+    return docs.select("id", "text").mapInArrow(handing_back(run), f"id {kind}, n bigint, same binary, regs binary")
 
 
 def register_marks(regs: np.ndarray) -> np.ndarray:
@@ -167,7 +167,7 @@ def full_sets(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
                     ["id", "n", "regs", "marks", "items"])
 
     return docs.select("id", "text", F.xxhash64("id").alias("number")).mapInArrow(
-        run, f"id {kind}, n bigint, regs binary, marks array<bigint>, items array<bigint>")
+        handing_back(run), f"id {kind}, n bigint, regs binary, marks array<bigint>, items array<bigint>")
 
 
 def _sets_of(column: pa.ListArray) -> list[np.ndarray]:
@@ -202,7 +202,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 near[i] = 100 * common >= percent * (len(sets_a[i]) + len(sets_b[i]) - common)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near))
 
-    return both.select("a", "b", "n_a", "n_b", "regs_a", "regs_b", "items_a", "items_b").mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return both.select("a", "b", "n_a", "n_b", "regs_a", "regs_b", "items_a", "items_b").mapInArrow(handing_back(run), f"a {kind}, b {kind}").distinct()
 
 
 def _kept_small(df: DataFrame, rows: int) -> DataFrame:
@@ -358,7 +358,7 @@ def prefix_tokens(rows: DataFrame, counts: np.ndarray, percent: int) -> DataFram
                     ["probe", "class", "item", "id", "c", "n", "place"])
 
     return rows.select("id", "c", "n", "items").mapInArrow(
-        run, f"probe boolean, class int, item bigint, id {kind}, c {kind}, n bigint, place bigint")
+        handing_back(run), f"probe boolean, class int, item bigint, id {kind}, c {kind}, n bigint, place bigint")
 
 
 def item_counts(rows: DataFrame) -> DataFrame:
@@ -368,7 +368,7 @@ def item_counts(rows: DataFrame) -> DataFrame:
             slot, n = np.unique(slots(batch.column(0).flatten().to_numpy()), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n)], ["slot", "n"])
 
-    return rows.select("items").mapInArrow(run, "slot bigint, n bigint")
+    return rows.select("items").mapInArrow(handing_back(run), "slot bigint, n bigint")
 
 
 def large_bucket_pairs(placed: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.llm.bpe import Remembered, byte_letters, once_a_worker
-from visitlens.llm.common import text_or_empty
+from visitlens.llm.common import handing_back, text_or_empty
 
 SEQUENCE, END_ID = 4096, 2
 #: Tokens of a packing round, words of a generation that a task remembers,
@@ -45,7 +45,8 @@ class WordIds:
     are those of its words in order. A plain word (Latin letters, perhaps with
     a final comma or full stop, which the tokenizer always cuts off a letter)
     goes straight to the tokenizer's merge model; every other word goes through
-    the whole tokenizer. Ids are kept as little-endian bytes.
+    the whole tokenizer. Ids are kept as little-endian bytes, those of words and
+    of their lower-case stems in one table.
     """
 
     def __init__(self, spec: str):
@@ -56,7 +57,6 @@ class WordIds:
         self.tok.no_truncation()
         self.letters = {b: c for c, b in byte_letters().items()}
         self.known = Remembered(self.word, REMEMBERED)
-        self.stems = Remembered(self.stem, REMEMBERED)
         self.final = {mark: self.whole(mark) for mark in (b".", b",")}
 
     def whole(self, word: bytes) -> bytes:
@@ -70,9 +70,12 @@ class WordIds:
         return np.array([t.id for t in self.tok.model.tokenize(mapped)], "<u4").tobytes()
 
     def word(self, word: bytes) -> bytes:
-        if word[-1:] in self.final and word[-2:-1].isalpha() and b"<|" not in word:
-            return self.stems(word[:-1].lower()) + self.final[word[-1:]]
-        return self.whole(word) if b"<|" in word else self.stems(word.lower())
+        if b"<|" in word:
+            return self.whole(word)
+        lower = word.lower()
+        if word[-1:] in self.final and word[-2:-1].isalpha():
+            return self.known(lower[:-1]) + self.final[word[-1:]]
+        return self.stem(word) if word == lower else self.known(lower)
 
     def __call__(self, text: str) -> bytes:
         known, made = self.known.new, self.known
@@ -187,4 +190,4 @@ def pack(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "te
             yield batch_of(found)
 
     schema = f"id {kind}, " + ", ".join(f"{n} bigint" for n in names) + ", ids array<int>" * with_ids
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(handing_back(run), schema).withColumnRenamed("id", id_col)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import cut_lineage, id_text_crc, text_or_empty
+from visitlens.llm.common import cut_lineage, handing_back, id_text_crc, text_or_empty
 from visitlens.llm.hashing import mix, word_hashes
 
 #: Buckets for all n-grams, length of a vector, character n-gram lengths.
@@ -115,7 +115,7 @@ def train(sample: DataFrame) -> np.ndarray:
 
     Descent takes the sample by hash, so the table's order does not matter.
     """
-    made = cut_lineage(sample.orderBy("h", "text", "label").select("label", "text").mapInArrow(_features, "label int, ids binary, weights binary"))
+    made = cut_lineage(sample.orderBy("h", "text", "label").select("label", "text").mapInArrow(handing_back(_features), "label int, ids binary, weights binary"))
     counts = {r["label"]: r["count"] for r in made.groupBy("label").count().collect()}
     total = sum(counts.values())
     flat = np.zeros(BUCKETS + 1, np.float32)
@@ -182,7 +182,7 @@ def score(docs: DataFrame, flat: np.ndarray, text_col: str = "text") -> DataFram
                                                  [*part.schema.names[:len(names)], "score"])
 
     kinds = ", ".join(f"c{i} {rows.schema[i].dataType.simpleString()}" for i in range(len(names)))
-    scored = rows.mapInArrow(run, f"{kinds}, score double")
+    scored = rows.mapInArrow(handing_back(run), f"{kinds}, score double")
     return scored.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)],
                          "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
